@@ -388,3 +388,45 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = event_log(spark, sf_dir)
     iso = F.date_format(F.col("event_ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     return rows.withColumn("event_ts", iso)
+
+
+# ---------------------------------------------------------------- landing files
+def write_landing(spark: SparkSession, sf_dir: str, landing: str, part: str, where: str | None = None,
+                  tables: tuple = ("stores", "customers", "transactions", "transaction_lines", "payments"),
+                  events: str | None = "true", catalog_days: str | None = "true") -> None:
+    """Writes one delivery: change files, event files and catalog files, filtered by SQL conditions.
+
+    All changes of a key go to one file of a delivery, so their order within a commit does not
+    depend on file names.
+    """
+    from shelfline.sources.contracts import POS_KEYS
+
+    for t in tables:
+        rows = cdc_source(spark, sf_dir, t)
+        rows = rows.where(where) if where else rows
+        body = rows.drop("_file", "_loaded_at").repartition(POS_KEYS[t][0])
+        body.write.mode("overwrite").parquet(f"{landing}/pos/pos/{t}/{part}")
+    if events:
+        rows = event_records(spark, sf_dir).where(events).drop("_file", "_loaded_at")
+        rows.write.mode("overwrite").option("compression", "gzip").json(f"{landing}/clickstream/events/{part}")
+    if catalog_days:
+        write_catalog(spark, sf_dir, f"{landing}/catalog/products", part, catalog_days)
+
+
+def write_catalog(spark: SparkSession, sf_dir: str, folder: str, part: str, where: str = "true") -> None:
+    """CSV files per delivery and day; from the sixth day on with pack_size, and in another column order."""
+    rows = catalog(spark, sf_dir).where(where).drop("_loaded_at")
+    rows = (
+        rows.withColumn("dt", F.regexp_extract("_file", r"dt=([0-9-]+)", 1))
+        .withColumn("hour", F.regexp_extract("_file", r"products_(\d+)", 1))
+        .withColumn("list_price", F.col("list_price").cast("string"))
+        .withColumn("supplier_updated_at", F.date_format(F.col("supplier_updated_at").cast("timestamp"), "yyyy-MM-dd HH:mm:ss"))
+        .drop("_file")
+        .repartition("dt", "hour")
+    )
+    late = F.col("pack_size").isNotNull()
+    early_columns = [c for c in rows.columns if c not in ("pack_size", "dt", "hour")]
+    late_columns = ["pack_size", *reversed(early_columns)]
+    for name, df, columns in (("early", rows.where(~late), early_columns), ("late", rows.where(late), late_columns)):
+        (df.select(*columns, "dt", "hour").write.mode("overwrite").partitionBy("dt", "hour")
+         .option("header", "true").csv(f"{folder}/{part}-{name}"))

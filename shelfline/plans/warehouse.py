@@ -67,7 +67,10 @@ def load_raw(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int
 
 def raw(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
     path = f"{warehouse}/raw/{name}"
-    return tables.read_table(spark, path) if name == "catalog_products" else src.read_raw(spark, path)
+    if name != "catalog_products":
+        return src.read_raw(spark, path)
+    catalog = tables.read_table(spark, path)
+    return src.read_csv_by_name(spark, []) if catalog is None else catalog
 
 
 def freshness(spark: SparkSession, warehouse: str, now: dt.datetime) -> DataFrame:

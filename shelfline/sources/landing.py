@@ -171,7 +171,12 @@ def ingest_new_files(
     return new.select("_file").distinct().count()
 
 
+RAW_COLUMNS = "record VARIANT, _file STRING, _loaded_at TIMESTAMP, _load_date DATE"
+
+
 def read_raw(spark: SparkSession, table_dir: str) -> DataFrame:
+    if not tables.list_names(spark, table_dir):
+        return spark.createDataFrame([], RAW_COLUMNS)
     return spark.read.parquet(table_dir)
 
 
