@@ -4,7 +4,7 @@ A chain needs the previous and the next version of its key. A window over the ke
 the whole chain of a hot key into one task, so a chain is cut into pieces by the hour of the
 version: neighbours inside a piece come from a window over (key, piece), neighbours across pieces
 from one summary row per piece. Only the keys that a sketch finds hot are cut; the others have a
-single piece, and the summary holds hot keys only.
+single piece, and the summary holds hot keys only. Without a hot key the plan is a plain window.
 """
 
 from __future__ import annotations

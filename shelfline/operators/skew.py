@@ -8,20 +8,24 @@ SALTS = 64
 MAX_HOT_KEYS = 1000
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000, k: int = MAX_HOT_KEYS) -> DataFrame:
-    """The most frequent values of `key`, at most `k` rows, so always small enough to broadcast.
+def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000, k: int = MAX_HOT_KEYS) -> DataFrame | None:
+    """The most frequent values of `key` as a frame of at most `k` rows; None if no value is hot.
 
-    A frequent-items sketch merges on the map side, so no key is shuffled. It is approximate, which
-    is harmless: callers give the same rows whether or not a key counts as hot.
+    One pass over the key column: a frequent-items sketch merges on the map side, so no key is
+    shuffled. It is approximate, which is harmless: callers give the same rows whether or not a key
+    counts as hot. The look at the data comes first because most tables have no hot key, and then
+    their plans need none of the handling.
     """
     sketch = df.where(F.col(key).isNotNull()).agg(
         F.expr(f"approx_top_k({key}, {int(k)}, {10 * int(k)})").alias("top")
     )
-    return (
+    hot = (
         sketch.select(F.explode("top").alias("t"))
         .where(F.col("t.count") >= min_rows)
         .select(F.col("t.item").alias(key))
     )
+    rows = hot.collect()  # at most k
+    return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
 def _spread(columns: list[Column], salts: int) -> Column:

@@ -201,7 +201,7 @@ def upsert(
 
     # The source is written once, already bucketed: this cuts its lineage, names the touched
     # buckets for free and is the final data for buckets the target does not have yet.
-    incoming = _write_folder(spark, path, f"v={version}/in", src, cluster, buckets)
+    incoming = _write_folder(spark, path, f"v={version}-in", src, cluster, buckets)
     staged = _load(spark, path, src.schema, incoming)
     _check_unique(staged, keys)
     if not incoming and old:
@@ -223,7 +223,7 @@ def upsert(
             merged = target.join(fresh.select(*by), by, "left_anti").unionByName(fresh)
         else:
             merged = resolve(target.unionByName(fresh))
-        rewritten = _write_folder(spark, path, f"v={version}/out", merged.select(*schema.names), cluster, buckets)
+        rewritten = _write_folder(spark, path, f"v={version}-out", merged.select(*schema.names), cluster, buckets)
         folders = [f for f in live if f[0] not in touched] + [f for f in incoming if f[0] not in both] + rewritten
     _commit(spark, path, State(version, schema, buckets, cluster, folders,
                                _highest(staged, list(watch), old.highest if old else {})))

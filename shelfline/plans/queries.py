@@ -45,6 +45,11 @@ def _latest(spark, d, table) -> DataFrame:
     return latest.latest_cdc(feeds.cdc(spark, d, table), POS_KEYS[table])
 
 
+def _headers(spark, d) -> DataFrame:
+    """Current sales for readers that do not look at total_amount."""
+    return latest.latest_cdc(feeds.cdc(spark, d, "transactions", totals=False), ["transaction_id"])
+
+
 def _events(spark, d) -> DataFrame:
     return latest.dedupe_events(feeds.event_log(spark, d))
 
@@ -80,7 +85,7 @@ def _dim_product(spark, d) -> DataFrame:
 def _joined_lines(spark, d) -> DataFrame:
     log = feeds.cdc(spark, d, "transaction_lines")
     lines = latest.latest_cdc(log, POS_KEYS["transaction_lines"])
-    return facts.sales_lines_join(lines, _latest(spark, d, "transactions"), hot_keys(log, "transaction_id"))
+    return facts.sales_lines_join(lines, _headers(spark, d), hot_keys(log, "transaction_id"))
 
 
 def _sales_lines(spark, d) -> DataFrame:
@@ -88,7 +93,7 @@ def _sales_lines(spark, d) -> DataFrame:
     dims = {"date": _calendar(spark, d), "product": _dim_product(spark, d), "customer": _dim_customer(spark, d),
             "store": _dim_store(spark, d)}
     return facts.fct_sales_lines(
-        _latest(spark, d, "transactions"), latest.latest_cdc(log, POS_KEYS["transaction_lines"]), dims,
+        _headers(spark, d), latest.latest_cdc(log, POS_KEYS["transaction_lines"]), dims,
         hot={"transaction_id": hot_keys(log, "transaction_id"),
              "customer_id": hot_keys(dims["customer"], "customer_id", min_rows=10_000),
              "store_id": hot_keys(dims["store"], "store_id", min_rows=10_000)})
@@ -101,7 +106,7 @@ def _payments(spark, d) -> DataFrame:
 
 
 def _sessions(spark, d) -> DataFrame:
-    return facts.fct_sessions(_events(spark, d), _latest(spark, d, "transactions"))
+    return facts.fct_sessions(_events(spark, d), _headers(spark, d))
 
 
 # ---------------------------------------------------------------- A sources and sinks
@@ -221,7 +226,7 @@ def merge_dim(spark, d):
 # ---------------------------------------------------------------- D facts
 def changed_transactions(spark, d):
     since = dt.datetime.fromisoformat(CUT)
-    return facts.changed_transactions(_latest(spark, d, "transactions"), _latest(spark, d, "transaction_lines"), since)
+    return facts.changed_transactions(_headers(spark, d), _latest(spark, d, "transaction_lines"), since)
 
 
 def _pit(dim, build, key, at, sk) -> Query:
@@ -234,7 +239,7 @@ def _pit(dim, build, key, at, sk) -> Query:
 
 
 def date_key_join(spark, d):
-    sales = _latest(spark, d, "transactions").select("transaction_id", F.to_date("txn_ts").alias("txn_date"))
+    sales = _headers(spark, d).select("transaction_id", F.to_date("txn_ts").alias("txn_date"))
     return calendar.date_key_join(sales, _calendar(spark, d), "txn_date")
 
 
@@ -248,7 +253,7 @@ def session_rollup(spark, d):
 
 def fct_sessions_incremental(spark, d):
     path = run_dir(spark, "sessions")
-    log, sales = feeds.event_log(spark, d), _latest(spark, d, "transactions")
+    log, sales = feeds.event_log(spark, d), _headers(spark, d)
     for rows in (log.where(F.col("_loaded_at") < F.lit(EVENT_CUT).cast("timestamp")), log):
         since = tables.table_watermark(spark, path, dt.timedelta(hours=1))
         merge.merge_fact(spark, path, facts.fct_sessions(latest.dedupe_events(rows), sales, since), ["session_id"])
@@ -257,7 +262,7 @@ def fct_sessions_incremental(spark, d):
 
 def order_reconcile_flag(spark, d):
     sessions = facts.session_rollup(_events(spark, d)).select("session_id", "order_id")
-    return facts.order_reconcile_flag(sessions, _latest(spark, d, "transactions"))
+    return facts.order_reconcile_flag(sessions, _headers(spark, d))
 
 
 def watermark_lookback(spark, d):
@@ -290,7 +295,7 @@ def mart_web_funnel(spark, d):
 
 
 def unmatched_web_orders(spark, d):
-    return marts.unmatched_web_orders(facts.session_rollup(_events(spark, d)), _latest(spark, d, "transactions"), NOW)
+    return marts.unmatched_web_orders(facts.session_rollup(_events(spark, d)), _headers(spark, d), NOW)
 
 
 # ---------------------------------------------------------------- F quality
@@ -374,11 +379,11 @@ def gate_after_each(spark, d):
 
 # ---------------------------------------------------------------- G set-oriented changes
 def backfill_refunds(spark, d):
-    return refunds.backfill_refunds(_latest(spark, d, "payments"), _latest(spark, d, "transactions"))
+    return refunds.backfill_refunds(_latest(spark, d, "payments"), _headers(spark, d))
 
 
 def refunds_for(spark, d):
-    ids = _latest(spark, d, "transactions").where("status = 'returned'").select("transaction_id")
+    ids = _headers(spark, d).where("status = 'returned'").select("transaction_id")
     at = F.lit(CUT).cast("timestamp_ntz")
     return refunds.refunds_for(_latest(spark, d, "payments"), ids, at)
 
@@ -423,7 +428,7 @@ def run_incremental(spark, d):
 # ---------------------------------------------------------------- I streams
 def stream_sessions(spark, d):
     base = run_dir(spark, "live")
-    tables.overwrite_table(spark, f"{base}/warehouse/state/transactions", _latest(spark, d, "transactions"),
+    tables.overwrite_table(spark, f"{base}/warehouse/state/transactions", _headers(spark, d),
                            ["transaction_id"], 4)
     for part, where in (("1", f"_loaded_at < '{EVENT_CUT}'"), ("2", f"_loaded_at >= '{EVENT_CUT}'")):
         feeds.write_landing(spark, d, base, part, None, (), where, None)

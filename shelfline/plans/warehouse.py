@@ -13,7 +13,7 @@ from shelfline.operators.calendar import dim_date
 from shelfline.operators.quality import check_freshness, gate, run_suite
 from shelfline.operators.skew import hot_keys
 from shelfline.plans.checks import FRESHNESS, checks_for
-from shelfline.session import ensure_checkpoint_dir
+from shelfline.session import freeze
 from shelfline.sources import landing as src
 from shelfline.sources.contracts import POS_COLUMNS, POS_KEYS
 
@@ -178,12 +178,10 @@ class _Run:
         if since is not None:
             # Raw is stored by load day, so the changed sales come from its newest folders, and
             # the current-state tables are read only in the buckets those sales fall into.
-            changed = facts.changed_transactions(
+            changed = freeze(facts.changed_transactions(
                 staging.stg_cdc(self.fresh("pos_transactions", since), "transactions"),
                 staging.stg_cdc(self.fresh("pos_transaction_lines", since), "transaction_lines"), None,
-            )
-            ensure_checkpoint_dir(self.spark)
-            changed = changed.checkpoint()
+            ), "changed")
             headers = self.restrict("state/transactions", changed, "transaction_id")
             lines = self.restrict("state/transaction_lines", changed, "transaction_id")
         dims = {d: self.out[f"dim_{d}"] for d in ("date", "product", "customer", "store")}
@@ -210,8 +208,7 @@ class _Run:
         events = self.out["stg_events"]
         if since is not None:
             touched = staging.stg_event_log(self.fresh("clickstream_events", since)).select("session_id").distinct()
-            ensure_checkpoint_dir(self.spark)
-            events = self.restrict("state/events", touched.checkpoint(), "session_id")
+            events = self.restrict("state/events", freeze(touched, "touched"), "session_id")
         rows = facts.fct_sessions(events, self.out["stg_transactions"])
         self.store_fact("fct_sessions", rows, ["session_id"], ["session_id"])
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the plans rely on; all can be changed on a live session.
 RUNTIME_CONF = {
@@ -45,6 +45,12 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/shelfline/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+def freeze(df: DataFrame, name: str) -> DataFrame:
+    """Writes a frame to the shared folder and reads it back.
+
+    This cuts its lineage and fixes what could come out differently on a second evaluation. The
+    files outlive any executor, and later reads take only the columns they need.
+    """
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
