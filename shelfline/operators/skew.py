@@ -28,6 +28,14 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = 1_000_000, k: int = MAX_HO
     return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a frame has at most `rows` rows, found by reading no more than that."""
+    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+
+
 def _spread(columns: list[Column], salts: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
 

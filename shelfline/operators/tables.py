@@ -135,32 +135,33 @@ def _text(value) -> str | int | None:
     return value.isoformat() if isinstance(value, dt.date) else value
 
 
-def _highest(df: DataFrame, watch: list[str], before: dict) -> dict:
+def _inspect(df: DataFrame, keys: list[str], watch: list[str], before: dict) -> dict:
+    """One pass over written rows: fails if a key occurs twice, returns the largest watched values."""
     columns = [c for c in watch if c in df.columns]
-    if not columns:
+    tops = [F.max(c).alias(c) for c in columns]
+    if keys:
+        df = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"), *tops)
+        tops.append(F.max("_times").alias("_times"))
+    if not tops:
         return dict(before)
-    row = df.agg(*[F.max(c).alias(c) for c in columns]).first()
+    row = df.agg(*tops).first()
+    if keys and (row["_times"] or 0) > 1:
+        raise ValueError(f"the source holds more than one row for a value of {keys}")
     seen = {c: _text(row[c]) for c in columns}
     return {c: max([v for v in (before.get(c), seen.get(c)) if v is not None], default=None)
             for c in {*before, *seen}}
 
 
-def _check_unique(df: DataFrame, keys: list[str]) -> None:
-    twice = df.groupBy(*keys).count().where("count > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"source holds more than one row for {keys}: {twice[0].asDict()}")
-
-
 def overwrite_table(spark, path: str, df: DataFrame, cluster_by: list[str] = (), buckets: int = DEFAULT_BUCKETS,
                     watch: list[str] = (LOADED,)) -> DataFrame:
     """Replaces the whole content."""
     old = current_state(spark, path)
     version = old.version + 1 if old else 1
     cluster = list(cluster_by)
-    folders = _write_folder(spark, path, f"v={version}", df, cluster, buckets if cluster else 1)
+    folders = _write_folder(spark, path, f"_write={version}", df, cluster, buckets if cluster else 1)
     now = _load(spark, path, df.schema, folders)
     _commit(spark, path, State(version, df.schema, buckets if cluster else 1, cluster, folders,
-                               _highest(now, list(watch), old.highest if old else {})))
+                               _inspect(now, [], list(watch), old.highest if old else {})))
     return now
 
 
@@ -168,7 +169,7 @@ def append_table(spark, path: str, df: DataFrame) -> DataFrame:
     """Adds rows in one commit."""
     old = current_state(spark, path)
     version = old.version + 1 if old else 1
-    folders = _write_folder(spark, path, f"v={version}", df, [], 1)
+    folders = _write_folder(spark, path, f"_write={version}", df, [], 1)
     schema = old.schema if old else df.schema
     every = (old.folders if old else []) + folders
     _commit(spark, path, State(version, schema, 1, [], every, old.highest if old else {}))
@@ -201,11 +202,11 @@ def upsert(
 
     # The source is written once, already bucketed: this cuts its lineage, names the touched
     # buckets for free and is the final data for buckets the target does not have yet.
-    incoming = _write_folder(spark, path, f"v={version}-in", src, cluster, buckets)
+    incoming = _write_folder(spark, path, f"_write={version}-in", src, cluster, buckets)
     staged = _load(spark, path, src.schema, incoming)
-    _check_unique(staged, keys)
     if not incoming and old:
         return _load(spark, path, old.schema, old.folders)
+    highest = _inspect(staged, keys, list(watch), old.highest if old else {})
 
     live = old.folders if old else []
     touched = {b for b, _ in incoming}
@@ -223,10 +224,9 @@ def upsert(
             merged = target.join(fresh.select(*by), by, "left_anti").unionByName(fresh)
         else:
             merged = resolve(target.unionByName(fresh))
-        rewritten = _write_folder(spark, path, f"v={version}-out", merged.select(*schema.names), cluster, buckets)
+        rewritten = _write_folder(spark, path, f"_write={version}-out", merged.select(*schema.names), cluster, buckets)
         folders = [f for f in live if f[0] not in touched] + [f for f in incoming if f[0] not in both] + rewritten
-    _commit(spark, path, State(version, schema, buckets, cluster, folders,
-                               _highest(staged, list(watch), old.highest if old else {})))
+    _commit(spark, path, State(version, schema, buckets, cluster, folders, highest))
     return _load(spark, path, schema, folders)
 
 

@@ -13,7 +13,7 @@ from shelfline.operators.pit import pit_join
 from shelfline.operators.skew import hot_keys
 from shelfline.plans import feeds, warehouse
 from shelfline.plans.checks import checks_for
-from shelfline.session import run_dir
+from shelfline.session import freeze, run_dir
 from shelfline.sources import landing as src
 from shelfline.sources.contracts import POS_KEYS
 from shelfline.streaming import live
@@ -332,18 +332,16 @@ def check_payment_reconciliation(spark, d):
 
 
 def _suite_frames(spark, d) -> dict[str, DataFrame]:
-    return {
-        "stg_transactions_cdc": feeds.cdc(spark, d, "transactions"),
-        "stg_stores": _latest(spark, d, "stores"),
-        "stg_customers": _latest(spark, d, "customers"),
-        "stg_transactions": _latest(spark, d, "transactions"),
-        "stg_transaction_lines": _latest(spark, d, "transaction_lines"),
-        "stg_payments": _latest(spark, d, "payments"),
-        "stg_events": _events(spark, d),
-        "stg_products": _products(spark, d),
-        "fct_payments": _payments(spark, d),
-        "fct_sessions": _sessions(spark, d),
-    }
+    """Tables to check, each written once, because a suite reads every one of them several times."""
+    log = {t: freeze(feeds.cdc(spark, d, t), f"log_{t}") for t in ("transactions", "payments")}
+    out = {"stg_transactions_cdc": log["transactions"]}
+    for t in ("stores", "customers", "transactions", "transaction_lines", "payments"):
+        out[f"stg_{t}"] = latest.latest_cdc(log.get(t) or feeds.cdc(spark, d, t), POS_KEYS[t])
+    out["stg_events"], out["stg_products"] = _events(spark, d), _products(spark, d)
+    out = {name: df if name.endswith("_cdc") else freeze(df, name) for name, df in out.items()}
+    out["fct_payments"] = freeze(facts.fct_payments(out["stg_payments"], out["stg_transactions"]), "fct_payments")
+    out["fct_sessions"] = freeze(facts.fct_sessions(out["stg_events"], out["stg_transactions"]), "fct_sessions")
+    return out
 
 
 def run_suite(spark, d):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -58,11 +59,14 @@ def landing_paths(landing: str) -> dict[str, tuple[str, str, str | None]]:
 
 
 def load_raw(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
-    """New landing files per raw table."""
-    return {
-        name: src.ingest_new_files(spark, folder, f"{warehouse}/raw/{name}", fmt, f"{warehouse}/ledger/{name}", schema)
-        for name, (folder, fmt, schema) in landing_paths(landing).items()
-    }
+    """New landing files per raw table; the tables load side by side."""
+
+    def load(name: str, folder: str, fmt: str, schema: str | None) -> int:
+        return src.ingest_new_files(spark, folder, f"{warehouse}/raw/{name}", fmt, f"{warehouse}/ledger/{name}", schema)
+
+    with ThreadPoolExecutor(max_workers=7) as pool:
+        jobs = {name: pool.submit(load, name, *source) for name, source in landing_paths(landing).items()}
+        return {name: job.result() for name, job in jobs.items()}
 
 
 def raw(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
