@@ -90,6 +90,7 @@ class _Run:
     def __init__(self, spark: SparkSession, warehouse: str, settings: Settings, full: bool):
         self.spark, self.warehouse, self.s, self.full = spark, warehouse, settings, full
         self.out: dict[str, DataFrame] = {}
+        self.retired: dict[str, DataFrame] = {}  # surrogate keys of versions that a late change removed
 
     def path(self, name: str) -> str:
         return f"{self.warehouse}/{name}"
@@ -153,7 +154,11 @@ class _Run:
             keyed = scd2.with_unknown_member(assign_surrogate_keys(rebuilt, key, version, sk), unknown)
             df = tables.overwrite_table(self.spark, path, keyed, [key], self.s.buckets, watch=[tables.LOADED, sk])
         else:
+            old = tables.read_table(self.spark, path)
             df = merge.merge_dim(self.spark, path, rebuilt, key, version, sk, unknown, self.s.buckets)
+            gone = old.join(df, sk, "left_anti").select(sk) if old is not None else None
+            if gone is not None and not gone.isEmpty():
+                self.retired[sk] = gone
         self.done(name, df)
 
     def dimensions(self) -> None:
@@ -182,10 +187,15 @@ class _Run:
         if since is not None:
             # Raw is stored by load day, so the changed sales come from its newest folders, and
             # the current-state tables are read only in the buckets those sales fall into.
-            changed = freeze(facts.changed_transactions(
+            changed = facts.changed_transactions(
                 staging.stg_cdc(self.fresh("pos_transactions", since), "transactions"),
                 staging.stg_cdc(self.fresh("pos_transaction_lines", since), "transaction_lines"), None,
-            ), "changed")
+            )
+            stored = tables.read_table(self.spark, self.path("core/fct_sales_lines"))
+            for sk, gone in self.retired.items():
+                # No fact may keep the number of a version that is gone.
+                changed = changed.union(stored.join(gone, sk, "left_semi").select("transaction_id"))
+            changed = freeze(changed.distinct(), "changed")
             headers = self.restrict("state/transactions", changed, "transaction_id")
             lines = self.restrict("state/transaction_lines", changed, "transaction_id")
         dims = {d: self.out[f"dim_{d}"] for d in ("date", "product", "customer", "store")}
