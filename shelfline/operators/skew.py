@@ -36,8 +36,11 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
-def _spread(columns: list[Column], salts: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+def spread_nulls(key: str, spread_by: list[str], kind: str) -> Column:
+    """The key, with missing values replaced by many different ones, so that they do not all go to
+    one task. A join on it must also ask that the key itself is not null."""
+    filler = F.xxhash64(*spread_by)
+    return F.coalesce(F.col(key), filler.cast(kind) if kind == "string" else filler)
 
 
 def salted_left_join(
@@ -48,24 +51,25 @@ def salted_left_join(
     hot: DataFrame | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Left join on one column, with the left rows of a null or hot key spread over many tasks.
+    """Left join on one text or bigint column, even under null and hot keys.
 
-    Null keys match nothing, so they may go anywhere. Hot keys are salted on the left and copied
-    once per salt on the right; `hot` comes from `hot_keys`. `spread_by` names left columns that
-    tell the rows of one key apart.
+    Null keys match nothing, so they are spread over the tasks; the right side is not touched for
+    that and keeps a partitioning by the key that it may already have. Hot keys, if `hot_keys`
+    found any, are salted on the left and copied once per salt on the right. `spread_by` names
+    left columns that tell the rows of one key apart.
     """
-    salt = _spread([F.col(c) for c in spread_by], salts)
-    if hot is None:
-        left = left.withColumn("_salt", F.when(F.col(on).isNull(), salt).otherwise(0))
-        right = right.withColumn("_salt", F.explode(F.array(F.lit(0))))
-    else:
-        flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-        spread = F.col(on).isNull() | F.col("_hot").isNotNull()
-        every_salt = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1)))
-        left = left.join(flag, on, "left").withColumn("_salt", F.when(spread, salt).otherwise(0)).drop("_hot")
-        right = (
-            right.join(flag, on, "left")
-            .withColumn("_salt", F.explode(F.coalesce(every_salt, F.array(F.lit(0)))))
-            .drop("_hot")
-        )
-    return left.join(right, [on, "_salt"], "left").drop("_salt")
+    kind = left.schema[on].dataType.simpleString()
+    left = left.withColumn("_key", spread_nulls(on, spread_by, kind))
+    right = right.withColumnRenamed(on, "_right_key")
+    match = (F.col("_key") == F.col("_right_key")) & F.col(on).isNotNull()
+    if hot is not None:
+        flag = F.broadcast(hot.select(F.col(on).alias("_hot_key")))
+        salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+        every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+        left = left.join(flag, F.col("_key") == F.col("_hot_key"), "left").withColumn(
+            "_salt", F.when(F.col("_hot_key").isNotNull(), salt).otherwise(0)).drop("_hot_key")
+        right = right.join(flag, F.col("_right_key") == F.col("_hot_key"), "left").withColumn(
+            "_right_salt", F.explode(F.when(F.col("_hot_key").isNotNull(), every_salt).otherwise(F.array(F.lit(0)))),
+        ).drop("_hot_key")
+        match = match & (F.col("_salt") == F.col("_right_salt"))
+    return left.join(right, match, "left").drop("_key", "_salt", "_right_key", "_right_salt")

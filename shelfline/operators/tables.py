@@ -230,6 +230,24 @@ def upsert(
     return _load(spark, path, schema, folders)
 
 
+def vacuum(spark: SparkSession, path: str, keep: int = 3) -> int:
+    """Removes data that none of the last `keep` states uses, and the older states; returns the
+    number of folders removed. Not while a write is running."""
+    names = [n for n in list_names(spark, f"{path}/states") if n.endswith(".json")]
+    live = {folder for n in names[-keep:] for _, folder in json.loads(_read_text(spark, f"{path}/states/{n}"))["folders"]}
+    removed = 0
+    for write in list_names(spark, f"{path}/data"):
+        for bucket in list_names(spark, f"{path}/data/{write}"):
+            if bucket.startswith("_bucket=") and f"{write}/{bucket}" not in live:
+                fs, p = _fs(spark, f"{path}/data/{write}/{bucket}")
+                fs.delete(p, True)
+                removed += 1
+    for n in names[:-keep]:
+        fs, p = _fs(spark, f"{path}/states/{n}")
+        fs.delete(p, False)
+    return removed
+
+
 # ---------------------------------------------------------------- watermarks
 def watermark(target: DataFrame | None, lookback: dt.timedelta = dt.timedelta(0)) -> dt.datetime | None:
     """max(_loaded_at) less the lookback; None for a missing or empty target, which means load all."""

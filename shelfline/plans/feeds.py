@@ -11,6 +11,9 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfline.functions.columns import cdc_operation
+from shelfline.sources.contracts import POS_COLUMNS, POS_KEYS, fields
+
 SOURCE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -397,9 +400,6 @@ def cdc(spark: SparkSession, sf_dir: str, table: str, totals: bool = True) -> Da
     For readers that do not look at a sale's total_amount, `totals=False` leaves it 0 and spares
     this adapter adding up the lines.
     """
-    from shelfline.functions.columns import cdc_operation
-    from shelfline.sources.contracts import POS_COLUMNS, fields
-
     lean = table == "transactions" and not totals
     rows = _feed(spark, sf_dir, "lean_transactions_cdc" if lean else FEED_OF[table])
     return rows.select(
@@ -432,8 +432,6 @@ def write_landing(spark: SparkSession, sf_dir: str, landing: str, part: str, whe
     All changes of a key go to one file of a delivery, so their order within a commit does not
     depend on file names.
     """
-    from shelfline.sources.contracts import POS_KEYS
-
     for t in tables:
         rows = cdc_source(spark, sf_dir, t)
         rows = rows.where(where) if where else rows

@@ -100,7 +100,7 @@ def _sales_lines(spark, d) -> DataFrame:
 
 
 def _payments(spark, d) -> DataFrame:
-    log = feeds.cdc(spark, d, "payments")
+    log = freeze(feeds.cdc(spark, d, "payments"), "log_payments")
     return facts.fct_payments(latest.latest_cdc(log, ["payment_id"]), _latest(spark, d, "transactions"),
                               hot=hot_keys(log, "transaction_id"))
 
@@ -377,7 +377,8 @@ def gate_after_each(spark, d):
 
 # ---------------------------------------------------------------- G set-oriented changes
 def backfill_refunds(spark, d):
-    return refunds.backfill_refunds(_latest(spark, d, "payments"), _headers(spark, d))
+    payments = freeze(_latest(spark, d, "payments"), "payments")  # read for tenders and for refunds
+    return refunds.backfill_refunds(payments, _headers(spark, d))
 
 
 def refunds_for(spark, d):

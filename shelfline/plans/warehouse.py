@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfline.operators import facts, marts, merge, scd2, staging, tables
 from shelfline.operators.calendar import dim_date
+from shelfline.operators.latest import dedupe_events, latest_cdc
 from shelfline.operators.quality import check_freshness, gate, run_suite
 from shelfline.operators.skew import hot_keys
+from shelfline.operators.surrogate import assign_surrogate_keys
 from shelfline.plans.checks import FRESHNESS, checks_for
 from shelfline.session import freeze
 from shelfline.sources import landing as src
@@ -115,7 +117,6 @@ class _Run:
         log = staging.stg_cdc(self.fresh(f"pos_{table}", self.since(f"state/{table}")), table)
         self.done(f"stg_{table}_cdc", log)
         if self.full:
-            from shelfline.operators.latest import latest_cdc
             df = tables.overwrite_table(self.spark, path, latest_cdc(log, keys), STATE_CLUSTER[table], self.s.buckets)
         else:
             df = merge.merge_latest(self.spark, path, log, keys, STATE_CLUSTER[table], self.s.buckets)
@@ -128,7 +129,6 @@ class _Run:
         path = self.path("state/events")
         log = staging.stg_event_log(self.fresh("clickstream_events", self.since("state/events")))
         if self.full:
-            from shelfline.operators.latest import dedupe_events
             df = tables.overwrite_table(self.spark, path, dedupe_events(log), ["session_id"], self.s.buckets)
         else:
             df = merge.merge_events(self.spark, path, log, self.s.buckets)
@@ -139,7 +139,7 @@ class _Run:
         for t in ("stores", "customers"):
             log = staging.stg_cdc(self.raw(f"pos_{t}"), t)
             self.done(f"stg_{t}_cdc", log)
-            self.done(f"stg_{t}", staging.latest_cdc(log, POS_KEYS[t]))
+            self.done(f"stg_{t}", latest_cdc(log, POS_KEYS[t]))
         self.done("stg_products", staging.stg_products(self.raw("catalog_products")))
 
     # ---- dimensions
@@ -150,7 +150,6 @@ class _Run:
             rows = rows.join(scd2.changed_keys(rows, key, since), key, "left_semi")
         rebuilt = versions(rows)
         if self.full:
-            from shelfline.operators.surrogate import assign_surrogate_keys
             keyed = scd2.with_unknown_member(assign_surrogate_keys(rebuilt, key, version, sk), unknown)
             df = tables.overwrite_table(self.spark, path, keyed, [key], self.s.buckets, watch=[tables.LOADED, sk])
         else:

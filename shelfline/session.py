@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,3 +56,16 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_old_runs(spark: SparkSession, older_than: dt.timedelta) -> int:
+    """Deletes folders made by `run_dir` that have not changed for so long; returns how many."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/shelfline")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return 0
+    limit = (time.time() - older_than.total_seconds()) * 1000
+    old = [s.getPath() for s in fs.listStatus(path) if s.getModificationTime() < limit]
+    for folder in old:
+        fs.delete(folder, True)
+    return len(old)

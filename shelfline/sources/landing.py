@@ -28,11 +28,11 @@ def with_load_metadata(df: DataFrame, base_dir: str | None = None) -> DataFrame:
     return df.withColumn("_file", relative_file(base_dir)).withColumn("_loaded_at", F.current_timestamp())
 
 
-def _as_record(df: DataFrame) -> Column:
+def as_record(df: DataFrame) -> Column:
     return F.to_variant_object(F.struct(*[F.col(c) for c in df.columns])).alias("record")
 
 
-def _raw(df: DataFrame, record: Column, base_dir: str | None) -> DataFrame:
+def to_raw(df: DataFrame, record: Column, base_dir: str | None) -> DataFrame:
     return df.select(record, relative_file(base_dir).alias("_file"), F.current_timestamp().alias("_loaded_at"))
 
 
@@ -54,7 +54,7 @@ def read_cdc_parquet(
     reader = _reader(spark, streaming)
     reader = reader.schema(schema) if schema else reader.option("mergeSchema", "true")
     rows = reader.parquet(path)
-    return _raw(rows, _as_record(rows), base_dir)
+    return to_raw(rows, as_record(rows), base_dir)
 
 
 def read_events_json(
@@ -62,7 +62,7 @@ def read_events_json(
 ) -> DataFrame:
     """JSON lines, plain or gzip, to (record, _file, _loaded_at)."""
     rows = _reader(spark, streaming).format("json").option("singleVariantColumn", "record").load(path)
-    return _raw(rows, F.col("record"), base_dir)
+    return to_raw(rows, F.col("record"), base_dir)
 
 
 # ---------------------------------------------------------------- CSV by column name
@@ -150,13 +150,13 @@ def ingest_new_files(
         return _ingest_csv(spark, src_dir, table_dir, schema or CATALOG_COLUMNS)
     if fmt == "parquet":
         rows = _reader(spark, True).option("maxFilesPerTrigger", max_files_per_batch).schema(schema).parquet(src_dir)
-        raw = _raw(rows, _as_record(rows), src_dir)
+        raw = to_raw(rows, as_record(rows), src_dir)
     else:
         rows = (
             _reader(spark, True).option("maxFilesPerTrigger", max_files_per_batch)
             .format("json").option("singleVariantColumn", "record").load(src_dir)
         )
-        raw = _raw(rows, F.col("record"), src_dir)
+        raw = to_raw(rows, F.col("record"), src_dir)
     started = spark.range(1).select(F.current_timestamp()).first()[0]
     query = (
         raw.withColumn("_load_date", F.to_date("_loaded_at"))

@@ -10,9 +10,15 @@ from shelfline.sources import landing as src
 from shelfline.sources.contracts import POS_KEYS
 
 
+def _start(raw: DataFrame, fold, checkpoint: str, every: str | None) -> StreamingQuery:
+    """Runs until stopped with an interval such as '1 minute', else until nothing is left."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return raw.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def stream_latest(
     spark: SparkSession, landing: str, warehouse: str, table: str, checkpoint: str,
-    max_files: int | None = None, buckets: int = tables.DEFAULT_BUCKETS,
+    max_files: int | None = None, buckets: int = tables.DEFAULT_BUCKETS, every: str | None = None,
 ) -> StreamingQuery:
     """Change files of one point-of-sale table into its current-state table.
 
@@ -23,20 +29,19 @@ def stream_latest(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.parquet(folder)
-    raw = src._raw(rows, src._as_record(rows), folder)
+    raw = src.to_raw(rows, src.as_record(rows), folder)
 
     def fold(batch: DataFrame, _: int) -> None:
         cluster = ["transaction_id"] if table in ("transactions", "transaction_lines") else None
         merge.merge_latest(batch.sparkSession, f"{warehouse}/state/{table}", staging.stg_cdc(batch, table),
                            POS_KEYS[table], cluster, buckets)
 
-    return (raw.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return _start(raw, fold, checkpoint, every)
 
 
 def stream_sessions(
     spark: SparkSession, landing: str, warehouse: str, checkpoint: str,
-    max_files: int | None = None, buckets: int = tables.DEFAULT_BUCKETS,
+    max_files: int | None = None, buckets: int = tables.DEFAULT_BUCKETS, every: str | None = None,
 ) -> StreamingQuery:
     """Clickstream files into the event table and the session fact.
 
@@ -48,7 +53,7 @@ def stream_sessions(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.format("json").option("singleVariantColumn", "record").load(folder)
-    raw = src._raw(rows, rows["record"], folder)
+    raw = src.to_raw(rows, rows["record"], folder)
 
     def fold(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
@@ -61,8 +66,7 @@ def stream_sessions(
         merge.merge_fact(session, f"{warehouse}/core/fct_sessions", facts.fct_sessions(events, sales),
                          ["session_id"], buckets=buckets)
 
-    return (raw.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return _start(raw, fold, checkpoint, every)
 
 
 def dedupe_stream(events: DataFrame, delay: str = "6 hours") -> DataFrame:

@@ -64,6 +64,15 @@ def test_a_second_writer_fails_at_commit(spark, folder):
         tables._commit(spark, folder, state)
 
 
+def test_vacuum_keeps_what_recent_states_use(spark, folder):
+    for value in "abcd":
+        tables.upsert(spark, folder, frame(spark, [(1, value)]), ["k"], buckets=2)
+    assert tables.vacuum(spark, folder, keep=1) > 0
+    assert rows(tables.read_table(spark, folder)) == [(1, "d")]
+    assert tables.vacuum(spark, folder, keep=1) == 0
+    assert rows(tables.upsert(spark, folder, frame(spark, [(2, "e")]), ["k"])) == [(1, "d"), (2, "e")]
+
+
 def test_append_and_overwrite(spark, folder):
     tables.append_table(spark, folder, frame(spark, [(1, "a")]))
     assert rows(tables.append_table(spark, folder, frame(spark, [(1, "a"), (2, "b")]))) == [(1, "a"), (1, "a"), (2, "b")]
