@@ -54,21 +54,22 @@ def later_load(row_loaded: Column, header_loaded: Column) -> Column:
     return F.greatest(row_loaded, F.coalesce(header_loaded, row_loaded))
 
 
-def seconds_between(start: Column, end: Column) -> Column:
-    """Number of second boundaries between two timestamps, whatever the session time zone."""
+def second_index(ts: Column | str) -> Column:
+    """Whole seconds since 1970 of a date or a timestamp, whatever the session time zone."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    clock = ts.cast("timestamp_ntz")
+    day = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return day * 86400 + F.hour(clock) * 3600 + F.minute(clock) * 60 + F.second(clock)
 
-    def second_of_day(ts: Column) -> Column:
-        return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
-    days = F.datediff(F.to_date(end), F.to_date(start)).cast("bigint")
-    return days * 86400 + second_of_day(end) - second_of_day(start)
+def seconds_between(start: Column, end: Column) -> Column:
+    """Number of second boundaries between two timestamps."""
+    return second_index(end) - second_index(start)
 
 
 def hour_index(ts: Column | str) -> Column:
     """Whole hours since 1970 of a timestamp or date."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    day = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date"))
-    return day * 24 + F.hour(ts.cast("timestamp_ntz"))
+    return F.floor(second_index(ts) / 3600).cast("int")
 
 
 def safe_ratio(part: Column, whole: Column) -> Column:

@@ -93,3 +93,16 @@ def test_date_interval_is_half_open(spark):
 
 def test_size_check(spark):
     assert fits_broadcast(spark.range(10), 10) and not fits_broadcast(spark.range(11), 10)
+
+
+def test_a_cut_chain_grows_at_most_twofold_and_its_slots_are_short(spark):
+    from shelfline.operators import pit
+
+    cuts = [hours(i * 7 % 5000 / 11) for i in range(2000)]
+    bounds = [dt.datetime(1900, 1, 1), *sorted(set(cuts)), None]
+    v = spark.createDataFrame([(i, 1, lo, hi) for i, (lo, hi) in enumerate(zip(bounds, bounds[1:]))],
+                              "_sk BIGINT, _dim_key INT, _from TIMESTAMP_NTZ, _to TIMESTAMP_NTZ")
+    fact = spark.range(10).select(F.lit(1).alias("_key"), F.lit(hours(3)).alias("t"))
+    _, cut = pit._cut(fact, v, pit._spans(v), "t")
+    assert cut.count() <= 2 * len(bounds)
+    assert cut.groupBy("_dim_slot").count().agg(F.max("count")).first()[0] < 30
