@@ -46,10 +46,5 @@ def daily_snapshots(raw: DataFrame) -> DataFrame:
     """One row per sku and snapshot day, from the last file of that day."""
     dated = raw.withColumn("snapshot_date", partition_date(F.col("_file")))
     rest = [c for c in raw.columns if c not in ("sku", "_file", "_loaded_at")]
-    order = [F.desc("_file"), *[F.desc(c) for c in rest]]
-    kept = latest_by(dated, ["sku", "snapshot_date"], order)
-    return kept.select(*rest_first(raw.columns), "snapshot_date", "_file", "_loaded_at")
-
-
-def rest_first(columns: list[str]) -> list[str]:
-    return [c for c in columns if c not in ("_file", "_loaded_at")]
+    kept = latest_by(dated, ["sku", "snapshot_date"], [F.desc("_file"), *[F.desc(c) for c in rest]])
+    return kept.select("sku", *rest, "snapshot_date", "_file", "_loaded_at")

@@ -429,13 +429,13 @@ def write_landing(spark: SparkSession, sf_dir: str, landing: str, part: str, whe
                   events: str | None = "true", catalog_days: str | None = "true") -> None:
     """Writes one delivery: change files, event files and catalog files, filtered by SQL conditions.
 
-    All changes of a key go to one file of a delivery, so their order within a commit does not
-    depend on file names.
+    The changes that one commit makes to a key go to one file, so their order does not depend on
+    file names.
     """
     for t in tables:
         rows = cdc_source(spark, sf_dir, t)
         rows = rows.where(where) if where else rows
-        body = rows.drop("_file", "_loaded_at").repartition(POS_KEYS[t][0])
+        body = rows.drop("_file", "_loaded_at").repartition(POS_KEYS[t][0], "_dms_commit_ts")
         body.write.mode("overwrite").parquet(f"{landing}/pos/pos/{t}/{part}")
     if events:
         rows = event_records(spark, sf_dir).where(events).drop("_file", "_loaded_at")
@@ -453,7 +453,7 @@ def write_catalog(spark: SparkSession, sf_dir: str, folder: str, part: str, wher
         .withColumn("list_price", F.col("list_price").cast("string"))
         .withColumn("supplier_updated_at", F.date_format(F.col("supplier_updated_at").cast("timestamp"), "yyyy-MM-dd HH:mm:ss"))
         .drop("_file")
-        .repartition("dt", "hour")
+        .hint("rebalance", "dt", "hour")
     )
     late = F.col("pack_size").isNotNull()
     early_columns = [c for c in rows.columns if c not in ("pack_size", "dt", "hour")]
