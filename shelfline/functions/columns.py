@@ -67,11 +67,6 @@ def seconds_between(start: Column, end: Column) -> Column:
     return second_index(end) - second_index(start)
 
 
-def hour_index(ts: Column | str) -> Column:
-    """Whole hours since 1970 of a timestamp or date."""
-    return F.floor(second_index(ts) / 3600).cast("int")
-
-
 def safe_ratio(part: Column, whole: Column) -> Column:
     """part / whole with six decimals, 0 where whole is 0."""
     ratio = F.try_divide(part.cast("decimal(18,0)"), whole.cast("decimal(18,0)"))

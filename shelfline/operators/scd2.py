@@ -1,8 +1,8 @@
 """Slowly changing dimensions (type 2) from change logs and from daily snapshots.
 
 A chain needs the previous and the next version of its key. A window over the key alone would put
-the whole chain of a hot key into one task, so a chain is cut into pieces by the hour of the
-version: neighbours inside a piece come from a window over (key, piece), neighbours across pieces
+the whole chain of a hot key into one task, so a chain is cut by time into pieces of about equal
+size: neighbours inside a piece come from a window over (key, piece), neighbours across pieces
 from one summary row per piece. Only the keys that a sketch finds hot are cut; the others have a
 single piece, and the summary holds hot keys only. Without a hot key the plan is a plain window.
 """
@@ -13,13 +13,14 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfline.functions.columns import UNKNOWN_SK, hour_index
+from shelfline.functions.columns import UNKNOWN_SK, second_index
 from shelfline.operators.latest import cdc_order, latest_by
 from shelfline.operators.skew import hot_keys
 from shelfline.operators.tables import loaded_after
 
 FIRST_TS = dt.datetime(1900, 1, 1)
 FIRST_DATE = dt.date(1900, 1, 1)
+PIECES = 256  # of the chain of a hot key
 
 STORE_TRACKED = ["store_name", "region", "format", "open_date"]
 CUSTOMER_TRACKED = ["email", "phone", "loyalty_tier", "home_store_id"]
@@ -34,11 +35,20 @@ def changed_keys(df: DataFrame, key: str, watermark: dt.datetime | None) -> Data
 
 
 def _with_pieces(df: DataFrame, key: str, order: str, hot: DataFrame | None) -> DataFrame:
+    """Adds _piece, which grows with the order within a key; 0 throughout for keys that are not hot."""
     if hot is None:
         return df.withColumn("_piece", F.lit(0))
-    marked = df.join(F.broadcast(hot.select(key).withColumn("_hot", F.lit(True))), key, "left")
-    piece = F.when(F.col("_hot"), hour_index(F.col(order))).otherwise(0)
-    return marked.withColumn("_piece", piece).drop("_hot")
+    second = second_index(F.col(order))
+    marks = F.array(*[F.lit(i / PIECES) for i in range(1, PIECES)])
+    bounds = (
+        df.join(F.broadcast(hot.select(key)), key, "left_semi")
+        .groupBy(key).agg(F.percentile_approx(second, marks, 10 * PIECES).alias("_bounds"))
+    )
+    # The bounds are approximate, so they are taken once and kept: one short row per hot key.
+    fixed = df.sparkSession.createDataFrame(bounds.collect(), bounds.schema)
+    piece = F.size(F.filter("_bounds", lambda bound: bound <= second))
+    cut = df.join(F.broadcast(fixed), key, "left")
+    return cut.withColumn("_piece", F.when(F.col("_bounds").isNull(), 0).otherwise(piece)).drop("_bounds")
 
 
 def _neighbour(

@@ -78,6 +78,18 @@ def test_cutting_hot_chains_changes_nothing(spark, close):
             assert [r[4] for r in mine] == [False] * (len(mine) - 1) + [True]
 
 
+def test_pieces_are_even_and_ordered_even_in_a_burst(spark):
+    """Half of the versions fall into one hour; no piece holds more than a few of them."""
+    moments = [T0 + dt.timedelta(seconds=i) for i in range(3000)] + [at(2 + i) for i in range(3000)]
+    log = spark.createDataFrame([(1, m) for m in moments] + [(2, T0)], "k INT, t TIMESTAMP_NTZ")
+    cut = scd2._with_pieces(log, "k", "t", log.where("k = 1").select("k").distinct())
+    sizes = [r["count"] for r in cut.where("k = 1").groupBy("_piece").count().collect()]
+    assert len(sizes) > 200 and max(sizes) < 100
+    ordered = [r._piece for r in cut.where("k = 1").orderBy("t").collect()]
+    assert ordered == sorted(ordered)
+    assert [r._piece for r in cut.where("k = 2").collect()] == [0]
+
+
 def test_hot_chain_windows_are_cut(spark):
     """With a hot key no window runs over that key's detail rows alone."""
     log = spark.createDataFrame([row(1, "x", h) for h in range(5)], LOG)
