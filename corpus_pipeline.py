@@ -1,6 +1,39 @@
-"""The corpus pipeline: each stage takes the documents that the one before kept, written and reread."""
+"""The corpus pipeline: each stage takes the documents that the one before kept, written and reread.
+
+STAGES lists (name, function); a function takes (spark, docs, sf_dir). All but the last return the
+columns of `documents`. Rows with a null id or text pass through the filters like any other rows.
+"""
 
 from __future__ import annotations
 
-STAGES = []
-ORACLE_SQL = None
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from shelfline.llm import line_dedup, toxicity
+from shelfline.llm.common import documents
+from shelfline.session import freeze
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored as toxic go; the model learns from the labelled ones among those given."""
+    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.toxicity(docs, model, keep=docs.columns).where("predicted = 0").select(docs.columns)
+
+
+def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines found in ten documents or more go; n_chars follows the text."""
+    kept = line_dedup.line_dedup(docs)
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_common_lines),
+]
+ORACLE_SQL = None   # the toxicity score is no SQL
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = freeze(stage(spark, docs, sf_dir), f"stage_{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
