@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfline.llm import (
-    decontamination, line_dedup, personal_data, quality, token_counts, toxicity,
+    byte_bpe, decontamination, line_dedup, near_dedup, personal_data, quality, substring_dedup, token_counts, toxicity,
 )
 from shelfline.llm.common import documents, fold
 
@@ -19,6 +19,11 @@ def op1_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    kept = substring_dedup.substring_dedup(documents(spark, d))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
     found = decontamination.decontaminate(
         documents(spark, d).select("doc_id", "text"), spark.read.parquet(f"{d}/benchmark.parquet"))
@@ -32,6 +37,13 @@ def op5_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.toxicity(docs, model).withColumn("held_out", fold("doc_id") == 0)
 
 
+def op6_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    coded = byte_bpe.encode(documents(spark, d), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                            public_tokenizers.PATTERN, keep=["doc_id"])
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     kept = line_dedup.line_dedup(documents(spark, d).select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -46,12 +58,16 @@ def op8_personal_data(spark: SparkSession, d: str) -> DataFrame:
                         personal_data.listed(F.col("spans")).alias("spans"))
 
 
+def op9_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, d), shingle=3, percent=85)
+
+
 def op10_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality(documents(spark, d))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_token_counts, op4_decontamination, op5_toxicity, op7_line_dedup, op8_personal_data,
-                            op10_quality)
+    f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op4_decontamination, op5_toxicity, op6_byte_bpe, op7_line_dedup,
+                            op8_personal_data, op9_near_dedup, op10_quality)
 }
 ORACLES: dict[str, str] = {}
