@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfline.llm import (
-    byte_bpe, decontamination, line_dedup, near_dedup, personal_data, quality, substring_dedup, token_counts, toxicity,
+    byte_bpe, decontamination, language_model, line_dedup, near_dedup, personal_data, quality, substring_dedup, token_counts, toxicity,
 )
 from shelfline.llm.common import documents, fold
 
@@ -24,6 +24,10 @@ def op2_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_language_model(spark: SparkSession, d: str) -> DataFrame:
+    return language_model.language_model_scores(documents(spark, d))
+
+
 def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
     found = decontamination.decontaminate(
         documents(spark, d).select("doc_id", "text"), spark.read.parquet(f"{d}/benchmark.parquet"))
@@ -67,7 +71,7 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op4_decontamination, op5_toxicity, op6_byte_bpe, op7_line_dedup,
+    f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_language_model, op4_decontamination, op5_toxicity, op6_byte_bpe, op7_line_dedup,
                             op8_personal_data, op9_near_dedup, op10_quality)
 }
 ORACLES: dict[str, str] = {}
