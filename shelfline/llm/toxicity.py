@@ -25,7 +25,7 @@ QUOTES = frozenset("\"'“”„«»‘’`")
 TRAINING_ROWS = 8_000   # documented bound: labelled documents the model is fitted on
 MAX_TERMS = 5_000        # bound of the lexicon, and so of what is broadcast
 STEMS = range(4, 8)      # lengths of the beginnings of words that can be entries
-MIN_DOCS = 8             # toxic training documents that a term needs, copies aside
+MIN_DOCS = 5             # toxic training documents that a term needs, copies aside
 MIN_ENDINGS = 8          # a stem needs more different words than this
 MIN_LIFT = 8.0           # times as frequent in toxic documents as in others
 FUZZY_FROM = 5           # letters a term must have for one edit to be forgiven
