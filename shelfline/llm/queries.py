@@ -74,4 +74,54 @@ QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_language_model, op4_decontamination, op5_toxicity, op6_byte_bpe, op7_line_dedup,
                             op8_personal_data, op9_near_dedup, op10_quality)
 }
-ORACLES: dict[str, str] = {}
+WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+LOWERED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op2_substring_dedup": f"""
+WITH d AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k FROM (
+  SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+later AS (SELECT doc_id, i FROM (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM later),
+each AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""",
+    "op4_decontamination": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({LOWERED.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, w, least(len(w), 13) AS n FROM (
+  SELECT item_id, regexp_extract_all({LOWERED.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+items AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS k FROM (
+  SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b)),
+spots AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS k FROM (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM items) WHERE len(w) >= n)),
+found AS (SELECT doc_id, i, n, item_id FROM spots JOIN items USING (n, k)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS list
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op7_line_dedup": f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+each AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM d),
+keyed AS (SELECT *, {LOWERED.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS k FROM each),
+common AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(common.k) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (common.k IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common USING (k) GROUP BY doc_id""",
+    "op9_near_dedup": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS.format(LOWERED.format("text"))} AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + n - 1], ' ') AS s FROM (
+  SELECT doc_id, w, least(len(w), 3) AS n, unnest(range(1, len(w) - least(len(w), 3) + 2)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(x.n) + any_value(y.n) - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS c FROM documents UNION SELECT links.b, reach.c FROM reach JOIN links USING (a)),
+least_id AS (SELECT a AS doc_id, min(c) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least_id LEFT JOIN sizes USING (doc_id)""",
+}

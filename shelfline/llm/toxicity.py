@@ -29,6 +29,7 @@ MIN_DOCS = 5             # toxic training documents that a term needs, copies as
 MIN_ENDINGS = 8          # a stem needs more different words than this
 MIN_LIFT = 8.0           # times as frequent in toxic documents as in others
 FUZZY_FROM = 5           # letters a term must have for one edit to be forgiven
+WITHOUT_HITS = -1.0      # most log odds of a text without hits, so that no evidence is no verdict
 REACH = 4                # words of context on either side
 MIN_CONTEXT = 5          # hits that a context word must have been seen with
 CACHE = 1 << 20          # words in a worker's cache
@@ -250,7 +251,8 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
                if enough and seen[0][w] + seen[1][w] >= MIN_CONTEXT and abs(odds(seen[1][w], seen[0][w])) > 1}
     model = Model(trie, context, odds(quoted[1], quoted[0]) if enough else -1.0, [], 0.0)
     x = np.array([features(f, len(WORD.findall(t or "")), model) for f, t in zip(found, texts)], float).reshape(-1, 4)
-    model.coefficients, model.bias = logistic(x, np.array(toxic, float))
+    model.coefficients, bias = logistic(x, np.array(toxic, float))
+    model.bias = min(bias, WITHOUT_HITS)
     return model
 
 
