@@ -166,11 +166,13 @@ def overwrite_table(spark, path: str, df: DataFrame, cluster_by: list[str] = (),
 
 
 def append_table(spark, path: str, df: DataFrame) -> DataFrame:
-    """Adds rows in one commit."""
+    """Adds rows in one commit. Columns that the table lacks are added to it; old rows read them as null."""
     old = current_state(spark, path)
     version = old.version + 1 if old else 1
     folders = _write_folder(spark, path, f"_write={version}", df, [], 1)
     schema = old.schema if old else df.schema
+    have = {n.lower() for n in schema.names}
+    schema = StructType([*schema.fields, *(f for f in df.schema.fields if f.name.lower() not in have)])
     every = (old.folders if old else []) + folders
     _commit(spark, path, State(version, schema, 1, [], every, old.highest if old else {}))
     return _load(spark, path, schema, every)

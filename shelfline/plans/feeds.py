@@ -191,10 +191,6 @@ def _changed_at(d) -> str:
     return d.plus("s.sold_at", wait, "MINUTE")
 
 
-def no_totals(d) -> str:
-    return "SELECT transaction_id, cast(NULL AS decimal(12,2)) AS total_amount FROM sales WHERE false"
-
-
 def transactions_feed(d) -> str:
     """Needs the CTEs sales and totals."""
 
@@ -320,9 +316,6 @@ _CTES = {
     "totals": (totals, ["lines_sold"]),
     "sales": (_sale, []),
     "transactions_cdc": (transactions_feed, ["sales", "totals"]),
-    "no_totals": (no_totals, ["sales"]),
-    "lean_transactions_cdc": (
-        lambda d: transactions_feed(d).replace("LEFT JOIN totals t", "LEFT JOIN no_totals t"), ["sales", "no_totals"]),
     "payments_cdc": (payments_feed, ["sales", "totals"]),
     "catalog": (catalog_feed, []),
     "events_log": (events_feed, []),
@@ -355,30 +348,12 @@ FEED_OF = {
 }
 
 
-# A column that spreads the rows of a table evenly.
-SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "part": "p_partkey"}
-_read: dict[tuple, DataFrame] = {}
-
-
-def _source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A driver table. A table of fewer files than cores is spread once, so later stages use all cores."""
-    at = (spark.sparkContext.applicationId, sf_dir, table)
-    if at not in _read:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
-        cores = spark.sparkContext.defaultParallelism
-        if table in SPREAD_BY and len(df.inputFiles()) < cores:
-            df = df.repartition(cores, SPREAD_BY[table])
-        _read[at] = df
-    return _read[at]
-
-
 def _feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    parts = with_ctes([name], SparkDialect)
-    text = "WITH " + ", ".join(f"{n} AS ({t})" for n, t in parts) + f" SELECT * FROM {name}"
-    for t in SOURCE_TABLES:
-        if re.search(rf"\b{t}\b", text):
-            _source(spark, sf_dir, t).createOrReplaceTempView(t)
-    df = spark.sql(text)
+    """A feed as one statement over the files: no view is left behind and no session state is needed."""
+    feeds = with_ctes([name], SparkDialect)
+    used = [t for t in SOURCE_TABLES if any(re.search(rf"\b{t}\b", text) for _, text in feeds)]
+    files = [(t, f"SELECT * FROM parquet.`{sf_dir.rstrip('/')}/{t}.parquet`") for t in used]
+    df = spark.sql("WITH " + ", ".join(f"{n} AS ({t})" for n, t in [*files, *feeds]) + f" SELECT * FROM {name}")
     return df.withColumn("_loaded_at", F.col("_loaded_at").cast("timestamp"))
 
 
@@ -394,14 +369,9 @@ def raw_cdc(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return rows.select(F.to_variant_object(F.struct(*body)).alias("record"), "_file", "_loaded_at")
 
 
-def cdc(spark: SparkSession, sf_dir: str, table: str, totals: bool = True) -> DataFrame:
-    """Typed change log, as the staging view gives it, without the detour over variants.
-
-    For readers that do not look at a sale's total_amount, `totals=False` leaves it 0 and spares
-    this adapter adding up the lines.
-    """
-    lean = table == "transactions" and not totals
-    rows = _feed(spark, sf_dir, "lean_transactions_cdc" if lean else FEED_OF[table])
+def cdc(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Typed change log, as the staging view gives it, without the detour over variants."""
+    rows = _feed(spark, sf_dir, FEED_OF[table])
     return rows.select(
         *[F.col(n).cast(k) for n, k in fields(POS_COLUMNS[table])],
         cdc_operation(F.col("op")).alias("cdc_operation"), "_dms_commit_ts", "_file", "_loaded_at")

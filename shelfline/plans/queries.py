@@ -46,8 +46,7 @@ def _latest(spark, d, table) -> DataFrame:
 
 
 def _headers(spark, d) -> DataFrame:
-    """Current sales for readers that do not look at total_amount."""
-    return latest.latest_cdc(feeds.cdc(spark, d, "transactions", totals=False), ["transaction_id"])
+    return latest.latest_cdc(feeds.cdc(spark, d, "transactions"), ["transaction_id"])
 
 
 def _events(spark, d) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -40,6 +41,21 @@ def cdc_schema(table: str) -> str:
     return f"{POS_COLUMNS[table]}, {CDC_SOURCE_COLUMNS}"
 
 
+def landed_schema(spark: SparkSession, path: str, contract: str, since: str | None = None) -> StructType:
+    """The contract's columns, and after them whatever else the files under `path` have. With `since`
+    (a date) only files changed from then on are looked at."""
+    known = StructType.fromDDL(contract)
+    reader = _reader(spark, False).option("mergeSchema", "true")
+    if since:
+        reader = reader.option("modifiedAfter", f"{since}T00:00:00")
+    try:
+        found = reader.parquet(path).schema
+    except AnalysisException:   # no such file yet
+        return known
+    names = {n.lower() for n in known.names}
+    return StructType([*known.fields, *(f for f in found.fields if f.name.lower() not in names)])
+
+
 def _reader(spark: SparkSession, streaming: bool):
     return (spark.readStream if streaming else spark.read).option("recursiveFileLookup", "true")
 
@@ -66,17 +82,24 @@ def read_events_json(
 
 
 # ---------------------------------------------------------------- CSV by column name
-def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
-    """Header of each file. Only first lines are read, many files at a time."""
+def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, line): the first line of each file that is not blank; files without one are left out.
+
+    One job for all files: lines keep their order inside a block, and blocks are ordered by their start.
+    """
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.regexp_replace("value", "^\ufeff", "").alias("line"), F.monotonically_increasing_id().alias("nth"))
+    return lines.where("trim(line) != ''").groupBy("path").agg(F.min_by("line", F.struct("block", "nth")).alias("line"))
 
-    def header(path: str) -> tuple[str, ...]:
-        first = spark.read.text(path).first()
-        return tuple(next(csv.reader([first[0].lstrip("\ufeff")]))) if first else ()
 
+def csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
+    """Header of each file, empty for a file without any text."""
     if not paths:
         return {}
-    with ThreadPoolExecutor(max_workers=min(16, len(paths))) as pool:
-        return dict(zip(paths, pool.map(header, paths)))
+    plain = lambda p: unquote(p.split(":", 1)[-1].lstrip("/"))
+    found = {plain(r.path): tuple(next(csv.reader([r.line]))) for r in first_lines(spark, paths).collect()}
+    return {p: found.get(plain(p), ()) for p in paths}
 
 
 def read_csv_by_name(
@@ -142,13 +165,17 @@ def ingest_new_files(
     Parquet and JSON go through a file stream that stops when nothing is left: its checkpoint is
     the ledger and the file sink commits a batch whole or not at all. Raw rows are stored by load
     day, so later runs read only the days after their watermark. CSV needs each file's own header,
-    so it is a batch load into a versioned table whose _file column is the ledger.
+    so it is a batch load into a versioned table, with a ledger of the files, whether they had rows or
+    not. Change files keep all their columns, those the contract does not name too.
     """
     if not tables.list_names(spark, src_dir):
         return 0
     if fmt == "csv":
-        return _ingest_csv(spark, src_dir, table_dir, schema or CATALOG_COLUMNS)
+        return _ingest_csv(spark, src_dir, table_dir, ledger_dir, schema or CATALOG_COLUMNS)
     if fmt == "parquet":
+        days = [n.split("=")[1] for n in tables.list_names(spark, table_dir) if n.startswith("_load_date=")]
+        since = str(dt.date.fromisoformat(max(days)) - dt.timedelta(days=1)) if days else None
+        schema = landed_schema(spark, src_dir, schema, since)
         rows = _reader(spark, True).option("maxFilesPerTrigger", max_files_per_batch).schema(schema).parquet(src_dir)
         raw = to_raw(rows, as_record(rows), src_dir)
     else:
@@ -180,18 +207,21 @@ def read_raw(spark: SparkSession, table_dir: str) -> DataFrame:
     return spark.read.parquet(table_dir)
 
 
-def _ingest_csv(spark: SparkSession, src_dir: str, table_dir: str, target: str) -> int:
+def _ingest_csv(spark: SparkSession, src_dir: str, table_dir: str, ledger_dir: str, target: str) -> int:
+    """A file counts as loaded once its name is in the ledger, or, after a run that died between the two
+    commits, once its rows are in the table."""
     listed = tables.list_files(spark, src_dir, ".csv")
     base = src_dir.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
     by_name = {f.split(base)[-1]: f for f in listed}
-    old = tables.read_table(spark, table_dir)
     names = spark.createDataFrame([(n,) for n in by_name], "_file STRING")
-    if old is not None:
-        names = names.join(old.select("_file"), "_file", "left_anti")
-    new = sorted(by_name[r[0]] for r in names.collect())  # file names only
+    for loaded in (tables.read_table(spark, ledger_dir), tables.read_table(spark, table_dir)):
+        if loaded is not None:
+            names = names.join(loaded.select("_file"), "_file", "left_anti")
+    new = sorted(r[0] for r in names.collect())  # file names only
     if not new:
         return 0
-    tables.append_table(spark, table_dir, read_csv_by_name(spark, new, target, src_dir))
+    tables.append_table(spark, table_dir, read_csv_by_name(spark, [by_name[n] for n in new], target, src_dir))
+    tables.append_table(spark, ledger_dir, spark.createDataFrame([(n,) for n in new], "_file STRING"))
     return len(new)
 
 

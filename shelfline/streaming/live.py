@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.operators import facts, merge, staging, tables
 from shelfline.sources import landing as src
-from shelfline.sources.contracts import POS_KEYS
+from shelfline.sources.contracts import POS_COLUMNS, POS_KEYS
 
 
 def _start(raw: DataFrame, fold, checkpoint: str, every: str | None) -> StreamingQuery:
@@ -25,7 +25,8 @@ def stream_latest(
     A batch that is run again after a failure folds in the same changes and gives the same table.
     """
     folder = f"{landing}/pos/pos/{table}"
-    reader = spark.readStream.option("recursiveFileLookup", "true").schema(src.cdc_schema(table))
+    schema = src.landed_schema(spark, folder, src.cdc_schema(table))   # columns beyond the contract stay
+    reader = spark.readStream.option("recursiveFileLookup", "true").schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.parquet(folder)
@@ -63,6 +64,8 @@ def stream_sessions(
         events = tables.read_buckets_of(session, f"{warehouse}/state/events", touched).join(
             touched, "session_id", "left_semi")
         sales = tables.read_table(session, f"{warehouse}/state/transactions")
+        if sales is None:   # no sale has landed yet
+            sales = session.createDataFrame([], POS_COLUMNS["transactions"])
         merge.merge_fact(session, f"{warehouse}/core/fct_sessions", facts.fct_sessions(events, sales),
                          ["session_id"], buckets=buckets)
 

@@ -81,3 +81,45 @@ def test_parquet_files_load_once(spark, folder):
     got = stg_cdc(landing.read_raw(spark, f"{folder}/raw"), "payments")
     assert rows(got, "payment_id", "transaction_id", "amount", "cdc_operation") == [
         ("p01", None, Decimal("1.25"), "INSERT"), ("p02", None, Decimal("1.25"), "DELETE")]
+
+
+def test_csv_with_blank_first_lines_and_without_rows(spark, folder):
+    args = (spark, f"{folder}/in", f"{folder}/raw", "csv", f"{folder}/ledger", TARGET)
+    put(f"{folder}/in/dt=2025-01-01/a.csv", "\n  \nsku,list_price\nS1,1\n")
+    put(f"{folder}/in/dt=2025-01-02/a.csv", "sku,list_price\n")
+    put(f"{folder}/in/dt=2025-01-03/a.csv", "\n")
+    assert landing.ingest_new_files(*args) == 3
+    assert landing.ingest_new_files(*args) == 0
+    assert rows(tables.read_table(spark, f"{folder}/raw"), "sku", "list_price") == [("S1", Decimal("1.00"))]
+
+
+def test_headers_of_many_files_take_one_job(spark, folder):
+    for k in range(200):
+        put(f"{folder}/in/{k:03d} é.csv", f"sku,c{k % 3}\nS{k},x\n")
+    files = tables.list_files(spark, f"{folder}/in", ".csv")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    found = landing.csv_headers(spark, files)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert len(found) == 200 and all(h[0] == "sku" and len(h) == 2 for h in found.values()) and len(jobs) <= 3
+
+
+def test_columns_beyond_the_contract_stay(spark, folder):
+    args = (spark, f"{folder}/in", f"{folder}/raw", "parquet", f"{folder}/ledger", landing.cdc_schema("payments"))
+    for day, extra in (("01", ""), ("02", ", new_col STRING")):
+        row = (f"p{day}", Decimal("1.25"), "I", dt.datetime(2025, 1, 1), *(["EUR"] if extra else []))
+        spark.createDataFrame([row], f"payment_id STRING, amount DECIMAL(12,2), Op STRING, _dms_commit_ts TIMESTAMP_NTZ{extra}"
+                              ).coalesce(1).write.parquet(f"{folder}/in/2025/01/{day}")
+        assert landing.ingest_new_files(*args) == 1
+    raw = landing.read_raw(spark, f"{folder}/raw")
+    kept = raw.selectExpr("variant_get(record, '$.payment_id', 'string') p", "variant_get(record, '$.new_col', 'string') c")
+    assert rows(kept) == [("p01", None), ("p02", "EUR")]
+
+
+def test_sessions_stream_before_any_sale(spark, folder):
+    from shelfline.streaming import live
+    event_file(f"{folder}/clickstream/events/a.json.gz",
+               {"event_id": "e1", "event_ts": "2025-01-01T10:00:00Z", "session_id": "s1", "event_type": "purchase", "order_id": "T9"})
+    live.stream_sessions(spark, folder, f"{folder}/warehouse", f"{folder}/checkpoint", buckets=2).awaitTermination()
+    got = tables.read_table(spark, f"{folder}/warehouse/core/fct_sessions")
+    assert rows(got, "session_id", "pos_order_found") == [("s1", False)]

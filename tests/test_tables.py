@@ -137,3 +137,9 @@ def test_keys_are_never_given_again(spark, folder):
     assert rows(run([*late, change("z", 20)]), "sk", "a") == [(1, "x"), (3, "y"), (4, "z")]
     got = run([change("q", 1, k=2)])
     assert rows(got, "k", "sk", "is_current") == [(1, 1, False), (1, 3, False), (1, 4, True), (2, 5, True)]
+
+
+def test_append_adds_new_columns(spark, folder):
+    tables.append_table(spark, folder, spark.createDataFrame([(1, "a")], "k INT, v STRING"))
+    tables.append_table(spark, folder, spark.createDataFrame([(2, "b", 5)], "k INT, v STRING, w INT"))
+    assert rows(tables.read_table(spark, folder)) == [(1, "a", None), (2, "b", 5)]
