@@ -403,8 +403,8 @@ def run_full(spark, d):
     return warehouse.run_full(spark, f"{base}/landing", f"{base}/warehouse", _settings(spark, d))["mart_daily_sales"]
 
 
-def run_incremental(spark, d):
-    """Two deliveries and a run without news; each line with the dimension versions it points at."""
+def _incremental(spark, d) -> dict[str, DataFrame]:
+    """Two deliveries and a run without news."""
     base, settings = run_dir(spark, "incremental"), _settings(spark, d)
     deliveries = [
         ("1", f"_dms_commit_ts < '{CUT}'", f"_loaded_at < '{EVENT_CUT}'", "true"),
@@ -415,7 +415,12 @@ def run_incremental(spark, d):
         # Lines can land before their sale, which the gate rightly rejects until the sale is there.
         settings.checks = part == "2"
         warehouse.run_incremental(spark, f"{base}/landing", f"{base}/warehouse", settings)
-    out = warehouse.run_incremental(spark, f"{base}/landing", f"{base}/warehouse", settings)
+    return warehouse.run_incremental(spark, f"{base}/landing", f"{base}/warehouse", settings)
+
+
+def run_incremental(spark, d):
+    """Each line with the dimension versions it points at."""
+    out = _incremental(spark, d)
     lines = out["fct_sales_lines"].drop("_loaded_at")
     for dim, version in (("product", "version_date"), ("customer", "version_ts"), ("store", "version_ts")):
         versions = out[f"dim_{dim}"].select(f"{dim}_sk", F.col(version).alias(f"{dim}_version"))
@@ -447,14 +452,11 @@ def stream_latest(spark, d):
 def dedupe_stream(spark, d):
     base = run_dir(spark, "dedupe")
     feeds.event_log(spark, d).write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(spark.read.parquet(f"{base}/in").schema).parquet(f"{base}/in")
-    query = (
-        live.dedupe_stream(stream).select("event_id", "session_id")
-        .writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    files = len(spark.read.parquet(f"{base}/in").inputFiles())   # some three batches, whatever the size
+    stream = (spark.readStream.schema(spark.read.parquet(f"{base}/in").schema)
+              .option("maxFilesPerTrigger", max(1, files // 3)).parquet(f"{base}/in"))
+    live.dedupe_stream(stream, f"{base}/events", f"{base}/checkpoint", buckets=4).awaitTermination()
+    return tables.read_table(spark, f"{base}/events").select("event_id", "session_id")
 
 
 QUERIES: dict[str, Query] = {
@@ -522,6 +524,7 @@ QUERIES: dict[str, Query] = {
     "sale_total": sale_total,
     "run_full": run_full,
     "run_incremental": run_incremental,
+    "run_incremental_payments": lambda spark, d: _incremental(spark, d)["fct_payments"].drop("_loaded_at"),
     "stream_sessions": stream_sessions,
     "stream_latest": stream_latest,
     "dedupe_stream": dedupe_stream,

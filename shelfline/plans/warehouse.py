@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfline.operators import facts, marts, merge, scd2, staging, tables
 from shelfline.operators.calendar import dim_date
@@ -212,17 +212,30 @@ class _Run:
 
     def payments(self) -> None:
         since = self.since("core/fct_payments", self.s.sales_lookback)
-        payments = self.out["stg_payments"]
-        rows = facts.fct_payments(payments, self.out["stg_transactions"], since, hot_keys(payments, "transaction_id"))
+        payments, headers = self.out["stg_payments"], self.out["stg_transactions"]
+        if since is not None:
+            # As for the lines: the news is in raw's newest folders, and headers come from its buckets.
+            changed = facts.changed_transactions(
+                staging.stg_cdc(self.fresh("pos_transactions", since), "transactions"),
+                staging.stg_cdc(self.fresh("pos_payments", since), "payments"), None,
+            )
+            changed = freeze(changed.where("transaction_id is not null"), "changed")
+            headers = self.restrict("state/transactions", changed, "transaction_id")
+            # A deleted tender lost its transaction_id, so it is kept by its own load time.
+            lost = payments.where(F.col("transaction_id").isNull() & (F.col("_loaded_at") > F.lit(since)))
+            payments = payments.join(changed, "transaction_id", "left_semi").unionByName(lost)
+        rows = facts.fct_payments(payments, headers, hot=hot_keys(payments, "transaction_id"))
         self.store_fact("fct_payments", rows, ["payment_id"], ["payment_id"])
 
     def sessions(self) -> None:
         since = self.since("core/fct_sessions", self.s.clickstream_lookback)
-        events = self.out["stg_events"]
+        events, sales = self.out["stg_events"], self.out["stg_transactions"]
         if since is not None:
             touched = staging.stg_event_log(self.fresh("clickstream_events", since)).select("session_id").distinct()
             events = self.restrict("state/events", freeze(touched, "touched"), "session_id")
-        rows = facts.fct_sessions(events, self.out["stg_transactions"])
+            orders = events.where("order_id is not null").select(F.col("order_id").alias("transaction_id")).distinct()
+            sales = self.restrict("state/transactions", freeze(orders, "orders"), "transaction_id")
+        rows = facts.fct_sessions(events, sales)
         self.store_fact("fct_sessions", rows, ["session_id"], ["session_id"])
 
     def marts(self) -> None:

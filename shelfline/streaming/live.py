@@ -72,6 +72,14 @@ def stream_sessions(
     return _start(raw, fold, checkpoint, every)
 
 
-def dedupe_stream(events: DataFrame, delay: str = "6 hours") -> DataFrame:
-    """Drops copies that arrive within the delay of each other, with bounded state."""
-    return events.withWatermark("_loaded_at", delay).dropDuplicatesWithinWatermark(["event_id"])
+def dedupe_stream(
+    events: DataFrame, table: str, checkpoint: str, buckets: int = tables.DEFAULT_BUCKETS, every: str | None = None,
+) -> StreamingQuery:
+    """Folds a stream of events into a stored event table, where the first copy of each stays.
+
+    The table is the state: no event is too late, and copies are found however far apart they come.
+    """
+    def fold(batch: DataFrame, _: int) -> None:
+        merge.merge_events(batch.sparkSession, table, batch, buckets)
+
+    return _start(events, fold, checkpoint, every)

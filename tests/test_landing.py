@@ -123,3 +123,16 @@ def test_sessions_stream_before_any_sale(spark, folder):
     live.stream_sessions(spark, folder, f"{folder}/warehouse", f"{folder}/checkpoint", buckets=2).awaitTermination()
     got = tables.read_table(spark, f"{folder}/warehouse/core/fct_sessions")
     assert rows(got, "session_id", "pos_order_found") == [("s1", False)]
+
+
+def test_dedupe_stream_loses_nothing_late(spark, folder):
+    """One file a batch: a copy ten hours after the first, and an event far behind the newest."""
+    from shelfline.streaming import live
+    schema = "event_id STRING, session_id STRING, event_ts TIMESTAMP, _loaded_at TIMESTAMP, _file STRING"
+    start = dt.datetime(2025, 1, 1)
+    for k, (event, hour) in enumerate([("A", 0), ("B", 20), ("A", 10), ("LATE", 1), ("C", 21)]):
+        at = start + dt.timedelta(hours=hour)
+        spark.createDataFrame([(event, "s", start, at, f"f{k}")], schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    live.dedupe_stream(stream, f"{folder}/events", f"{folder}/checkpoint", buckets=2).awaitTermination()
+    assert rows(tables.read_table(spark, f"{folder}/events"), "event_id") == [("A",), ("B",), ("C",), ("LATE",)]
