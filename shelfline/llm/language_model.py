@@ -8,7 +8,7 @@ letter share a parent, the context without it, down to the empty context and a u
 the corpus restaurant is a customer of the letter restaurants, a table of a letter restaurant a customer
 of its parent. A sweep re-seats all customers of a level given the levels around it. Word probabilities
 are averaged over the samples after burn-in. A text is scored from its first word on, each word given
-those before it.
+those before it: over the known words and one outcome for all others, and over all words as spelled.
 
 All tables are DataFrames keyed by word or by (context, letter); nothing of the corpus passes through
 the driver. Texts are packed into chunks first: a chunk's distinct words and its documents as word
@@ -116,19 +116,21 @@ def block_seed(turn: int, words: list) -> np.random.Generator:
 
 
 # ---------------------------------------------------------------- words, in blocks
-BLOCK = "block long, words array<string>, seen array<long>, counts array<long>, tables array<long>, total array<double>"
+BLOCK = ("block long, words array<string>, seen array<long>, counts array<long>, tables array<long>, "
+         "served array<double>, spelt array<double>")
 BLOCK_WORDS = 50_000
 
 
-def _block_batch(block: int, words, seen, counts, tables, total) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 3, pa.list_(pa.float64()))
-    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((block, words, seen, counts, tables, total), kinds)],
-                                      names=["block", "words", "seen", "counts", "tables", "total"])
+def _block_batch(block: int, words, seen, counts, tables, served, spelt) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 3, *[pa.list_(pa.float64())] * 2)
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((block, words, seen, counts, tables, served, spelt), kinds)],
+                                      names=["block", "words", "seen", "counts", "tables", "served", "spelt"])
 
 
 def word_blocks(packed: DataFrame) -> DataFrame:
     """All words: `seen` are the training tokens, `counts` the corpus's customers, at first at one table;
-    `total` adds up probabilities."""
+    `served` and `spelt` add up the two parts of a word's probability: its own customers, and its share of a
+    new table."""
     counted = packed.select(F.explode_outer(F.arrays_zip("words", "counts", "served")).alias("w")).groupBy("w.words").agg(
         F.sum("w.counts").alias("seen"), F.sum("w.served").alias("c"))
     out = T._parse_datatype_string(BLOCK)
@@ -140,7 +142,8 @@ def word_blocks(packed: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, BLOCK_WORDS):
                 part = batch.slice(at, BLOCK_WORDS)
                 seen, c = part.column(1).to_numpy(), part.column(2).to_numpy()
-                yield _block_batch(task << 32 | made, part.column(0).to_pylist(), seen, c, (c > 0).astype(np.int64), np.zeros(len(c)))
+                yield _block_batch(task << 32 | made, part.column(0).to_pylist(), seen, c, (c > 0).astype(np.int64),
+                                   np.zeros(len(c)), np.zeros(len(c)))
                 made += 1
 
     return map_arrow(counted.sortWithinPartitions("words"), run, out)
@@ -240,10 +243,15 @@ def letter_sweep(leaves: DataFrame, before: DataFrame | None, turn: int) -> list
     return levels
 
 
+def new_table(customers: int, tables: int) -> float:
+    """The chance that the next customer of the corpus opens a table."""
+    return (WORD_STRENGTH + WORD_DISCOUNT * tables) / (WORD_STRENGTH + customers)
+
+
 def word_sweep(blocks: DataFrame, needed: DataFrame, letters: DataFrame, totals: tuple[int, int], turn: int,
                counted: bool) -> DataFrame:
     """Blocks with their words seated anew; `totals` are customers and tables of the root restaurant. A
-    sample that counts adds the predictive probability of each word to `total`."""
+    sample that counts adds to the parts of each word's probability."""
     customers, n_tables = totals
     given = needed.join(letters.select("u", "x", "p"), ["u", "x"]).groupBy("block").agg(
         F.collect_list(F.struct("u", "x", "p")).alias("spelling"))
@@ -253,17 +261,18 @@ def word_sweep(blocks: DataFrame, needed: DataFrame, letters: DataFrame, totals:
         for batch in batches:
             for k in range(batch.num_rows):
                 block, words = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                seen, counts, total = (np.array(batch.column(j)[k].values) for j in (2, 3, 4))
-                pairs = batch.column(5)[k].values
+                seen, counts, served, spelt = (np.array(batch.column(j)[k].values) for j in (2, 3, 4, 5))
+                pairs = batch.column(6)[k].values
                 logs = dict(zip(zip(pairs.field(0).to_pylist(), pairs.field(1).to_pylist()), np.log(pairs.field(2).to_numpy())))
                 base = np.exp(np.array([sum(map(logs.__getitem__, spelled(w))) for w in words]))
                 mass = np.full(len(words), WORD_STRENGTH + WORD_DISCOUNT * n_tables)
                 tables = seat(counts, mass, base, WORD_DISCOUNT, block_seed(turn, words))
                 if counted:
-                    total = total + (counts - WORD_DISCOUNT * tables + mass * base) / (WORD_STRENGTH + customers)
-                yield _block_batch(block, words, seen, counts, tables, total)
+                    served = served + (counts - WORD_DISCOUNT * tables) / (WORD_STRENGTH + customers)
+                    spelt = spelt + new_table(customers, n_tables) * base
+                yield _block_batch(block, words, seen, counts, tables, served, spelt)
 
-    joined = blocks.join(given, "block").select("block", "words", "seen", "counts", "total", "spelling")
+    joined = blocks.join(given, "block").select("block", "words", "seen", "counts", "served", "spelt", "spelling")
     return map_arrow(joined, run, out)
 
 
@@ -276,9 +285,14 @@ def root_totals(blocks: DataFrame) -> tuple[int, ...]:
 
 
 def fit(packed: DataFrame) -> tuple[DataFrame, int, int]:
-    """((word, c, p), training tokens, distinct ones): p is the averaged probability in the corpus."""
+    """((word, c, open, closed), training tokens, distinct ones).
+
+    `open` is the averaged probability of a word as spelled, over all words there can be. `closed` is over
+    the known words and one outcome for the others, as in the base score: that outcome has one share in
+    `distinct` + 1 of a new table, and the known words share the rest as they are spelled.
+    """
     blocks = freeze(word_blocks(packed), "words")
-    letters = None
+    letters, opening = None, 0.0
     for turn in range(BURN_IN + SAMPLES):
         n_words, distinct, customers, tables = root_totals(blocks)
         needed = freeze(letter_rows(blocks), "spelling")
@@ -286,14 +300,21 @@ def fit(packed: DataFrame) -> tuple[DataFrame, int, int]:
         letters = freeze(letter_probabilities(levels), "letters")
         # The customers seated this turn stand for all but their own change of the total tables.
         blocks = freeze(word_sweep(blocks, needed, letters, (customers, tables), turn, turn >= BURN_IN), "words")
-    words = blocks.select(F.explode_outer(F.arrays_zip("words", "seen", "total")).alias("w")).select(
-        F.col("w.words").alias("word"), F.col("w.seen").alias("c"), (F.col("w.total") / SAMPLES).alias("p"))
+        opening += new_table(customers, tables) / SAMPLES if turn >= BURN_IN else 0.0
+    words = blocks.select(F.explode_outer(F.arrays_zip("words", "seen", "served", "spelt")).alias("w")).select(
+        F.col("w.words").alias("word"), F.col("w.seen").alias("c"), (F.col("w.served") / SAMPLES).alias("served"),
+        (F.col("w.spelt") / SAMPLES).alias("spelt"))
+    known = words.where("c > 0").agg(F.sum("spelt")).first()[0] or 1.0
+    share = F.when(F.col("c") > 0, F.col("spelt") / known * (distinct / (distinct + 1))).otherwise(1 / (distinct + 1))
+    words = words.select("word", "c", (F.col("served") + F.col("spelt")).alias("open"),
+                         (F.col("served") + opening * share).alias("closed"))
     return words, n_words, distinct
 
 
-def in_sequence(tokens: np.ndarray, sizes: np.ndarray, corpus: np.ndarray) -> np.ndarray:
+def in_sequence(tokens: np.ndarray, sizes: np.ndarray, *corpora: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
     """log10 of each token's probability given the tokens before it in its document: those of its own
-    kind, less a discount for their table, and the corpus for what is left."""
+    kind, less a discount for their table, and the corpus for what is left. For each of `corpora`: the
+    probabilities in the corpus, and the tokens that may gain by their own kind."""
     of = np.repeat(np.arange(len(sizes)), sizes)
     order = np.argsort(of << 32 | tokens.astype(np.int64), kind="stable")
     fresh = np.ones(len(tokens), bool)
@@ -307,16 +328,18 @@ def in_sequence(tokens: np.ndarray, sizes: np.ndarray, corpus: np.ndarray) -> np
     served = np.cumsum(new) - new
     served -= served[starts][of]
     own = np.where(before > 0, before - TEXT_DISCOUNT, 0.0)
-    return np.log10((own + (TEXT_STRENGTH + TEXT_DISCOUNT * served) * corpus) / (TEXT_STRENGTH + place))
+    return [np.log10((own * gains + (TEXT_STRENGTH + TEXT_DISCOUNT * served) * corpus) / (TEXT_STRENGTH + place))
+            for corpus, gains in corpora]
 
 
 def scored(packed: DataFrame, words: DataFrame, n_words: int, distinct: int, id_column: str) -> DataFrame:
     looked = packed.select("chunk", F.posexplode_outer("words").alias("pos", "word")).join(words, "word")
-    looked = looked.groupBy("chunk").agg(F.collect_list(F.struct("pos", "c", "p")).alias("found"))
+    looked = looked.groupBy("chunk").agg(F.collect_list(F.struct("pos", "c", "open", "closed")).alias("found"))
     out = T.StructType([T.StructField(id_column, T.LongType()), T.StructField("held_out", T.BooleanType()),
                         T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
                         T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()),
-                        T.StructField("score", T.DoubleType())])
+                        T.StructField("score", T.DoubleType()),
+                        T.StructField("open_score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,29 +348,33 @@ def scored(packed: DataFrame, words: DataFrame, n_words: int, distinct: int, id_
                 sizes = np.array(batch.column(2)[k].values, np.int64)
                 tokens = np.frombuffer(zstandard.decompress(batch.column(3)[k].as_py()), np.uint32)
                 found = batch.column(4)[k].values
-                pos, c, p = (found.field(j).to_numpy() for j in range(3))
-                count, corpus = np.zeros(len(pos), np.int64), np.zeros(len(pos))
-                count[pos], corpus[pos] = c, p
+                pos, c, p_open, p_closed = (found.field(j).to_numpy() for j in range(4))
+                count, spelt, closed = np.zeros(len(pos), np.int64), np.zeros(len(pos)), np.zeros(len(pos))
+                count[pos], spelt[pos], closed[pos] = c, p_open, p_closed
                 base = np.log10((count + 0.5) / (n_words + 0.5 * (distinct + 1)))
                 starts = np.cumsum(sizes) - sizes
-                log = in_sequence(tokens, sizes, corpus[tokens])
+                met = count[tokens] > 0
+                log, log_open = in_sequence(tokens, sizes, (closed[tokens], met), (spelt[tokens], np.ones(len(tokens), bool)))
                 add = lambda v: np.add.reduceat(v, starts)  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays([
                     ids, held, pa.array(sizes), pa.array(add((count > 0).astype(np.int64)[tokens])),
-                    pa.array(np.full(len(sizes), n_words)), pa.array(add(base[tokens])), pa.array(add(log))], names=out.names)
+                    pa.array(np.full(len(sizes), n_words)), pa.array(add(base[tokens])), pa.array(add(log)),
+                    pa.array(add(log_open))], names=out.names)
 
     joined = packed.select("chunk", "ids", "held", "sizes", "tokens").join(looked, "chunk")
     return map_arrow(joined.select("ids", "held", "sizes", "tokens", "found"), run, out)
 
 
 def language_model_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of `docs`: id, held_out, n_tokens, n_known, train_tokens, base_score and score.
+    """One row per row of `docs`: id, held_out, n_tokens, n_known, train_tokens, base_score, score, open_score.
 
     Tokens are the words of the text, A-Z in lower case, and an end. The model learns from all rows whose
     crc32 of the id as text is not 1 modulo 5 (a null id counts as the empty text). A null or empty text is
     its end alone. Repeated rows give a row each and are learned from each time. Without training texts
-    the model is its base measure. Scores are log10 probabilities of whole texts. Ids have to be
-    integers; other columns are not read.
+    the model is its base measure. Scores are log10 probabilities of whole texts: `score` over the outcomes
+    of the base score, the known words and one for all others (such a word gains nothing by having come
+    before); `open_score` over all words as they are spelled. Ids have to be integers; other columns are
+    not read.
     """
     read = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     packed = freeze(chunks(read), "chunks")

@@ -87,8 +87,10 @@ def test_probabilities_add_up(spark):
     rows = [(k, " ".join(f"w{j % (k + 2)}" for j in range(60))) for k in range(12)]
     packed = language_model.freeze(language_model.chunks(spark.createDataFrame(rows, "id long, text string")), "chunks")
     words, _, _ = language_model.fit(packed)
-    total = words.agg(F.sum("p")).first()[0]
-    assert 0.5 < total < 1
+    total = words.where("c > 0").agg(F.sum("open"), F.sum("closed"), F.count("*")).first()
+    unknown = words.where("c = 0").agg(F.max("closed")).first()[0]
+    assert 0.5 < total[0] < 1 and 0.9 < total[1] < 1
+    assert unknown is None or total[1] + unknown == pytest.approx(1)
 
 
 def test_sequence_probabilities():
@@ -98,7 +100,7 @@ def test_sequence_probabilities():
     total = 0.0
     for k in range(3):
         tokens = np.array([*start, k], np.uint32)
-        total += 10 ** language_model.in_sequence(tokens, np.array([4]), corpus[tokens])[-1]
+        total += 10 ** language_model.in_sequence(tokens, np.array([4]), (corpus[tokens], np.ones(4, bool)))[0][-1]
     assert total == pytest.approx(1)
 
 
