@@ -35,7 +35,7 @@ DISCOUNT, STRENGTH = 0.5, 1.0      # of letter restaurants
 WORD_DISCOUNT, WORD_STRENGTH = 0.6, 100.0   # of the corpus
 TEXT_DISCOUNT, TEXT_STRENGTH = 0.4, 100.0   # of a document
 LETTERS = 0x110000         # the uniform base: every code point alike
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 12 << 20
 CHUNK = "chunk long, words array<string>, counts array<long>, served array<long>, ids array<long>, held array<boolean>, sizes array<int>, tokens binary"
 
 
@@ -118,7 +118,7 @@ def block_seed(turn: int, words: list) -> np.random.Generator:
 # ---------------------------------------------------------------- words, in blocks
 BLOCK = ("block long, words array<string>, seen array<long>, counts array<long>, tables array<long>, "
          "served array<double>, spelt array<double>")
-BLOCK_WORDS = 50_000
+BLOCK_WORDS = 25_000
 
 
 def _block_batch(block: int, words, seen, counts, tables, served, spelt) -> pa.RecordBatch:
