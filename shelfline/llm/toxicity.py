@@ -162,45 +162,39 @@ def lexicon(texts: list[str], toxic: list[int]) -> tuple[dict[str, float], dict[
     """Terms and stems with their log lifts. Copies count once: a hundred copies of one toxic text say
     no more about its words than one. A stem needs several endings, else its term says it all; it is
     dropped below a shorter stem."""
-    families: dict[str, defaultdict] = {"=": defaultdict(set), "*": defaultdict(set)}
-    endings: defaultdict[str, set] = defaultdict(set)
-    all_families = {0: set(), 1: set()}
-    read = [WORD.findall((t or "").lower()) for t in texts]
-
-    def items(words: list[str]) -> dict[str, set]:
-        own = set(words)
-        return {"=": own, "*": {w[:k] for w in own for k in STEMS if len(w) > k}}
-
-    for words, label in zip(read, toxic):
-        group = family(words)
-        all_families[label].add(group)
-        if label:
-            for kind, found in items(words).items():
-                for item in found:
-                    families[kind][item].add(group)
-            for w in set(words):
-                for k in STEMS:
-                    if len(w) > k and len(endings[w[:k]]) <= MIN_ENDINGS:
-                        endings[w[:k]].add(w)
-    candidates = {kind: {i for i, g in found.items() if len(g) >= MIN_DOCS} for kind, found in families.items()}
-    clean: dict[str, defaultdict] = {"=": defaultdict(set), "*": defaultdict(set)}
-    for words, label in zip(read, toxic):
-        if not label:
-            group = family(words)
-            for kind, found in items(words).items():
-                for item in found & candidates[kind]:
-                    clean[kind][item].add(group)
-    n1, n0 = max(1, len(all_families[1])), max(1, len(all_families[0]))
-
-    def best(kind: str) -> dict[str, float]:
-        lift = {i: (len(families[kind][i]) / n1) / ((len(clean[kind][i]) + 0.5) / n0) for i in candidates[kind]}
-        top = sorted((i for i in lift if lift[i] >= MIN_LIFT),
-                     key=lambda i: (-lift[i] * math.sqrt(len(families[kind][i])), i))[:MAX_TERMS]
+    shared: dict[str, str] = {}
+    families: dict[int, defaultdict] = {0: defaultdict(set), 1: defaultdict(set)}
+    for text, label in zip(texts, toxic):
+        words = WORD.findall((text or "").lower())
+        families[label][family(words)].update(shared.setdefault(w, w) for w in words)
+
+    def stems_of(words: set[str]) -> set[str]:
+        return {w[:k] for w in words for k in STEMS if len(w) > k}
+
+    n1, n0 = max(1, len(families[1])), max(1, len(families[0]))
+
+    def best(items) -> dict[str, float]:
+        bad: Counter = Counter()
+        for words in families[1].values():
+            bad.update(items(words))
+        bad = {i: n for i, n in bad.items() if n >= MIN_DOCS}
+        clean: Counter = Counter()
+        for words in families[0].values():
+            clean.update(i for i in items(words) if i in bad)
+        lift = {i: (n / n1) / ((clean[i] + 0.5) / n0) for i, n in bad.items()}
+        top = sorted((i for i in lift if lift[i] >= MIN_LIFT), key=lambda i: (-lift[i] * math.sqrt(bad[i]), i))[:MAX_TERMS]
         return {i: math.log(lift[i]) for i in top}
 
-    stems = {s: v for s, v in best("*").items() if len(endings[s]) > MIN_ENDINGS}
+    terms, stems = best(lambda words: words), best(stems_of)
+    endings: defaultdict[str, set] = defaultdict(set)
+    for words in families[1].values():
+        for w in words:
+            for k in STEMS:
+                if len(w) > k and w[:k] in stems:
+                    endings[w[:k]].add(w)
+    stems = {s: v for s, v in stems.items() if len(endings[s]) > MIN_ENDINGS}
     stems = {s: v for s, v in stems.items() if not any(s[:k] in stems for k in STEMS if k < len(s))}
-    return best("="), stems
+    return terms, stems
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 30) -> tuple[list[float], float]:
