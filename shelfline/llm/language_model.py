@@ -1,8 +1,9 @@
 """A hierarchical Pitman-Yor language model, seated by Gibbs sampling and averaged over samples.
 
-Each document is a restaurant of its own, and all of them share one parent, the corpus: a word that is new
-to a document is drawn from the corpus, one that it has had is likelier there. The corpus's customers are
-the tables of the training documents. Its base measure spells words: letters are served in the restaurants
+Each document is a restaurant of its own: a word that is new to it is drawn from the restaurant of the word
+before it, one that it has had is likelier there. The restaurants of the words before share one parent, the
+corpus: a table of a document is a customer of the restaurant of its word before, and a table there is a
+customer of the corpus. The corpus's base measure spells words: letters are served in the restaurants
 of their contexts (the letters before), and the restaurants of contexts that differ only in their first
 letter share a parent, the context without it, down to the empty context and a uniform base. A table of
 the corpus restaurant is a customer of the letter restaurants, a table of a letter restaurant a customer
@@ -10,14 +11,16 @@ of its parent. A sweep re-seats all customers of a level given the levels around
 are averaged over the samples after burn-in. A text is scored from its first word on, each word given
 those before it: over the known words and one outcome for all others, and over all words as spelled.
 
-All tables are DataFrames keyed by word or by (context, letter); nothing of the corpus passes through
-the driver. Texts are packed into chunks first: a chunk's distinct words and its documents as word
-numbers, so that a word is looked up once a chunk and texts are read once.
+All tables are DataFrames keyed by word, by (word before, word) or by (context, letter); nothing of the
+corpus passes through the driver. Texts are packed into chunks first: a chunk's distinct words and its
+documents as word numbers, so that a word, and a pair of words, is looked up once a chunk and texts are
+read once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
@@ -25,7 +28,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from shelfline.llm.common import lower_bytes, map_arrow
+from shelfline.llm.common import lower_bytes, map_arrow, with_package
 from shelfline.session import freeze
 
 END = "\n"                 # the token at the end of a text, and the letter at the end of a word; in no word
@@ -33,10 +36,12 @@ ORDER = 3                  # letters of the longest context
 BURN_IN, SAMPLES = 1, 2    # sweeps before and while probabilities are averaged
 DISCOUNT, STRENGTH = 0.5, 1.0      # of letter restaurants
 WORD_DISCOUNT, WORD_STRENGTH = 0.6, 100.0   # of the corpus
+PAIR_DISCOUNT, PAIR_STRENGTH = 0.75, 10.0   # of the restaurant of a word before
 TEXT_DISCOUNT, TEXT_STRENGTH = 0.4, 100.0   # of a document
+START = -1                 # stands before the first word of a text
 LETTERS = 0x110000         # the uniform base: every code point alike
 CHUNK_BYTES = 12 << 20
-CHUNK = "chunk long, words array<string>, counts array<long>, served array<long>, ids array<long>, held array<boolean>, sizes array<int>, tokens binary"
+CHUNK = "chunk long, words array<string>, counts array<long>, ids array<long>, held array<boolean>, sizes array<int>, tokens binary"
 
 
 def held_out(id_: int | None, remainder: int = 1, folds: int = 5) -> bool:
@@ -45,7 +50,7 @@ def held_out(id_: int | None, remainder: int = 1, folds: int = 5) -> bool:
 
 def chunks(docs: DataFrame) -> DataFrame:
     """Packs (id, text): one row per `CHUNK_BYTES` of text. `counts` are a word's tokens in the training
-    texts, `served` the training texts that have it."""
+    texts."""
     out = T._parse_datatype_string(CHUNK)
 
     def pack(ids: list, texts: list[bytes], chunk: int) -> pa.RecordBatch:
@@ -61,11 +66,9 @@ def chunks(docs: DataFrame) -> DataFrame:
             if not held[-1]:
                 training.append(mine)
         counts = np.bincount(np.concatenate(training), minlength=len(number)) if training else np.zeros(len(number), np.int64)
-        own = [np.unique(t) for t in training]
-        served = np.bincount(np.concatenate(own), minlength=len(number)) if own else counts
-        row = [[chunk], [[w.decode() for w in number]], [counts], [served], [ids], [held], [sizes],
+        row = [[chunk], [[w.decode() for w in number]], [counts], [ids], [held], [sizes],
                [zstandard.compress(np.concatenate(tokens).tobytes(), 1)]]
-        kinds = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()),
+        kinds = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()),
                  pa.list_(pa.int32()), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds)], names=out.names)
 
@@ -117,22 +120,22 @@ def block_seed(turn: int, words: list) -> np.random.Generator:
 
 # ---------------------------------------------------------------- words, in blocks
 BLOCK = ("block long, words array<string>, seen array<long>, counts array<long>, tables array<long>, "
-         "served array<double>, spelt array<double>")
+         "served array<double>, spelt array<double>, p array<double>")
 BLOCK_WORDS = 25_000
 
 
-def _block_batch(block: int, words, seen, counts, tables, served, spelt) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 3, *[pa.list_(pa.float64())] * 2)
-    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((block, words, seen, counts, tables, served, spelt), kinds)],
-                                      names=["block", "words", "seen", "counts", "tables", "served", "spelt"])
+def _block_batch(block: int, words, seen, counts, tables, served, spelt, p) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 3, *[pa.list_(pa.float64())] * 3)
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((block, words, seen, counts, tables, served, spelt, p), kinds)],
+                                      names=["block", "words", "seen", "counts", "tables", "served", "spelt", "p"])
 
 
 def word_blocks(packed: DataFrame) -> DataFrame:
-    """All words: `seen` are the training tokens, `counts` the corpus's customers, at first at one table;
+    """All words: `seen` are the training tokens, `counts` the corpus's customers, at first one at one table;
     `served` and `spelt` add up the two parts of a word's probability: its own customers, and its share of a
-    new table."""
-    counted = packed.select(F.explode_outer(F.arrays_zip("words", "counts", "served")).alias("w")).groupBy("w.words").agg(
-        F.sum("w.counts").alias("seen"), F.sum("w.served").alias("c"))
+    new table; `p` is the probability in the last sweep."""
+    counted = packed.select(F.explode_outer(F.arrays_zip("words", "counts")).alias("w")).groupBy("w.words").agg(
+        F.sum("w.counts").alias("seen"))
     out = T._parse_datatype_string(BLOCK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,14 +144,134 @@ def word_blocks(packed: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK_WORDS):
                 part = batch.slice(at, BLOCK_WORDS)
-                seen, c = part.column(1).to_numpy(), part.column(2).to_numpy()
-                yield _block_batch(task << 32 | made, part.column(0).to_pylist(), seen, c, (c > 0).astype(np.int64),
-                                   np.zeros(len(c)), np.zeros(len(c)))
+                seen = part.column(1).to_numpy()
+                first, zeros = (seen > 0).astype(np.int64), np.zeros(len(seen))
+                yield _block_batch(task << 32 | made, part.column(0).to_pylist(), seen, first, first, zeros, zeros, zeros)
                 made += 1
 
     return map_arrow(counted.sortWithinPartitions("words"), run, out)
 
 
+def numbered(blocks: DataFrame, *columns: str) -> DataFrame:
+    """One row per word: its number, which is its place among all blocks, and `columns` of the blocks."""
+    return blocks.select("block", F.posexplode(F.arrays_zip(*columns)).alias("pos", "w")).select(
+        (F.col("block") * BLOCK_WORDS + F.col("pos")).alias("x"), *[F.col(f"w.{c}").alias(c) for c in columns])
+
+
+# ---------------------------------------------------------------- pairs of words
+LOCATED = ["chunk", "ids", "held", "sizes", "tokens", "numbers"]
+SLICE = 1 << 16
+
+
+def locate(packed: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Chunks with the numbers of their words in place of the words."""
+    looked = packed.select("chunk", F.posexplode("words").alias("pos", "words")).join(numbered(blocks, "words"), "words")
+    looked = looked.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("n"))
+    return packed.join(looked, "chunk").withColumn("numbers", F.col("n.x")).select(LOCATED)
+
+
+def in_document(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each token: its document, its number among the (document, word), and how often it came before."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(of << 32 | tokens.astype(np.int64), kind="stable")
+    fresh = np.ones(len(tokens), bool)
+    fresh[1:] = (tokens[order[1:]] != tokens[order[:-1]]) | (of[order[1:]] != of[order[:-1]])
+    run = np.flatnonzero(fresh)
+    kind, before = np.empty(len(tokens), np.int64), np.empty(len(tokens), np.int64)
+    kind[order] = np.cumsum(fresh) - 1
+    before[order] = np.arange(len(tokens)) - np.repeat(run, np.diff(np.append(run, len(tokens))))
+    return of, kind, before
+
+
+def in_pairs(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word before, word) of the chunk's distinct pairs, the first -1 at the start of a text, and the pair
+    of each token."""
+    last = np.empty(len(tokens), np.int64)
+    last[1:] = tokens[:-1]
+    last[np.cumsum(sizes) - sizes] = -1
+    keys, pair = np.unique((last + 1) << 32 | tokens.astype(np.int64), return_inverse=True)
+    return (keys >> 32) - 1, keys & 0xFFFFFFFF, pair
+
+
+def unpack(sizes: pa.Scalar, tokens: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    return np.array(sizes.values, np.int64), np.frombuffer(zstandard.decompress(tokens.as_py()), np.uint32)
+
+
+def pair_rows(located: DataFrame) -> DataFrame:
+    """(chunk, pos, b, x, n, c): a chunk's pairs by number, their tokens in the training texts, and the
+    tables there if each text seats a word at one table, opened where the word comes first."""
+    out = T._parse_datatype_string("chunk long, pos int, b long, x long, n long, c long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                sizes, tokens = unpack(batch.column(3)[k], batch.column(4)[k])
+                numbers, held = np.array(batch.column(5)[k].values), np.array(batch.column(2)[k].values)
+                last, word, pair = in_pairs(tokens, sizes)
+                of, _, before = in_document(tokens, sizes)
+                learned = ~held[of]
+                count = lambda which: np.bincount(pair[which], minlength=len(word))  # noqa: E731, B023
+                columns = [np.full(len(word), batch.column(0)[k].as_py()), np.arange(len(word), dtype=np.int32),
+                           np.where(last < 0, START, numbers[last]), numbers[word], count(learned), count(learned & (before == 0))]
+                whole = pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=out.names)
+                for at in range(0, len(word), SLICE):
+                    yield whole.slice(at, SLICE)
+
+    return map_arrow(located.select(LOCATED), run, out)
+
+
+def pair_masses(pairs: DataFrame) -> DataFrame:
+    """(b, c_b, t_b): customers and tables of the restaurants of the words before."""
+    return pairs.groupBy("b").agg(F.sum("c").alias("c_b"), F.sum("t").alias("t_b"))
+
+
+def opening_mass() -> Column:
+    return PAIR_STRENGTH + PAIR_DISCOUNT * F.col("t_b")
+
+
+def pair_sweep(pairs: DataFrame, blocks: DataFrame, turn: int) -> DataFrame:
+    """(b, x, c, t) seated anew, given the words' probabilities in the corpus."""
+    given = pairs.join(pair_masses(pairs), "b").join(numbered(blocks, "p"), "x")
+    rows = given.select("b", "x", "c", opening_mass().alias("mass"), "p")
+    out = T._parse_datatype_string("b long, x long, c long, t long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c, mass, base = (batch.column(k).to_numpy() for k in (2, 3, 4))
+            first = f"{batch.column(0)[0]} {batch.column(1)[0]}" if batch.num_rows else ""
+            tables = seat(c, mass, base, PAIR_DISCOUNT, block_seed(turn, [first] * batch.num_rows))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(tables)], names=out.names)
+
+    return freeze(map_arrow(rows.sortWithinPartitions("b", "x"), run, out), "pairs")
+
+
+def with_customers(blocks: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Blocks with the pairs' tables as the corpus's customers. Each word ends some pair."""
+    place = F.struct(F.pmod("x", F.lit(BLOCK_WORDS)).alias("pos"), F.col("n"))
+    found = pairs.groupBy("x").agg(F.sum("t").alias("n")).groupBy(F.expr(f"x div {BLOCK_WORDS}").alias("block")).agg(
+        F.array_sort(F.collect_list(place)).alias("found"))
+    return blocks.join(found, "block").withColumn("counts", F.col("found.n")).select(blocks.columns)
+
+
+def pair_probabilities(samples: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """((b, x, own), (b, left)), averaged over the samples: the share of a pair's own customers in the
+    restaurant of its word before, and what that restaurant leaves to the corpus."""
+    own = left = None
+    for pairs in samples:
+        masses = pair_masses(pairs)
+        mine = pairs.join(masses, "b").select("b", "x", (
+            (F.col("c") - PAIR_DISCOUNT * F.col("t")) / (PAIR_STRENGTH + F.col("c_b")) / len(samples)).alias("own"))
+        rest = masses.select("b", (opening_mass() / (PAIR_STRENGTH + F.col("c_b")) / len(samples)).alias("left"))
+        own, left = (mine, rest) if own is None else (own.unionByName(mine), left.unionByName(rest))
+    return own.groupBy("b", "x").agg(F.sum("own").alias("own")), left.groupBy("b").agg(F.sum("left").alias("left"))
+
+
+def beside(located: DataFrame, rows: DataFrame, run, out: T.StructType) -> DataFrame:
+    """`run` on each chunk and its rows."""
+    with_package(located.sparkSession)
+    return located.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(run, out)
+
+
 # ---------------------------------------------------------------- letters
 def spelled(word: str) -> Iterator[tuple[str, str]]:
     """(context, letter) along a word; a tab stands before it and a line feed after it."""
@@ -270,7 +393,8 @@ def word_sweep(blocks: DataFrame, needed: DataFrame, letters: DataFrame, totals:
                 if counted:
                     served = served + (counts - WORD_DISCOUNT * tables) / (WORD_STRENGTH + customers)
                     spelt = spelt + new_table(customers, n_tables) * base
-                yield _block_batch(block, words, seen, counts, tables, served, spelt)
+                p = (counts - WORD_DISCOUNT * tables) / (WORD_STRENGTH + customers) + new_table(customers, n_tables) * base
+                yield _block_batch(block, words, seen, counts, tables, served, spelt, p)
 
     joined = blocks.join(given, "block").select("block", "words", "seen", "counts", "served", "spelt", "spelling")
     return map_arrow(joined, run, out)
@@ -284,15 +408,39 @@ def root_totals(blocks: DataFrame) -> tuple[int, ...]:
     return tuple(x or 0 for x in found)
 
 
+@dataclass(frozen=True)
+class Fitted:
+    """(x, word, c, open, closed), training tokens, distinct ones; the chunks and their pairs, and the
+    averaged (b, x, own) and (b, left) of `pair_probabilities`."""
+
+    words: DataFrame
+    n_words: int
+    distinct: int
+    located: DataFrame
+    index: DataFrame
+    own: DataFrame
+    left: DataFrame
+
+
 def fit(packed: DataFrame) -> tuple[DataFrame, int, int]:
-    """((word, c, open, closed), training tokens, distinct ones).
+    """((word, c, open, closed), training tokens, distinct ones) of the corpus."""
+    model = fitted(packed)
+    return model.words.drop("x"), model.n_words, model.distinct
+
+
+def fitted(packed: DataFrame) -> Fitted:
+    """The seated restaurants.
 
     `open` is the averaged probability of a word as spelled, over all words there can be. `closed` is over
     the known words and one outcome for the others, as in the base score: that outcome has one share in
     `distinct` + 1 of a new table, and the known words share the rest as they are spelled.
     """
     blocks = freeze(word_blocks(packed), "words")
-    letters, opening = None, 0.0
+    located = freeze(locate(packed, blocks), "located")
+    index = freeze(pair_rows(located), "index")
+    pairs = freeze(index.groupBy("b", "x").agg(F.sum("c").alias("c")).withColumn("t", (F.col("c") > 0).cast("long")), "pairs")
+    blocks = freeze(with_customers(blocks, pairs), "words")
+    letters, opening, samples = None, 0.0, []
     for turn in range(BURN_IN + SAMPLES):
         n_words, distinct, customers, tables = root_totals(blocks)
         needed = freeze(letter_rows(blocks), "spelling")
@@ -301,27 +449,24 @@ def fit(packed: DataFrame) -> tuple[DataFrame, int, int]:
         # The customers seated this turn stand for all but their own change of the total tables.
         blocks = freeze(word_sweep(blocks, needed, letters, (customers, tables), turn, turn >= BURN_IN), "words")
         opening += new_table(customers, tables) / SAMPLES if turn >= BURN_IN else 0.0
-    words = blocks.select(F.explode_outer(F.arrays_zip("words", "seen", "served", "spelt")).alias("w")).select(
-        F.col("w.words").alias("word"), F.col("w.seen").alias("c"), (F.col("w.served") / SAMPLES).alias("served"),
-        (F.col("w.spelt") / SAMPLES).alias("spelt"))
+        pairs = pair_sweep(pairs, blocks, turn)
+        samples += [pairs] if turn >= BURN_IN else []
+        blocks = freeze(with_customers(blocks, pairs), "words")
+    words = numbered(blocks, "words", "seen", "served", "spelt").select(
+        "x", F.col("words").alias("word"), F.col("seen").alias("c"), (F.col("served") / SAMPLES).alias("served"),
+        (F.col("spelt") / SAMPLES).alias("spelt"))
     known = words.where("c > 0").agg(F.sum("spelt")).first()[0] or 1.0
     share = F.when(F.col("c") > 0, F.col("spelt") / known * (distinct / (distinct + 1))).otherwise(1 / (distinct + 1))
-    words = words.select("word", "c", (F.col("served") + F.col("spelt")).alias("open"),
+    words = words.select("x", "word", "c", (F.col("served") + F.col("spelt")).alias("open"),
                          (F.col("served") + opening * share).alias("closed"))
-    return words, n_words, distinct
+    return Fitted(words, n_words, distinct, located, index, *pair_probabilities(samples))
 
 
 def in_sequence(tokens: np.ndarray, sizes: np.ndarray, *corpora: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
     """log10 of each token's probability given the tokens before it in its document: those of its own
-    kind, less a discount for their table, and the corpus for what is left. For each of `corpora`: the
-    probabilities in the corpus, and the tokens that may gain by their own kind."""
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.argsort(of << 32 | tokens.astype(np.int64), kind="stable")
-    fresh = np.ones(len(tokens), bool)
-    fresh[1:] = (tokens[order[1:]] != tokens[order[:-1]]) | (of[order[1:]] != of[order[:-1]])
-    run = np.flatnonzero(fresh)
-    before = np.empty(len(tokens))
-    before[order] = np.arange(len(tokens)) - np.repeat(run, np.diff(np.append(run, len(tokens))))
+    kind, less a discount for their table, and the restaurant of the word before for what is left. For each
+    of `corpora`: the probabilities there, and the tokens that may gain by their own kind."""
+    of, _, before = in_document(tokens, sizes)
     starts = np.cumsum(sizes) - sizes
     place = np.arange(len(tokens)) - starts[of]
     new = (before == 0).astype(np.int64)
@@ -332,37 +477,36 @@ def in_sequence(tokens: np.ndarray, sizes: np.ndarray, *corpora: tuple[np.ndarra
             for corpus, gains in corpora]
 
 
-def scored(packed: DataFrame, words: DataFrame, n_words: int, distinct: int, id_column: str) -> DataFrame:
-    looked = packed.select("chunk", F.posexplode_outer("words").alias("pos", "word")).join(words, "word")
-    looked = looked.groupBy("chunk").agg(F.collect_list(F.struct("pos", "c", "open", "closed")).alias("found"))
+def scored(model: Fitted, id_column: str) -> DataFrame:
     out = T.StructType([T.StructField(id_column, T.LongType()), T.StructField("held_out", T.BooleanType()),
                         T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
                         T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()),
                         T.StructField("score", T.DoubleType()),
                         T.StructField("open_score", T.DoubleType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                ids, held = batch.column(0)[k].values, batch.column(1)[k].values
-                sizes = np.array(batch.column(2)[k].values, np.int64)
-                tokens = np.frombuffer(zstandard.decompress(batch.column(3)[k].as_py()), np.uint32)
-                found = batch.column(4)[k].values
-                pos, c, p_open, p_closed = (found.field(j).to_numpy() for j in range(4))
-                count, spelt, closed = np.zeros(len(pos), np.int64), np.zeros(len(pos)), np.zeros(len(pos))
-                count[pos], spelt[pos], closed[pos] = c, p_open, p_closed
-                base = np.log10((count + 0.5) / (n_words + 0.5 * (distinct + 1)))
-                starts = np.cumsum(sizes) - sizes
-                met = count[tokens] > 0
-                log, log_open = in_sequence(tokens, sizes, (closed[tokens], met), (spelt[tokens], np.ones(len(tokens), bool)))
-                add = lambda v: np.add.reduceat(v, starts)  # noqa: E731, B023
-                yield pa.RecordBatch.from_arrays([
-                    ids, held, pa.array(sizes), pa.array(add((count > 0).astype(np.int64)[tokens])),
-                    pa.array(np.full(len(sizes), n_words)), pa.array(add(base[tokens])), pa.array(add(log)),
-                    pa.array(add(log_open))], names=out.names)
-
-    joined = packed.select("chunk", "ids", "held", "sizes", "tokens").join(looked, "chunk")
-    return map_arrow(joined.select("ids", "held", "sizes", "tokens", "found"), run, out)
+    n_words, distinct = model.n_words, model.distinct
+
+    def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        made = []
+        for k in range(texts.num_rows):
+            sizes, tokens = unpack(texts["sizes"][k], texts["tokens"][k])
+            pair = in_pairs(tokens, sizes)[2]
+            order = np.argsort(rows["pos"].to_numpy())
+            count, spelt, closed = (rows[c].to_numpy()[order][pair] for c in ("c", "open", "closed"))
+            base = np.log10((count + 0.5) / (n_words + 0.5 * (distinct + 1)))
+            log, log_open = in_sequence(tokens, sizes, (closed, count > 0), (spelt, np.ones(len(tokens), bool)))
+            starts = np.cumsum(sizes) - sizes
+            add = lambda v: np.add.reduceat(v, starts)  # noqa: E731, B023
+            made.append(pa.RecordBatch.from_arrays([
+                texts["ids"][k].values, texts["held"][k].values, pa.array(sizes), pa.array(add((count > 0).astype(np.int64))),
+                pa.array(np.full(len(sizes), n_words)), pa.array(add(base)), pa.array(add(log)),
+                pa.array(add(log_open))], names=out.names))
+        return pa.Table.from_batches(made)
+
+    # What the pair's own customers have, and the corpus's share of what its word before leaves.
+    given = model.own.join(model.left, "b").join(model.words, "x")
+    mixed = lambda p: (F.col("own") + F.col("left") * F.col(p)).alias(p)
+    rows = model.index.select("chunk", "pos", "b", "x").join(given.select("b", "x", "c", mixed("open"), mixed("closed")), ["b", "x"])
+    return beside(model.located, rows.select("chunk", "pos", "c", "open", "closed"), run, out)
 
 
 def language_model_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -378,5 +522,4 @@ def language_model_scores(docs: DataFrame, id_column: str = "doc_id", text_colum
     """
     read = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     packed = freeze(chunks(read), "chunks")
-    words, n_words, distinct = fit(packed)
-    return scored(packed, words, n_words, distinct, id_column)
+    return scored(fitted(packed), id_column)

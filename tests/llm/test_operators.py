@@ -93,6 +93,23 @@ def test_probabilities_add_up(spark):
     assert unknown is None or total[1] + unknown == pytest.approx(1)
 
 
+def test_order_of_words_counts(spark):
+    """A held-out text in the order of the training texts is likelier than its words in another order."""
+    import random
+    rng = random.Random(5)
+    phrases = [[f"w{p}x{k}" for k in range(6)] for p in range(30)]
+    text = lambda: [w for _ in range(8) for w in rng.choice(phrases)]
+    held = [i for i in range(400) if language_model.held_out(i)][:20]
+    rows = [(i, " ".join(text())) for i in range(300) if not language_model.held_out(i)]
+    for a, b in zip(held[::2], held[1::2]):
+        words = text()
+        rows += [(a, " ".join(words)), (b, " ".join(rng.sample(words, len(words))))]
+    found = {r.doc_id: r for r in language_model.language_model_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for a, b in zip(held[::2], held[1::2]):
+        assert found[a].base_score == pytest.approx(found[b].base_score)
+        assert found[a].score > found[b].score + 10 and found[a].open_score > found[b].open_score + 10
+
+
 def test_sequence_probabilities():
     """Given any beginning, the next tokens of a document have probabilities that add up to the corpus's."""
     corpus = np.array([0.5, 0.3, 0.2])
