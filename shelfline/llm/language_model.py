@@ -7,7 +7,8 @@ customer of the corpus. The corpus's base measure spells words: letters are serv
 of their contexts (the letters before), and the restaurants of contexts that differ only in their first
 letter share a parent, the context without it, down to the empty context and a uniform base. A table of
 the corpus restaurant is a customer of the letter restaurants, a table of a letter restaurant a customer
-of its parent. A sweep re-seats all customers of a level given the levels around it. Word probabilities
+of its parent. A sweep re-seats all customers of a level, the training documents' tokens among
+them, given the levels around it. Word probabilities
 are averaged over the samples after burn-in. A text is scored from its first word on, each word given
 those before it: over the known words and one outcome for all others, and over all words as spelled.
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from zlib import crc32
 
 import numpy as np
@@ -120,20 +122,19 @@ def block_seed(turn: int, words: list) -> np.random.Generator:
 
 # ---------------------------------------------------------------- words, in blocks
 BLOCK = ("block long, words array<string>, seen array<long>, counts array<long>, tables array<long>, "
-         "served array<double>, spelt array<double>, p array<double>")
+         "base array<double>")
 BLOCK_WORDS = 25_000
 
 
-def _block_batch(block: int, words, seen, counts, tables, served, spelt, p) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 3, *[pa.list_(pa.float64())] * 3)
-    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((block, words, seen, counts, tables, served, spelt, p), kinds)],
-                                      names=["block", "words", "seen", "counts", "tables", "served", "spelt", "p"])
+def _block_batch(block: int, words, seen, counts, tables, base) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 3, pa.list_(pa.float64()))
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((block, words, seen, counts, tables, base), kinds)],
+                                      names=["block", "words", "seen", "counts", "tables", "base"])
 
 
 def word_blocks(packed: DataFrame) -> DataFrame:
     """All words: `seen` are the training tokens, `counts` the corpus's customers, at first one at one table;
-    `served` and `spelt` add up the two parts of a word's probability: its own customers, and its share of a
-    new table; `p` is the probability in the last sweep."""
+    `base` is the probability of the word as spelled in the last sweep."""
     counted = packed.select(F.explode_outer(F.arrays_zip("words", "counts")).alias("w")).groupBy("w.words").agg(
         F.sum("w.counts").alias("seen"))
     out = T._parse_datatype_string(BLOCK)
@@ -145,8 +146,8 @@ def word_blocks(packed: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, BLOCK_WORDS):
                 part = batch.slice(at, BLOCK_WORDS)
                 seen = part.column(1).to_numpy()
-                first, zeros = (seen > 0).astype(np.int64), np.zeros(len(seen))
-                yield _block_batch(task << 32 | made, part.column(0).to_pylist(), seen, first, first, zeros, zeros, zeros)
+                first = (seen > 0).astype(np.int64)
+                yield _block_batch(task << 32 | made, part.column(0).to_pylist(), seen, first, first, np.zeros(len(seen)))
                 made += 1
 
     return map_arrow(counted.sortWithinPartitions("words"), run, out)
@@ -220,6 +221,57 @@ def pair_rows(located: DataFrame) -> DataFrame:
     return map_arrow(located.select(LOCATED), run, out)
 
 
+def seat_texts(tokens: np.ndarray, sizes: np.ndarray, base: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Which tokens open a table of their document, all customers seated anew in the order of their words'
+    tokens: the first of a word does, a later one with a chance as in `seat`. `base` is each token's
+    probability given the word before. Steps of a sixteenth of a word's tokens are drawn at a time."""
+    of, kind, before = in_document(tokens, sizes)
+    order = np.argsort(before, kind="stable")
+    turn, opened = before[order], np.zeros(len(tokens), bool)
+    tables, in_text = np.zeros(kind.max(initial=-1) + 1, np.int64), np.zeros(len(sizes), np.int64)
+    at = 0
+    while at < len(order):
+        seated = int(turn[at])
+        end = int(np.searchsorted(turn, seated + max(1, seated // 16)))
+        some = order[at:end]
+        opening = (TEXT_STRENGTH + TEXT_DISCOUNT * in_text[of[some]]) * base[some]
+        joining = seated - TEXT_DISCOUNT * tables[kind[some]]
+        new = rng.random(len(some)) * (opening + joining) < opening if seated else np.ones(len(some), bool)
+        opened[some] = new
+        np.add.at(tables, kind[some], new)
+        np.add.at(in_text, of[some], new)
+        at = end
+    return opened
+
+
+def text_sweep(located: DataFrame, index: DataFrame, pairs: DataFrame, words: DataFrame, turn: int) -> DataFrame:
+    """(b, x, c, t): the training documents' customers seated anew, given the probabilities of the pairs;
+    their tables are the pairs' customers `c`. `t` is as it was."""
+    given = pairs.join(pair_masses(pairs), "b").join(words.select("x", (F.col("served") + F.col("spelt")).alias("p")), "x").select("b", "x", (
+        (F.col("c") - PAIR_DISCOUNT * F.col("t") + opening_mass() * F.col("p")) / (PAIR_STRENGTH + F.col("c_b"))).alias("p"))
+    rows = index.where("n > 0").join(given, ["b", "x"]).select("chunk", "pos", "b", "x", "p")
+    out = T._parse_datatype_string("b long, x long, c long")
+
+    def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        made = []
+        for k in range(texts.num_rows):
+            sizes, tokens = unpack(texts["sizes"][k], texts["tokens"][k])
+            learned = ~np.array(texts["held"][k].values)
+            pair = in_pairs(tokens, sizes)[2][np.repeat(learned, sizes)]
+            pos = rows["pos"].to_numpy()
+            base = np.zeros(pair.max(initial=-1) + 1)
+            base[pos] = rows["p"].to_numpy()
+            rng = np.random.default_rng([turn, texts["chunk"][k].as_py()])
+            opened = seat_texts(tokens[np.repeat(learned, sizes)], sizes[learned], base[pair], rng)
+            c = np.bincount(pair[opened], minlength=len(base))[pos]
+            made.append(pa.table([rows["b"], rows["x"], pa.array(c)], names=out.names))
+        return pa.concat_tables(made) if made else pa.table([pa.array([], pa.int64())] * 3, names=out.names)
+
+    seated = beside(located, rows, run, out).groupBy("b", "x").agg(F.sum("c").alias("new"))
+    return freeze(pairs.join(seated, ["b", "x"], "left").select(
+        "b", "x", F.coalesce("new", F.lit(0)).cast("long").alias("c"), "t"), "customers")
+
+
 def pair_masses(pairs: DataFrame) -> DataFrame:
     """(b, c_b, t_b): customers and tables of the restaurants of the words before."""
     return pairs.groupBy("b").agg(F.sum("c").alias("c_b"), F.sum("t").alias("t_b"))
@@ -229,9 +281,10 @@ def opening_mass() -> Column:
     return PAIR_STRENGTH + PAIR_DISCOUNT * F.col("t_b")
 
 
-def pair_sweep(pairs: DataFrame, blocks: DataFrame, turn: int) -> DataFrame:
+def pair_sweep(pairs: DataFrame, words: DataFrame, turn: int) -> DataFrame:
     """(b, x, c, t) seated anew, given the words' probabilities in the corpus."""
-    given = pairs.join(pair_masses(pairs), "b").join(numbered(blocks, "p"), "x")
+    # `c` are new, `t` of the sweep before; a pair that has lost its customers has lost its tables.
+    given = pairs.join(pair_masses(pairs.withColumn("t", F.least("c", "t"))), "b").join(words.select("x", (F.col("served") + F.col("spelt")).alias("p")), "x")
     rows = given.select("b", "x", "c", opening_mass().alias("mass"), "p")
     out = T._parse_datatype_string("b long, x long, c long, t long")
 
@@ -371,11 +424,9 @@ def new_table(customers: int, tables: int) -> float:
     return (WORD_STRENGTH + WORD_DISCOUNT * tables) / (WORD_STRENGTH + customers)
 
 
-def word_sweep(blocks: DataFrame, needed: DataFrame, letters: DataFrame, totals: tuple[int, int], turn: int,
-               counted: bool) -> DataFrame:
-    """Blocks with their words seated anew; `totals` are customers and tables of the root restaurant. A
-    sample that counts adds to the parts of each word's probability."""
-    customers, n_tables = totals
+def word_sweep(blocks: DataFrame, needed: DataFrame, letters: DataFrame, totals: tuple[int, int], turn: int) -> DataFrame:
+    """Blocks with their words seated anew; `totals` are customers and tables of the root restaurant."""
+    _, n_tables = totals
     given = needed.join(letters.select("u", "x", "p"), ["u", "x"]).groupBy("block").agg(
         F.collect_list(F.struct("u", "x", "p")).alias("spelling"))
     out = T._parse_datatype_string(BLOCK)
@@ -384,22 +435,27 @@ def word_sweep(blocks: DataFrame, needed: DataFrame, letters: DataFrame, totals:
         for batch in batches:
             for k in range(batch.num_rows):
                 block, words = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                seen, counts, served, spelt = (np.array(batch.column(j)[k].values) for j in (2, 3, 4, 5))
-                pairs = batch.column(6)[k].values
+                seen, counts = (np.array(batch.column(j)[k].values) for j in (2, 3))
+                pairs = batch.column(4)[k].values
                 logs = dict(zip(zip(pairs.field(0).to_pylist(), pairs.field(1).to_pylist()), np.log(pairs.field(2).to_numpy())))
                 base = np.exp(np.array([sum(map(logs.__getitem__, spelled(w))) for w in words]))
                 mass = np.full(len(words), WORD_STRENGTH + WORD_DISCOUNT * n_tables)
                 tables = seat(counts, mass, base, WORD_DISCOUNT, block_seed(turn, words))
-                if counted:
-                    served = served + (counts - WORD_DISCOUNT * tables) / (WORD_STRENGTH + customers)
-                    spelt = spelt + new_table(customers, n_tables) * base
-                p = (counts - WORD_DISCOUNT * tables) / (WORD_STRENGTH + customers) + new_table(customers, n_tables) * base
-                yield _block_batch(block, words, seen, counts, tables, served, spelt, p)
+                yield _block_batch(block, words, seen, counts, tables, base)
 
-    joined = blocks.join(given, "block").select("block", "words", "seen", "counts", "served", "spelt", "spelling")
+    joined = blocks.join(given, "block").select("block", "words", "seen", "counts", "spelling")
     return map_arrow(joined, run, out)
 
 
+def word_probabilities(blocks: DataFrame, totals: tuple[int, int]) -> DataFrame:
+    """(x, words, seen, served, spelt): the two parts of a word's probability, its own customers, and its
+    share of a new table. With the tables as they are now, all words together have probability 1."""
+    customers, tables = totals
+    return numbered(blocks, "words", "seen", "counts", "tables", "base").select(
+        "x", "words", "seen", ((F.col("counts") - WORD_DISCOUNT * F.col("tables")) / (WORD_STRENGTH + customers)).alias("served"),
+        (F.col("base") * new_table(customers, tables)).alias("spelt"))
+
+
 def root_totals(blocks: DataFrame) -> tuple[int, ...]:
     """(training tokens, distinct ones, customers of the corpus, their tables)."""
     add = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
@@ -440,21 +496,26 @@ def fitted(packed: DataFrame) -> Fitted:
     index = freeze(pair_rows(located), "index")
     pairs = freeze(index.groupBy("b", "x").agg(F.sum("c").alias("c")).withColumn("t", (F.col("c") > 0).cast("long")), "pairs")
     blocks = freeze(with_customers(blocks, pairs), "words")
-    letters, opening, samples = None, 0.0, []
+    letters, opening, samples, averaged = None, 0.0, [], []
     for turn in range(BURN_IN + SAMPLES):
         n_words, distinct, customers, tables = root_totals(blocks)
         needed = freeze(letter_rows(blocks), "spelling")
         levels = letter_sweep(needed.groupBy("u", "x").agg(F.sum("c").alias("c")), letters, turn)
         letters = freeze(letter_probabilities(levels), "letters")
         # The customers seated this turn stand for all but their own change of the total tables.
-        blocks = freeze(word_sweep(blocks, needed, letters, (customers, tables), turn, turn >= BURN_IN), "words")
-        opening += new_table(customers, tables) / SAMPLES if turn >= BURN_IN else 0.0
-        pairs = pair_sweep(pairs, blocks, turn)
-        samples += [pairs] if turn >= BURN_IN else []
+        blocks = freeze(word_sweep(blocks, needed, letters, (customers, tables), turn), "words")
+        totals = root_totals(blocks)[2:]
+        now = word_probabilities(blocks, totals)
+        pairs = text_sweep(located, index, pairs, now, turn)
+        pairs = pair_sweep(pairs, now, turn)
+        if turn >= BURN_IN:
+            opening += new_table(*totals) / SAMPLES
+            samples.append(pairs)
+            averaged.append(now)
         blocks = freeze(with_customers(blocks, pairs), "words")
-    words = numbered(blocks, "words", "seen", "served", "spelt").select(
-        "x", F.col("words").alias("word"), F.col("seen").alias("c"), (F.col("served") / SAMPLES).alias("served"),
-        (F.col("spelt") / SAMPLES).alias("spelt"))
+    words = reduce(DataFrame.unionByName, averaged).groupBy("x").agg(
+        F.first("words").alias("word"), F.first("seen").alias("c"), (F.sum("served") / SAMPLES).alias("served"),
+        (F.sum("spelt") / SAMPLES).alias("spelt"))
     known = words.where("c > 0").agg(F.sum("spelt")).first()[0] or 1.0
     share = F.when(F.col("c") > 0, F.col("spelt") / known * (distinct / (distinct + 1))).otherwise(1 / (distinct + 1))
     words = words.select("x", "word", "c", (F.col("served") + F.col("spelt")).alias("open"),

@@ -110,6 +110,25 @@ def test_order_of_words_counts(spark):
         assert found[a].score > found[b].score + 10 and found[a].open_score > found[b].open_score + 10
 
 
+def test_repeats_in_a_document_open_tables():
+    """Repeats open tables by chance, more of them where the base is likelier, and a sweep seats them anew."""
+    tokens, sizes = np.array([0] * 5000 + [1, 0, 0, 1], np.uint32), np.array([5001, 3])
+    tables = [[int(language_model.seat_texts(tokens, sizes, np.full(5004, p), np.random.default_rng(k))[:5000].sum()) for k in range(3)]
+              for p in (1e-9, 0.01, 0.5)]
+    assert tables[0] == [1, 1, 1] and 1 < min(tables[1]) <= max(tables[1]) < min(tables[2]) < 5000
+    assert len(set(tables[2])) > 1
+    assert language_model.seat_texts(tokens, sizes, np.full(5004, 1e-9), np.random.default_rng(0)).sum() == 4
+
+
+def test_multiplicity_reaches_the_corpus(spark):
+    """A word used often in one document outweighs a word used once in one."""
+    learned = [i for i in range(100) if not language_model.held_out(i)][:20]
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(50)) + (" often x y" * 2000 + " once" if i == learned[0] else "")) for i in learned]
+    packed = language_model.freeze(language_model.chunks(spark.createDataFrame(rows, "id long, text string")), "chunks")
+    found = {r.word: r.open for r in language_model.fit(packed)[0].where("word in ('often', 'once')").collect()}
+    assert found["often"] > 1.5 * found["once"]
+
+
 def test_sequence_probabilities():
     """Given any beginning, the next tokens of a document have probabilities that add up to the corpus's."""
     corpus = np.array([0.5, 0.3, 0.2])
