@@ -17,8 +17,20 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-# Added kinds: an IBAN has to pass mod 97; an identity number has no checksum and needs context.
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+# Added kinds: an IBAN has its country's length and has to pass mod 97; an identity number has no checksum
+# and needs context.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST",
+    26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_LISTED = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+# Other countries: as far as it goes, but not into a number of a listed one.
+_OTHER = (rf"(?!{_LISTED})[A-Z]{{2}}[0-9]{{2}}(?:(?!\x20(?:{_LISTED})[0-9]{{2}})[\x20]?[A-Z0-9]){{11,30}}+")
+IBAN = (r"(?<![A-Za-z0-9])(?:" + "|".join(
+    rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[\x20]?[A-Z0-9]){{{length - 4}}}+"
+    for length, countries in IBAN_LENGTHS.items()) + "|" + _OTHER + r")(?![A-Za-z0-9])")
 IDENTITY = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
 
 

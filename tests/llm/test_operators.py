@@ -276,6 +276,18 @@ def test_checksums_and_context(spark):
     assert found[5]["email"] < 0.9 and "card" in found[5]
 
 
+@pytest.mark.parametrize("number", ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32",
+                                    "NO93 8601 1117 947", "FR1420041010050500013M02606", "MT84MALT011000012345MTLCAST001S"])
+def test_iban_before_other_words(spark, number):
+    """A number ends where its country's length does, whatever follows."""
+    after = ["Please pay", "BIC COBADEFF", "I said", "12 EUR", "(bank)", "and", "", "NO93 8601 1117 947 A"]
+    rows = [(k, f"pay {number} {a}".rstrip()) for k, a in enumerate(after)] + [(99, f"pay {number}X9 now"), (98, f"pay X{number}")]
+    found = {r.doc_id: [(s.start, s.stop) for s in r.spans if s.kind == "iban"]
+             for r in personal_data.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all((4, 4 + len(number)) in found[k] for k in range(len(after))) and not found[99] and not found[98]
+    assert len(found[7]) == 2
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "mail é a@b.org or 10.0.0.1!"), (2, "none")], "doc_id long, text string")
     cut = personal_data.redacted(personal_data.personal_data(df))
