@@ -10,6 +10,7 @@ speak against abuse. A logistic model weighs the hits into a score.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 from zlib import crc32
@@ -22,6 +23,14 @@ from shelfline.llm.common import fold, per_row
 
 WORD = regex.compile(r"\p{L}+(?:['’]\p{L}+)*")
 QUOTES = frozenset("\"'“”„«»‘’`")
+SIGNS = r"*@$!#%&+_.|~\-"
+# Runs of letters, digits and signs with one that is no letter; single letters with spaces or signs between.
+DISGUISED = regex.compile(rf"(?<![\p{{L}}\p{{N}}{SIGNS}])\p{{L}}*+[\p{{N}}{SIGNS}][\p{{L}}\p{{N}}{SIGNS}]*+")
+SPACED = regex.compile(rf"(?<![\p{{L}}\p{{N}}])\p{{L}}(?:[ {SIGNS}]\p{{L}}(?![\p{{L}}\p{{N}}])){{3,}}+")
+EDGES = "!#%&+_.|~-"       # signs that are no part of a word at its ends
+STANDS_FOR = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "gq",
+              "@": "a", "$": "s", "!": "il"}   # other signs stand for any letter
+DISGUISE_UP_TO = 40        # characters of a disguised word
 TRAINING_ROWS = 8_000   # documented bound: labelled documents the model is fitted on
 MAX_TERMS = 5_000        # bound of the lexicon, and so of what is broadcast
 STEMS = range(4, 8)      # lengths of the beginnings of words that can be entries
@@ -29,6 +38,7 @@ MIN_DOCS = 5             # toxic training documents that a term needs, copies as
 MIN_ENDINGS = 8          # a stem needs more different words than this
 MIN_LIFT = 8.0           # times as frequent in toxic documents as in others
 FUZZY_FROM = 5           # letters a term must have for one edit to be forgiven
+SHORT = 4                # letters of terms that only a swap, a doubled letter or a sign is forgiven
 WITHOUT_HITS = -1.0      # most log odds of a text without hits, so that no evidence is no verdict
 REACH = 4                # words of context on either side
 MIN_CONTEXT = 5          # hits that a context word must have been seen with
@@ -59,6 +69,55 @@ class Trie:
         best = self._exact(word)
         return (best, 0) if best is not None else self._near(word)
 
+    def look(self, word: str) -> tuple[float, int] | None:
+        """As `find`, and two neighbouring letters swapped are one edit; terms of `SHORT` letters are found
+        with a swap behind the first letter or a letter doubled."""
+        found = self.find(word)
+        if found is not None or not SHORT <= len(word) or word in self.ordinary:
+            return found
+        best = None
+        for k in range(len(word) - 1):
+            a, b = word[k], word[k + 1]
+            if a != b and (k or len(word) >= FUZZY_FROM):
+                end = _walk(self.root, word[:k] + b + a + word[k + 2:])
+            elif a == b and len(word) == SHORT + 1:
+                end = _walk(self.root, word[:k] + word[k + 1:])
+            else:
+                continue
+            if end is not None and (best is None or end[0] > best):
+                best = end[0]
+        return None if best is None else (best, 1)
+
+    def disguised(self, word: str) -> tuple[float, int] | None:
+        """The best term for a word with digits and signs: each stands for a letter, or the signs are left
+        out. Three letters and half of the word have to be letters."""
+        letters = sum(map(str.isalpha, word))
+        if word in self.ordinary or letters < 3:
+            return None
+        ends = []
+        if 2 * letters >= len(word) >= SHORT:
+            nodes = [self.root]
+            for sign in word:
+                if sign.isalpha():
+                    nodes = [n[sign] for n in nodes if sign in n]
+                else:
+                    may = STANDS_FOR.get(sign)
+                    nodes = [c for n in nodes for x, c in n.items() if x not in "=*" and (may is None or x in may)]
+            ends += [n["="] for n in nodes if "=" in n]
+        if not any(map(str.isdigit, word)):
+            ends.append(_walk(self.root, "".join(filter(str.isalpha, word))))
+        found = [weight for weight, length in filter(None, ends) if length >= SHORT]
+        return (max(found), 1) if found else None
+
+    def spaced(self, word: str) -> tuple[float, int] | None:
+        """The best term among letters that stand alone: a term may have other single letters beside it."""
+        letters = "".join(filter(str.isalpha, word))
+        if letters in self.ordinary or len(letters) > DISGUISE_UP_TO:
+            return None
+        ends = [_walk(self.root, letters[i:j]) for i in range(len(letters)) for j in range(i + SHORT, len(letters) + 1)]
+        found = [weight for weight, _ in filter(None, ends)]
+        return (max(found), 1) if found else self.look(letters)
+
     def _exact(self, word: str) -> float | None:
         node, best = self.root, None
         for letter in word:
@@ -115,7 +174,8 @@ def is_quoted(text: str, start: int, end: int) -> bool:
 
 
 class Finder(dict):
-    """What the trie has for a word; a worker looks each up once, and starts anew when full."""
+    """What the trie has for a word, or for a disguised one behind a mark; a worker looks each up once, and
+    starts anew when full."""
 
     def __init__(self, trie: Trie):
         self.trie = trie
@@ -123,20 +183,40 @@ class Finder(dict):
     def __missing__(self, word: str):
         if len(self) >= CACHE:
             self.clear()
-        found = self[word] = self.trie.find(word)
+        kind = {"\0": self.trie.disguised, "\1": self.trie.spaced}.get(word[:1])
+        found = self[word] = kind(word[1:]) if kind else self.trie.look(word)
         return found
 
 
+def disguises(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, marked word) of what may be a term with digits, signs or spaces in it."""
+    found = []
+    for m in DISGUISED.finditer(text):
+        word = m[0].strip(EDGES)
+        if 3 < len(word) <= DISGUISE_UP_TO and not word.isalpha():
+            start = m.start() + len(m[0]) - len(m[0].lstrip(EDGES))
+            found.append((start, start + len(word), "\0" + word))
+    return found + [(*m.span(), "\1" + m[0]) for m in SPACED.finditer(text)]
+
+
 def hits(text: str, find: Finder) -> list[tuple[float, int, bool, list[str]]]:
     """(weight, edits, between quotation marks, context words) of each hit of a text."""
     text = text.lower()
     words = WORD.findall(text)
     at = [k for k, found in enumerate(map(find.__getitem__, words)) if found is not None]
-    if not at:
+    hidden = [d for d in disguises(text) if find[d[2]] is not None]
+    if not at and not hidden:
         return []
     spans = [m.span() for m in WORD.finditer(text)]
-    return [(*find[words[k]], is_quoted(text, *spans[k]),
-             words[max(0, k - REACH):k] + words[k + 1:k + 1 + REACH]) for k in at]
+    where = [(*spans[k], words[k]) for k in at]
+    for start, end, word in hidden:
+        if all(end <= a or b <= start for a, b, _ in where):
+            where.append((start, end, word))
+    starts, found = [a for a, _ in spans], []
+    for start, end, word in sorted(where):
+        before, after = bisect_left(starts, start), bisect_left(starts, end)
+        found.append((*find[word], is_quoted(text, start, end), words[max(0, before - REACH):before] + words[after:after + REACH]))
+    return found
 
 
 def features(found: list, n_words: int, model: Model) -> list[float]:
@@ -223,9 +303,10 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     near: defaultdict[str, set] = defaultdict(set)
     for text, label in zip(texts, toxic):
         if not label:
-            words = WORD.findall((text or "").lower())
-            for w in {w for w in words if (find[w] or (0, 0))[1]}:
-                near[w].add(family(words))
+            text = (text or "").lower()
+            words = WORD.findall(text)
+            for w in {w for w in [*words, *(d for _, _, d in disguises(text))] if (find[w] or (0, 0))[1]}:
+                near["".join(filter(str.isalpha, w)) if w[0] == "\1" else w.lstrip("\0")].add(family(words))
     trie.ordinary = {w for w, groups in near.items() if len(groups) > 1}
     find = Finder(trie)
     found = [hits(t or "", find) for t in texts]

@@ -208,6 +208,26 @@ def test_toxicity_held_out(spark):
     assert hit >= 0.85 * judged.where("toxic = 1").count() and hit >= 0.9 * judged.where("predicted = 1").count()
 
 
+def test_disguised_terms():
+    """Digits, signs, spaces and swaps hide no term; short terms need a swap, a doubled letter or a sign."""
+    find = toxicity.Finder(toxicity.Trie({"stupid": 2.0, "idiot": 1.0, "moron": 1.0, "scum": 3.0}, {}))
+    for text in ("an id1ot here", "you m0r0n!", "so st*pid.", "s t u p i d", "a s.t.u.p.i.d one", "an idoit", "sc*m", "$cum", "scuum",
+                 "scmu", "you m*r*n", "stu-pid", "u r s c u m"):
+        assert [e for _, e, _, _ in toxicity.hits(text, find)] == [1], text
+    for text in ("a scam, a slum", "in 2010 a b c d", "b2b mp3 covid-19 win10", "e.g. it's well-known", "1.5 x 10", "**** ....", "sum scm"):
+        assert toxicity.hits(text, find) == [], text
+    assert [e for _, e, _, _ in toxicity.hits("stupid-looking idiot", find)] == [0, 0]
+
+
+def test_learned_terms_are_found_disguised():
+    bad = [f"you stupid moron number{chr(97 + k)} go away idiot" for k in range(12)]
+    fine = [f"the river walked{chr(97 + k)} through the evening stone" for k in range(12)]
+    model = toxicity.fit(bad + fine, [1] * 12 + [0] * 12)
+    find = toxicity.Finder(model.trie)
+    for text in ("st*pid m0ron 1diot", "s t u p i d and m o r o n", "you idoit, you stupdi mroon"):
+        assert toxicity.hits(text, find), text
+
+
 def test_toxicity_of_odd_rows(spark, docs, empty, unnamed):
     model = toxicity.fit(["you idiot clown"] * 3 + ["fine words here"] * 3, [1] * 3 + [0] * 3)
     assert toxicity.toxicity(docs, model).count() == docs.count()
