@@ -28,9 +28,3 @@ def spark():
 def folder(spark):
     from shelfline.session import run_dir
     return run_dir(spark, "test")
-
-
-def rows(df, *columns):
-    """Sorted tuples of a frame."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

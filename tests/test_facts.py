@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from shelfline.operators import facts, marts
 from shelfline.operators.calendar import date_key_join, dim_date
 

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from shelfline.operators.pit import pit_join
 from shelfline.operators.skew import MAX_HOT_KEYS, fits_broadcast, hot_keys, salted_left_join
 

@@ -4,7 +4,7 @@ import json
 from decimal import Decimal
 from pathlib import Path
 
-from conftest import rows
+from helpers import rows
 from shelfline.operators import tables
 from shelfline.operators.staging import stg_cdc, stg_event_log
 from shelfline.sources import landing

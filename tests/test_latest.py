@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from shelfline.operators.latest import daily_snapshots, dedupe_events, latest_cdc
 from shelfline.operators.staging import stg_cdc, stg_event_log
 from shelfline.sources.contracts import CATALOG_COLUMNS

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from shelfline.operators import quality, refunds
 
 T0 = dt.datetime(2025, 3, 1, 10)

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from shelfline.operators import merge, scd2, surrogate, tables
 
 T0 = dt.datetime(2025, 1, 1)

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from shelfline.operators import tables
 from shelfline.plans import feeds, warehouse
 from shelfline.plans.queries import _settings
