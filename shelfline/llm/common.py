@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -76,3 +77,19 @@ def per_row(df: DataFrame, columns: list[str], added: T.StructType,
 def _arrow(schema: T.StructType) -> list[pa.DataType]:
     from pyspark.sql.pandas.types import to_arrow_type
     return [to_arrow_type(f.dataType) for f in schema.fields]
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[list[pa.Array]]:
+    """The columns of runs of rows in which column `column` has `limit` bytes at most, or a single row; a
+    column of numbers states them itself."""
+    for batch in batches:
+        given = batch.column(column)
+        sizes = pc.fill_null(given if pa.types.is_integer(given.type) else pc.binary_length(given), 0).to_pylist()
+        start = held = 0
+        for k, size in enumerate(sizes):
+            if k > start and held + size > limit:
+                yield batch.slice(start, k - start).columns
+                start, held = k, 0
+            held += size
+        if len(sizes) > start:
+            yield batch.slice(start).columns

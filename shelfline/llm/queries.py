@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfline.llm import (
-    byte_bpe, decontamination, language_model, line_dedup, near_dedup, personal_data, quality, substring_dedup, token_counts, toxicity,
+    byte_bpe, conversation_repair, decontamination, fill_in_middle, language_model, line_dedup, near_dedup, packing, personal_data,
+    quality, substring_dedup, token_counts, toxicity,
 )
 from shelfline.llm.common import documents, fold
 
@@ -70,9 +71,24 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality(documents(spark, d))
 
 
+def op11_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    rows = conversation_repair.damage(spark.read.parquet(f"{d}/conversations.parquet"))
+    return conversation_repair.summaries(conversation_repair.repair(rows))
+
+
+def op12_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(documents(spark, d))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_language_model, op4_decontamination, op5_toxicity, op6_byte_bpe, op7_line_dedup,
-                            op8_personal_data, op9_near_dedup, op10_quality)
+                            op8_personal_data, op9_near_dedup, op10_quality, op11_conversation_repair, op12_fill_in_middle, op13_packing)
 }
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 LOWERED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
