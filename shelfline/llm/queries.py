@@ -93,6 +93,11 @@ QUERIES: dict[str, Query] = {
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 LOWERED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# crc32 of a text of single bytes: the remainder of the polynomial 0xEDB88320, bit by bit.
+CRC = """xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(range(1, len({0}) + 1), lambda j: ascii({0}[j])::BIGINT),
+  lambda acc, b: list_reduce([xor(acc, b)] || range(8)::BIGINT[], lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))))"""
+BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
@@ -140,4 +145,54 @@ reach AS (SELECT doc_id AS a, doc_id AS c FROM documents UNION SELECT links.b, r
 least_id AS (SELECT a AS doc_id, min(c) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM least_id LEFT JOIN sizes USING (doc_id)""",
+    "op11_conversation_repair": rf"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {CRC.format("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS c FROM conversations),
+made AS (SELECT conv_id, turn, CASE c WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE c WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE c WHEN 0 THEN []::INT[] WHEN 3 THEN [1, 2] ELSE [1] END) FROM given),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM made),
+faulty AS (SELECT *, CASE WHEN trim(text, {BLANK_SQL}) = '' THEN 1
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+    WHEN right(rtrim(text, {BLANK_SQL}), 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+  lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] NOT IN ('su', 'ua', 'au') AS illegal FROM placed),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 1) AS blank,
+    count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM faulty GROUP BY conv_id),
+into_(q, to_, gives) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+keeps(q, first, to_) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+inserts AS (SELECT q, q AS to_, 0 AS cost, '' AS letters, []::VARCHAR[] AS lines FROM into_
+  UNION ALL SELECT q, to_, 5, 'I', [gives || ':'] FROM into_
+  UNION ALL SELECT a.q, b.to_, 10, 'II', [a.gives || ':', b.gives || ':'] FROM into_ a JOIN into_ b ON a.to_ = b.q),
+arcs AS (SELECT conv_id, i, q, q AS to_, 2 AS cost, 'D' AS letter, []::VARCHAR[] AS lines FROM faulty, into_
+  UNION ALL SELECT conv_id, i, q, to_, CASE fault WHEN 3 THEN 5 ELSE 0 END, 'K', [role || ':' || text]
+    FROM faulty JOIN keeps ON role[1] = first WHERE fault IN (0, 3)
+  UNION ALL SELECT conv_id, i, q, to_, CASE fault WHEN 3 THEN 6 ELSE 1 END, 'R', [gives || ':' || text] FROM faulty, into_ WHERE fault IN (0, 3)),
+ways AS (SELECT conv_id, 0 AS i, 0 AS q, {{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}} AS way FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL SELECT w.conv_id, w.i + 1, a.to_, min({{'cost': way.cost + n.cost + a.cost, 'audit': way.audit || n.letters || a.letter,
+      'lines': way.lines || n.lines || a.lines}})
+    FROM ways w JOIN inserts n USING (q) JOIN arcs a ON a.conv_id IS NOT DISTINCT FROM w.conv_id AND a.i = w.i + 1 AND a.q = n.to_
+    GROUP BY w.conv_id, w.i, a.to_),
+best AS (SELECT w.conv_id, min({{'cost': way.cost + n.cost, 'audit': way.audit || n.letters, 'lines': way.lines || n.lines}}) AS way
+  FROM ways w JOIN inserts n USING (q)
+  JOIN (SELECT conv_id, max(i) AS i FROM ways GROUP BY conv_id) l ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.i = w.i
+  WHERE n.to_ IN (0, 3) GROUP BY w.conv_id)
+SELECT b.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, way.cost::BIGINT AS cost, way.audit AS audit,
+       sha256(array_to_string(way.lines, chr(10))) AS repaired_sha256
+FROM best b LEFT JOIN counts c ON b.conv_id IS NOT DISTINCT FROM c.conv_id""",
+    "op12_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+drawn AS (SELECT *, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS h1, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS h2,
+    ('0x' || h[17:24])::BIGINT % 100 AS h3, ('0x' || h[25:32])::BIGINT % 100 AS h4 FROM d),
+cut AS (SELECT *, array_to_string(u[1:least(h1, h2)], '') AS p, array_to_string(u[least(h1, h2) + 1:greatest(h1, h2)], '') AS m,
+    array_to_string(u[greatest(h1, h2) + 1:], '') AS s,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 50 THEN 'plain'
+         WHEN h4 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN len(p)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN len(m)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM cut""",
 }

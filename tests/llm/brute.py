@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -124,3 +125,65 @@ def quality(text):
     repeated = {p for places in at.values() if len(places) > 1 for a in places for p in range(a, a + 8)}
     return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), again, len(repeated),
             len(words) < 20 or 100 * len(repeated) > 30 * len(words))
+
+
+def damaged(conversations):
+    """(conv_id, turn, role, text) after damage, in the order of their turns."""
+    out = []
+    for conv, turn, role, text in conversations:
+        name = lambda x: " " if x is None else str(x)
+        fault = zlib.crc32(f"{name(conv)}:{name(turn)}".encode()) % 20
+        role, text = name(role), name(text)
+        text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+        out += [(conv, turn, "user" if fault == 4 else role, text)] * {0: 0, 3: 2}.get(fault, 1)
+    return sorted(out, key=lambda r: (r[1] is not None, r[1] or 0, r[2], hashlib.md5(r[3].encode()).hexdigest()))
+
+
+def conversation(rows):
+    """Counts, cost, audit and repaired lines of one conversation's (turn, role, text)."""
+    seen, faults = set(), []
+    for _, role, text in rows:
+        words = text.strip(BLANKS)
+        faults.append("b" if not words else "d" if (role, text) in seen else "t" if words[-1] not in ".!?" else "")
+        seen.add((role, text))
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    # From the end: the least (cost, audit, lines) by how many rows are done and what has been given.
+    expects = {"": "user", "s": "user", "u": "assistant", "a": "user"}
+    after = {q: (0, "", []) if q in ("", "a") else None for q in expects}
+    least = lambda xs: min((x for x in xs if x), key=lambda x: x[:2], default=None)
+    plus = lambda cost, letter, lines, x: x and (cost + x[0], letter + x[1], lines + x[2])
+
+    def with_inserts(at):
+        for _ in range(3):
+            at = {q: least([at[q], plus(5, "I", [expects[q] + ":"], at[expects[q][0]])]) for q in at}
+        return at
+
+    after = with_inserts(after)
+    for (_, role, text), fault in zip(rows[::-1], faults[::-1]):
+        at = {}
+        for q, gives in expects.items():
+            options = [plus(2, "D", [], after[q])]
+            if fault in ("", "t"):
+                extra = 5 if fault else 0
+                if role[:1] == gives[0] or q == "" and role[:1] == "s":
+                    options.append(plus(extra, "K", [f"{role}:{text}"], after[role[:1]]))
+                options.append(plus(1 + extra, "R", [f"{gives}:{text}"], after[gives[0]]))
+            at[q] = least(options)
+        after = with_inserts(at)
+    cost, audit, lines = after[""]
+    return (gaps, faults.count("b"), faults.count("d"), faults.count("t"), illegal, cost, audit, "\n".join(lines))
+
+
+def middle(doc_id, text):
+    text, h = text or "", sha(f"42:{'' if doc_id is None else doc_id}")
+    units = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+    n, (h1, h2, h3, h4) = len(units), (int(h[k:k + 8], 16) for k in range(0, 32, 8))
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or re.search("<[PSM]>", text) or h3 % 100 >= 50:
+        return n, "plain", None, None, text
+    if h4 % 100 < 80:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"

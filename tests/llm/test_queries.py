@@ -12,7 +12,7 @@ DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     wanted, found = con.sql(ORACLES[name]).to_arrow_table(), QUERIES[name](spark, DIR).toArrow()
     columns = sorted(wanted.column_names)
@@ -21,8 +21,8 @@ def test_matches_sql(spark, name):
     assert rows(found) == rows(wanted)
 
 
-def test_names_cover_all_ten():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_names_cover_all():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_keeps_clean_documents(spark):
