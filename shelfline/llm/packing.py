@@ -12,6 +12,7 @@ a task's end, or beyond a number that bounds its memory, are filled up by cuttin
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -22,16 +23,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
 from shelfline.llm.common import map_arrow, slices
-from shelfline.llm.token_counts import BYTES, SPLIT, UNSETTLED, special_strings, tokenizer
+from shelfline.llm.token_counts import BYTES, UNSETTLED, special_strings, tokenizer
 
 SLICE = 8 << 20         # bytes of text that are tokenized before their pieces are handed on
 STRETCH = 1 << 18       # characters of a text that are tokenized at once
 OPEN = 1 << 14          # windows open in a task before all of them are filled up: 64 MB of ids at most
-CACHED = 96 << 20       # bytes of pre-tokens and ids in a worker's cache
+CACHED = 160 << 20      # bytes of pre-tokens and ids in a worker's cache
 END = 0                 # the id after each document
 ROWS = 1 << 16          # pieces handed back at once
 WIDTH = 4               # bytes of an id
 
+# Fixed value: the pattern of byte-level vocabularies. Contractions start with a sign that no word starts with, so
+# that the most frequent kinds can be tried first.
+SPLIT = regex.compile(r" ?\p{L}+| ?\p{N}+|'(?:[stmd]|re|ve|ll)| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
 # A text can be tokenized in stretches that end before a space or line break which follows a character that
 # is no blank in any Unicode version: no pre-token goes across such a place, and no special string without blanks.
 CUT = regex.compile(rf"(?s:.{{{STRETCH}}}.*?)[!-~、-﻾](?=[ \n])")
@@ -64,7 +69,7 @@ _caches: dict[str, Ids] = {}
 
 
 def packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def stretches(path: str, text: str) -> Iterator[str]:
