@@ -431,27 +431,35 @@ def repair(rows: DataFrame) -> DataFrame:
     empty audit; blocks of a longer one have rising numbers, and their counts, costs and audits add up. `repaired` has
     `role:text` lines joined by newlines, null if no line is left. Null ids are one conversation. Other columns are not read.
     """
+    whole, long = repair_apart(rows)
+    return whole if long is None else whole.unionByName(long)
+
+
+def repair_apart(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The same as two frames: conversations in one block, and blocks of longer ones if there are any."""
     rows = rows.select("conv_id", "turn", "role", "text", "copies")
     size = F.sum(F.col("copies") * F.octet_length("text"))
     long = freeze(rows.groupBy("conv_id").agg(F.sum("copies").alias("n"), size.alias("bytes"))
                   .where(f"n > {ROWS} or bytes > {BYTES}").select(F.col("conv_id").alias("long_id")), "long")
     number, widest = long.agg(F.count(F.lit(1)), F.max(F.octet_length(F.col("long_id").cast("string")))).first()
     if not number:
-        return _in_one_piece(rows)
+        return _in_one_piece(rows), None
     ids = F.broadcast(long) if number <= BROADCAST_IDS and (widest or 0) <= 256 else long
     same: Column = rows["conv_id"].eqNullSafe(ids["long_id"])
-    return _in_one_piece(rows.join(ids, same, "left_anti")).unionByName(_in_blocks(rows.join(ids, same, "left_semi")))
+    return _in_one_piece(rows.join(ids, same, "left_anti")), _in_blocks(rows.join(ids, same, "left_semi"))
 
 
-def summaries(blocks: DataFrame) -> DataFrame:
-    """One row per conversation: the sums of its blocks, its audit, and the digest of its repaired lines.
+def summaries(whole: DataFrame, long: DataFrame | None) -> DataFrame:
+    """One row per conversation of `repair_apart`: the sums of its blocks, its audit, and the digest of its repaired lines.
 
     A conversation in one block is digested where it is. Of a longer one, the blocks pass through one task
     in order, one at a time: a digest has to see all lines in order, and the audit is one value.
     """
     counts = [f.name for f in EDITED]
-    single = blocks.where("block = 0").select(
+    single = whole.select(
         "conv_id", *counts, "audit", F.sha2(F.coalesce("repaired", F.lit("")), 256).alias("repaired_sha256"))
+    if long is None:
+        return single
     out = single.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -479,5 +487,5 @@ def summaries(blocks: DataFrame) -> DataFrame:
         if of is not None:
             yield row()
 
-    parts = blocks.where("block > 0").repartition("conv_id").sortWithinPartitions("conv_id", "block")
+    parts = long.repartition("conv_id").sortWithinPartitions("conv_id", "block")
     return single.unionByName(map_arrow(parts.select("conv_id", *counts, "audit", "repaired"), run, out))

@@ -73,7 +73,7 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
 
 def op11_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
     rows = conversation_repair.damage(spark.read.parquet(f"{d}/conversations.parquet"))
-    return conversation_repair.summaries(conversation_repair.repair(rows))
+    return conversation_repair.summaries(*conversation_repair.repair_apart(rows))
 
 
 def op12_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:

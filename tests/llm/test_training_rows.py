@@ -44,8 +44,8 @@ def frame(spark, rows):
 
 
 def repairs(spark, rows):
-    blocks = conversation_repair.repair(conversation_repair.damage(frame(spark, rows)))
-    return {tuple(r) for r in conversation_repair.summaries(blocks).select(*COUNTS, "repaired_sha256").collect()}
+    parts = conversation_repair.repair_apart(conversation_repair.damage(frame(spark, rows)))
+    return {tuple(r) for r in conversation_repair.summaries(*parts).select(*COUNTS, "repaired_sha256").collect()}
 
 
 # ---------------------------------------------------------------- 11 conversation repair
