@@ -56,7 +56,18 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     """
     path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    frozen = df.sparkSession.read.schema(df.schema).parquet(path)
+    frozen._frozen_at = path
+    return frozen
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Deletes tables made by `freeze`. Only for those that nothing reads any more, not even to make up for a lost
+    executor: all that came from them has to be frozen itself. Other frames are left alone."""
+    for df in frames:
+        if path := getattr(df, "_frozen_at", None):
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def remove_old_runs(spark: SparkSession, older_than: dt.timedelta) -> int:
