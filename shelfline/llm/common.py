@@ -31,6 +31,18 @@ def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+_held: dict = {}
+
+
+def only(key, make: Callable):
+    """What `make` gives, kept in this worker until something else is asked for: a worker that goes on to another
+    operator lets go of what the one before had looked up."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

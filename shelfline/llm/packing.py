@@ -22,7 +22,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
-from shelfline.llm.common import map_arrow, slices
+from shelfline.llm.common import map_arrow, only, slices
 from shelfline.llm.token_counts import BYTES, UNSETTLED, special_strings, tokenizer
 
 SLICE = 8 << 20         # bytes of text that are tokenized before their pieces are handed on
@@ -65,9 +65,6 @@ class Ids(dict):
         return ids
 
 
-_caches: dict[str, Ids] = {}
-
-
 def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -86,7 +83,7 @@ def token_ids(path: str, text: str) -> bytes:
     A stretch of settled characters without special strings is the sum of its pre-tokens; any other
     stretch goes to the tokenizer.
     """
-    known = _caches.setdefault(path, Ids(path))
+    known = only(("ids", path), lambda: Ids(path))
     special, out = special_strings(path), []
     for part in stretches(path, text):
         if UNSETTLED.search(part) or special and special.search(part):

@@ -19,7 +19,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from shelfline.llm.common import fold, per_row
+from shelfline.llm.common import fold, only, per_row
 
 WORD = regex.compile(r"\p{L}+(?:['’]\p{L}+)*")
 QUOTES = frozenset("\"'“”„«»‘’`")
@@ -42,7 +42,7 @@ SHORT = 4                # letters of terms that only a swap, a doubled letter o
 WITHOUT_HITS = -1.0      # most log odds of a text without hits, so that no evidence is no verdict
 REACH = 4                # words of context on either side
 MIN_CONTEXT = 5          # hits that a context word must have been seen with
-CACHE = 1 << 20          # words in a worker's cache
+CACHE = 1 << 18          # words in a worker's cache, some 40 MB
 
 ADDED = T.StructType([
     T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
@@ -188,6 +188,11 @@ class Finder(dict):
         return found
 
 
+def finder(model: Model) -> Finder:
+    """One for all tasks of a worker with this model, which it holds."""
+    return only(("finder", id(model.trie)), lambda: Finder(model.trie))
+
+
 def disguises(text: str) -> list[tuple[int, int, str]]:
     """(start, end, marked word) of what may be a term with digits, signs or spaces in it."""
     found = []
@@ -358,11 +363,10 @@ def toxicity(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
     any. Repeated rows give a row each. A model without toxic training texts scores all alike, low.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    finders: dict[int, Finder] = {}
 
     def rows(given):
         model = shared.value
-        find = finders.setdefault(id(model), Finder(model.trie))
+        find = finder(model)
         for text, in given:
             found = hits(text or "", find)
             x = features(found, len(WORD.findall(text or "")) if found else 0, model)
