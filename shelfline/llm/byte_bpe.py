@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import duckdb
 import numpy as np
@@ -18,10 +17,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from shelfline.llm.common import map_arrow
+from shelfline.llm.common import map_arrow, only
 
 SLICE_BYTES = 4 << 20      # text that is split at once; a longer text is taken alone
 WORDS = 20_000             # words in one recursive query
+PAIRS = 4 << 20            # and squares of their bytes, as the query keeps the rows of every round
 LONG = 256                 # bytes from which a word is contracted at all places of a pair at once
 CACHE = 1 << 18            # pre-tokens in a worker's cache, some 70 MB
 END = 65_535               # "next token" of a word's last one: in no vocabulary of 16 bits
@@ -75,6 +75,19 @@ FROM ({rows}) JOIN vocabulary ON id = tok GROUP BY w ORDER BY w
 """
 
 
+def chunks(mine: list[int], words: list[bytes]) -> Iterator[list[int]]:
+    """Runs of at most `WORDS` words and `PAIRS` squares of lengths, or a single word."""
+    start, squares = 0, 0
+    for k, i in enumerate(mine):
+        square = min(len(words[i]), LONG) ** 2
+        if k > start and (k - start == WORDS or squares + square > PAIRS):
+            yield mine[start:k]
+            start, squares = k, 0
+        squares += square
+    if start < len(mine):
+        yield mine[start:]
+
+
 class Coder:
     """A rank file in DuckDB, and what a worker has encoded so far."""
 
@@ -88,7 +101,7 @@ class Coder:
         self.ranks = ranks
         pairs = [(ranks[t[:k]] * 65536 + ranks[t[k:]], i) for t, i in ranks.items()
                  for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "512MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "384MB", "temp_directory": ""})
         self._table("merges", pair=np.array([p for p, _ in pairs], np.int64), merged=np.array([m for _, m in pairs], np.int64))
         self._table("vocabulary", id=np.array(list(ranks.values()), np.int64), hex=[t.hex() for t in ranks])
         self.known: dict[str, tuple[bytes, bytes]] = {}
@@ -112,8 +125,7 @@ class Coder:
                 found[k] = (np.array([self.ranks[word]], "<u4").tobytes(), word)
         for step, mine in ((SHORT_STEP, [k for k, w in enumerate(words) if found[k] is None and len(w) <= LONG]),
                            (LONG_STEP, [k for k, w in enumerate(words) if found[k] is None and len(w) > LONG])):
-            for at in range(0, len(mine), WORDS):
-                chunk = mine[at:at + WORDS]
+            for chunk in chunks(mine, words):
                 size = np.fromiter((len(words[k]) for k in chunk), np.int64, len(chunk))
                 tokens = self.byte[np.frombuffer(b"".join(words[k] for k in chunk), np.uint8)]
                 of = np.repeat(np.arange(len(chunk)), size)
@@ -155,9 +167,8 @@ class Coder:
         return out
 
 
-@lru_cache(maxsize=2)
 def coder(path: str, pattern: str) -> Coder:
-    return Coder(path, pattern)
+    return only(("coder", path, pattern), lambda: Coder(path, pattern))
 
 
 def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
