@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from shelfline.llm.common import map_arrow
-from shelfline.session import freeze
+from shelfline.llm.common import map_arrow, only
+from shelfline.session import discard, freeze
 
 WINDOW = 20
 ANCHOR = 5           # words of an anchor
@@ -38,9 +38,6 @@ class WordHashes(dict):
         return found
 
 
-_words = WordHashes()
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(29))
@@ -89,9 +86,10 @@ def paths_of(h: np.ndarray, sizes: np.ndarray, window: int, anchor: int) -> tupl
 
 def _flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of texts laid end to end, and the words of each."""
+    known = only("word hashes", WordHashes)
     split = [t.encode().split() for t in texts]
     sizes = np.fromiter(map(len, split), np.int64, len(split))
-    h = np.fromiter((_words[w] for words in split for w in words), np.uint64, int(sizes.sum()))
+    h = np.fromiter((known[w] for words in split for w in words), np.uint64, int(sizes.sum()))
     return h, sizes
 
 
@@ -111,9 +109,9 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def paths(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(id, start, windows, m, s, s2): each path's anchor, and 128 bits of all its words. A path that the
-    same document holds earlier has `again`."""
-    out = T.StructType([docs.schema["id"], T.StructField("start", T.IntegerType()), T.StructField("windows", T.IntegerType()),
+    """(id, t, start, windows, m, s, s2) of rows (id, text, t): each path's anchor, and 128 bits of all its words. A
+    path that the same row holds earlier has `again`."""
+    out = T.StructType([docs.schema["id"], T.StructField("t", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("windows", T.IntegerType()),
                         T.StructField("m", T.LongType()), T.StructField("s", T.LongType()), T.StructField("s2", T.LongType()),
                         T.StructField("again", T.BooleanType())])
 
@@ -132,7 +130,7 @@ def paths(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                                        & (s2[order[1:]] == s2[order[:-1]]))
                 offset = np.cumsum(sizes) - sizes
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(of + a)), pa.array((start - offset[of]).astype(np.int32)),
+                    [batch.column(0).take(pa.array(of + a)), batch.column(2).take(pa.array(of + a)), pa.array((start - offset[of]).astype(np.int32)),
                      pa.array(count.astype(np.int32)), _signed(least), _signed(s), _signed(s2), pa.array(same)],
                     names=out.names)
 
@@ -140,10 +138,10 @@ def paths(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def edges(docs: DataFrame, window: int) -> DataFrame:
-    """(id, at, e, e2, again) of rows (id, text, opened), where `opened` lists (start, windows): one row
-    for each window in them, with 128 bits of its words. A window that the rows of the same document
-    hold at an earlier place has `again`."""
-    out = T.StructType([docs.schema["id"], T.StructField("at", T.IntegerType()), T.StructField("e", T.LongType()),
+    """(id, t, at, e, e2, again) of rows (id, text, opened, t), where `opened` lists (start, windows): one row
+    for each window in them, with 128 bits of its words. A window that the same row holds at an earlier
+    place has `again`."""
+    out = T.StructType([docs.schema["id"], T.StructField("t", T.IntegerType()), T.StructField("at", T.IntegerType()), T.StructField("e", T.LongType()),
                         T.StructField("e2", T.LongType()), T.StructField("again", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,14 +157,14 @@ def edges(docs: DataFrame, window: int) -> DataFrame:
                 same = np.zeros(len(at), bool)
                 same[order[1:]] = (e[order[1:]] == e[order[:-1]]) & (e2[order[1:]] == e2[order[:-1]])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(np.full(len(at), k))), pa.array(at.astype(np.int32)), _signed(e),
+                    [*(batch.column(c).take(pa.array(np.full(len(at), k))) for c in (0, 3)), pa.array(at.astype(np.int32)), _signed(e),
                      _signed(e2), pa.array(same)], names=out.names)
 
     return map_arrow(docs, run, out)
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """(id, spans): for (id, text) the starts and numbers of windows whose words also start earlier."""
+    """(id, t, spans): for (id, text, t) the starts and numbers of windows whose words also start earlier."""
     found = paths(docs, window, anchor)
     # The first document of each path; and the anchors that several paths share.
     first = freeze(found.where("not again").groupBy("m", "s", "s2").agg(F.min("id").alias("first"), F.count("*").alias("docs")), "paths")
@@ -174,15 +172,17 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     known = first.join(branching, "m", "left").where("docs > 1 or branching").select(
         "s", "s2", "first", F.coalesce("branching", F.lit(False)).alias("branching"))
     known = freeze(known, "known_paths")
+    discard(first)
     met = found.join(known, ["s", "s2"], "left").where("again or first is not null")
-    met = freeze(met.select("id", "start", "windows", "branching", (F.col("again") | (F.col("first") < F.col("id"))).alias("later")), "met_paths")
+    met = freeze(met.select("id", "t", "start", "windows", "branching", (F.col("again") | (F.col("first") < F.col("id"))).alias("later")), "met_paths")
+    discard(known)
     # First copies of branching paths, edge by edge.
-    opened = met.where("branching and not later").groupBy("id").agg(F.collect_list(F.struct("start", "windows")).alias("opened"))
-    single = freeze(edges(docs.join(opened.hint("shuffle_hash"), "id").select("id", "text", "opened"), window), "edges")
+    opened = met.where("branching and not later").groupBy("id", "t").agg(F.collect_list(F.struct("start", "windows")).alias("opened"))
+    single = freeze(edges(docs.join(opened.hint("shuffle_hash"), ["id", "t"]).select("id", "text", "opened", "t"), window), "edges")
     earliest = single.where("not again").groupBy("e", "e2").agg(F.min("id").alias("first"), F.count("*").alias("docs")).where("docs > 1")
     late = single.join(earliest.select("e", "e2", "first"), ["e", "e2"], "left").where("again or first < id")
-    spans = met.where("later").select("id", "start", "windows").unionAll(late.select("id", F.col("at").alias("start"), F.lit(1).alias("windows")))
-    return spans.groupBy("id").agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
+    spans = met.where("later").select("id", "t", "start", "windows").unionAll(late.select("id", "t", F.col("at").alias("start"), F.lit(1).alias("windows")))
+    return spans.groupBy("id", "t").agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
 
 
 def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW,
@@ -191,15 +191,15 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     A word goes if a window of `window` words covers it whose words also start earlier: in a document of
     smaller id, or further on top in the same one; windows are those of the input. A null, empty or
-    short text has no windows. Rows that share an id share a place: copies between them stay, and what
-    one of them loses is taken at the same positions from the others. Rows whose id is null come after
-    all others, and likewise share a place. Words are parted by space and U+0009 to U+000D. Other
+    short text has no windows. Rows that share an id share a place: copies between them stay, whether their
+    texts are equal or not. Rows whose id is null come after all others, and likewise share a place. Words are parted by space and U+0009 to U+000D. Other
     columns are not read. Equality is that of 128-bit hashes.
     """
     last = 2**63 - 1
-    read = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(last)).alias("id"), F.col(text_column).alias("text"))
+    read = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(last)).alias("id"), F.col(text_column).alias("text"),
+                       F.hash(text_column).alias("t"))
     spans = repeated_spans(read, window, anchor)
-    joined = read.join(spans.hint("shuffle_hash"), "id", "left")
+    joined = read.join(spans.hint("shuffle_hash"), ["id", "t"], "left")
     out = T.StructType([T.StructField(id_column, T.LongType()), T.StructField("n_words", T.LongType()),
                         T.StructField("n_removed", T.LongType()), T.StructField("kept", T.BinaryType())])
 

@@ -64,6 +64,15 @@ def test_substring_windows_inside_one_document(spark):
     assert plain[1][1] == 30 and plain[3][1] == 23
 
 
+def test_substring_rows_of_one_id_with_other_texts(spark):
+    """One document by its id: copies between its rows stay; another document loses what any of them has."""
+    words = [f"a{k}" for k in range(60)]
+    rows = [(7, " ".join(words)), (7, "short"), (7, " ".join(["x", *words[10:40]])), (7, None), (9, " ".join(words[10:40])), (3, "q " * 50)]
+    found = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got(found, "doc_id", "n_words", "n_removed") == want(
+        [(7, 60, 0), (7, 1, 0), (7, 31, 0), (7, 0, 0), (9, 30, 30), (3, 50, 49)])
+
+
 # ---------------------------------------------------------------- 3 language model
 def test_language_model(docs, rows, empty, unnamed):
     found = {(r.doc_id, r.n_tokens): r for r in language_model.language_model_scores(docs).collect()}
