@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfline.llm.common import lower_bytes, map_arrow, with_package
-from shelfline.session import freeze
+from shelfline.session import discard, freeze
 
 END = "\n"                 # the token at the end of a text, and the letter at the end of a word; in no word
 ORDER = 3                  # letters of the longest context
@@ -495,24 +495,30 @@ def fitted(packed: DataFrame) -> Fitted:
     located = freeze(locate(packed, blocks), "located")
     index = freeze(pair_rows(located), "index")
     pairs = freeze(index.groupBy("b", "x").agg(F.sum("c").alias("c")).withColumn("t", (F.col("c") > 0).cast("long")), "pairs")
-    blocks = freeze(with_customers(blocks, pairs), "words")
+    counted, blocks = blocks, freeze(with_customers(blocks, pairs), "words")
+    discard(counted)
     letters, opening, samples, averaged = None, 0.0, [], []
     for turn in range(BURN_IN + SAMPLES):
         n_words, distinct, customers, tables = root_totals(blocks)
         needed = freeze(letter_rows(blocks), "spelling")
         levels = letter_sweep(needed.groupBy("u", "x").agg(F.sum("c").alias("c")), letters, turn)
-        letters = freeze(letter_probabilities(levels), "letters")
+        spelt, letters = letters, freeze(letter_probabilities(levels), "letters")
+        discard(spelt, *levels)
         # The customers seated this turn stand for all but their own change of the total tables.
-        blocks = freeze(word_sweep(blocks, needed, letters, (customers, tables), turn), "words")
+        before, blocks = blocks, freeze(word_sweep(blocks, needed, letters, (customers, tables), turn), "words")
+        discard(before, needed)
         totals = root_totals(blocks)[2:]
         now = word_probabilities(blocks, totals)
-        pairs = text_sweep(located, index, pairs, now, turn)
-        pairs = pair_sweep(pairs, now, turn)
+        last, customers_of = pairs, text_sweep(located, index, pairs, now, turn)
+        pairs = pair_sweep(customers_of, now, turn)
+        discard(customers_of, *([last] if all(last is not s for s in samples) else []))
         if turn >= BURN_IN:
             opening += new_table(*totals) / SAMPLES
             samples.append(pairs)
             averaged.append(now)
-        blocks = freeze(with_customers(blocks, pairs), "words")
+        seated, blocks = blocks, freeze(with_customers(blocks, pairs), "words")
+        if turn < BURN_IN:
+            discard(seated)
     words = reduce(DataFrame.unionByName, averaged).groupBy("x").agg(
         F.first("words").alias("word"), F.first("seen").alias("c"), (F.sum("served") / SAMPLES).alias("served"),
         (F.sum("spelt") / SAMPLES).alias("spelt"))

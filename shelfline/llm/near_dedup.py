@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from shelfline.llm.common import lower_bytes, map_arrow
-from shelfline.session import freeze
+from shelfline.session import discard, freeze
 
 SHINGLE = 5
 PERCENT = 80
@@ -156,13 +156,15 @@ def components(links: DataFrame) -> DataFrame:
     to the label's own label, so that a chain takes a number of steps logarithmic in its length."""
     ends = freeze(links.select("a", "b").unionAll(links.select("b", "a")).distinct(), "ends")
     labels = freeze(ends.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component")).withColumnRenamed("a", "id"), "labels")
+    kept = labels
     while True:
         near = ends.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("component").alias("near"))
         step = labels.join(near, F.col("id") == F.col("a")).select("id", "component", F.least("component", "near").alias("to"))
         step = freeze(step, "step")
         up = step.select(F.col("id").alias("to"), F.col("to").alias("further"))
         new = freeze(step.join(up, "to").select("id", "component", F.least("to", "further").alias("new")), "labels")
-        labels = new.select("id", F.col("new").alias("component"))
+        discard(kept, step)
+        kept, labels = new, new.select("id", F.col("new").alias("component"))
         if new.where("component != new").isEmpty():
             return labels
 
