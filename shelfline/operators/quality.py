@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, functions as F
 
 
 def _rows(df: DataFrame, where: str | None) -> DataFrame:
@@ -82,7 +82,8 @@ def check_payment_reconciliation(fct_payments: DataFrame, tol: Decimal = Decimal
 # ---------------------------------------------------------------- suite
 @dataclass
 class Check:
-    """A named check. Give `bad`, a row predicate over `df`, or `failing`, a frame of failing rows."""
+    """A named check. Give `bad`, a row predicate over `df`; or `column` of `df` and the `parent` and column that have
+    to hold its values; or `failing`, a frame of failing rows."""
 
     name: str
     df: DataFrame | None = None
@@ -90,6 +91,13 @@ class Check:
     failing: DataFrame | None = None
     severity: str = "error"
     where: str | None = None
+    column: str | None = None
+    parent: DataFrame | None = None
+    parent_column: str | None = None
+
+    def count(self) -> Column:
+        """Failing rows of a row check."""
+        return F.count_if((F.expr(self.where) if self.where else F.lit(True)) & self.bad)
 
 
 def unique(name, df, columns, severity="error", where=None) -> Check:
@@ -111,29 +119,48 @@ def expression(name, df, text, severity="error", where=None) -> Check:
 
 
 def relationships(name, child, column, parent, parent_column, severity="error", where=None) -> Check:
-    return Check(name, failing=check_relationships(child, column, parent, parent_column, where), severity=severity)
+    return Check(name, child, severity=severity, where=where, column=column, parent=parent, parent_column=parent_column)
 
 
 def _summary(df: DataFrame, checks: list[Check]) -> DataFrame:
     """All row checks of one frame in one pass over it."""
-    counts = df.agg(*[
-        F.count_if((F.expr(c.where) if c.where else F.lit(True)) & c.bad).alias(f"c{i}")
-        for i, c in enumerate(checks)
+    counts = df.agg(*[c.count().alias(f"c{i}") for i, c in enumerate(checks)])
+    return counts.select(F.explode(_told(checks, [F.col(f"c{i}") for i in range(len(checks))])).alias("r")).select("r.*")
+
+
+def _told(checks: list[Check], failures: list[Column]) -> Column:
+    return F.array(*[
+        F.struct(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), n.alias("failures"))
+        for c, n in zip(checks, failures)
     ])
-    rows = F.array(*[
-        F.struct(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), F.col(f"c{i}").alias("failures"))
+
+
+def _references(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All foreign keys of one frame in one pass over it: its distinct values with their counts, of which those
+    without a parent are added up. A hot value is one row of each task."""
+    values = F.array(*[
+        F.struct(F.lit(i).alias("of"), F.when(F.expr(c.where) if c.where else F.lit(True), F.col(c.column).cast("string")).alias("value"))
         for i, c in enumerate(checks)
     ])
-    return counts.select(F.explode(rows).alias("r")).select("r.*")
+    held = (df.select(F.explode(values).alias("v")).select("v.*").where("value is not null")
+            .groupBy("of", "value").agg(F.count(F.lit(1)).alias("n")))
+    known = reduce(DataFrame.unionByName, [
+        c.parent.select(F.lit(i).alias("of"), F.col(c.parent_column).cast("string").alias("value")) for i, c in enumerate(checks)])
+    lacking = held.join(known, ["of", "value"], "left_anti")
+    counts = lacking.agg(*[F.coalesce(F.sum(F.when(F.col("of") == i, F.col("n"))), F.lit(0)).alias(f"c{i}") for i in range(len(checks))])
+    return counts.select(F.explode(_told(checks, [F.col(f"c{i}") for i in range(len(checks))])).alias("r")).select("r.*")
 
 
 def run_suite(checks: list[Check]) -> DataFrame:
-    """check, severity, failures: one row per check."""
-    per_frame: dict[int, list[Check]] = {}
+    """check, severity, failures: one row per check. A frame is read once for its row checks, once for its foreign
+    keys, and once for each other check."""
+    rows: dict[int, list[Check]] = {}
+    references: dict[int, list[Check]] = {}
     for c in checks:
         if c.failing is None:
-            per_frame.setdefault(id(c.df), []).append(c)
-    parts = [_summary(group[0].df, group) for group in per_frame.values()]
+            (rows if c.parent is None else references).setdefault(id(c.df), []).append(c)
+    parts = [_summary(group[0].df, group) for group in rows.values()]
+    parts += [_references(group[0].df, group) for group in references.values()]
     parts += [
         c.failing.agg(F.count(F.lit(1)).alias("failures"))
         .select(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failures")
@@ -142,13 +169,32 @@ def run_suite(checks: list[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+class Observed:
+    """Row checks counted while a frame is written: `watch` gives the frame to write, `result` the counts, once it is.
+
+    The counts are those of the rows that went through the write, and cost no pass of their own."""
+
+    def __init__(self, checks: list[Check]):
+        self.checks = [c for c in checks if c.bad is not None]
+        self.metrics = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.metrics, *[c.count().alias(f"c{i}") for i, c in enumerate(self.checks)]) if self.checks else df
+
+    def result(self) -> list[tuple[str, str, int]]:
+        seen = self.metrics.get if self.checks else {}
+        return [(c.name, c.severity, seen.get(f"c{i}", 0)) for i, c in enumerate(self.checks)]
+
+
 class QualityError(Exception):
     """A check of severity error found failing rows."""
 
 
-def gate(result: DataFrame) -> list:
-    """Runs the suite and stops the caller on an error; returns the warnings that fired."""
-    fired = result.where(F.col("failures") > 0).collect()  # at most one row per check
+def gate(result: DataFrame | None, observed: list[tuple[str, str, int]] = ()) -> list:
+    """Runs the suite and stops the caller on an error; returns (check, severity, failures) of the warnings that fired.
+    `observed` are checks that have been counted already."""
+    counted = [] if result is None else result.where(F.col("failures") > 0).collect()  # at most one row per check
+    fired = [*counted, *(Row(check=n, severity=s, failures=k) for n, s, k in observed if k)]
     errors = [r for r in fired if r.severity == "error"]
     if errors:
         raise QualityError("; ".join(f"{r['check']}: {r.failures}" for r in errors))

@@ -1,23 +1,37 @@
-"""Keyed upsert into plain Parquet, which has no MERGE.
+"""Keyed upsert into Parquet tables partitioned by day; plain Parquet has no MERGE.
 
-A table is a folder of Parquet files, hash-partitioned into a fixed number of buckets, plus one
-small JSON file per committed state that lists the live folders. A write adds folders first and
-the state file last (write, then rename), so readers see either the old state or the new one and
-a job that dies half way leaves the table as it was. An upsert rewrites only the buckets it
-touches. One writer at a time; a second one fails at its commit.
+A table is a folder with four others, all of them written and read by Spark's own Parquet source:
+
+* `rows`: the rows, partitioned by `_day`; a key stays under the day that it was first filed under;
+* `keys/<columns>`: which days hold rows of a key, a narrow table bucketed by the key, so that a lookup
+  shuffles the keys asked for and never the table;
+* `schema`: an empty file with all columns, so that older partitions read new ones as null;
+* `marks`: one short row per write, with the highest load time and number so far.
+
+An upsert looks up the days of the keys it brings, compares its rows with those stored there, and overwrites
+the partitions in which something changes (dynamic partition overwrite), no others. New keys are entered
+before the rows and the mark after them: a run that died half way is repaired by running it again, and until
+then readers can see some days before and some after it. One writer at a time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
-from dataclasses import dataclass, field
+import hashlib
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-DEFAULT_BUCKETS = 16
-LOADED = "_loaded_at"
+from shelfline.session import freeze
+
+DEFAULT_BUCKETS = 16      # of a key table
+MOST_FILES = 64           # per bucket of a key table, before it is written anew
+KEPT_MARKS = 8
+LOADED, DAY = "_loaded_at", "_day"
+NO_DAY = dt.date(1970, 1, 1)   # where rows without a key or any day are filed
 
 
 # ---------------------------------------------------------------- file system helpers
@@ -45,209 +59,296 @@ def list_files(spark: SparkSession, path: str, suffix: str) -> list[str]:
     return sorted(found)
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, final = _fs(spark, path)
-    _, part = _fs(spark, path + ".part")
-    out = fs.create(part, True)
-    out.write(bytearray(text, "utf-8"))
-    out.close()
-    if fs.exists(final) or not fs.rename(part, final):
-        raise RuntimeError(f"another writer committed {path}")
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+def remove_matching(spark: SparkSession, pattern: str) -> None:
+    fs, p = _fs(spark, pattern)
+    for found in fs.globStatus(p) or ():
+        fs.delete(found.getPath(), True)
 
 
-# ---------------------------------------------------------------- committed states
-@dataclass
-class State:
-    version: int
-    schema: StructType
-    buckets: int
-    cluster_by: list[str]
-    folders: list[list]                       # [bucket, folder below data/]
-    highest: dict = field(default_factory=dict)  # largest value ever written, per watched column
-
-
-def current_state(spark: SparkSession, path: str) -> State | None:
-    names = [n for n in list_names(spark, f"{path}/states") if n.endswith(".json")]
-    if not names:
-        return None
-    d = json.loads(_read_text(spark, f"{path}/states/{names[-1]}"))
-    return State(d["version"], StructType.fromJson(d["schema"]), d["buckets"], d["cluster_by"], d["folders"], d["highest"])
+# ---------------------------------------------------------------- reading
+def table_schema(spark: SparkSession, path: str) -> StructType | None:
+    return spark.read.parquet(f"{path}/schema").schema if list_names(spark, f"{path}/schema") else None
 
 
-def _commit(spark: SparkSession, path: str, state: State) -> None:
-    text = json.dumps({
-        "version": state.version, "schema": state.schema.jsonValue(), "buckets": state.buckets,
-        "cluster_by": state.cluster_by, "folders": state.folders, "highest": state.highest,
-    })
-    _write_text(spark, f"{path}/states/{state.version:010d}.json", text)
+def stored_days(spark: SparkSession, path: str) -> list[dt.date]:
+    return [dt.date.fromisoformat(n.split("=")[1]) for n in list_names(spark, f"{path}/rows") if n.startswith(f"{DAY}=")]
 
 
-def _load(spark: SparkSession, path: str, schema: StructType, folders: list[list]) -> DataFrame:
-    if not folders:
-        return spark.createDataFrame([], schema)
-    paths = [f"{path}/data/{folder}" for _, folder in folders]
-    # The state holds the schema, so files written before a column was added read it as null.
-    return spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*paths).select(*schema.names)
+def read_days(spark: SparkSession, path: str, days: list[dt.date] | None = None) -> DataFrame:
+    """The rows with their `_day`; with `days`, from those partitions alone."""
+    schema = table_schema(spark, path)
+    full = StructType(schema.fields).add(DAY, "date")
+    have = stored_days(spark, path)
+    if days is None and have:
+        return spark.read.schema(full).parquet(f"{path}/rows")
+    found = sorted(set(have) & set(days or ()))
+    if not found:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", f"{path}/rows").parquet(*[f"{path}/rows/{DAY}={d}" for d in found])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    state = current_state(spark, path)
-    return None if state is None else _load(spark, path, state.schema, state.folders)
-
-
-def bucket_of(columns: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
-
-
-def read_buckets_of(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
-    """The part of a table that can hold the given keys (columns = the table's cluster columns)."""
-    state = current_state(spark, path)
-    hit = keys.select(bucket_of(state.cluster_by, state.buckets).alias("b")).distinct()
-    touched = {r.b for r in hit.collect()}  # at most one row per bucket
-    return _load(spark, path, state.schema, [f for f in state.folders if f[0] in touched])
-
-
-# ---------------------------------------------------------------- writes
-def _write_folder(spark: SparkSession, path: str, folder: str, df: DataFrame, cluster: list[str], buckets: int):
-    """Writes bucket folders; AQE splits a large bucket over several files and joins small ones."""
-    target = f"{path}/data/{folder}"
-    (
-        df.withColumn("_bucket", bucket_of(cluster, buckets) if cluster else F.lit(0))
-        .hint("rebalance", "_bucket")
-        .write.mode("overwrite").partitionBy("_bucket").parquet(target)
-    )
-    made = [n for n in list_names(spark, target) if n.startswith("_bucket=")]
-    return [[int(n.split("=")[1]), f"{folder}/{n}"] for n in made]
-
-
-def _text(value) -> str | int | None:
-    if isinstance(value, dt.datetime):
-        value = value.astimezone(dt.timezone.utc)  # so that states compare as text
-    return value.isoformat() if isinstance(value, dt.date) else value
-
-
-def _inspect(df: DataFrame, keys: list[str], watch: list[str], before: dict) -> dict:
-    """One pass over written rows: fails if a key occurs twice, returns the largest watched values."""
-    columns = [c for c in watch if c in df.columns]
-    tops = [F.max(c).alias(c) for c in columns]
-    if keys:
-        df = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"), *tops)
-        tops.append(F.max("_times").alias("_times"))
-    if not tops:
-        return dict(before)
-    row = df.agg(*tops).first()
-    if keys and (row["_times"] or 0) > 1:
-        raise ValueError(f"the source holds more than one row for a value of {keys}")
-    seen = {c: _text(row[c]) for c in columns}
-    return {c: max([v for v in (before.get(c), seen.get(c)) if v is not None], default=None)
-            for c in {*before, *seen}}
-
-
-def overwrite_table(spark, path: str, df: DataFrame, cluster_by: list[str] = (), buckets: int = DEFAULT_BUCKETS,
-                    watch: list[str] = (LOADED,)) -> DataFrame:
-    """Replaces the whole content."""
-    old = current_state(spark, path)
-    version = old.version + 1 if old else 1
-    cluster = list(cluster_by)
-    folders = _write_folder(spark, path, f"_write={version}", df, cluster, buckets if cluster else 1)
-    now = _load(spark, path, df.schema, folders)
-    _commit(spark, path, State(version, df.schema, buckets if cluster else 1, cluster, folders,
-                               _inspect(now, [], list(watch), old.highest if old else {})))
+    schema = table_schema(spark, path)
+    return None if schema is None else read_days(spark, path).select(*schema.names)
+
+
+def rows_of(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
+    """The rows with the given keys (distinct; their columns are those of a key table), read from their days alone."""
+    if table_schema(spark, path) is None:
+        raise ValueError(f"no table at {path}")
+    days = _days(_known(spark, path, keys))
+    return read_days(spark, path, days).join(keys, keys.columns, "left_semi").drop(DAY)
+
+
+# ---------------------------------------------------------------- key tables
+def _key_table(spark: SparkSession, path: str, columns: list[str]) -> tuple[str, str] | None:
+    """Catalog name and folder of the newest complete key table; the folders alone hold all there is."""
+    base = f"{path}/keys/{'-'.join(columns)}"
+    made = [n for n in list_names(spark, base) if "_SUCCESS" in list_names(spark, f"{base}/{n}")]
+    return (_register(spark, f"{base}/{made[-1]}"), f"{base}/{made[-1]}") if made else None
+
+
+def _register(spark: SparkSession, folder: str, kind: str | None = None, columns: list[str] | None = None, buckets: int = 0) -> str:
+    name = f"keys_{hashlib.md5(folder.encode()).hexdigest()}"
+    if not spark.catalog.tableExists(name):
+        if kind is None:   # written by another session: columns and buckets are in its files and folder
+            kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spark.read.parquet(folder).schema.fields)
+            columns = folder.split("/")[-2].split("-")
+            buckets = int(folder.rsplit("of", 1)[1])
+        names = ", ".join(columns)
+        spark.sql(f"CREATE TABLE {name} ({kind}) USING parquet CLUSTERED BY ({names}) SORTED BY ({names}) "
+                  f"INTO {buckets} BUCKETS LOCATION '{folder}'")
+    return name
+
+
+def _write_keys(spark: SparkSession, path: str, columns: list[str], pairs: DataFrame, buckets: int) -> None:
+    """A new generation of a key table, complete once its job has committed; the older ones go."""
+    base = f"{path}/keys/{'-'.join(columns)}"
+    old = list_names(spark, base)
+    number = 1 + max([int(n[1:].split("of")[0]) for n in old], default=0)
+    folder = f"{base}/g{number:06d}of{buckets}"
+    kind = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in [*columns, DAY])
+    name = _register(spark, folder, kind, columns, buckets)
+    pairs.select(*columns, DAY).repartition(buckets, *columns).write.mode("append").insertInto(name)
+    for n in old:
+        spark.sql(f"DROP TABLE IF EXISTS keys_{hashlib.md5(f'{base}/{n}'.encode()).hexdigest()}")
+        _remove(spark, f"{base}/{n}")
+
+
+def _known(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
+    """Keys and the days that can hold them. Only the keys asked for are shuffled or broadcast."""
+    found = _key_table(spark, path, keys.columns)
+    if found is None:
+        return spark.createDataFrame([], StructType([*keys.schema.fields]).add(DAY, "date"))
+    return spark.table(found[0]).join(keys, keys.columns, "left_semi").distinct()
+
+
+def _enter_keys(spark: SparkSession, path: str, columns: list[str], rows: DataFrame, buckets: int) -> None:
+    """Adds the pairs of key and day that the key table lacks."""
+    pairs = rows.dropna(subset=columns).select(*columns, DAY).distinct()
+    found = _key_table(spark, path, columns)
+    if found is None:
+        return _write_keys(spark, path, columns, pairs, buckets)
+    name, folder = found
+    buckets = int(folder.rsplit("of", 1)[1])
+    known = _known(spark, path, pairs.select(*columns).distinct())
+    pairs.join(known, [*columns, DAY], "left_anti").coalesce(1 if buckets <= 64 else buckets // 64).write.mode(
+        "append").insertInto(name)
+    if len(list_names(spark, folder)) > MOST_FILES * buckets:
+        _write_keys(spark, path, columns, freeze(spark.table(name), "keys"), buckets)
+
+
+def _days(df: DataFrame) -> list[dt.date]:
+    return sorted(r[0] for r in df.select(DAY).distinct().collect())   # at most one row per day
+
+
+# ---------------------------------------------------------------- marks
+def _mark(spark: SparkSession, path: str, loaded: dt.datetime | None, number: int | None) -> None:
+    """Marks only grow, so the highest of the rows is what holds; a few of the newest files stay."""
+    before = marks(spark, path)
+    high = [max([x for x in pair if x is not None], default=None) for pair in zip(before, (loaded, number))]
+    old = list_files(spark, f"{path}/marks", ".parquet")
+    spark.createDataFrame([tuple(high)], "loaded TIMESTAMP, number BIGINT").coalesce(1).write.mode("append").parquet(f"{path}/marks")
+    if len(old) > KEPT_MARKS:
+        for file in old:    # the new one holds all that they say
+            _remove(spark, file)
+
+
+def marks(spark: SparkSession, path: str) -> tuple[dt.datetime | None, int | None]:
+    """Highest load time and highest number that were ever written."""
+    if not list_files(spark, f"{path}/marks", ".parquet"):
+        return None, None
+    return tuple(spark.read.schema("loaded TIMESTAMP, number BIGINT").parquet(f"{path}/marks").agg(
+        F.max("loaded"), F.max("number")).first())
+
+
+def _highest(df: DataFrame, number: str | None) -> tuple[dt.datetime | None, int | None]:
+    tops = [F.max(c) if c in df.columns else F.lit(None) for c in (LOADED, number)]
+    return tuple(df.agg(*[t.alias(f"top{i}") for i, t in enumerate(tops)]).first())
+
+
+# ---------------------------------------------------------------- writing
+def _filed(df: DataFrame, day: Column | str | None, index: list[str], known: Column | None = None, grain: str = "DAY") -> DataFrame:
+    """Adds `_day`: where the key is known, else the given day, else the day of the load."""
+    given = F.col(day) if isinstance(day, str) else day
+    loaded = F.col(LOADED) if LOADED in df.columns else None
+    period = lambda c: F.date_trunc(grain, c.cast("timestamp_ntz")).cast("date")
+    options = [period(c) for c in (known, given, loaded) if c is not None]
+    found = F.coalesce(*options, F.lit(NO_DAY))
+    return df.withColumn(DAY, F.when(_any_null(index), F.lit(NO_DAY)).otherwise(found) if index else found)
+
+
+def _write_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    if table_schema(spark, path) != schema:
+        spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/schema")
+
+
+def _write_rows(df: DataFrame, path: str, mode: str) -> None:
+    """AQE splits a large day over several files and joins small ones."""
+    df.hint("rebalance", DAY).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(DAY).parquet(f"{path}/rows")
+
+
+def _replace_days(spark: SparkSession, path: str, df: DataFrame, days: list[dt.date]) -> None:
+    """Overwrites the given partitions; one for which there are no rows any more is removed."""
+    files = lambda d: list_names(spark, f"{path}/rows/{DAY}={d}")
+    before = {d: files(d) for d in days}
+    _write_rows(df, path, "dynamic")
+    for d in days:
+        if before[d] and files(d) == before[d]:
+            _remove(spark, f"{path}/rows/{DAY}={d}")
+
+
+def overwrite_table(spark: SparkSession, path: str, df: DataFrame, index: list[str] = (), day: Column | str | None = None,
+                    buckets: int = DEFAULT_BUCKETS, also: list[list[str]] = (), number: str | None = None,
+                    grain: str = "DAY") -> DataFrame:
+    """Replaces the whole content. `df` must not read the table itself; `freeze` it first if it does."""
+    index, schema = list(index), df.schema
+    if table_schema(spark, path) is not None:
+        _write_schema(spark, path, schema)
+    _write_rows(_filed(df, day, index, grain=grain), path, "static")
+    if table_schema(spark, path) is None:
+        _write_schema(spark, path, schema)
+    for columns in [index, *also] if index else []:
+        pairs = read_days(spark, path).dropna(subset=columns).select(*columns, DAY).distinct()
+        _write_keys(spark, path, columns, pairs, buckets)
+    now = read_table(spark, path)
+    _mark(spark, path, *_highest(now, number))
     return now
 
 
-def append_table(spark, path: str, df: DataFrame) -> DataFrame:
-    """Adds rows in one commit. Columns that the table lacks are added to it; old rows read them as null."""
-    old = current_state(spark, path)
-    version = old.version + 1 if old else 1
-    folders = _write_folder(spark, path, f"_write={version}", df, [], 1)
-    schema = old.schema if old else df.schema
-    have = {n.lower() for n in schema.names}
-    schema = StructType([*schema.fields, *(f for f in df.schema.fields if f.name.lower() not in have)])
-    every = (old.folders if old else []) + folders
-    _commit(spark, path, State(version, schema, 1, [], every, old.highest if old else {}))
-    return _load(spark, path, schema, every)
+def replace_values(spark: SparkSession, path: str, df: DataFrame, column: str, values: list, grain: str = "DAY") -> DataFrame:
+    """Replaces the rows whose date `column` is one of `values` (null is one) by `df`, in a table filed by that column.
+    Only the partitions of those dates are written."""
+    dates = spark.createDataFrame([(v,) for v in values], f"{column} DATE")
+    days = _days(_filed(dates, column, [], grain=grain))
+    known = [v for v in values if v is not None]
+    hit = F.coalesce(F.col(column).isin(known), F.lit(None in values))
+    kept = read_days(spark, path, days).where(~hit)
+    _replace_days(spark, path, kept.unionByName(_filed(freeze(df, "replaced"), column, [], grain=grain)), days)
+    return read_table(spark, path)
+
+
+def append_table(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """Adds rows. Columns that the table lacks are added to it; old rows read them as null."""
+    _write_schema(spark, path, _both(table_schema(spark, path), df.schema))
+    _filed(df, None, []).coalesce(1).write.mode("append").partitionBy(DAY).parquet(f"{path}/rows")
+    return read_table(spark, path)
 
 
-def upsert(
+def _both(old: StructType | None, new: StructType) -> StructType:
+    have = {n.lower() for n in old.names} if old else set()
+    return StructType([*(old.fields if old else []), *(f for f in new.fields if f.name.lower() not in have)])
+
+
+@dataclass
+class Merge:
+    """A table after a merge, and its rows that came or went; None where the table is new."""
+
+    table: DataFrame
+    changed: DataFrame | None
+
+
+def upsert(spark: SparkSession, path: str, src: DataFrame, keys: list[str], **how) -> DataFrame:
+    """Merges `src` into the table and returns it; `how` as for `merge_rows`."""
+    return merge_rows(spark, path, src, keys, **how).table
+
+
+def merge_rows(
     spark: SparkSession,
     path: str,
     src: DataFrame,
     keys: list[str],
     replace_by: list[str] | None = None,
-    cluster_by: list[str] | None = None,
+    index: list[str] | None = None,
+    day: Column | str | None = None,
     buckets: int = DEFAULT_BUCKETS,
-    watch: list[str] = (LOADED,),
-    resolve=None,
-) -> DataFrame:
-    """Merges `src` into the table: a target row whose `replace_by` columns (default: the keys)
+    also: list[list[str]] = (),
+    number: str | None = None,
+    grain: str = "DAY",
+    resolve: Callable[[DataFrame], DataFrame] | None = None,
+    check: bool = False,
+) -> Merge:
+    """Merges `src` into the table: a stored row whose `replace_by` columns (default: the keys)
     occur in `src` is replaced, other rows stay, new columns are appended.
 
-    `cluster_by` must be among `replace_by`; it decides the bucket. `resolve`, if given, decides
-    instead of "the source wins": it maps target and source rows together to one row per key, and
-    must leave a row without a rival as it is (`latest_by` does).
+    `index` (among `replace_by`; default: all of them) and each of `also` name the columns of a key table; `day` is
+    the day that a new key is filed under; a table of few rows a day takes `grain` MONTH or YEAR, whose first day
+    then stands for all of it. `resolve`, if given, decides instead of "the source wins": it maps stored and
+    source rows together to one row per key. `number` is a column whose highest value is to be kept. With
+    `check`, a source with two rows of a key is refused. Partitions in which no row changes are left as they are.
     """
     by = list(replace_by or keys)
-    old = current_state(spark, path)
-    cluster = old.cluster_by if old else list(cluster_by or by)
-    buckets = old.buckets if old else buckets
-    version = old.version + 1 if old else 1
-
-    # The source is written once, already bucketed: this cuts its lineage, names the touched
-    # buckets for free and is the final data for buckets the target does not have yet.
-    incoming = _write_folder(spark, path, f"_write={version}-in", src, cluster, buckets)
-    staged = _load(spark, path, src.schema, incoming)
-    if not incoming and old:
-        return _load(spark, path, old.schema, old.folders)
-    highest = _inspect(staged, keys, list(watch), old.highest if old else {})
-
-    live = old.folders if old else []
-    touched = {b for b, _ in incoming}
-    met = [f for f in live if f[0] in touched]
-    schema = src.schema
-    folders = [f for f in live if f[0] not in touched] + incoming
-    if old:
-        schema = _load(spark, path, old.schema, []).unionByName(
-            spark.createDataFrame([], src.schema), allowMissingColumns=True).schema
-    if met:
-        target = _load(spark, path, schema, met)
-        both = {b for b, _ in met}
-        fresh = _load(spark, path, schema, [f for f in incoming if f[0] in both])
-        if resolve is None:
-            merged = target.join(fresh.select(*by), by, "left_anti").unionByName(fresh)
-        else:
-            merged = resolve(target.unionByName(fresh))
-        rewritten = _write_folder(spark, path, f"_write={version}-out", merged.select(*schema.names), cluster, buckets)
-        folders = [f for f in live if f[0] not in touched] + [f for f in incoming if f[0] not in both] + rewritten
-    _commit(spark, path, State(version, schema, buckets, cluster, folders, highest))
-    return _load(spark, path, schema, folders)
-
-
-def vacuum(spark: SparkSession, path: str, keep: int = 3) -> int:
-    """Removes data that none of the last `keep` states uses, and the older states; returns the
-    number of folders removed. Not while a write is running."""
-    names = [n for n in list_names(spark, f"{path}/states") if n.endswith(".json")]
-    live = {folder for n in names[-keep:] for _, folder in json.loads(_read_text(spark, f"{path}/states/{n}"))["folders"]}
-    removed = 0
-    for write in list_names(spark, f"{path}/data"):
-        for bucket in list_names(spark, f"{path}/data/{write}"):
-            if bucket.startswith("_bucket=") and f"{write}/{bucket}" not in live:
-                fs, p = _fs(spark, f"{path}/data/{write}/{bucket}")
-                fs.delete(p, True)
-                removed += 1
-    for n in names[:-keep]:
-        fs, p = _fs(spark, f"{path}/states/{n}")
-        fs.delete(p, False)
-    return removed
+    index = list(index or by)
+    staged = freeze(src, "staged")
+    loaded, top = _highest(staged, number)
+    if check and not staged.groupBy(*keys).count().where("count > 1").isEmpty():
+        raise ValueError(f"the source holds more than one row for a value of {keys}")
+    old = table_schema(spark, path)
+    if old is None:
+        first = staged if resolve is None else resolve(staged)
+        return Merge(overwrite_table(spark, path, first, index, day, buckets, also, number, grain), None)
+    if staged.isEmpty():
+        return Merge(read_table(spark, path), spark.createDataFrame([], old))
+    schema = _both(old, staged.schema)
+    lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in staged.columns]
+    known = freeze(_known(spark, path, staged.select(*index).dropna().distinct()), "known")
+    first = known.groupBy(*index).agg(F.min(DAY).alias("_known"))
+    news = _filed(staged.select("*", *lacking).join(first, index, "left"), day, index, F.col("_known"), grain).select(
+        *schema.names, DAY)
+
+    # Stored rows of the same keys, where the key table says that they can be: as many as the news has, or chains of it.
+    touched = {*_days(known), *([NO_DAY] if not staged.where(_any_null(index)).isEmpty() else [])}
+    _write_schema(spark, path, schema)
+    arriving = staged.select(*by).distinct()
+    rivals = freeze(_matching(read_days(spark, path, list(touched)), arriving, by, "left_semi"), "rivals")
+    winners = news if resolve is None else freeze(resolve(news.unionByName(rivals)), "winners")
+    changed = winners.subtract(rivals).unionByName(rivals.subtract(winners))
+    days = _days(changed)
+    if number:
+        _mark(spark, path, None, top)   # numbers are taken before rows hold them
+    if days:
+        for columns in [index, *also]:
+            _enter_keys(spark, path, columns, winners, buckets)
+        kept = _matching(read_days(spark, path, days), arriving, by, "left_anti")
+        _replace_days(spark, path, kept.unionByName(winners.where(F.col(DAY).isin(days))), days)
+    _mark(spark, path, loaded, None)
+    return Merge(read_table(spark, path), changed.drop(DAY))
+
+
+def _any_null(columns: list[str]) -> Column:
+    return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
+
+
+def _matching(df: DataFrame, keys: DataFrame, by: list[str], how: str) -> DataFrame:
+    """Semi or anti join in which null equals null."""
+    named = keys.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)])
+    same = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
+    return df.join(named, reduce(Column.__and__, same), how)
 
 
 # ---------------------------------------------------------------- watermarks
@@ -260,10 +361,9 @@ def watermark(target: DataFrame | None, lookback: dt.timedelta = dt.timedelta(0)
 
 
 def table_watermark(spark, path: str, lookback: dt.timedelta = dt.timedelta(0)) -> dt.datetime | None:
-    """The same from the committed state, without a scan."""
-    state = current_state(spark, path)
-    top = state.highest.get(LOADED) if state else None
-    return None if top is None else dt.datetime.fromisoformat(top) - lookback
+    """The same from the table's marks, without a scan."""
+    top = marks(spark, path)[0]
+    return None if top is None else top - lookback
 
 
 def loaded_after(df: DataFrame, since: dt.datetime | None) -> DataFrame:

@@ -60,6 +60,8 @@ def checks_for(table: str, t: dict[str, DataFrame], now: dt.datetime) -> list[Ch
             accepted("stg_events.event_type accepted", df, "event_type", EVENT_TYPES),
             not_null("stg_events.event_ts not null", df, "event_ts"),
         ]
+    if table == "raw_products":
+        return [expression("catalog_products nothing rescued", df, "_rescued is null", "warn")]
     if table == "stg_products":
         return [unique("stg_products key unique", df, ["sku", "snapshot_date"])]
     if table == "dim_date":

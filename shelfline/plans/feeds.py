@@ -8,6 +8,7 @@ plain SQL with a few dialect helpers, because the checks run the same adapters i
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -348,8 +349,20 @@ FEED_OF = {
 }
 
 
+_written: dict[tuple[str, str], str] = {}
+
+
+def write_feeds(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Writes all feeds of a folder of tables, so that queries of this process read them instead of restating the tables."""
+    for name in [*FEED_OF.values(), "catalog", "events_log"]:
+        _feed(spark, sf_dir, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+        _written[sf_dir, name] = f"{folder}/{name}"
+
+
 def _feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A feed as one statement over the files: no view is left behind and no session state is needed."""
+    if (sf_dir, name) in _written:
+        return spark.read.parquet(_written[sf_dir, name])
     feeds = with_ctes([name], SparkDialect)
     used = [t for t in SOURCE_TABLES if any(re.search(rf"\b{t}\b", text) for _, text in feeds)]
     files = [(t, f"SELECT * FROM parquet.`{sf_dir.rstrip('/')}/{t}.parquet`") for t in used]
@@ -396,15 +409,18 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- landing files
 def write_landing(spark: SparkSession, sf_dir: str, landing: str, part: str, where: str | None = None,
                   tables: tuple = ("stores", "customers", "transactions", "transaction_lines", "payments"),
-                  events: str | None = "true", catalog_days: str | None = "true") -> None:
+                  events: str | None = "true", catalog_days: str | None = "true", lines: Callable | None = None) -> None:
     """Writes one delivery: change files, event files and catalog files, filtered by SQL conditions.
 
-    The changes that one commit makes to a key go to one file, so their order does not depend on
+    `lines`, if given, picks the rows of the sales lines instead of `where`. The changes that one commit makes to a key go to one file, so their order does not depend on
     file names.
     """
     for t in tables:
         rows = cdc_source(spark, sf_dir, t)
-        rows = rows.where(where) if where else rows
+        if t == "transaction_lines" and lines:
+            rows = lines(rows)
+        else:
+            rows = rows.where(where) if where else rows
         body = rows.drop("_file", "_loaded_at").repartition(POS_KEYS[t][0], "_dms_commit_ts")
         body.write.mode("overwrite").parquet(f"{landing}/pos/pos/{t}/{part}")
     if events:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-import datetime as dt
+import re
 from functools import reduce
 from urllib.parse import unquote
 
@@ -41,19 +41,16 @@ def cdc_schema(table: str) -> str:
     return f"{POS_COLUMNS[table]}, {CDC_SOURCE_COLUMNS}"
 
 
-def landed_schema(spark: SparkSession, path: str, contract: str, since: str | None = None) -> StructType:
-    """The contract's columns, and after them whatever else the files under `path` have. With `since`
-    (a date) only files changed from then on are looked at."""
+def landed_schema(spark: SparkSession, path: str | list[str], contract: str) -> StructType:
+    """The contract's columns, and after them whatever else the files under `path` have."""
     known = StructType.fromDDL(contract)
-    reader = _reader(spark, False).option("mergeSchema", "true")
-    if since:
-        reader = reader.option("modifiedAfter", f"{since}T00:00:00")
+    paths = [path] if isinstance(path, str) else path
     try:
-        found = reader.parquet(path).schema
+        found = _reader(spark, False).option("mergeSchema", "true").parquet(*paths)
     except AnalysisException:   # no such file yet
         return known
     names = {n.lower() for n in known.names}
-    return StructType([*known.fields, *(f for f in found.fields if f.name.lower() not in names)])
+    return StructType([*known.fields, *(f for f in found.schema.fields if f.name.lower() not in names)])
 
 
 def _reader(spark: SparkSession, streaming: bool):
@@ -108,9 +105,10 @@ def read_csv_by_name(
 ) -> DataFrame:
     """CSV files with a header, matched to the target columns by name, whatever case and order.
 
-    Extra columns are left out, missing ones and short rows give null, and all values are read as
-    text first, so '0042' stays '0042'. Files with the same header are read together. Line breaks
-    inside quotes need `multi_line`, which makes each file one task.
+    Missing columns and short rows give null, and all values are read as text first, so '0042' stays
+    '0042'. What has no target column, and what does not parse as its column's type, is kept in `_rescued`, a
+    variant object from header name to text, null where nothing was left over. Files with the same header are
+    read together. Line breaks inside quotes need `multi_line`, which makes each file one task.
     """
     schema = StructType.fromDDL(target)
     by_header: dict[tuple, list[str]] = {}
@@ -128,19 +126,38 @@ def read_csv_by_name(
         place = {}
         for i, h in enumerate(header):
             place.setdefault(h.strip().lower(), names[i])
+        typed = {
+            place[f.name.lower()]: F.col(place[f.name.lower()]).try_cast(f.dataType)
+            for f in schema.fields if f.name.lower() in place
+        }
         columns = [
-            (F.col(place[f.name.lower()]) if f.name.lower() in place else F.lit(None))
-            .try_cast(f.dataType).alias(f.name)
+            (typed[place[f.name.lower()]] if f.name.lower() in place else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema.fields
         ]
-        return rows.select(*columns, relative_file(base_dir).alias("_file"), F.current_timestamp().alias("_loaded_at"))
+        left_over = [
+            F.when((F.trim(n) != "") & (typed[n].isNull() if n in typed else F.lit(True)), F.col(n)) for n in names
+        ]
+        return rows.select(*columns, rescued([h.strip() for h in header], left_over),
+                           relative_file(base_dir).alias("_file"), F.current_timestamp().alias("_loaded_at"))
 
     parts = [group(h, files) for h, files in sorted(by_header.items())]
     if not parts:
-        return spark.createDataFrame([], StructType.fromDDL(f"{target}, _file STRING, _loaded_at TIMESTAMP"))
+        return spark.createDataFrame([], StructType.fromDDL(f"{target}, {RESCUED} VARIANT, _file STRING, _loaded_at TIMESTAMP"))
     return reduce(DataFrame.unionByName, parts)
 
 
+RESCUED = "_rescued"
+
+
+def rescued(names: list[str], values: list[Column]) -> Column:
+    """A variant object of the values that are not null; null if all are. A name that a header has twice
+    is numbered from the second on."""
+    told = [n if n not in names[:i] else f"{n} {names[:i].count(n) + 1}" for i, n in enumerate(names)]
+    pairs = F.array(*[F.struct(F.lit(n).alias("key"), v.alias("value")) for n, v in zip(told, values)])
+    kept = F.filter(pairs, lambda p: p["value"].isNotNull())
+    return F.when(F.size(kept) > 0, F.to_variant_object(F.map_from_entries(kept))).alias(RESCUED)
+
+
 def check_schema_drift(spark: SparkSession, paths: list[str], expected: str = CATALOG_COLUMNS,
                        base_dir: str | None = None) -> DataFrame:
     """file, missing, extra: the files whose header differs from the expected names."""
@@ -162,66 +179,103 @@ def ingest_new_files(
 ) -> int:
     """Loads every landing file once, however often it is called; returns the number of new files.
 
-    Parquet and JSON go through a file stream that stops when nothing is left: its checkpoint is
-    the ledger and the file sink commits a batch whole or not at all. Raw rows are stored by load
-    day, so later runs read only the days after their watermark. CSV needs each file's own header,
-    so it is a batch load into a versioned table, with a ledger of the files, whether they had rows or
-    not. Change files keep all their columns, those the contract does not name too.
+    For Parquet and JSON a stream lists the files, without their content, until none is left; its checkpoint is
+    the ledger. A batch's files are then read with the columns that they themselves have, so a late file keeps all of
+    its columns, whatever its time, and written as a partition of the load day and the batch, which a
+    batch that is run again replaces. Later runs read only the days after their watermark. CSV needs each
+    file's own header, so it is a batch load with a partition per file, and a ledger of the files, whether they
+    had rows or not.
     """
     if not tables.list_names(spark, src_dir):
         return 0
     if fmt == "csv":
         return _ingest_csv(spark, src_dir, table_dir, ledger_dir, schema or CATALOG_COLUMNS)
-    if fmt == "parquet":
-        days = [n.split("=")[1] for n in tables.list_names(spark, table_dir) if n.startswith("_load_date=")]
-        since = str(dt.date.fromisoformat(max(days)) - dt.timedelta(days=1)) if days else None
-        schema = landed_schema(spark, src_dir, schema, since)
-        rows = _reader(spark, True).option("maxFilesPerTrigger", max_files_per_batch).schema(schema).parquet(src_dir)
-        raw = to_raw(rows, as_record(rows), src_dir)
-    else:
-        rows = (
-            _reader(spark, True).option("maxFilesPerTrigger", max_files_per_batch)
-            .format("json").option("singleVariantColumn", "record").load(src_dir)
-        )
-        raw = to_raw(rows, F.col("record"), src_dir)
-    started = spark.range(1).select(F.current_timestamp()).first()[0]
-    query = (
-        raw.withColumn("_load_date", F.to_date("_loaded_at"))
-        .writeStream.format("parquet").partitionBy("_load_date")
-        .option("path", table_dir).option("checkpointLocation", ledger_dir)
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    if not any(p.numInputRows for p in query.recentProgress):
-        return 0
-    new = tables.loaded_after(read_raw(spark, table_dir), started - dt.timedelta(microseconds=1))
-    return new.select("_file").distinct().count()
-
-
-RAW_COLUMNS = "record VARIANT, _file STRING, _loaded_at TIMESTAMP, _load_date DATE"
+    counts: list[int] = []
+
+    def load(batch: DataFrame, number: int) -> None:
+        files = [_literal(r.path) for r in batch.select("path").collect()]   # file names only
+        if not files:
+            return
+        session = batch.sparkSession
+        if fmt == "parquet":
+            rows = session.read.schema(landed_schema(session, files, schema)).parquet(*files)
+            raw = to_raw(rows, as_record(rows), src_dir)
+        else:
+            rows = session.read.format("json").option("singleVariantColumn", "record").load(files)
+            raw = to_raw(rows, F.col("record"), src_dir)
+        tables.remove_matching(session, f"{table_dir}/_load_date=*/_batch={number}")
+        (raw.select(F.unix_micros("_loaded_at").alias(LOADED_US), "*", F.to_date("_loaded_at").alias("_load_date"),
+                    F.lit(number).alias("_batch"))
+         .write.mode("append").partitionBy("_load_date", "_batch").parquet(table_dir))
+        counts.append(len(files))
+
+    listed = (_reader(spark, True).option("maxFilesPerTrigger", max_files_per_batch).format("binaryFile")
+              .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY").load(src_dir))
+    (listed.select("path").writeStream.foreachBatch(load).option("checkpointLocation", ledger_dir)
+     .trigger(availableNow=True).start().awaitTermination())
+    return sum(counts)
+
+
+def _literal(path: str) -> str:
+    """A path in which no character stands for others."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+# The load time as a number: Parquet footers hold the largest one, unlike that of timestamps. It is the first column, as
+# Spark finds the statistics by a column's place, which nested columns before it would shift.
+LOADED_US = "_loaded_us"
+RAW_COLUMNS = f"{LOADED_US} BIGINT, record VARIANT, _file STRING, _loaded_at TIMESTAMP, _load_date DATE"
 
 
 def read_raw(spark: SparkSession, table_dir: str) -> DataFrame:
     if not tables.list_names(spark, table_dir):
         return spark.createDataFrame([], RAW_COLUMNS)
-    return spark.read.parquet(table_dir)
+    return spark.read.schema(f"{RAW_COLUMNS}, _batch BIGINT").parquet(table_dir).drop("_batch")
+
+
+def newest_load(spark: SparkSession, table_dir: str) -> DataFrame:
+    """One row with the newest _loaded_at of a raw table, null without rows. Spark answers it from the
+    footers of the files of the newest load day; no data page is read."""
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    names = tables.list_names(spark, table_dir)
+    if not any("=" in n for n in names):
+        return spark.createDataFrame([(None,)], "_loaded_at TIMESTAMP")
+    days = [n.split("=")[1] for n in names if n.startswith("_load_date=")]
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    try:   # only the newer Parquet source pushes aggregates down
+        spark.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in before.split(",") if x != "parquet"))
+        rows = spark.read.schema(f"{LOADED_US} BIGINT, _load_date DATE").parquet(table_dir)
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", before)
+    rows = rows.where(F.col("_load_date") == F.lit(max(days)).cast("date")) if days else rows
+    return rows.agg(F.max(LOADED_US).alias("us")).select(F.timestamp_micros("us").alias("_loaded_at"))
+
+
+def read_catalog(spark: SparkSession, table_dir: str, target: str = CATALOG_COLUMNS) -> DataFrame:
+    """Loaded CSV rows; they are stored in a partition per file."""
+    if not tables.list_names(spark, table_dir):
+        return read_csv_by_name(spark, [], target)
+    return spark.read.schema(f"{target}, {RESCUED} VARIANT, _loaded_at TIMESTAMP, _file STRING").parquet(table_dir).select(
+        *StructType.fromDDL(target).names, RESCUED, "_file", "_loaded_at")
 
 
 def _ingest_csv(spark: SparkSession, src_dir: str, table_dir: str, ledger_dir: str, target: str) -> int:
-    """A file counts as loaded once its name is in the ledger, or, after a run that died between the two
-    commits, once its rows are in the table."""
+    """A file counts as loaded once its name is in the ledger. Its rows are a partition of their own, which a run
+    after one that died before that overwrites."""
     listed = tables.list_files(spark, src_dir, ".csv")
     base = src_dir.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
     by_name = {f.split(base)[-1]: f for f in listed}
     names = spark.createDataFrame([(n,) for n in by_name], "_file STRING")
-    for loaded in (tables.read_table(spark, ledger_dir), tables.read_table(spark, table_dir)):
-        if loaded is not None:
-            names = names.join(loaded.select("_file"), "_file", "left_anti")
+    if tables.list_names(spark, ledger_dir):
+        names = names.join(spark.read.schema("_file STRING").parquet(ledger_dir), "_file", "left_anti")
     new = sorted(r[0] for r in names.collect())  # file names only
     if not new:
         return 0
-    tables.append_table(spark, table_dir, read_csv_by_name(spark, [by_name[n] for n in new], target, src_dir))
-    tables.append_table(spark, ledger_dir, spark.createDataFrame([(n,) for n in new], "_file STRING"))
+    rows = read_csv_by_name(spark, [by_name[n] for n in new], target, src_dir)
+    rows = rows.select(F.unix_micros("_loaded_at").alias(LOADED_US), "*")
+    rows.hint("rebalance", "_file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "_file").parquet(table_dir)
+    spark.createDataFrame([(n,) for n in new], "_file STRING").coalesce(1).write.mode("append").parquet(ledger_dir)
     return len(new)
 
 

@@ -1,11 +1,13 @@
-"""Streams that keep stored tables up to date. State lives in the tables, so nothing expires."""
+"""Streams that keep stored tables up to date. State lives in the tables, so nothing expires there; only
+`drop_copies_within` keeps its state in Spark's state store, and lets go of it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.operators import facts, merge, staging, tables
+from shelfline.session import freeze
 from shelfline.sources import landing as src
 from shelfline.sources.contracts import POS_COLUMNS, POS_KEYS
 
@@ -18,7 +20,7 @@ def _start(raw: DataFrame, fold, checkpoint: str, every: str | None) -> Streamin
 
 def stream_latest(
     spark: SparkSession, landing: str, warehouse: str, table: str, checkpoint: str,
-    max_files: int | None = None, buckets: int = tables.DEFAULT_BUCKETS, every: str | None = None,
+    max_files: int | None = None, buckets: int = tables.DEFAULT_BUCKETS, every: str | None = None, grain: str = "DAY",
 ) -> StreamingQuery:
     """Change files of one point-of-sale table into its current-state table.
 
@@ -33,16 +35,16 @@ def stream_latest(
     raw = src.to_raw(rows, src.as_record(rows), folder)
 
     def fold(batch: DataFrame, _: int) -> None:
-        cluster = ["transaction_id"] if table in ("transactions", "transaction_lines") else None
+        index = ["transaction_id"] if table == "transaction_lines" else None
         merge.merge_latest(batch.sparkSession, f"{warehouse}/state/{table}", staging.stg_cdc(batch, table),
-                           POS_KEYS[table], cluster, buckets)
+                           POS_KEYS[table], index, buckets=buckets, grain=grain)
 
     return _start(raw, fold, checkpoint, every)
 
 
 def stream_sessions(
     spark: SparkSession, landing: str, warehouse: str, checkpoint: str,
-    max_files: int | None = None, buckets: int = tables.DEFAULT_BUCKETS, every: str | None = None,
+    max_files: int | None = None, buckets: int = tables.DEFAULT_BUCKETS, every: str | None = None, grain: str = "DAY",
 ) -> StreamingQuery:
     """Clickstream files into the event table and the session fact.
 
@@ -58,16 +60,18 @@ def stream_sessions(
 
     def fold(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        new = staging.stg_event_log(batch)
-        merge.merge_events(session, f"{warehouse}/state/events", new, buckets)
-        touched = new.select("session_id").distinct()
-        events = tables.read_buckets_of(session, f"{warehouse}/state/events", touched).join(
-            touched, "session_id", "left_semi")
-        sales = tables.read_table(session, f"{warehouse}/state/transactions")
-        if sales is None:   # no sale has landed yet
+        new = freeze(staging.stg_event_log(batch), "batch")   # the files are read and parsed once
+        merge.merge_events(session, f"{warehouse}/state/events", new, buckets, grain)
+        touched = new.select("session_id").dropna().distinct()
+        events = freeze(tables.rows_of(session, f"{warehouse}/state/events", touched), "events")
+        orders = events.select(F.col("order_id").alias("transaction_id")).dropna().distinct()
+        stored = f"{warehouse}/state/transactions"
+        if tables.table_schema(session, stored) is None:   # no sale has landed yet
             sales = session.createDataFrame([], POS_COLUMNS["transactions"])
+        else:
+            sales = tables.rows_of(session, stored, orders)
         merge.merge_fact(session, f"{warehouse}/core/fct_sessions", facts.fct_sessions(events, sales),
-                         ["session_id"], buckets=buckets)
+                         ["session_id"], day="session_start", buckets=buckets, grain=grain)
 
     return _start(raw, fold, checkpoint, every)
 
@@ -83,3 +87,21 @@ def dedupe_stream(
         merge.merge_events(batch.sparkSession, table, batch, buckets)
 
     return _start(events, fold, checkpoint, every)
+
+
+def drop_copies_within(
+    events: DataFrame, path: str, checkpoint: str, within: str = "1 day", arrival: str = "_loaded_at",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Appends a stream of events to Parquet files, each event once, with bounded state.
+
+    The state store remembers an event id until the stream has moved `within` (such as '1 day') past the arrival
+    of its first copy: copies that arrive within that time are dropped, later ones are kept again, which
+    `dedupe_stream` does not do. Time is the time of arrival, so an event is never too late for having
+    happened long ago. Rows whose arrival lies further back than `within` behind the newest one of earlier batches
+    are dropped as late; deliveries in order of arrival have none.
+    """
+    once = events.withWatermark(arrival, within).dropDuplicatesWithinWatermark(["event_id"])
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (once.writeStream.format("parquet").outputMode("append").option("path", path)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())

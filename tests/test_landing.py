@@ -1,11 +1,15 @@
 import datetime as dt
 import gzip
 import json
+import os
+import shutil
 from decimal import Decimal
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 from helpers import rows
-from shelfline.operators import tables
+from shelfline.operators import quality, tables
 from shelfline.operators.staging import stg_cdc, stg_event_log
 from shelfline.sources import landing
 
@@ -45,7 +49,7 @@ def test_csv_files_load_once(spark, folder):
     put(f"{folder}/in/dt=2025-01-02/a.csv", "list_price,sku,pack_size\n2,S2,9\n")
     assert landing.ingest_new_files(*args) == 1
     assert landing.ingest_new_files(*args) == 0
-    got = tables.read_table(spark, f"{folder}/raw")
+    got = landing.read_catalog(spark, f"{folder}/raw", TARGET)
     assert rows(got, "sku", "list_price", "pack_size") == [("S1", Decimal("1.00"), None), ("S2", Decimal("2.00"), "9")]
 
 
@@ -78,6 +82,7 @@ def test_parquet_files_load_once(spark, folder):
                               ).coalesce(1).write.parquet(f"{folder}/in/2025/01/{day}")
         assert landing.ingest_new_files(*args) == 1
     assert landing.ingest_new_files(*args) == 0
+    assert landing.newest_load(spark, f"{folder}/raw").first()[0] == landing.read_raw(spark, f"{folder}/raw").first()._loaded_at
     got = stg_cdc(landing.read_raw(spark, f"{folder}/raw"), "payments")
     assert rows(got, "payment_id", "transaction_id", "amount", "cdc_operation") == [
         ("p01", None, Decimal("1.25"), "INSERT"), ("p02", None, Decimal("1.25"), "DELETE")]
@@ -90,7 +95,7 @@ def test_csv_with_blank_first_lines_and_without_rows(spark, folder):
     put(f"{folder}/in/dt=2025-01-03/a.csv", "\n")
     assert landing.ingest_new_files(*args) == 3
     assert landing.ingest_new_files(*args) == 0
-    assert rows(tables.read_table(spark, f"{folder}/raw"), "sku", "list_price") == [("S1", Decimal("1.00"))]
+    assert rows(landing.read_catalog(spark, f"{folder}/raw", TARGET), "sku", "list_price") == [("S1", Decimal("1.00"))]
 
 
 def test_headers_of_many_files_take_one_job(spark, folder):
@@ -116,6 +121,31 @@ def test_columns_beyond_the_contract_stay(spark, folder):
     assert rows(kept) == [("p01", None), ("p02", "EUR")]
 
 
+def test_an_old_file_that_comes_late_keeps_its_columns(spark, folder):
+    """A delivery copied with its times: the file is older than all that have been loaded."""
+    args = (spark, f"{folder}/in", f"{folder}/raw", "parquet", f"{folder}/ledger", landing.cdc_schema("payments"))
+    ddl = "payment_id STRING, amount DECIMAL(12,2), Op STRING, _dms_commit_ts TIMESTAMP_NTZ"
+    row = ("p1", Decimal("1.25"), "I", dt.datetime(2025, 1, 1))
+    spark.createDataFrame([row], ddl).coalesce(1).write.parquet(f"{folder}/in/1")
+    assert landing.ingest_new_files(*args) == 1
+    spark.createDataFrame([(*row, "EUR")], ddl + ", currency STRING").coalesce(1).write.parquet(f"{folder}/late/2 {{x}}")
+    for file in Path(f"{folder}/late".removeprefix("file:")).rglob("*.parquet"):
+        os.utime(file, (1_600_000_000, 1_600_000_000))
+    Path(f"{folder}/late/2 {{x}}".removeprefix("file:")).rename(f"{folder}/in/2 {{x}}".removeprefix("file:"))
+    assert landing.ingest_new_files(*args) == 1 and landing.ingest_new_files(*args) == 0
+    kept = landing.read_raw(spark, f"{folder}/raw").selectExpr("variant_get(record, '$.currency', 'string') c", "_file")
+    assert {r.c for r in kept.collect()} == {None, "EUR"} and any("/2 {x}/" in f"/{r._file}" or "2%20" in r._file for r in kept.collect())
+
+
+def test_a_batch_that_is_run_again_replaces_its_rows(spark, folder):
+    args = (spark, f"{folder}/in", f"{folder}/raw", "json", f"{folder}/ledger")
+    event_file(f"{folder}/in/a.json.gz", {"event_id": "e1"})
+    assert landing.ingest_new_files(*args) == 1
+    shutil.rmtree(Path(f"{folder}/ledger/commits".removeprefix("file:")))   # as if it had died before its commit
+    assert landing.ingest_new_files(*args) == 1
+    assert landing.read_raw(spark, f"{folder}/raw").count() == 1
+
+
 def test_sessions_stream_before_any_sale(spark, folder):
     from shelfline.streaming import live
     event_file(f"{folder}/clickstream/events/a.json.gz",
@@ -136,3 +166,44 @@ def test_dedupe_stream_loses_nothing_late(spark, folder):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     live.dedupe_stream(stream, f"{folder}/events", f"{folder}/checkpoint", buckets=2).awaitTermination()
     assert rows(tables.read_table(spark, f"{folder}/events"), "event_id") == [("A",), ("B",), ("C",), ("LATE",)]
+
+
+def test_values_without_a_place_are_rescued(spark, folder):
+    put(f"{folder}/in/a.csv", "sku,List_Price,colour,colour\nS1,abc,red,\nS2,1.5, ,\nS3,,,blue\n")
+    args = (spark, f"{folder}/in", f"{folder}/raw", "csv", f"{folder}/ledger", TARGET)
+    assert landing.ingest_new_files(*args) == 1
+    got = landing.read_catalog(spark, f"{folder}/raw", TARGET)
+    texts = got.select("sku", F.to_json(landing.RESCUED).alias("r"))
+    assert rows(texts) == sorted([("S1", '{"List_Price":"abc","colour":"red"}'), ("S2", None), ("S3", '{"colour 2":"blue"}')], key=repr)
+    assert landing.newest_load(spark, f"{folder}/raw").first()[0] == got.first()._loaded_at   # beside nested columns
+    check = quality.expression("nothing rescued", got, "_rescued is null", "warn")
+    assert [r.failures for r in quality.run_suite([check]).collect()] == [2]
+
+
+def test_newest_load_comes_from_footers(spark, folder):
+    assert landing.newest_load(spark, f"{folder}/none").first()[0] is None
+    for day in (1, 3, 2):
+        at = dt.datetime(2025, 1, day, 7)
+        row = spark.createDataFrame([(at,), (at - dt.timedelta(hours=1),)], "_loaded_at TIMESTAMP")
+        row.select(F.unix_micros("_loaded_at").alias(landing.LOADED_US), F.to_date("_loaded_at").alias("_load_date")
+                   ).coalesce(1).write.mode("append").partitionBy("_load_date").parquet(f"{folder}/raw")
+    newest = landing.newest_load(spark, f"{folder}/raw")
+    assert newest.first()[0] == dt.datetime(2025, 1, 3, 7)
+    plan = newest._jdf.queryExecution().toString()
+    assert "PushedAggregation: [MAX(_loaded_us)]" in plan and "_load_date=2025-01-03" not in plan.split("PartitionFilters: []")[-1]
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+
+
+def test_copies_are_dropped_with_bounded_state(spark, folder):
+    """A copy within the time is dropped; long after it the state has let go of the event."""
+    from shelfline.streaming import live
+    schema = "event_id STRING, _loaded_at TIMESTAMP"
+    start, kept_rows = dt.datetime(2025, 1, 1), []
+    for hour, events in [(0, "AB"), (1, "AC"), (30, "D"), (60, "E"), (90, "A")]:
+        at = start + dt.timedelta(hours=hour)
+        spark.createDataFrame([(e, at) for e in events], schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        query = live.drop_copies_within(spark.readStream.schema(schema).parquet(f"{folder}/in"), f"{folder}/out", f"{folder}/ck", "12 hours")
+        query.awaitTermination()
+        kept_rows.append([o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]][-1])
+    assert rows(spark.read.parquet(f"{folder}/out"), "event_id") == [(e,) for e in "AABCDE"]
+    assert max(kept_rows[1:2]) == 3 and kept_rows[-1] <= 2

@@ -41,6 +41,27 @@ def test_suite_counts_every_check_and_gates_on_errors(spark, df):
         quality.gate(quality.run_suite([quality.not_null("k must be set", df, "k")]))
 
 
+def test_row_checks_counted_in_the_write(spark, df, folder):
+    checks = [quality.not_null("k set", df, "k", "warn"), quality.expression("n positive", df, "n > 0", "warn", "n is not null"),
+              quality.unique("k unique", df, "k")]
+    observed = quality.Observed(checks)
+    observed.watch(df).write.parquet(folder)
+    assert observed.result() == [("k set", "warn", 2), ("n positive", "warn", 1)]
+    assert [r["check"] for r in quality.gate(None, observed.result())] == ["k set", "n positive"]
+    with pytest.raises(quality.QualityError, match="k set: 2"):
+        quality.gate(None, [("k set", "error", 2)])
+
+
+def test_foreign_keys_take_one_pass(spark, df):
+    """Nulls pass, hidden rows are not counted, a value counts as often as it occurs."""
+    parents = spark.createDataFrame([("a", 1)], "p STRING, q INT")
+    result = quality.run_suite([quality.relationships("v", df, "v", parents, "p"), quality.relationships("k", df, "k", parents, "q"),
+                                quality.relationships("v where", df, "v", parents, "p", where="n > 3")])
+    assert {r["check"]: r.failures for r in result.collect()} == {"k": 1, "v": 3, "v where": 0}
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode(array(struct(of") == 1
+
+
 def test_freshness(spark):
     hours = lambda h: dt.timedelta(hours=h)
     loads = spark.createDataFrame([(T0,), (T0 - hours(9),)], "_loaded_at TIMESTAMP")

@@ -1,12 +1,14 @@
 """Whole runs: many deliveries give the same warehouse as one."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from shelfline.operators import tables
+from shelfline.operators import marts, tables
+from shelfline.operators.quality import QualityError
 from shelfline.plans import feeds, warehouse
 from shelfline.plans.queries import _settings
 
@@ -28,6 +30,10 @@ def settings(spark, checks=False):
     return s
 
 
+def files_below(spark, path):
+    return {d: tables.list_names(spark, f"{path}/rows/_day={d}") for d in tables.stored_days(spark, path)}
+
+
 @pytest.fixture(scope="module")
 def whole(spark):
     from shelfline.session import run_dir
@@ -68,10 +74,13 @@ def test_a_run_without_news_changes_nothing(spark, whole):
     base, before, _ = whole
     loaded = warehouse.load_raw(spark, f"{base}/in", f"{base}/wh")
     assert set(loaded.values()) == {0}
+    stored = ("core/fct_sales_lines", "core/fct_payments", "core/fct_sessions", "core/dim_customer", "state/payments", "marts/mart_daily_sales")
+    files = {t: files_below(spark, f"{base}/wh/{t}") for t in stored}
     first = rows(tables.read_table(spark, f"{base}/wh/core/fct_sales_lines"))
     out = warehouse.run_incremental(spark, f"{base}/in", f"{base}/wh", settings(spark))
     assert content(out) == before
     assert rows(out["fct_sales_lines"]) == first
+    assert {t: files_below(spark, f"{base}/wh/{t}") for t in stored} == files   # not one partition was written again
 
 
 def test_freshness_of_raw_tables(spark, whole):
@@ -81,9 +90,53 @@ def test_freshness_of_raw_tables(spark, whole):
     assert len(status) == 7 and status["pos_stores"] == "warn" and status["catalog_products"] == "pass"
 
 
+def test_an_out_of_date_source_stops_the_run(spark, whole):
+    now = spark.range(1).select(F.current_timestamp()).first()[0]
+    s = settings(spark, checks=True)
+    s.now = now + dt.timedelta(hours=13)
+    with pytest.raises(QualityError, match="out of date: .*pos_transactions"):
+        warehouse.run_incremental(spark, f"{whole[0]}/in", f"{whole[0]}/wh", s)
+
+
 def test_dimensions_are_never_rebuilt_alone():
-    with pytest.raises(ValueError, match="needs"):
-        warehouse.assert_full_refresh_together({"dim_store"})
+    for dim in ("dim_store", "dim_customer", "dim_product"):
+        with pytest.raises(ValueError, match="needs .*fct_sales_lines"):
+            warehouse.assert_full_refresh_together({dim})
+        warehouse.assert_full_refresh_together(warehouse.with_readers({dim}))
     warehouse.assert_full_refresh_together({"dim_date"})
     warehouse.assert_full_refresh_together({"mart_daily_sales"})
     warehouse.assert_full_refresh_together(warehouse.DIMS | warehouse.FACTS)
+    assert warehouse.with_readers({"dim_store"}) == {"dim_store", "fct_sales_lines", "mart_daily_sales"}
+
+
+def test_rows_of_given_days(spark):
+    day = lambda n: dt.date(2025, 1, n)
+    fact = spark.createDataFrame([(day(1), 1), (day(2), 2), (None, 3), (day(9), 4)], "at DATE, n INT")
+    found = lambda days: rows(warehouse.of_days(fact, "at", days), "n")
+    assert found([day(1), day(9)]) == [(1,), (4,)] and found([None]) == [(3,)] and found([None, day(2)]) == [(2,), (3,)] and found([]) == []
+
+
+def test_marts_follow_the_days_that_change(spark, whole, folder):
+    """A sale is added to a warehouse of years: one partition of the mart is written, and it equals a rebuild."""
+    base, _, _ = whole
+    wh = f"{folder}/wh"
+    feeds.write_landing(spark, DIR, f"{folder}/in", "1", "_dms_commit_ts < '1998-01-01 00:00:00'")
+    warehouse.run_full(spark, f"{folder}/in", wh, settings(spark))
+    before = files_below(spark, f"{wh}/marts/mart_daily_sales")
+    one = spark.createDataFrame([("T-new", 1, None, "store", dt.datetime(1995, 3, 4, 5), "completed", Decimal("7.00"), "USD",
+                                  dt.datetime(1995, 3, 4, 5), "I", dt.datetime(1995, 3, 4, 5))],
+                                "transaction_id STRING, store_id BIGINT, customer_id BIGINT, channel STRING, txn_ts TIMESTAMP_NTZ, status STRING, "
+                                "total_amount DECIMAL(12,2), currency STRING, updated_at TIMESTAMP_NTZ, Op STRING, _dms_commit_ts TIMESTAMP_NTZ")
+    one.coalesce(1).write.parquet(f"{folder}/in/pos/pos/transactions/2")
+    line = spark.createDataFrame([("T-new", 1, "SKU-1", 7, Decimal("1.00"), Decimal("0.00"), None, "I", dt.datetime(1995, 3, 4, 5))],
+                                 "transaction_id STRING, line_no INT, sku STRING, quantity INT, unit_price DECIMAL(10,2), "
+                                 "discount_amount DECIMAL(10,2), promo_code STRING, Op STRING, _dms_commit_ts TIMESTAMP_NTZ")
+    line.coalesce(1).write.parquet(f"{folder}/in/pos/pos/transaction_lines/2")
+    out = warehouse.run_incremental(spark, f"{folder}/in", wh, settings(spark))
+    after = files_below(spark, f"{wh}/marts/mart_daily_sales")
+    assert [d for d in after if after[d] != before.get(d)] == [dt.date(1995, 1, 1)]
+    rebuilt = marts.mart_daily_sales(out["fct_sales_lines"], out["dim_store"])
+    assert rows(out["mart_daily_sales"]) == rows(rebuilt)
+    assert out["mart_daily_sales"].where("txn_date = '1995-03-04' and store_id = 1 and channel = 'store'").count() == 1
+    touched = files_below(spark, f"{wh}/core/fct_sales_lines")
+    assert len(touched) > 3
