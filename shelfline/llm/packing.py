@@ -12,9 +12,10 @@ a task's end, or beyond a number that bounds its memory, are filled up by cuttin
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,14 +49,32 @@ PIECE = T.StructType([
 ])
 
 
+def piece_coder(path: str) -> Callable[[bytes], list[int]]:
+    """The merges of a pre-token's bytes. A vocabulary whose ids rise in the order of its merges is one of ranks, for
+    which tiktoken has the faster code with the same outcome; any other goes to the tokenizer's own model."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    vocab = model["vocab"]
+    merged = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in model["merges"]]
+    own = tokenizer(path).model
+    special = {t.content for t in tokenizer(path).get_added_tokens_decoder().values()}
+    byte = {c: b for b, c in BYTES.items()}
+    ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if t not in special and set(t) <= set(byte)}
+    plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    if plain and all(a < b for a, b in zip([-1, *merged], merged)) and all(bytes([b]) in ranks for b in range(256)):
+        import tiktoken
+        return tiktoken.Encoding("pieces", pat_str=r"\p{L}", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+    return lambda piece: [t.id for t in own.tokenize(piece.decode("latin-1").translate(BYTES))]
+
+
 class Ids(dict):
     """A worker's cache of pre-tokens' ids, as bytes; emptied when it holds more than `CACHED` bytes."""
 
     def __init__(self, path: str):
-        self.path, self.held = path, 0
+        self.coded, self.held = piece_coder(path), 0
 
     def __missing__(self, piece: str) -> bytes:
-        ids = packed([t.id for t in tokenizer(self.path).model.tokenize(piece.encode().decode("latin-1").translate(BYTES))])
+        ids = packed(self.coded(piece.encode()))
         if len(piece) <= 64:
             if self.held > CACHED:
                 self.clear()

@@ -170,6 +170,22 @@ def test_stretches_of_long_texts(monkeypatch):
         assert packing.token_ids(JSON, text) == packing.packed(library.encode(text, add_special_tokens=False).ids)
 
 
+def test_pieces_are_coded_as_the_tokenizer_does(tmp_path):
+    """By ranks where ids rise in the order of merges, else by the tokenizer's own model."""
+    import json
+    own = packing.tokenizer(JSON).model
+    rng = random.Random(2)
+    plain = lambda b: [t.id for t in own.tokenize(b.decode("latin-1").translate(packing.BYTES))]
+    pieces = [bytes(rng.randrange(256) for _ in range(rng.randrange(1, 9))) for _ in range(2000)]
+    pieces += [w.encode() for w in (" the", "antidisestablishment", "naïveté", " ßß", "\u3000日本", "a" * 300, "ab" * 200)]
+    by_ranks = packing.piece_coder(JSON)
+    assert [by_ranks(b) for b in pieces] == [plain(b) for b in pieces] and "encode_single_piece" in repr(by_ranks)
+    made = json.load(open(JSON))
+    made["model"]["merges"].reverse()
+    (tmp_path / "t.json").write_text(json.dumps(made))
+    assert "encode_single_piece" not in repr(packing.piece_coder(str(tmp_path / "t.json")))
+
+
 @pytest.mark.parametrize("most_open", [20, 1 << 14])
 @pytest.mark.parametrize("lengths", [lambda r: r.randint(1, 1024), lambda r: 600, lambda r: r.choice([1, 500, 524, 1023])])
 def test_windows(lengths, most_open):
