@@ -209,7 +209,8 @@ def ingest_new_files(
          .write.mode("append").partitionBy("_load_date", "_batch").parquet(table_dir))
         counts.append(len(files))
 
-    listed = (_reader(spark, True).option("maxFilesPerTrigger", max_files_per_batch).format("binaryFile")
+    # A file is never too old to be new; the names of all files ever loaded are what the stream has to remember.
+    listed = (_reader(spark, True).option("maxFilesPerTrigger", max_files_per_batch).option("maxFileAge", "36500d").format("binaryFile")
               .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY").load(src_dir))
     (listed.select("path").writeStream.foreachBatch(load).option("checkpointLocation", ledger_dir)
      .trigger(availableNow=True).start().awaitTermination())
