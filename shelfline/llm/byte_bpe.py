@@ -3,7 +3,8 @@
 A task splits its texts into pre-tokens and hands the distinct ones it has not met to DuckDB as rows
 (word, position, token, next token). The recursive query joins them with the merge table, contracts
 each word's leftmost pair of lowest rank, and goes on with the words that had one until none has.
-Decoding joins token rows with the vocabulary and puts the bytes together in order.
+Decoding joins token rows with the vocabulary; in the order of words and positions, the bytes of the rows
+end to end are those of the words.
 """
 
 from __future__ import annotations
@@ -14,16 +15,17 @@ from collections.abc import Iterator
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, types as T
 
 from shelfline.llm.common import map_arrow, only
 
 SLICE_BYTES = 4 << 20      # text that is split at once; a longer text is taken alone
-WORDS = 20_000             # words in one recursive query
+WORDS = 50_000             # words in one recursive query
 PAIRS = 4 << 20            # and squares of their bytes, as the query keeps the rows of every round
 LONG = 256                 # bytes from which a word is contracted at all places of a pair at once
-CACHE = 1 << 18            # pre-tokens in a worker's cache, some 70 MB
+CACHE = 1 << 18            # pre-tokens in a worker's cache, some 70 MB; half of them are those met last
 END = 65_535               # "next token" of a word's last one: in no vocabulary of 16 bits
 
 # Each step moves a word's rows up by one place behind the pair; the pair's left row goes, its right
@@ -36,11 +38,11 @@ WITH RECURSIVE step AS (
          CASE WHEN s.idx > b.place THEN s.idx - 1 ELSE s.idx END,
          CASE WHEN s.idx = b.place + 1 THEN b.merged ELSE s.tok END,
          CASE WHEN s.idx = b.place - 1 THEN b.merged ELSE s.nxt END
-  FROM step s JOIN (
-    SELECT w, min((merged << 20) | idx) >> 20 AS merged, min((merged << 20) | idx) & 1048575 AS place
-    FROM step JOIN merges ON pair = tok * 65536 + nxt GROUP BY w) b ON b.w = s.w
+  FROM step s JOIN (SELECT w, (best >> 20)::INT AS merged, (best & 1048575)::INT AS place FROM (
+    SELECT w, min((merged << 20) | idx) AS best
+    FROM step JOIN merges ON pair = (tok::UINTEGER << 16) | nxt::UINTEGER GROUP BY w)) b ON b.w = s.w
   WHERE s.idx <> b.place)
-SELECT w, idx, tok FROM (SELECT *, max(round) OVER (PARTITION BY w) AS last FROM step) WHERE round = last
+SELECT w, idx, tok FROM step JOIN (SELECT w, max(round) AS round FROM step GROUP BY w) USING (w, round)
 """
 
 # A long word has the same pair in many places. They all come before any other pair, from the left
@@ -63,16 +65,13 @@ WITH RECURSIVE step(w, idx, n, tok, nxt) USING KEY (w, idx) AS (
         FROM (
           SELECT *, coalesce(merged = best, false) AS hit
           FROM (SELECT s.*, m.merged, min(m.merged) OVER (PARTITION BY s.w) AS best
-                FROM step s LEFT JOIN merges m ON m.pair = s.tok * 65536 + s.nxt)
+                FROM step s LEFT JOIN merges m ON m.pair = (s.tok * 65536 + s.nxt)::UINTEGER)
           WHERE best IS NOT NULL))))
   WHERE NOT taken)
 SELECT w, idx, tok FROM (SELECT *, min(n) OVER (PARTITION BY w) AS newest FROM step) WHERE n = newest AND idx < n
 """
 
-GATHER = """
-SELECT w, list(tok ORDER BY idx) AS ids, string_agg(hex, '' ORDER BY idx) AS bytes
-FROM ({rows}) JOIN vocabulary ON id = tok GROUP BY w ORDER BY w
-"""
+GATHER = "SELECT w, tok, bytes FROM ({rows}) JOIN vocabulary ON id = tok ORDER BY w, idx"
 
 
 def chunks(mine: list[int], words: list[bytes]) -> Iterator[list[int]]:
@@ -102,20 +101,27 @@ class Coder:
         pairs = [(ranks[t[:k]] * 65536 + ranks[t[k:]], i) for t, i in ranks.items()
                  for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "384MB", "temp_directory": ""})
-        self._table("merges", pair=np.array([p for p, _ in pairs], np.int64), merged=np.array([m for _, m in pairs], np.int64))
-        self._table("vocabulary", id=np.array(list(ranks.values()), np.int64), hex=[t.hex() for t in ranks])
+        self._table("merges", pair=np.array([p for p, _ in pairs], np.uint32), merged=np.array([m for _, m in pairs], np.int64))
+        self._table("vocabulary", id=np.array(list(ranks.values()), np.int32), bytes=pa.array(list(ranks), pa.binary()))
         self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
 
     def _table(self, name: str, **columns) -> None:
         self.db.register("given", pa.table(columns))
         self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def _gather(self, rows: str, table: pa.Table) -> list[tuple[bytes, bytes]]:
+    def _gather(self, rows: str, table: pa.Table, n: int) -> list[tuple[bytes, bytes]]:
+        """(ids, bytes) of the words 0 to n - 1 of a query's rows (w, idx, tok)."""
         self.db.register("start", table)
-        found = self.db.sql(GATHER.format(rows=rows)).fetchnumpy()
+        found = self.db.sql(GATHER.format(rows=rows)).to_arrow_table()
         self.db.unregister("start")
-        return [(np.asarray(ids, "<u4").tobytes(), bytes.fromhex(text)) for ids, text in zip(found["ids"], found["bytes"])]
+        ids = found["tok"].to_numpy().astype("<u4").tobytes()
+        text = b"".join(found["bytes"].to_pylist())
+        first = np.searchsorted(found["w"].to_numpy(), np.arange(n + 1))
+        place = np.append(0, np.cumsum(pc.binary_length(found["bytes"]).to_numpy()))[first].tolist()
+        first = (first * 4).tolist()
+        return [(ids[first[k]:first[k + 1]], text[place[k]:place[k + 1]]) for k in range(n)]
 
     def encode_words(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
         """(ids, decoded bytes) of each word. A word that is a token is that token."""
@@ -132,8 +138,10 @@ class Coder:
                 ends = np.cumsum(size)
                 following = np.append(tokens[1:], END)
                 following[ends - 1] = END
-                rows = pa.table({"w": of, "idx": np.arange(len(tokens)) - (ends - size)[of], "tok": tokens, "nxt": following})
-                for k, coded in zip(chunk, self._gather(step, rows)):
+                columns = {"w": of, "idx": np.arange(len(tokens)) - (ends - size)[of], "tok": tokens, "nxt": following}
+                if step is SHORT_STEP:
+                    columns = {c: v.astype(np.int32) for c, v in columns.items()}
+                for k, coded in zip(chunk, self._gather(step, pa.table(columns), len(chunk))):
                     found[k] = coded
         return found
 
@@ -142,24 +150,24 @@ class Coder:
         size = np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
         of = np.repeat(np.arange(len(coded)), size)
         rows = pa.table({"w": of, "idx": np.arange(len(of)), "tok": np.frombuffer(b"".join(coded), "<u4").astype(np.int64)})
-        made = iter(self._gather("SELECT w, idx, tok FROM start", rows))
-        return [next(made)[1] if n else b"" for n in size]
+        return [text for _, text in self._gather("SELECT w, idx, tok FROM start", rows, len(coded))]
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(ids, decoded bytes) of each text: its words' in their order."""
         split = [self.split(t) for t in texts]
         distinct = set().union(*split)
-        missing = [w for w in distinct if w not in self.known]
-        if len(self.known) + len(missing) > CACHE:
-            self.known.clear()
-            missing = list(distinct)
+        fresh = distinct.difference(self.known)
+        if len(self.known) + len(fresh) > CACHE // 2:
+            self.older, self.known, fresh = self.known, {}, distinct
+        missing = [w for w in fresh if w not in self.older]
+        self.known.update((w, self.older[w]) for w in fresh if w in self.older)
         self.known.update(zip(missing, self.encode_words([w.encode() for w in missing])))
         out = []
         for words in split:
             coded = list(map(self.known.__getitem__, words))
             out.append((b"".join([c[0] for c in coded]), b"".join([c[1] for c in coded])))
         if len(self.known) > CACHE:
-            self.known.clear()
+            self.known = {}
         else:
             for w in missing:
                 if len(w) > LONG:
