@@ -43,6 +43,11 @@ def only(key, make: Callable):
     return _held[key]
 
 
+def let_go() -> None:
+    """For an operator that looks nothing up: drops what this worker holds of the one before."""
+    _held.clear()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from shelfline.llm.common import lower_bytes, map_arrow
+from shelfline.llm.common import let_go, lower_bytes, map_arrow
 from shelfline.session import discard, freeze
 
 SHINGLE = 5
@@ -42,20 +42,6 @@ def least_collisions(percent: int) -> int:
     return COORDINATES
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; emptied when full."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        if len(self) >= 1 << 19:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_words = WordHashes()
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
@@ -64,10 +50,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: str, size: int) -> np.ndarray:
     """The sorted distinct 64-bit hashes of a text's shingles; a short text is one shingle."""
+    import xxhash
     words = lower_bytes(text).split()
     if not words:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     size = min(size, len(h))
     total = np.full(len(h) - size + 1, size, np.uint64)
     for k in range(size):
@@ -94,6 +81,7 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
     out = T.StructType([docs.schema["id"], *FINGERPRINT.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             made = [fingerprint(shingles(t or "", size)) for t in batch.column(1).to_pylist()]
             columns = [pa.array([m[k] for m in made], t) for k, t in enumerate(
@@ -108,6 +96,7 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     out = T.StructType([docs.schema["id"], T.StructField("members", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             sets = [shingles(t or "", size).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=out.names)
@@ -140,6 +129,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .join(sets.select(F.col("id").alias("b"), F.col("members").alias("of_b")), "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import public_tokenizers
+import pyarrow as pa
+import xxhash
+from pyspark.sql import types as T
 
-from shelfline.llm import byte_bpe
+from shelfline.llm import byte_bpe, common, near_dedup, substring_dedup, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -19,3 +24,13 @@ def test_a_full_cache_of_pre_tokens_keeps_those_met_last(monkeypatch):
     assert asked.count(b" common") == 1
     assert len(coder.known) + len(coder.older) <= 64
     assert [c[1].decode() for c in coded] == texts
+
+
+def test_near_dedup_lets_go_of_what_a_worker_held_for_another_operator(monkeypatch):
+    monkeypatch.setattr(near_dedup, "map_arrow", lambda df, run, out: run)
+    docs = SimpleNamespace(schema=T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())]))
+    batch = pa.RecordBatch.from_pydict({"id": [1], "text": ["a few words"]})
+    for run in (near_dedup.fingerprints(docs, 3), near_dedup.shingle_sets(docs, 3)):
+        common.only("another operator", dict)
+        assert sum(made.num_rows for made in run(iter([batch]))) == 1
+        assert not common._held and not hasattr(near_dedup, "_words")
