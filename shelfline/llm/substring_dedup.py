@@ -12,12 +12,13 @@ are the first copies of these paths opened into edges and judged one by one. Sou
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from shelfline.llm.common import map_arrow, only
+from shelfline.llm.common import map_arrow
 from shelfline.session import discard, freeze
 
 WINDOW = 20
@@ -27,17 +28,6 @@ ONE = np.uint64(1)
 _FACTOR = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; emptied when full."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        if len(self) >= 1 << 19:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(29))
@@ -86,11 +76,11 @@ def paths_of(h: np.ndarray, sizes: np.ndarray, window: int, anchor: int) -> tupl
 
 def _flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of texts laid end to end, and the words of each."""
-    known = only("word hashes", WordHashes)
+    import xxhash
     split = [t.encode().split() for t in texts]
     sizes = np.fromiter(map(len, split), np.int64, len(split))
-    h = np.fromiter((known[w] for words in split for w in words), np.uint64, int(sizes.sum()))
-    return h, sizes
+    # A hash takes less time than a look at what is known of so many words.
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(split)), np.uint64, int(sizes.sum())), sizes
 
 
 def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:

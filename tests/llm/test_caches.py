@@ -26,6 +26,23 @@ def test_a_full_cache_of_pre_tokens_keeps_those_met_last(monkeypatch):
     assert [c[1].decode() for c in coded] == texts
 
 
+def test_a_text_without_digits_and_signs_is_not_searched_for_disguises(monkeypatch):
+    find = toxicity.Finder(toxicity.Trie({"idiot": 2.0}, {}))
+    plain, searched = toxicity.disguises, []
+    monkeypatch.setattr(toxicity, "disguises", lambda text: searched.append(text) or plain(text))
+    assert [h[:2] for h in toxicity.hits("You are (as they say) an idiot, it's so. Quite!", find)] == [(2.0, 0)]
+    assert searched == []
+    for text in ("an id1ot here", "an i.d.i.o.t!", "an i d i o t here", "so (1d10t) #2", "xx,id*ot", "i-d-i-o-t"):
+        assert [h[:2] for h in toxicity.hits(text, find)] == [(2.0, 1)] * (text != "so (1d10t) #2"), text
+
+
+def test_words_are_hashed_without_a_table_of_all_words():
+    texts = [" ".join(f"w{k}" for k in range(j, j + 30)) for j in range(3)]
+    h, sizes = substring_dedup._flat(texts)
+    assert sizes.tolist() == [30] * 3 and h.tolist() == [xxhash.xxh3_64_intdigest(w.encode()) for t in texts for w in t.split()]
+    assert common._held.get("word hashes") is None
+
+
 def test_near_dedup_lets_go_of_what_a_worker_held_for_another_operator(monkeypatch):
     monkeypatch.setattr(near_dedup, "map_arrow", lambda df, run, out: run)
     docs = SimpleNamespace(schema=T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())]))
