@@ -10,6 +10,7 @@ speak against abuse. A logistic model weighs the hits into a score.
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from dataclasses import dataclass
@@ -27,7 +28,11 @@ SIGNS = r"*@$!#%&+_.|~\-"
 # Runs of letters, digits and signs with one that is no letter; single letters with spaces or signs between.
 DISGUISED = regex.compile(rf"(?<![\p{{L}}\p{{N}}{SIGNS}])\p{{L}}*+[\p{{N}}{SIGNS}][\p{{L}}\p{{N}}{SIGNS}]*+")
 SPACED = regex.compile(rf"(?<![\p{{L}}\p{{N}}])\p{{L}}(?:[ {SIGNS}]\p{{L}}(?![\p{{L}}\p{{N}}])){{3,}}+")
+# In every text that `SPACED` finds something in: two of the letters inside, with what stands around them.
+SINGLE = re.compile(rf"[ {SIGNS}][^\n {SIGNS}][ {SIGNS}][^\n {SIGNS}][ {SIGNS}]")
 EDGES = "!#%&+_.|~-"       # signs that are no part of a word at its ends
+AROUND = EDGES + ",;:?\"'()"   # what is no part of a disguise at the ends of a token
+KEPT_UP_TO = 64            # characters of a token that a worker keeps
 STANDS_FOR = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "gq",
               "@": "a", "$": "s", "!": "il"}   # other signs stand for any letter
 DISGUISE_UP_TO = 40        # characters of a disguised word
@@ -75,17 +80,19 @@ class Trie:
         found = self.find(word)
         if found is not None or not SHORT <= len(word) or word in self.ordinary:
             return found
-        best = None
+        best, node = None, self.root
         for k in range(len(word) - 1):
-            a, b = word[k], word[k + 1]
-            if a != b and (k or len(word) >= FUZZY_FROM):
-                end = _walk(self.root, word[:k] + b + a + word[k + 2:])
-            elif a == b and len(word) == SHORT + 1:
-                end = _walk(self.root, word[:k] + word[k + 1:])
-            else:
-                continue
+            a, b, end = word[k], word[k + 1], None
+            if a == b:
+                if len(word) == SHORT + 1:
+                    end = _walk(node, word[k + 1:])
+            elif b in node and a in node[b] and (k or len(word) >= FUZZY_FROM):
+                end = _walk(node[b][a], word[k + 2:])
             if end is not None and (best is None or end[0] > best):
                 best = end[0]
+            node = node.get(a)
+            if node is None:
+                break
         return None if best is None else (best, 1)
 
     def disguised(self, word: str) -> tuple[float, int] | None:
@@ -137,11 +144,13 @@ class Trie:
         best, node = None, self.root
         for k in range(len(word) + 1):
             here, after = word[k:], word[k + 1:]
-            ends = [_walk(node, after)] if here else []           # a letter too many
+            first, second = here[:1] or "=", after[:1] or "="     # what has to follow in the trie
+            ends = [_walk(node, after)] if here and second in node else []    # a letter too many
             for letter, child in node.items():
                 if letter not in "=*":
-                    ends.append(_walk(child, here))               # a letter missing
-                    if here and letter != here[0]:
+                    if first in child:
+                        ends.append(_walk(child, here))           # a letter missing
+                    if here and second in child and letter != first:
                         ends.append(_walk(child, after))          # another letter
             for weight, length in filter(None, ends):
                 if length >= FUZZY_FROM and (best is None or weight > best):
@@ -183,25 +192,42 @@ class Finder(dict):
     def __missing__(self, word: str):
         if len(self) >= CACHE:
             self.clear()
-        kind = {"\0": self.trie.disguised, "\1": self.trie.spaced}.get(word[:1])
+        kind = {"\0": self.trie.disguised, "\1": self.trie.spaced, "\2": self._hides}.get(word[:1])
         found = self[word] = kind(word[1:]) if kind else self.trie.look(word)
         return found
 
+    def _hides(self, token: str) -> bool:
+        return any(self.trie.disguised(word) is not None for _, _, word in parts(token))
+
+    def hidden(self, text: str) -> bool:
+        """Whether there is any term with digits, signs or spaces in it; or there may be, for those with spaces. A
+        disguised word has no blanks in it, and a token of letters only none of its signs."""
+        for token in set(text.split()):
+            if not token.strip(AROUND).isalpha() and (
+                    self["\2" + token] if len(token) <= KEPT_UP_TO else self._hides(token)):
+                return True
+        return SINGLE.search(text) is not None
+
 
 def finder(model: Model) -> Finder:
     """One for all tasks of a worker with this model, which it holds."""
     return only(("finder", id(model.trie)), lambda: Finder(model.trie))
 
 
-def disguises(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, marked word) of what may be a term with digits, signs or spaces in it."""
+def parts(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, word) of what may be a term with digits or signs in it."""
     found = []
     for m in DISGUISED.finditer(text):
         word = m[0].strip(EDGES)
         if 3 < len(word) <= DISGUISE_UP_TO and not word.isalpha():
             start = m.start() + len(m[0]) - len(m[0].lstrip(EDGES))
-            found.append((start, start + len(word), "\0" + word))
-    return found + [(*m.span(), "\1" + m[0]) for m in SPACED.finditer(text)]
+            found.append((start, start + len(word), word))
+    return found
+
+
+def disguises(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, marked word) of what may be a term with digits, signs or spaces in it."""
+    return [(a, b, "\0" + word) for a, b, word in parts(text)] + [(*m.span(), "\1" + m[0]) for m in SPACED.finditer(text)]
 
 
 def hits(text: str, find: Finder) -> list[tuple[float, int, bool, list[str]]]:
@@ -209,7 +235,7 @@ def hits(text: str, find: Finder) -> list[tuple[float, int, bool, list[str]]]:
     text = text.lower()
     words = WORD.findall(text)
     at = [k for k, found in enumerate(map(find.__getitem__, words)) if found is not None]
-    hidden = [d for d in disguises(text) if find[d[2]] is not None]
+    hidden = [d for d in disguises(text) if find[d[2]] is not None] if find.hidden(text) else []
     if not at and not hidden:
         return []
     spans = [m.span() for m in WORD.finditer(text)]
