@@ -4,9 +4,10 @@ Each class of equal shingle sets is posted under its signature's (coordinate, va
 the similarity sought agree in at least `least` coordinates but for odds of about one in a hundred
 million, so each class is only posted under its rarest values (the prefix: all but `least` - 1 of
 them), and the long lists of the rest are skipped: collisions in them are counted by comparing
-signatures. Lists are not multiplied out. In a few rounds each member of a list meets the list's leader
-of that round, which joins most of a large group; only pairs that are still in different components
-then meet each other, and those all do.
+signatures. Lists are not multiplied out. Each member of a list meets the list's few leaders, which joins
+most of a large group. Members of lists in which components still meet are posted anew, under the rarest
+shingles of their whole sets: those whose own edits are too many come under none. In short lists the others meet all members of other
+components; long ones are compared block by block, which returns links only.
 """
 
 from __future__ import annotations
@@ -16,15 +17,18 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from shelfline.llm.common import let_go, lower_bytes, map_arrow
+from shelfline.llm.common import let_go, lower_bytes, map_arrow, with_package
 from shelfline.session import discard, freeze
 
 SHINGLE = 5
 PERCENT = 80
 COORDINATES = 64
-ROUNDS = 3
+LEADERS = 3                 # of a list, and the likeliest ones that a member is compared with
+LIST = 64                   # members of a list of rare shingles that meet pair by pair
+BLOCK = 256                 # members that are compared at once in longer ones
 BROADCAST_IDS = 1_000_000   # ids of candidates that are broadcast: 8 bytes each
 _MIX = np.random.default_rng(7).integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -135,7 +139,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+                keep.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return map_arrow(both.select("a", "b", "of_a", "of_b"), run, pairs.select("a", "b").schema)
@@ -167,6 +171,92 @@ def _sized(pairs: DataFrame, classes: DataFrame, least: int, percent: int) -> Da
     return found.select("a", "b", _alike(F.col("sig_a"), F.col("sig_b")).alias("alike")).where(F.col("alike") >= least)
 
 
+def shingle_rows(sets: DataFrame) -> DataFrame:
+    """(id, s, n, h): one row per hash of each set of (id, members); `s` tells sets of one id apart."""
+    out = T._parse_datatype_string("id long, s long, n int, h long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                ids, s, members = batch.slice(at, 256).columns
+                size = pc.binary_length(members).to_numpy() // 8
+                of = np.repeat(np.arange(len(size)), size)
+                yield pa.RecordBatch.from_arrays([
+                    ids.take(pa.array(of)), s.take(pa.array(of)), pa.array(size[of], pa.int32()),
+                    pa.array(np.frombuffer(b"".join(members.to_pylist()), np.int64))], names=out.names)
+
+    return map_arrow(sets.select("id", F.xxhash64("members").alias("s"), "members"), run, out)
+
+
+def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """(token, id, n, s): each set under its rarest shingles, as many as any set that is similar enough has to
+    share one of; `n` shingles, `s` of which other sets have too. Shingles that no other set has are the
+    rarest and link nothing: a set with too many of them is under none, however many others share the rest."""
+    each = shingle_rows(sets)
+    shared = each.groupBy("h").agg(F.count("*").alias("docs")).where("docs > 1")
+    own = each.join(shared, "h").groupBy("id", "s", "n").agg(F.sort_array(F.collect_list(F.struct("docs", "h"))).alias("t"))
+    prefix = own.select("id", "n", "t", F.expr(f"int(size(t) + 1 - (cast(n as long) * {percent} + 99) div 100)").alias("most"))
+    prefix = prefix.where("most > 0").select("id", "n", F.size("t").alias("s"), F.explode(F.slice("t", F.lit(1), F.col("most"))).alias("t"))
+    return prefix.select(F.col("t.h").alias("token"), "id", "n", "s")
+
+
+def open_lists(at: DataFrame) -> DataFrame:
+    """(token, main, docs) of the lists of (token, id, component) in which components meet, their largest one and
+    their length."""
+    weight = at.select("id", "component").distinct().groupBy("component").agg(F.count("*").alias("ids"))
+    return at.join(weight, "component").groupBy("token").agg(
+        F.max_by("component", F.struct("ids", "component")).alias("main"), F.min("component").alias("low"),
+        F.max("component").alias("high"), F.count("*").alias("docs")).where("low < high").select("token", "main", "docs")
+
+
+def block_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join the components of (cluster, id, component, members) as all links within a cluster
+    would. A cluster is dealt into blocks; any two blocks are compared at once, by the products of their sets."""
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "component", "members")
+    out = T._parse_datatype_string("a long, b long")
+
+    def run(rows: pa.Table) -> pa.Table:
+        let_go()
+        ids, component, block = (rows[c].to_pylist() for c in ("id", "component", "block"))
+        sets = [np.frombuffer(m, np.uint64) for m in rows["members"].to_pylist()]
+        n = np.array([len(x) for x in sets])
+        _, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        place = np.cumsum(seen > 1) - 1      # of hashes that several sets have
+        held = (seen > 1)[column]
+        row, column = np.repeat(np.arange(len(n)), n)[held], place[column[held]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        common = np.zeros((len(n), len(n)))
+        for at in range(0, int(place[-1]) + 1, 4096):
+            first, stop = np.searchsorted(column, [at, at + 4096])
+            part = np.zeros((len(n), 4096), np.float32)
+            part[row[first:stop], column[first:stop] - at] = 1
+            common += part @ part.T
+        alike = np.triu((common > 0) & (100 * common >= percent * (n[:, None] + n[None, :] - common)), 1)
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        found = []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(alike))):
+            if rows["low"][0] == rows["high"][0] or block[i] != block[j]:
+                x, y = find(component[i]), find(component[j])
+                if x != y:
+                    root[x] = y
+                    found.append((ids[i], ids[j]))
+        return pa.table([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=out.names)
+
+    with_package(members.sparkSession)
+    return dealt.groupBy("cluster", "low", "high").applyInArrow(run, out)
+
+
 def link_classes(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(id, component) of the classes that are linked with another one."""
     least = least_collisions(percent)
@@ -175,36 +265,42 @@ def link_classes(classes: DataFrame, docs: DataFrame, size: int, percent: int) -
     small = wanted.count() <= BROADCAST_IDS
     sets = freeze(shingle_sets(docs.join(F.broadcast(wanted) if small else wanted, "id", "left_semi"), size), "sets")
     signed = freeze(classes.join(wanted, "id", "left_semi").select("id", "n", "sig"), "signatures")
-    links = labels = None
 
-    def labelled() -> DataFrame:
-        if labels is None:
-            return posts.withColumn("component", F.col("id"))
+    # Members of a list and its leaders, one for each order of the ids.
+    leaders = posts.groupBy("token").agg(*[F.min_by("id", F.xxhash64(F.lit(k), "token", "id")).alias(f"of_{k}") for k in range(LEADERS)])
+    leaders = leaders.select("token", F.explode(F.array_distinct(F.array(*[f"of_{k}" for k in range(LEADERS)]))).alias("b"))
+    pairs = posts.join(leaders, "token").where("id != b").select(F.col("id").alias("a"), "b").distinct()
+    likely = _sized(pairs, signed, least, percent).withColumn(
+        "place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("alike"), "b")))
+    links = freeze(confirmed(likely.where(F.col("place") <= LEADERS).select("a", "b"), sets, percent), "links")
+    labels = components(links)
+
+    def labelled(posts: DataFrame) -> DataFrame:
         return posts.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
-    for turn in range(ROUNDS):
-        at = labelled().withColumn("h", F.xxhash64(F.lit(turn), "token", "id"))
-        leaders = at.groupBy("token").agg(F.min_by("id", "h").alias("leader"), F.min_by("component", "h").alias("of"),
-                                          F.min("component").alias("low"), F.max("component").alias("high"))
-        leaders = leaders.where("low < high").select("token", "leader", "of")
-        pairs = at.join(leaders, "token").where("component != of").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-        likely = _sized(pairs, signed, least, percent).withColumn(
-            "place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("alike"), "b")))
-        found = freeze(confirmed(likely.where("place <= 2").select("a", "b"), sets, percent), "links")
-        links = found if links is None else links.unionAll(found)
-        labels = components(links)
-
-    # All pairs that are left: members outside their list's largest component with those of others.
-    at = freeze(labelled().select("token", "id", "component"), "labelled")
-    weight = at.select("id", "component").distinct().groupBy("component").agg(F.count("*").alias("ids"))
-    open_lists = (at.join(weight, "component").groupBy("token").agg(
-        F.max_by("component", F.struct("ids", "component")).alias("main"), F.min("component").alias("low"),
-        F.max("component").alias("high")).where("low < high").select("token", "main"))
-    apart = at.join(open_lists, "token").where("component != main")
-    pairs = apart.select("token", F.col("id").alias("x"), F.col("component").alias("of")).join(at, "token").where("component != of")
+    # Pairs that are left: in lists in which components still meet, members outside the largest one with those of
+    # others, if they share one of their rarest shingles.
+    at = freeze(labelled(posts), "labelled")
+    meeting = at.join(open_lists(at), "token", "left_semi").select("id").distinct()
+    open_sets = sets.join(meeting, "id", "left_semi").distinct()
+    at = freeze(labelled(rare_shingles(open_sets, percent)), "labelled")
+    lists = freeze(open_lists(at), "lists")
+    apart = at.join(lists.where(F.col("docs") <= LIST), "token").where("component != main").select(
+        "token", F.col("id").alias("x"), F.col("component").alias("of"), F.col("n").alias("n_x"), F.col("s").alias("s_x"))
+    pairs = apart.join(at, "token").where("component != of").where(
+        (100 + percent) * F.least("s", "s_x").cast("long") >= percent * (F.col("n").cast("long") + F.col("n_x")))
     pairs = pairs.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-    last = freeze(confirmed(_sized(pairs, signed, least, percent).select("a", "b"), sets, percent), "links")
-    return components(links.unionAll(last))
+    links = links.unionAll(freeze(confirmed(_sized(pairs, signed, least, percent).select("a", "b"), sets, percent), "links"))
+
+    # Longer lists: all that hang together by them are one cluster, so that no two members meet in each of their lists.
+    long = at.join(lists.where(F.col("docs") > LIST), "token")
+    heads = long.groupBy("token").agg(F.min("id").alias("b"))
+    chained = freeze(long.join(heads, "token").select(F.col("id").alias("a"), "b").distinct(), "clusters")
+    if not chained.isEmpty():
+        members = components(chained).withColumnRenamed("component", "cluster").join(open_sets, "id")
+        members = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        links = links.unionAll(freeze(block_links(members, percent), "links"))
+    return components(links)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = SHINGLE,

@@ -338,6 +338,28 @@ def test_near_duplicates_with_null_ids(unnamed):
         [(20, 20, True), (None, None, True), (None, None, True), (None, None, True)])
 
 
+@pytest.mark.parametrize("least, most", [(1, 5), (3, 8)])
+def test_a_large_group_of_edits_is_compared_in_blocks(spark, monkeypatch, least, most):
+    """Texts that are edits of one text, most of them too far from each other: few pairs become rows."""
+    import random
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(100)]
+    rows = []
+    for i in range(240):
+        words = list(base)
+        for k in rng.sample(range(100), rng.randint(least, most)):
+            words[k] = f"x{rng.randrange(400)}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + k, None) for k in range(2)] + [(i, None) for i in (5, 9)]
+    tested, confirmed = [], near_dedup.confirmed
+    monkeypatch.setattr(near_dedup, "confirmed", lambda pairs, *rest: tested.append(pairs.count()) or confirmed(pairs, *rest))
+    monkeypatch.setattr(near_dedup, "BLOCK", 32, raising=False)
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=85)
+    wanted = {i: c for i, _, c in brute.near(rows[:240], 3, 85)}
+    assert {r.doc_id: r.component_id for r in found.where("n_shingles > 0").collect()} == wanted
+    assert sum(tested) <= 8 * len(rows), tested
+
+
 def test_chains_of_near_duplicates(spark):
     """Neighbours are linked, the ends of the chain are not; a large group with a few far members."""
     import random
