@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -52,10 +54,17 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     """Writes a frame to the shared folder and reads it back.
 
     This cuts its lineage and fixes what could come out differently on a second evaluation. The
-    files outlive any executor, and later reads take only the columns they need.
+    files outlive any executor, and later reads take only the columns they need. The write's shuffle
+    files go when it ends; nothing else reads them.
     """
     path = run_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before) if before is not None else conf.unset(SHUFFLE_CLEANUP)
     frozen = df.sparkSession.read.schema(df.schema).parquet(path)
     frozen._frozen_at = path
     return frozen

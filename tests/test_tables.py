@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -221,3 +222,18 @@ def test_append_adds_new_columns(spark, folder):
     tables.append_table(spark, folder, spark.createDataFrame([(1, "a")], "k INT, v STRING"))
     tables.append_table(spark, folder, spark.createDataFrame([(2, "b", 5)], "k INT, v STRING, w INT"))
     assert rows(tables.read_table(spark, folder)) == [(1, "a", None), (2, "b", 5)]
+
+
+def test_a_frozen_write_leaves_no_shuffle_files(spark):
+    from shelfline.session import SHUFFLE_CLEANUP, freeze
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    written = lambda: {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before, set_before = written(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    frozen = freeze(spark.range(20_000).groupBy((F.col("id") % 7_000).alias("k")).count(), "test")
+    for _ in range(50):
+        if not written() - before:
+            break
+        time.sleep(0.1)
+    assert not written() - before
+    assert frozen.count() == 7_000 and spark.conf.get(SHUFFLE_CLEANUP, None) == set_before
