@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame, types as T
 
 from shelfline.llm.common import map_arrow, only
 
-SLICE_BYTES = 2 << 20      # text that is split at once; a longer text is taken alone
-WORDS = 20_000             # words in one recursive query
-PAIRS = 2 << 20            # and squares of their bytes, as the query keeps the rows of every round
+SLICE_BYTES = 1 << 20      # text that is split at once; a longer text is taken alone
+WORDS = 10_000             # words in one recursive query
+PAIRS = 1 << 20            # and squares of their bytes, as the query keeps the rows of every round
 LONG = 256                 # bytes from which a word is contracted at all places of a pair at once
-CACHE = 1 << 18            # pre-tokens in a worker's cache, some 70 MB; half of them are those met last
+CACHE = 1 << 17            # pre-tokens in a worker's cache, some 35 MB; half of them are those met last
 END = 65_535               # "next token" of a word's last one: in no vocabulary of 16 bits
 
 # Each step moves a word's rows up by one place behind the pair; the pair's left row goes, its right

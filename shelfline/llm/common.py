@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -25,10 +26,25 @@ def with_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, found]))
 
 
+def give_back() -> None:
+    """Returns the memory that a worker has freed to the machine: an executor's workers share its limit with the
+    JVM, also while they wait for their next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """`mapInArrow` with the package at hand."""
+    """`mapInArrow` with the package at hand; a worker keeps no freed memory after its task."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
     with_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(whole, schema)
 
 
 _held: dict = {}
@@ -38,14 +54,16 @@ def only(key, make: Callable):
     """What `make` gives, kept in this worker until something else is asked for: a worker that goes on to another
     operator lets go of what the one before had looked up."""
     if key not in _held:
-        _held.clear()
+        let_go()
         _held[key] = make()
     return _held[key]
 
 
 def let_go() -> None:
     """For an operator that looks nothing up: drops what this worker holds of the one before."""
-    _held.clear()
+    if _held:
+        _held.clear()
+        give_back()
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
 from types import SimpleNamespace
 
 import public_tokenizers
@@ -51,3 +53,30 @@ def test_near_dedup_lets_go_of_what_a_worker_held_for_another_operator(monkeypat
         common.only("another operator", dict)
         assert sum(made.num_rows for made in run(iter([batch]))) == 1
         assert not common._held and not hasattr(near_dedup, "_words")
+
+
+def test_a_worker_gives_back_what_it_held_for_another_operator():
+    def resident() -> int:
+        return int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) >> 10
+
+    kept = []
+
+    def scattered() -> list[bytearray]:
+        made = [bytearray(5_000) for _ in range(60_000)]
+        kept.extend(made[::100])     # what stays lies among what goes
+        return made
+
+    common.only("an operator", scattered)
+    before = resident()
+    common.let_go()
+    assert before - resident() > 150
+
+
+def test_a_worker_gives_back_memory_at_the_end_of_a_task(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    monkeypatch.setattr(common, "with_package", lambda spark: None)
+    docs = SimpleNamespace(sparkSession=None, mapInArrow=lambda run, schema: run)
+    run = common.map_arrow(docs, lambda batches: batches, None)(iter([1, 2]))
+    assert next(run) == 1 and not given
+    assert list(run) == [2] and given
