@@ -12,10 +12,12 @@ them, given the levels around it. Word probabilities
 are averaged over the samples after burn-in. A text is scored from its first word on, each word given
 those before it: over the known words and one outcome for all others, and over all words as spelled.
 
-All tables are DataFrames keyed by word, by (word before, word) or by (context, letter); nothing of the
-corpus passes through the driver. Texts are packed into chunks first: a chunk's distinct words and its
-documents as word numbers, so that a word, and a pair of words, is looked up once a chunk and texts are
-read once.
+All tables are DataFrames; nothing of the corpus passes through the driver. Texts are packed into chunks
+first: a chunk's distinct words and its documents as word numbers, so that texts are read once. Words lie in
+blocks and pairs (word before, word) in groups, as packed columns. Chunks, blocks and groups exchange packed
+columns too, one for each two of them that share words or pairs, and both ends know their order: chunks tell
+groups the customers of their pairs, groups tell chunks the seats there, and blocks tell both what
+their words have. Letters are rows keyed by (context, letter).
 """
 
 from __future__ import annotations
@@ -27,10 +29,11 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from shelfline.llm.common import lower_bytes, map_arrow, with_package
+from shelfline.llm.common import give_back, let_go, lower_bytes, map_arrow, with_package
 from shelfline.session import discard, freeze
 
 END = "\n"                 # the token at the end of a text, and the letter at the end of a word; in no word
@@ -122,19 +125,20 @@ def block_seed(turn: int, words: list) -> np.random.Generator:
 
 # ---------------------------------------------------------------- words, in blocks
 BLOCK = ("block long, words array<string>, seen array<long>, counts array<long>, tables array<long>, "
-         "base array<double>")
+         "base array<double>, c_b array<long>, t_b array<long>")
+BLOCK_COLUMNS = ["block", "words", "seen", "counts", "tables", "base", "c_b", "t_b"]
 BLOCK_WORDS = 25_000
 
 
-def _block_batch(block: int, words, seen, counts, tables, base) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 3, pa.list_(pa.float64()))
-    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((block, words, seen, counts, tables, base), kinds)],
-                                      names=["block", "words", "seen", "counts", "tables", "base"])
+def _block_batch(*values) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 3, pa.list_(pa.float64()), *[pa.list_(pa.int64())] * 2)
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names=BLOCK_COLUMNS)
 
 
 def word_blocks(packed: DataFrame) -> DataFrame:
     """All words: `seen` are the training tokens, `counts` the corpus's customers, at first one at one table;
-    `base` is the probability of the word as spelled in the last sweep."""
+    `base` is the probability of the word as spelled in the last sweep; `c_b` and `t_b` are customers and
+    tables of the word's own restaurant, where it is the word before."""
     counted = packed.select(F.explode_outer(F.arrays_zip("words", "counts")).alias("w")).groupBy("w.words").agg(
         F.sum("w.counts").alias("seen"))
     out = T._parse_datatype_string(BLOCK)
@@ -147,7 +151,8 @@ def word_blocks(packed: DataFrame) -> DataFrame:
                 part = batch.slice(at, BLOCK_WORDS)
                 seen = part.column(1).to_numpy()
                 first = (seen > 0).astype(np.int64)
-                yield _block_batch(task << 32 | made, part.column(0).to_pylist(), seen, first, first, np.zeros(len(seen)))
+                none = np.zeros(len(seen), np.int64)
+                yield _block_batch(task << 32 | made, part.column(0).to_pylist(), seen, first, first, none.astype(float), none, none)
                 made += 1
 
     return map_arrow(counted.sortWithinPartitions("words"), run, out)
@@ -159,16 +164,70 @@ def numbered(blocks: DataFrame, *columns: str) -> DataFrame:
         (F.col("block") * BLOCK_WORDS + F.col("pos")).alias("x"), *[F.col(f"w.{c}").alias(c) for c in columns])
 
 
-# ---------------------------------------------------------------- pairs of words
-LOCATED = ["chunk", "ids", "held", "sizes", "tokens", "numbers"]
-SLICE = 1 << 16
+# ---------------------------------------------------------------- packed columns
+def pack(values: np.ndarray, kind=np.int32) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(values, kind).tobytes(), 1)
+
+
+def unpacked(values: bytes, kind=np.int32) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(values), kind)
+
+
+def pack_rising(values: np.ndarray) -> bytes:
+    return pack(np.diff(values, prepend=0), np.int64)
+
+
+def rising(values: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(values, np.int64))
+
+
+def joined(rows: pa.Table, by: str, column: str, kind=np.int64) -> np.ndarray:
+    """The packed columns of the rows one after the other, in the order of `by`."""
+    order = np.argsort(rows[by].to_numpy(), kind="stable")
+    parts = [unpacked(rows[column][int(k)].as_py(), kind) for k in order]
+    return np.concatenate(parts) if parts else np.empty(0, kind)
+
+
+def runs(of: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(value, start, end) of the runs of equal values."""
+    starts = np.flatnonzero(np.diff(of, prepend=of[:1] - 1))
+    yield from zip(of[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(of)])
+
+
+KINDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+
+
+def table(rows: list[tuple], schema: str) -> pa.Table:
+    """A table of rows, for tasks that give packed columns."""
+    names, kinds = zip(*(field.split() for field in schema.split(", ")))
+    columns = list(zip(*rows)) or [()] * len(names)
+    return pa.table([pa.array(c, KINDS[t]) for c, t in zip(columns, kinds)], names=names)
+
+
+# ---------------------------------------------------------------- pairs of words, in groups
+LOCATED = "chunk long, ids array<long>, held array<boolean>, sizes array<int>, tokens binary, numbers binary, seen binary"
+PAIRS_OF = 1 << 21   # tokens of a word before for which its pairs take another group
+START_WAYS = 64      # groups that share the pairs at the start of a text
 
 
 def locate(packed: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Chunks with the numbers of their words in place of the words."""
-    looked = packed.select("chunk", F.posexplode("words").alias("pos", "words")).join(numbered(blocks, "words"), "words")
-    looked = looked.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("n"))
-    return packed.join(looked, "chunk").withColumn("numbers", F.col("n.x")).select(LOCATED)
+    """Chunks with their words by number, in order, and the words' training tokens in place of the words."""
+    looked = packed.select("chunk", F.posexplode("words").alias("pos", "words")).join(numbered(blocks, "words", "seen"), "words")
+    looked = looked.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("x", "pos", "seen"))).alias("n"))
+    out = T._parse_datatype_string(LOCATED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                x, pos, seen = (np.array(batch.column(j)[k].values) for j in (5, 6, 7))
+                place = np.empty(len(pos), np.uint32)
+                place[pos] = np.arange(len(pos))
+                tokens = place[unpacked(batch.column(4)[k].as_py(), np.uint32)]
+                yield pa.RecordBatch.from_arrays([
+                    *batch.slice(k, 1).columns[:4], *(pa.array([v], pa.binary()) for v in (
+                        pack(tokens, np.uint32), pack_rising(x), pack(seen, np.int64)))], names=out.names)
+
+    return map_arrow(packed.join(looked, "chunk").select("chunk", "ids", "held", "sizes", "tokens", "n.x", "n.pos", "n.seen"), run, out)
 
 
 def in_document(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -194,31 +253,114 @@ def in_pairs(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (keys >> 32) - 1, keys & 0xFFFFFFFF, pair
 
 
-def unpack(sizes: pa.Scalar, tokens: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
-    return np.array(sizes.values, np.int64), np.frombuffer(zstandard.decompress(tokens.as_py()), np.uint32)
+class Chunk:
+    """A chunk's tokens and distinct pairs: by (word before, word), and the order in which they are dealt to groups."""
 
+    def __init__(self, row: dict, groups: int):
+        self.id, self.ids, self.sizes = row["chunk"], row["ids"], np.array(row["sizes"], np.int64)
+        self.tokens, self.learned = unpacked(row["tokens"], np.uint32), ~np.array(row["held"], bool)
+        self.numbers, self.seen = rising(row["numbers"]), unpacked(row["seen"], np.int64)
+        self.last, self.word, self.pair = in_pairs(self.tokens, self.sizes)
+        self.b = np.where(self.last < 0, START, self.numbers[self.last])
+        self.x = self.numbers[self.word]
+        ways = np.where(self.last < 0, START_WAYS, 1 + self.seen[self.last] // PAIRS_OF)
+        group = (self.b * 64 + self.x % ways).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        group = ((group ^ (group >> np.uint64(32))) % np.uint64(groups)).astype(np.int64)
+        self.order = np.argsort(group, kind="stable")
+        self.dealt = list(runs(group[self.order]))
 
-def pair_rows(located: DataFrame) -> DataFrame:
-    """(chunk, pos, b, x, n, c): a chunk's pairs by number, their tokens in the training texts, and the
-    tables there if each text seats a word at one table, opened where the word comes first."""
-    out = T._parse_datatype_string("chunk long, pos int, b long, x long, n long, c long")
+    def pairs_of(self, mail: pa.Table, column: str) -> np.ndarray:
+        """What the groups say of the pairs."""
+        values = np.empty(len(self.word), np.int64)
+        values[self.order] = joined(mail, "g", column, np.int32)
+        return values
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def chunk_of(texts: pa.Table, groups: int) -> Chunk:
+    return Chunk(texts.slice(0, 1).to_pylist()[0], groups)
+
+
+LAYOUT = "g long, chunk long, u binary, b binary, x binary, c binary, at binary"
+# `kind` is what `key` is: a chunk, the block of words, or the group itself.
+SEATS = ("g long, kind string, key long, pos binary, c binary, t binary, s binary, start_c long, start_t long")
+MAIL = "kind string, key long, g long, block long, p binary, c binary, t binary"
+
+
+def layout(located: DataFrame, groups: int) -> DataFrame:
+    """Of each group: the words in its pairs `u`, the pairs (b, x) as places there, in order, -1 at the start of a text,
+    and the tables `c` if each text seats a word at one table, opened where the word comes first. For each chunk
+    the places of its pairs."""
+    out = T._parse_datatype_string("g long, chunk long, b binary, x binary, c binary")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                sizes, tokens = unpack(batch.column(3)[k], batch.column(4)[k])
-                numbers, held = np.array(batch.column(5)[k].values), np.array(batch.column(2)[k].values)
-                last, word, pair = in_pairs(tokens, sizes)
-                of, _, before = in_document(tokens, sizes)
-                learned = ~held[of]
-                count = lambda which: np.bincount(pair[which], minlength=len(word))  # noqa: E731, B023
-                columns = [np.full(len(word), batch.column(0)[k].as_py()), np.arange(len(word), dtype=np.int32),
-                           np.where(last < 0, START, numbers[last]), numbers[word], count(learned), count(learned & (before == 0))]
-                whole = pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=out.names)
-                for at in range(0, len(word), SLICE):
-                    yield whole.slice(at, SLICE)
+                chunk = Chunk(batch.slice(k, 1).to_pylist()[0], groups)
+                of, _, before = in_document(chunk.tokens, chunk.sizes)
+                c = np.bincount(chunk.pair[chunk.learned[of] & (before == 0)], minlength=len(chunk.word))
+                for g, start, end in chunk.dealt:
+                    some = chunk.order[start:end]
+                    rows = [(g, chunk.id, pack_rising(chunk.b[some]), pack(chunk.x[some], np.int64), pack(c[some]))]
+                    yield from table(rows, "g long, chunk long, b binary, x binary, c binary").to_batches()
+
+    def merge(rows: pa.Table) -> pa.Table:
+        b, x, c = ([read(v) for v in rows[k].to_pylist()] for k, read in (
+            ("b", rising), ("x", lambda v: unpacked(v, np.int64)), ("c", unpacked)))
+        sizes = [len(v) for v in b]
+        b, x, c = np.concatenate(b), np.concatenate(x), np.concatenate(c)
+        order = np.lexsort((x, b))
+        fresh = np.ones(len(b), bool)
+        fresh[1:] = (b[order[1:]] != b[order[:-1]]) | (x[order[1:]] != x[order[:-1]])
+        place = np.empty(len(b), np.int64)
+        place[order] = np.cumsum(fresh) - 1
+        first = order[fresh]
+        u = np.unique(np.concatenate([b[first][b[first] != START], x[first]]))
+        g = rows["g"][0].as_py()
+        made = [(g, -1, pack_rising(u), pack_rising(np.where(b[first] == START, -1, np.searchsorted(u, b[first]))),
+                 pack(np.searchsorted(u, x[first])), pack(np.bincount(place, weights=c)), None)]
+        for chunk, at in zip(rows["chunk"].to_pylist(), np.split(place, np.cumsum(sizes)[:-1])):
+            made.append((g, chunk, None, None, None, None, pack_rising(at)))
+        return table(made, LAYOUT)
+
+    return map_arrow(located, deal, out).groupBy("g").applyInArrow(merge, T._parse_datatype_string(LAYOUT))
+
+
+def asked(located: DataFrame, laid: DataFrame) -> DataFrame:
+    """(block, kind, key, pos): the words of a block that a chunk or a group needs, in order."""
+    schema = "block long, kind string, key long, pos binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kind, key, words in zip(*(c.to_pylist() for c in batch.columns)):
+                words = rising(words)
+                rows = [(block, kind, key, pack(words[start:end] % BLOCK_WORDS)) for block, start, end in runs(words // BLOCK_WORDS)]
+                yield from table(rows, schema).to_batches()
+
+    needs = located.select(F.lit("chunk").alias("kind"), F.col("chunk").alias("key"), F.col("numbers").alias("words")).unionAll(
+        laid.where("chunk = -1").select(F.lit("group"), "g", "u"))
+    return map_arrow(needs, run, T._parse_datatype_string(schema))
+
+
+def word_mail(blocks: DataFrame, asks: DataFrame, totals: tuple[int, int]) -> DataFrame:
+    """MAIL of blocks to chunks and groups: the words' probabilities in the corpus and what their restaurants hold."""
+    def run(block: pa.Table, asks: pa.Table) -> pa.Table:
+        if not block.num_rows:
+            return table([], MAIL)
+        counts, tables, base, c, t = (np.array(block[k][0].values) for k in ("counts", "tables", "base", "c_b", "t_b"))
+        p = sum(word_parts(counts, tables, base, totals))
+        made = []
+        for kind, key, pos in zip(*(asks[k].to_pylist() for k in ("kind", "key", "pos"))):
+            pos = unpacked(pos)
+            made.append((kind, key, None, block["block"][0].as_py(), pack(p[pos], np.float64), pack(c[pos], np.int64), pack(t[pos], np.int64)))
+        return table(made, MAIL)
+
+    return beside(blocks, asks, "block", run, MAIL)
+
 
-    return map_arrow(located.select(LOCATED), run, out)
+def seats_mail(seats: DataFrame) -> DataFrame:
+    """MAIL of groups to chunks, and of a group to itself: what is seated."""
+    none = F.lit(None)
+    return seats.where("kind != 'block'").select("kind", "key", "g", none.cast("long").alias("block"), none.cast("binary").alias("p"), "c", "t")
 
 
 def seat_texts(tokens: np.ndarray, sizes: np.ndarray, base: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -244,85 +386,106 @@ def seat_texts(tokens: np.ndarray, sizes: np.ndarray, base: np.ndarray, rng: np.
     return opened
 
 
-def text_sweep(located: DataFrame, index: DataFrame, pairs: DataFrame, words: DataFrame, turn: int) -> DataFrame:
-    """(b, x, c, t): the training documents' customers seated anew, given the probabilities of the pairs;
-    their tables are the pairs' customers `c`. `t` is as it was."""
-    given = pairs.join(pair_masses(pairs), "b").join(words.select("x", (F.col("served") + F.col("spelt")).alias("p")), "x").select("b", "x", (
-        (F.col("c") - PAIR_DISCOUNT * F.col("t") + opening_mass() * F.col("p")) / (PAIR_STRENGTH + F.col("c_b"))).alias("p"))
-    rows = index.where("n > 0").join(given, ["b", "x"]).select("chunk", "pos", "b", "x", "p")
-    out = T._parse_datatype_string("b long, x long, c long")
-
-    def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
-        made = []
-        for k in range(texts.num_rows):
-            sizes, tokens = unpack(texts["sizes"][k], texts["tokens"][k])
-            learned = ~np.array(texts["held"][k].values)
-            pair = in_pairs(tokens, sizes)[2][np.repeat(learned, sizes)]
-            pos = rows["pos"].to_numpy()
-            base = np.zeros(pair.max(initial=-1) + 1)
-            base[pos] = rows["p"].to_numpy()
-            rng = np.random.default_rng([turn, texts["chunk"][k].as_py()])
-            opened = seat_texts(tokens[np.repeat(learned, sizes)], sizes[learned], base[pair], rng)
-            c = np.bincount(pair[opened], minlength=len(base))[pos]
-            made.append(pa.table([rows["b"], rows["x"], pa.array(c)], names=out.names))
-        return pa.concat_tables(made) if made else pa.table([pa.array([], pa.int64())] * 3, names=out.names)
-
-    seated = beside(located, rows, run, out).groupBy("b", "x").agg(F.sum("c").alias("new"))
-    return freeze(pairs.join(seated, ["b", "x"], "left").select(
-        "b", "x", F.coalesce("new", F.lit(0)).cast("long").alias("c"), "t"), "customers")
-
-
-def pair_masses(pairs: DataFrame) -> DataFrame:
-    """(b, c_b, t_b): customers and tables of the restaurants of the words before."""
-    return pairs.groupBy("b").agg(F.sum("c").alias("c_b"), F.sum("t").alias("t_b"))
-
-
-def opening_mass() -> Column:
-    return PAIR_STRENGTH + PAIR_DISCOUNT * F.col("t_b")
-
-
-def pair_sweep(pairs: DataFrame, words: DataFrame, turn: int) -> DataFrame:
-    """(b, x, c, t) seated anew, given the words' probabilities in the corpus."""
-    # `c` are new, `t` of the sweep before; a pair that has lost its customers has lost its tables.
-    given = pairs.join(pair_masses(pairs.withColumn("t", F.least("c", "t"))), "b").join(words.select("x", (F.col("served") + F.col("spelt")).alias("p")), "x")
-    rows = given.select("b", "x", "c", opening_mass().alias("mass"), "p")
-    out = T._parse_datatype_string("b long, x long, c long, t long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            c, mass, base = (batch.column(k).to_numpy() for k in (2, 3, 4))
-            first = f"{batch.column(0)[0]} {batch.column(1)[0]}" if batch.num_rows else ""
-            tables = seat(c, mass, base, PAIR_DISCOUNT, block_seed(turn, [first] * batch.num_rows))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(tables)], names=out.names)
-
-    return freeze(map_arrow(rows.sortWithinPartitions("b", "x"), run, out), "pairs")
+def pair_masses(words: pa.Table, start: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Customers and tables of the words' restaurants; last those of the start of a text."""
+    return tuple(np.append(joined(words, "block", k), v) for k, v in zip(("c", "t"), start))
+
+
+def opening_mass(t_b):
+    return PAIR_STRENGTH + PAIR_DISCOUNT * t_b
+
+
+def text_sweep(located: DataFrame, mail: DataFrame, start: tuple[int, int], groups: int, turn: int) -> DataFrame:
+    """MAIL of chunks to groups: the training documents' customers seated anew, given the probabilities of the
+    pairs; their tables are the pairs' customers `c`."""
+    def run(texts: pa.Table, mail: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return table([], MAIL)
+        chunk = chunk_of(texts, groups)
+        words = mail.filter(pc.is_valid(mail["block"]))
+        mail = mail.filter(pc.is_valid(mail["g"]))
+        p = joined(words, "block", "p", np.float64)
+        c_b, t_b = pair_masses(words, start)
+        c, t = chunk.pairs_of(mail, "c"), chunk.pairs_of(mail, "t")
+        base = (c - PAIR_DISCOUNT * t + opening_mass(t_b[chunk.last]) * p[chunk.word]) / (PAIR_STRENGTH + c_b[chunk.last])
+        in_training = np.repeat(chunk.learned, chunk.sizes)
+        pair = chunk.pair[in_training]
+        opened = seat_texts(chunk.tokens[in_training], chunk.sizes[chunk.learned], base[pair], np.random.default_rng([turn, chunk.id]))
+        c = np.bincount(pair[opened], minlength=len(base))[chunk.order]
+        return table([("group", g, chunk.id, None, None, pack(c[first:end]), None) for g, first, end in chunk.dealt], MAIL)
+
+    return beside(located, mail.where("kind = 'chunk'").withColumnRenamed("key", "chunk"), "chunk", run, MAIL)
+
+
+def pair_sweep(laid: DataFrame, mail: DataFrame | None, start: tuple[int, int], turn: int) -> DataFrame:
+    """SEATS anew, given the pairs' customers in all chunks and the words' probabilities in the corpus; the mass of a
+    restaurant's new tables is that of the sweep before. Without mail the first seats: a table for each pair that has customers."""
+    def run(laid: pa.Table, mail: pa.Table) -> pa.Table:
+        own, *members = sorted(laid.to_pylist(), key=lambda r: r["chunk"])
+        g, u, b, x = own["g"], rising(own["u"]), rising(own["b"]), unpacked(own["x"])
+        if mail.num_rows:
+            words = mail.filter(pc.is_valid(mail["block"]))
+            told = mail.filter(pc.is_valid(mail["g"]))
+            told = dict(zip(told["g"].to_pylist(), told["c"].to_pylist()))
+            c = np.zeros(len(b), np.int64)
+            for row in members:
+                c[rising(row["at"])] += unpacked(told[row["chunk"]])
+            mass = opening_mass(pair_masses(words, start)[1])[b]
+            t = seat(c, mass, joined(words, "block", "p", np.float64)[x], PAIR_DISCOUNT, np.random.default_rng([turn, g]))
+        else:
+            c = unpacked(own["c"]).astype(np.int64)
+            t = (c > 0).astype(np.int64)
+        first = b < 0
+        made = [(g, "group", g, None, None, None, None, int(c[first].sum()), int(t[first].sum()))]
+        for row in members:
+            at = rising(row["at"])
+            made.append((g, "chunk", row["chunk"], None, pack(c[at]), pack(t[at]), None, None, None))
+        add = lambda k, v: np.bincount(k, weights=v, minlength=len(u)).astype(np.int64)
+        c_b, t_b, s = add(b[~first], c[~first]), add(b[~first], t[~first]), add(x, t)
+        for block, a, z in runs(u // BLOCK_WORDS):
+            made.append((g, "block", block, pack(u[a:z] % BLOCK_WORDS), *(pack(v[a:z], np.int64) for v in (c_b, t_b, s)), None, None))
+        return table(made, SEATS)
+
+    if mail is None:
+        mail = laid.sparkSession.createDataFrame([], MAIL)
+    # In mail to a group `g` is the chunk that it came from.
+    mail = mail.where("kind = 'group'").select(F.col("key").alias("group"), "g", "block", "p", "c", "t")
+    return freeze(beside(laid.withColumn("group", F.col("g")), mail, "group", run, SEATS), "seats")
+
+
+def start_masses(seats: DataFrame) -> tuple[int, int]:
+    """Customers and tables of the restaurant of the start of a text."""
+    found = seats.agg(F.sum("start_c"), F.sum("start_t")).first()
+    return tuple(x or 0 for x in found)
 
 
-def with_customers(blocks: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Blocks with the pairs' tables as the corpus's customers. Each word ends some pair."""
-    place = F.struct(F.pmod("x", F.lit(BLOCK_WORDS)).alias("pos"), F.col("n"))
-    found = pairs.groupBy("x").agg(F.sum("t").alias("n")).groupBy(F.expr(f"x div {BLOCK_WORDS}").alias("block")).agg(
-        F.array_sort(F.collect_list(place)).alias("found"))
-    return blocks.join(found, "block").withColumn("counts", F.col("found.n")).select(blocks.columns)
+def with_customers(blocks: DataFrame, seats: DataFrame) -> DataFrame:
+    """Blocks with the pairs' tables as the corpus's customers, and what the words' own restaurants hold."""
+    def run(block: pa.Table, mail: pa.Table) -> pa.Table:
+        if not block.num_rows:
+            return block.select(BLOCK_COLUMNS)
+        found = np.zeros((3, len(block["seen"][0])), np.int64)
+        for pos, *told in zip(*(mail[k].to_pylist() for k in ("pos", "s", "c", "t"))):
+            found[:, unpacked(pos)] += [unpacked(v, np.int64) for v in told]
+        counts, c_b, t_b = found
+        values = {k: block[k][0].values for k in BLOCK_COLUMNS[1:]} | {"counts": counts, "c_b": c_b, "t_b": t_b}
+        return pa.Table.from_batches([_block_batch(block["block"][0].as_py(), *values.values())])
 
+    mail = seats.where("kind = 'block'").select(F.col("key").alias("block"), "pos", "s", "c", "t")
+    return beside(blocks, mail, "block", run, BLOCK)
 
-def pair_probabilities(samples: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """((b, x, own), (b, left)), averaged over the samples: the share of a pair's own customers in the
-    restaurant of its word before, and what that restaurant leaves to the corpus."""
-    own = left = None
-    for pairs in samples:
-        masses = pair_masses(pairs)
-        mine = pairs.join(masses, "b").select("b", "x", (
-            (F.col("c") - PAIR_DISCOUNT * F.col("t")) / (PAIR_STRENGTH + F.col("c_b")) / len(samples)).alias("own"))
-        rest = masses.select("b", (opening_mass() / (PAIR_STRENGTH + F.col("c_b")) / len(samples)).alias("left"))
-        own, left = (mine, rest) if own is None else (own.unionByName(mine), left.unionByName(rest))
-    return own.groupBy("b", "x").agg(F.sum("own").alias("own")), left.groupBy("b").agg(F.sum("left").alias("left"))
 
+def beside(left: DataFrame, right: DataFrame, key: str, run, out: str) -> DataFrame:
+    """`run` on the rows of each key."""
+    def whole(left: pa.Table, right: pa.Table) -> pa.Table:
+        let_go()
+        made = run(left, right)
+        del left, right
+        give_back()
+        return made
 
-def beside(located: DataFrame, rows: DataFrame, run, out: T.StructType) -> DataFrame:
-    """`run` on each chunk and its rows."""
-    with_package(located.sparkSession)
-    return located.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(run, out)
+    with_package(left.sparkSession)
+    return left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(whole, T._parse_datatype_string(out))
 
 
 # ---------------------------------------------------------------- letters
@@ -436,24 +599,29 @@ def word_sweep(blocks: DataFrame, needed: DataFrame, letters: DataFrame, totals:
             for k in range(batch.num_rows):
                 block, words = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
                 seen, counts = (np.array(batch.column(j)[k].values) for j in (2, 3))
-                pairs = batch.column(4)[k].values
+                pairs = batch.column(6)[k].values
                 logs = dict(zip(zip(pairs.field(0).to_pylist(), pairs.field(1).to_pylist()), np.log(pairs.field(2).to_numpy())))
                 base = np.exp(np.array([sum(map(logs.__getitem__, spelled(w))) for w in words]))
                 mass = np.full(len(words), WORD_STRENGTH + WORD_DISCOUNT * n_tables)
                 tables = seat(counts, mass, base, WORD_DISCOUNT, block_seed(turn, words))
-                yield _block_batch(block, words, seen, counts, tables, base)
+                yield _block_batch(block, words, seen, counts, tables, base, *(batch.column(j)[k].values for j in (4, 5)))
+
+    both = blocks.join(given, "block").select("block", "words", "seen", "counts", "c_b", "t_b", "spelling")
+    return map_arrow(both, run, out)
 
-    joined = blocks.join(given, "block").select("block", "words", "seen", "counts", "spelling")
-    return map_arrow(joined, run, out)
+
+def word_parts(counts, tables, base, totals: tuple[int, int]):
+    """The two parts of a word's probability: its own customers, and its share of a new table. With the tables as
+    they are now, all words together have probability 1. For arrays and for columns."""
+    customers, all_tables = totals
+    return (counts - WORD_DISCOUNT * tables) / (WORD_STRENGTH + customers), base * new_table(customers, all_tables)
 
 
 def word_probabilities(blocks: DataFrame, totals: tuple[int, int]) -> DataFrame:
-    """(x, words, seen, served, spelt): the two parts of a word's probability, its own customers, and its
-    share of a new table. With the tables as they are now, all words together have probability 1."""
-    customers, tables = totals
+    """(x, words, seen, served, spelt): one row per word."""
+    parts = word_parts(F.col("counts"), F.col("tables"), F.col("base"), totals)
     return numbered(blocks, "words", "seen", "counts", "tables", "base").select(
-        "x", "words", "seen", ((F.col("counts") - WORD_DISCOUNT * F.col("tables")) / (WORD_STRENGTH + customers)).alias("served"),
-        (F.col("base") * new_table(customers, tables)).alias("spelt"))
+        "x", "words", "seen", *[c.alias(n) for c, n in zip(parts, ("served", "spelt"))])
 
 
 def root_totals(blocks: DataFrame) -> tuple[int, ...]:
@@ -464,40 +632,68 @@ def root_totals(blocks: DataFrame) -> tuple[int, ...]:
     return tuple(x or 0 for x in found)
 
 
+@dataclass(frozen=True)
+class Sample:
+    """A state: the words as seated, their restaurants after it, the pairs' seats, and what the driver knows of it."""
+
+    seated: DataFrame
+    blocks: DataFrame
+    seats: DataFrame
+    totals: tuple[int, int]
+    start: tuple[int, int]
+
+
 @dataclass(frozen=True)
 class Fitted:
-    """(x, word, c, open, closed), training tokens, distinct ones; the chunks and their pairs, and the
-    averaged (b, x, own) and (b, left) of `pair_probabilities`."""
+    """Training tokens, distinct ones; the chunks, what they ask of the blocks, the number of groups, the samples, and
+    the averaged chance of a new table and sum of the known words as spelled."""
 
-    words: DataFrame
     n_words: int
     distinct: int
     located: DataFrame
-    index: DataFrame
-    own: DataFrame
-    left: DataFrame
+    asks: DataFrame
+    groups: int
+    samples: list[Sample]
+    opening: float
+    known: float
 
 
 def fit(packed: DataFrame) -> tuple[DataFrame, int, int]:
     """((word, c, open, closed), training tokens, distinct ones) of the corpus."""
     model = fitted(packed)
-    return model.words.drop("x"), model.n_words, model.distinct
+    words = reduce(DataFrame.unionByName, [word_probabilities(s.seated, s.totals) for s in model.samples]).groupBy("x").agg(
+        F.first("words").alias("word"), F.first("seen").alias("c"), (F.sum("served") / SAMPLES).alias("served"),
+        (F.sum("spelt") / SAMPLES).alias("spelt"))
+    share = F.when(F.col("c") > 0, F.col("spelt") / model.known * (model.distinct / (model.distinct + 1))).otherwise(1 / (model.distinct + 1))
+    return words.select("word", "c", (F.col("served") + F.col("spelt")).alias("open"),
+                        (F.col("served") + model.opening * share).alias("closed")), model.n_words, model.distinct
+
+
+def known_spelt(sample: Sample) -> float:
+    """The share of a new table that the known words have."""
+    known = F.aggregate(F.filter(F.arrays_zip("seen", "base"), lambda w: w["seen"] > 0), F.lit(0.0), lambda a, w: a + w["base"])
+    return (sample.seated.agg(F.sum(known)).first()[0] or 0.0) * new_table(*sample.totals)
 
 
-def fitted(packed: DataFrame) -> Fitted:
-    """The seated restaurants.
+def fitted(packed: DataFrame, keep: bool = True) -> Fitted:
+    """The seated restaurants; the table of chunks goes once it is read, unless it is to be kept.
 
     `open` is the averaged probability of a word as spelled, over all words there can be. `closed` is over
     the known words and one outcome for the others, as in the base score: that outcome has one share in
     `distinct` + 1 of a new table, and the known words share the rest as they are spelled.
     """
-    blocks = freeze(word_blocks(packed), "words")
-    located = freeze(locate(packed, blocks), "located")
-    index = freeze(pair_rows(located), "index")
-    pairs = freeze(index.groupBy("b", "x").agg(F.sum("c").alias("c")).withColumn("t", (F.col("c") > 0).cast("long")), "pairs")
-    counted, blocks = blocks, freeze(with_customers(blocks, pairs), "words")
+    counted = freeze(word_blocks(packed), "words")
+    located = freeze(locate(packed, counted), "located")
+    if not keep:
+        discard(packed)
+    groups = max(1, 2 * located.count())
+    laid = freeze(layout(located, groups), "layout")
+    asks = freeze(asked(located, laid), "asks")
+    seats = pair_sweep(laid, None, (0, 0), 0)
+    start = start_masses(seats)
+    blocks = freeze(with_customers(counted, seats), "words")
     discard(counted)
-    letters, opening, samples, averaged = None, 0.0, [], []
+    letters, samples = None, []
     for turn in range(BURN_IN + SAMPLES):
         n_words, distinct, customers, tables = root_totals(blocks)
         needed = freeze(letter_rows(blocks), "spelling")
@@ -505,28 +701,22 @@ def fitted(packed: DataFrame) -> Fitted:
         spelt, letters = letters, freeze(letter_probabilities(levels), "letters")
         discard(spelt, *levels)
         # The customers seated this turn stand for all but their own change of the total tables.
-        before, blocks = blocks, freeze(word_sweep(blocks, needed, letters, (customers, tables), turn), "words")
-        discard(before, needed)
-        totals = root_totals(blocks)[2:]
-        now = word_probabilities(blocks, totals)
-        last, customers_of = pairs, text_sweep(located, index, pairs, now, turn)
-        pairs = pair_sweep(customers_of, now, turn)
-        discard(customers_of, *([last] if all(last is not s for s in samples) else []))
+        before, seated = blocks, freeze(word_sweep(blocks, needed, letters, (customers, tables), turn), "words")
+        discard(needed, *([before] if all(before is not s.blocks for s in samples) else []))
+        totals = root_totals(seated)[2:]
+        words = freeze(word_mail(seated, asks, totals), "word_mail")
+        new = text_sweep(located, words.unionByName(seats_mail(seats)), start, groups, turn)
+        last, seats = seats, pair_sweep(laid, new.unionByName(words), start, turn)
+        discard(words, *([last] if all(last is not s.seats for s in samples) else []))
+        start = start_masses(seats)
+        blocks = freeze(with_customers(seated, seats), "words")
         if turn >= BURN_IN:
-            opening += new_table(*totals) / SAMPLES
-            samples.append(pairs)
-            averaged.append(now)
-        seated, blocks = blocks, freeze(with_customers(blocks, pairs), "words")
-        if turn < BURN_IN:
+            samples.append(Sample(seated, blocks, seats, totals, start))
+        else:
             discard(seated)
-    words = reduce(DataFrame.unionByName, averaged).groupBy("x").agg(
-        F.first("words").alias("word"), F.first("seen").alias("c"), (F.sum("served") / SAMPLES).alias("served"),
-        (F.sum("spelt") / SAMPLES).alias("spelt"))
-    known = words.where("c > 0").agg(F.sum("spelt")).first()[0] or 1.0
-    share = F.when(F.col("c") > 0, F.col("spelt") / known * (distinct / (distinct + 1))).otherwise(1 / (distinct + 1))
-    words = words.select("x", "word", "c", (F.col("served") + F.col("spelt")).alias("open"),
-                         (F.col("served") + opening * share).alias("closed"))
-    return Fitted(words, n_words, distinct, located, index, *pair_probabilities(samples))
+    discard(letters, laid)
+    return Fitted(n_words, distinct, located, asks, groups, samples, sum(new_table(*s.totals) for s in samples) / SAMPLES,
+                  sum(map(known_spelt, samples)) / SAMPLES or 1.0)
 
 
 def in_sequence(tokens: np.ndarray, sizes: np.ndarray, *corpora: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
@@ -544,36 +734,73 @@ def in_sequence(tokens: np.ndarray, sizes: np.ndarray, *corpora: tuple[np.ndarra
             for corpus, gains in corpora]
 
 
-def scored(model: Fitted, id_column: str) -> DataFrame:
-    out = T.StructType([T.StructField(id_column, T.LongType()), T.StructField("held_out", T.BooleanType()),
-                        T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
-                        T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()),
-                        T.StructField("score", T.DoubleType()),
-                        T.StructField("open_score", T.DoubleType())])
-    n_words, distinct = model.n_words, model.distinct
-
-    def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
+def averaged_mail(model: Fitted) -> DataFrame:
+    """(chunk, block, p, q, and `c` and `t` of each sample): the words' averaged probabilities `open` and `closed`, and what
+    their restaurants hold in the samples."""
+    totals = [s.totals for s in model.samples]
+    opening, known, distinct = model.opening, model.known, model.distinct
+    of_samples = ", ".join(f"c{k} binary, t{k} binary" for k in range(SAMPLES))
+    out = f"chunk long, block long, p binary, q binary, {of_samples}"
+    none = F.lit(None).cast("array<long>")
+    rows = [s.seated.select("block", F.lit(k).alias("sample"), "seen", "counts", "tables", "base", none.alias("c_b"), none.alias("t_b"))
+            for k, s in enumerate(model.samples)]
+    rows += [s.blocks.select("block", F.lit(k + SAMPLES).alias("sample"), "seen", none.alias("counts"), none.alias("tables"),
+                             F.lit(None).cast("array<double>").alias("base"), "c_b", "t_b") for k, s in enumerate(model.samples)]
+
+    def run(blocks: pa.Table, asks: pa.Table) -> pa.Table:
+        if not blocks.num_rows:
+            return table([], out)
+        at = {s: k for k, s in enumerate(blocks["sample"].to_pylist())}
+        read = lambda s, c: np.array(blocks[c][at[s]].values)
+        parts = [word_parts(*(read(k, c) for c in ("counts", "tables", "base")), totals[k]) for k in range(SAMPLES)]
+        served, spelt = (sum(p) / SAMPLES for p in zip(*parts))
+        share = np.where(read(0, "seen") > 0, spelt / known * (distinct / (distinct + 1)), 1 / (distinct + 1))
+        masses = [read(SAMPLES + k, c) for k in range(SAMPLES) for c in ("c_b", "t_b")]
         made = []
-        for k in range(texts.num_rows):
-            sizes, tokens = unpack(texts["sizes"][k], texts["tokens"][k])
-            pair = in_pairs(tokens, sizes)[2]
-            order = np.argsort(rows["pos"].to_numpy())
-            count, spelt, closed = (rows[c].to_numpy()[order][pair] for c in ("c", "open", "closed"))
-            base = np.log10((count + 0.5) / (n_words + 0.5 * (distinct + 1)))
-            log, log_open = in_sequence(tokens, sizes, (closed, count > 0), (spelt, np.ones(len(tokens), bool)))
-            starts = np.cumsum(sizes) - sizes
-            add = lambda v: np.add.reduceat(v, starts)  # noqa: E731, B023
-            made.append(pa.RecordBatch.from_arrays([
-                texts["ids"][k].values, texts["held"][k].values, pa.array(sizes), pa.array(add((count > 0).astype(np.int64))),
-                pa.array(np.full(len(sizes), n_words)), pa.array(add(base)), pa.array(add(log)),
-                pa.array(add(log_open))], names=out.names))
-        return pa.Table.from_batches(made)
-
-    # What the pair's own customers have, and the corpus's share of what its word before leaves.
-    given = model.own.join(model.left, "b").join(model.words, "x")
-    mixed = lambda p: (F.col("own") + F.col("left") * F.col(p)).alias(p)
-    rows = model.index.select("chunk", "pos", "b", "x").join(given.select("b", "x", "c", mixed("open"), mixed("closed")), ["b", "x"])
-    return beside(model.located, rows.select("chunk", "pos", "c", "open", "closed"), run, out)
+        for key, pos in zip(asks["key"].to_pylist(), asks["pos"].to_pylist()):
+            pos = unpacked(pos)
+            made.append((key, blocks["block"][0].as_py(), *(pack(v[pos], np.float64) for v in (served + spelt, served + opening * share)),
+                         *(pack(v[pos], np.int64) for v in masses)))
+        return table(made, out)
+
+    return beside(reduce(DataFrame.unionAll, rows), model.asks.where("kind = 'chunk'"), "block", run, out)
+
+
+def scored(model: Fitted, id_column: str) -> DataFrame:
+    out = (f"`{id_column}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+           "score double, open_score double")
+    names = [f.name for f in T._parse_datatype_string(out)]
+    n_words, distinct, groups = model.n_words, model.distinct, model.groups
+    starts_of = [s.start for s in model.samples]
+
+    def run(texts: pa.Table, mail: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 3)], names=names)
+        chunk = chunk_of(texts, groups)
+        words = mail.filter(pc.is_valid(mail["block"]))
+        # What the pair's own customers have, and the corpus's share of what its word before leaves.
+        own = left = 0.0
+        for k, start in enumerate(starts_of):
+            seats = mail.filter(pc.equal(mail["sample"], k))
+            c_b, t_b = (np.append(joined(words, "block", f"{n}{k}"), v)[chunk.last] for n, v in zip("ct", start))
+            c, t = (chunk.pairs_of(seats, f"{n}0") for n in "ct")
+            own = own + (c - PAIR_DISCOUNT * t) / (PAIR_STRENGTH + c_b) / SAMPLES
+            left = left + opening_mass(t_b) / (PAIR_STRENGTH + c_b) / SAMPLES
+        spelt, closed = ((own + left * joined(words, "block", n, np.float64)[chunk.word])[chunk.pair] for n in "pq")
+        count = chunk.seen[chunk.tokens]
+        base = np.log10((count + 0.5) / (n_words + 0.5 * (distinct + 1)))
+        log, log_open = in_sequence(chunk.tokens, chunk.sizes, (closed, count > 0), (spelt, np.ones(len(count), bool)))
+        starts = np.cumsum(chunk.sizes) - chunk.sizes
+        add = lambda v: np.add.reduceat(v, starts)
+        return pa.table([
+            pa.array(chunk.ids, pa.int64()), pa.array(~chunk.learned), pa.array(chunk.sizes), pa.array(add((count > 0).astype(np.int64))),
+            pa.array(np.full(len(starts), n_words)), pa.array(add(base)), pa.array(add(log)), pa.array(add(log_open))], names=names)
+
+    mail = averaged_mail(model)
+    for k, s in enumerate(model.samples):
+        seats = s.seats.where("kind = 'chunk'").select(F.col("key").alias("chunk"), "g", F.lit(k).alias("sample"), F.col("c").alias("c0"), F.col("t").alias("t0"))
+        mail = mail.unionByName(seats, allowMissingColumns=True)
+    return beside(model.located, mail, "chunk", run, out)
 
 
 def language_model_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -589,4 +816,4 @@ def language_model_scores(docs: DataFrame, id_column: str = "doc_id", text_colum
     """
     read = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     packed = freeze(chunks(read), "chunks")
-    return scored(fitted(packed), id_column)
+    return scored(fitted(packed, keep=False), id_column)

@@ -138,6 +138,42 @@ def test_multiplicity_reaches_the_corpus(spark):
     assert found["often"] > 1.5 * found["once"]
 
 
+def test_pairs_are_kept_packed(spark, monkeypatch):
+    """No stored table has a row for each pair of words."""
+    import random
+    rng, kept = random.Random(3), {}
+    freeze = language_model.freeze
+
+    def counted(df, name):
+        kept.setdefault(name, []).append((out := freeze(df, name)).count())
+        return out
+
+    monkeypatch.setattr(language_model, "freeze", counted)
+    rows = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(200))) for i in range(60)]
+    found = language_model.language_model_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == 60 and all(np.isfinite(r.score) for r in found)
+    assert max(max(n) for name, n in kept.items() if not name.startswith(("letters", "spelling"))) < 200
+
+
+def test_pairs_meet_in_one_group():
+    """Chunks deal a pair to the same group, each pair once, also those after a word that takes many groups."""
+    numbers, seen = np.arange(50) * 7, np.where(np.arange(50) < 2, 40 * language_model.PAIRS_OF, 3)
+    rng, groups, ways = np.random.default_rng(1), {}, {}
+    for id_ in range(4):
+        some = np.sort(rng.choice(50, 30, replace=False))
+        some[:2] = 0, 1
+        row = {"chunk": id_, "ids": [0, 1], "held": [False, True], "sizes": [400, 100], "tokens": language_model.pack(rng.integers(0, 30, 500), np.uint32),
+               "numbers": language_model.pack_rising(numbers[np.unique(some)]), "seen": language_model.pack(seen[np.unique(some)], np.int64)}
+        row["tokens"] = language_model.pack(language_model.unpacked(row["tokens"], np.uint32) % len(np.unique(some)), np.uint32)
+        chunk = language_model.Chunk(row, 16)
+        assert sorted(chunk.order) == list(range(len(chunk.word)))
+        for g, start, end in chunk.dealt:
+            for b, x in zip(chunk.b[chunk.order[start:end]], chunk.x[chunk.order[start:end]]):
+                assert groups.setdefault((b, x), g) == g
+                ways.setdefault(b, set()).add(g)
+    assert len(ways[0]) > 3 and len(ways[language_model.START]) > 1 and all(len(g) == 1 for b, g in ways.items() if b > 7)
+
+
 def test_sequence_probabilities():
     """Given any beginning, the next tokens of a document have probabilities that add up to the corpus's."""
     corpus = np.array([0.5, 0.3, 0.2])
