@@ -24,7 +24,7 @@ PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 PLAIN, PSM, SPM = "plain", "psm", "spm"
 SLICE = 8 << 20     # bytes of text that are worked on and handed back at once
 MATCHED = 1 << 20   # characters in one match, as a capture takes some 220 bytes; longer texts go on at the next word's end
-STRETCH = regex.compile(rf"(?s:.{{{MATCHED}}})[\x20\x09-\x0D]*+[^\x20\x09-\x0D]*+")
+TO_WORD_END = regex.compile(r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]*+")
 
 ADDED = T.StructType([
     T.StructField("n", T.LongType()), T.StructField("form", T.StringType()), T.StructField("prefix_chars", T.LongType()),
@@ -50,9 +50,10 @@ def draws(seed: int, doc_id) -> tuple[int, int, int, int]:
 def unit_ends(text: str) -> list[int]:
     """Where each unit ends, from the captures of one match; one match for each stretch of a very long text."""
     ends, start = [], 0
-    while stretch := STRETCH.match(text, start):
-        ends += UNITS.fullmatch(text, start, stretch.end()).ends(1)
-        start = stretch.end()
+    while len(text) - start >= MATCHED:
+        end = TO_WORD_END.match(text, start + MATCHED).end()
+        ends += UNITS.fullmatch(text, start, end).ends(1)
+        start = end
     return ends + UNITS.fullmatch(text, start).ends(1)
 
 

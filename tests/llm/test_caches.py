@@ -80,3 +80,14 @@ def test_a_worker_gives_back_memory_at_the_end_of_a_task(monkeypatch):
     run = common.map_arrow(docs, lambda batches: batches, None)(iter([1, 2]))
     assert next(run) == 1 and not given
     assert list(run) == [2] and given
+
+
+def test_imports_of_the_driver_are_small():
+    """A pattern with a large repeat took 220 MB when it was compiled, in the driver of every query."""
+    import re
+    import subprocess
+    import sys
+    from pathlib import Path
+    code = "import __spark_entry__; __spark_entry__.queries(); print(open('/proc/self/smaps_rollup').read())"
+    said = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[2], capture_output=True, text=True, check=True).stdout
+    assert sum(map(int, re.findall(r"Pss_Anon:\s+(\d+)", said))) < 180 << 10
