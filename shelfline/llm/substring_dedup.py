@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from shelfline.llm.common import map_arrow
+from shelfline.llm.common import BLANKS, map_arrow
 from shelfline.session import discard, freeze
 
 WINDOW = 20
@@ -26,6 +26,9 @@ ANCHOR = 5           # words of an anchor
 SLICE_BYTES = 8 << 20
 ONE = np.uint64(1)
 _FACTOR = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+LONG = 64            # bytes of a word; longer ones are hashed one by one
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)   # the first k of eight bytes
+_IN_WORD = np.array([chr(k) not in BLANKS for k in range(256)])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -42,13 +45,34 @@ def run_hashes(h: np.ndarray, size: int, factor: np.uint64) -> np.ndarray:
     return mixed(total)
 
 
+def _powers(factor: np.uint64, n: int) -> np.ndarray:
+    """The powers of a factor from 0 to n, modulo 2**64."""
+    powers = np.full(n + 1, factor)
+    powers[0] = 1
+    return np.cumprod(powers, dtype=np.uint64)
+
+
 def span_hashes(h: np.ndarray, start: np.ndarray, size: np.ndarray, factor: np.uint64) -> np.ndarray:
-    """Hash of `size` words from each start on, of different sizes."""
-    total = size.astype(np.uint64)
-    for k in range(int(size.max(initial=0))):
-        more = k < size
-        total[more] = total[more] * factor + h[start[more] + k]
-    return mixed(total)
+    """Hash of `size` words from each start on, of different sizes: the difference of two sums, brought back to the
+    start by the inverse of the odd factor."""
+    sums = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * _powers(factor, max(len(h) - 1, 0))[:len(h)], out=sums[1:])
+    total = (sums[start + size] - sums[start]) * _powers(np.uint64(pow(int(factor), -1, 1 << 64)), len(h))[start]
+    return mixed(total + size.astype(np.uint64) * _FACTOR[0])
+
+
+def repeats(of: np.ndarray, s: np.ndarray, s2: np.ndarray) -> np.ndarray:
+    """Which spans have the same row `of` and the same hashes as one before them."""
+    same = np.zeros(len(of), bool)
+    key = s + mixed(of.astype(np.uint64) * _FACTOR[1])
+    order = np.argsort(key, kind="stable")
+    equal = lambda x: x[order[1:]] == x[order[:-1]]
+    alike = equal(of) & equal(s) & equal(s2)
+    if (alike != equal(key)).any():   # one key for several spans
+        order = np.lexsort((s2, s, of))
+        alike = equal(of) & equal(s) & equal(s2)
+    same[order[1:]] = alike
+    return same
 
 
 def paths_of(h: np.ndarray, sizes: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, ...]:
@@ -61,10 +85,12 @@ def paths_of(h: np.ndarray, sizes: np.ndarray, window: int, anchor: int) -> tupl
     shorts = run_hashes(h, anchor, _FACTOR[0])
     reach = window - anchor + 1
     n = len(h) - window + 1
-    least, at = shorts[:n].copy(), np.arange(n)
-    for k in range(1, reach):   # leftmost of the least
-        lower = shorts[k:k + n] < least
-        least[lower], at[lower] = shorts[k:k + n][lower], np.flatnonzero(lower) + k
+    least, at, wide = shorts, np.arange(len(shorts)), 1
+    while wide < reach:         # leftmost of the least of ever more runs
+        step = min(wide, reach - wide)
+        lower = least[step:] < least[:-step]
+        least, at = np.where(lower, least[step:], least[:-step]), np.where(lower, at[step:], at[:-step])
+        wide += step
     whole = of[:n] == of[window - 1:]          # windows of one document
     first = whole.copy()
     first[1:] &= ~((at[1:] == at[:-1]) & whole[:-1] & (of[1:n] == of[:n - 1]))
@@ -83,6 +109,34 @@ def _flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(split)), np.uint64, int(sizes.sum())), sizes
 
 
+def word_hashes(text: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hash of the words at these places, eight bytes of all of them at a time; of one and the same length up to
+    eight bytes no two are alike."""
+    import xxhash
+    eight = np.lib.stride_tricks.as_strided(np.frombuffer(text + bytes(8), np.uint64, 1), (len(text) + 1,), (1,))
+    total = mixed(size.astype(np.uint64) * _FACTOR[1])
+    rest = np.flatnonzero(size <= LONG)
+    at, left = start[rest], size[rest]
+    while len(rest):
+        total[rest] = mixed((total[rest] + (eight[at] & _FIRST[np.minimum(left, 8)])) * _FACTOR[0])
+        more = left > 8
+        rest, at, left = rest[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(size > LONG).tolist():
+        total[k] = xxhash.xxh3_64_intdigest(text[start[k]:start[k] + size[k]])
+    return total
+
+
+def flat_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """As `_flat`, by other hashes and without an object for each word: paths take all words of a table twice."""
+    encoded = [t.encode() for t in texts]
+    text = b" ".join([b"", *encoded, b""])
+    inside = _IN_WORD[np.frombuffer(text, np.uint8)]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1   # a blank stands at both ends
+    start, end = edges[::2], edges[1::2]
+    ends = np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded)) + 1)
+    return word_hashes(text, start, end - start), np.diff(np.searchsorted(start, ends + 1), prepend=0)
+
+
 def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
     first = total = 0
     for k, text in enumerate(texts):
@@ -109,15 +163,11 @@ def paths(docs: DataFrame, window: int, anchor: int) -> DataFrame:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in _slices(texts):
-                h, sizes = _flat(texts[a:b])
+                h, sizes = flat_words(texts[a:b])
                 of, start, count, least = paths_of(h, sizes, window, anchor)
                 words = count + window - 1
                 s, s2 = (span_hashes(h, start, words, f) for f in _FACTOR)
-                order = np.lexsort((start, s2, s, of))
-                same = np.zeros(len(of), bool)
-                if len(of):
-                    same[order[1:]] = ((of[order[1:]] == of[order[:-1]]) & (s[order[1:]] == s[order[:-1]])
-                                       & (s2[order[1:]] == s2[order[:-1]]))
+                same = repeats(of, s, s2)
                 offset = np.cumsum(sizes) - sizes
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(of + a)), batch.column(2).take(pa.array(of + a)), pa.array((start - offset[of]).astype(np.int32)),
@@ -137,18 +187,20 @@ def edges(docs: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            opened = batch.column(2).to_pylist()
-            for k, (text, spans) in enumerate(zip(texts, opened)):
-                h, _ = _flat([text])
-                at = np.unique(np.concatenate([np.arange(x["start"], x["start"] + x["windows"]) for x in spans]))
+            for a, b in _slices(texts):
+                h, sizes = _flat(texts[a:b])
+                offset = np.cumsum(sizes) - sizes
+                opened = batch.column(2).slice(a, b - a)
+                start, windows = (opened.flatten().field(c).to_numpy() for c in ("start", "windows"))
+                start = start + np.repeat(offset, opened.value_lengths().to_numpy())
+                first = np.cumsum(windows) - windows
+                at = np.unique(np.repeat(start - first, windows) + np.arange(int(windows.sum())))
+                of = np.searchsorted(offset, at, side="right") - 1
                 size = np.full(len(at), window, np.int64)
                 e, e2 = (span_hashes(h, at, size, f) for f in _FACTOR)
-                order = np.lexsort((at, e2, e))
-                same = np.zeros(len(at), bool)
-                same[order[1:]] = (e[order[1:]] == e[order[:-1]]) & (e2[order[1:]] == e2[order[:-1]])
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).take(pa.array(np.full(len(at), k))) for c in (0, 3)), pa.array(at.astype(np.int32)), _signed(e),
-                     _signed(e2), pa.array(same)], names=out.names)
+                    [*(batch.column(c).take(pa.array(of + a)) for c in (0, 3)), pa.array((at - offset[of]).astype(np.int32)), _signed(e),
+                     _signed(e2), pa.array(repeats(of, e, e2))], names=out.names)
 
     return map_arrow(docs, run, out)
 

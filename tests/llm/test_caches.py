@@ -45,6 +45,46 @@ def test_words_are_hashed_without_a_table_of_all_words():
     assert common._held.get("word hashes") is None
 
 
+def test_words_of_paths_have_one_hash_wherever_they_stand():
+    words = [w * n for n in (1, 2, 5, 8, 30, 63, 64, 65, 200) for w in ("a", "b", "\0", "é", "日本")] + ["a\0", "ab", "ba", "abcdefgh", "abcdefg"]
+    texts = ["", " \t", *words, " ".join(words), "x" * 3 + "\x0b\x0c" + "\n".join(reversed(words)) + " "]
+    h, sizes = substring_dedup.flat_words(texts)
+    assert sizes.tolist() == [len(t.encode().split()) for t in texts]
+    found = {}
+    for w, x in zip((w for t in texts for w in t.encode().split()), h.tolist()):
+        assert found.setdefault(w, x) == x
+    assert len(set(found.values())) == len(found)
+    assert substring_dedup.flat_words([""])[1].tolist() == [0]
+
+
+def test_spans_have_the_same_hash_wherever_they_start():
+    import numpy as np
+    h = np.random.default_rng(1).integers(0, 2**64, 50, np.uint64)
+    h[30:45] = h[5:20]
+    for factor in substring_dedup._FACTOR:
+        a, b = (substring_dedup.span_hashes(h, np.array(at), np.array([15, 14, 1]), factor) for at in ([5, 5, 5], [30, 30, 30]))
+        assert a.tolist() == b.tolist() and len(set(a.tolist())) == 3
+    of, same = np.array([0, 0, 0, 1, 1]), np.array([3, 3, 4, 3, 3], np.uint64)
+    assert substring_dedup.repeats(of, same, same).tolist() == [False, True, False, False, True]
+    assert substring_dedup.repeats(of, same, np.arange(5, dtype=np.uint64)).tolist() == [False] * 5
+
+
+def test_windows_of_many_documents_are_hashed_together(monkeypatch):
+    """Each document had a batch and a pass of its own."""
+    monkeypatch.setattr(substring_dedup, "map_arrow", lambda df, run, out: run)
+    docs = type("", (), {"schema": T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())])})()
+    texts = ["", *(" ".join(f"w{k % 7}" for k in range(j, j + 40)) for j in range(30))]
+    opened = [[], *([{"start": 2, "windows": 9}, {"start": 5, "windows": 8}],) * 30]
+    batch = pa.RecordBatch.from_arrays([
+        pa.array(range(31)), pa.array(texts), pa.array(opened, pa.list_(pa.struct([("start", pa.int32()), ("windows", pa.int32())]))),
+        pa.array([0] * 31, pa.int32())], names=["id", "text", "opened", "t"])
+    made = list(substring_dedup.edges(docs, 20)(iter([batch])))
+    assert len(made) == 1
+    rows = made[0].to_pylist()
+    assert [(r["id"], r["at"]) for r in rows] == [(k, at) for k in range(1, 31) for at in range(2, 13)]
+    assert all(r["again"] == (r["at"] >= 9) for r in rows) and len({(r["e"], r["e2"]) for r in rows}) == 7
+
+
 def test_near_dedup_lets_go_of_what_a_worker_held_for_another_operator(monkeypatch):
     monkeypatch.setattr(near_dedup, "map_arrow", lambda df, run, out: run)
     docs = SimpleNamespace(schema=T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())]))
