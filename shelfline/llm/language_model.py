@@ -45,7 +45,7 @@ PAIR_DISCOUNT, PAIR_STRENGTH = 0.75, 10.0   # of the restaurant of a word before
 TEXT_DISCOUNT, TEXT_STRENGTH = 0.4, 100.0   # of a document
 START = -1                 # stands before the first word of a text
 LETTERS = 0x110000         # the uniform base: every code point alike
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 CHUNK = "chunk long, words array<string>, counts array<long>, ids array<long>, held array<boolean>, sizes array<int>, tokens binary"
 
 
@@ -104,18 +104,19 @@ def seat(customers: np.ndarray, table_mass: np.ndarray, base: np.ndarray, discou
     less their discount. Steps of customers, of a sixteenth of those seated, are drawn as one binomial.
     """
     tables = (customers > 0).astype(np.int64)
-    seated = tables.copy()
-    while True:
-        left = customers - seated
-        go = left > 0
-        if not go.any():
-            return tables
-        step = np.minimum(left, np.maximum(1, seated // 16))
-        opening = table_mass * base
-        chance = opening / np.maximum(opening + seated - discount * tables, 1e-12)
-        opened = rng.binomial(np.where(go, step, 0), np.clip(chance, 0.0, 1.0))
-        tables += opened
-        seated += np.where(go, step, 0)
+    at = np.flatnonzero(customers > 1)    # of dishes with customers left
+    n, opening = customers[at], (table_mass * base)[at]
+    seated, mine = np.ones(len(at), np.int64), np.ones(len(at), np.int64)
+    while len(at):
+        step = np.minimum(n - seated, np.maximum(1, seated // 16))
+        chance = opening / np.maximum(opening + seated - discount * mine, 1e-12)
+        mine += rng.binomial(step, np.clip(chance, 0.0, 1.0))
+        seated += step
+        left = seated < n
+        if not left.all():
+            tables[at[~left]] = mine[~left]
+            at, n, opening, seated, mine = (v[left] for v in (at, n, opening, seated, mine))
+    return tables
 
 
 def block_seed(turn: int, words: list) -> np.random.Generator:
@@ -686,7 +687,7 @@ def fitted(packed: DataFrame, keep: bool = True) -> Fitted:
     located = freeze(locate(packed, counted), "located")
     if not keep:
         discard(packed)
-    groups = max(1, 2 * located.count())
+    groups = max(1, located.count())
     laid = freeze(layout(located, groups), "layout")
     asks = freeze(asked(located, laid), "asks")
     seats = pair_sweep(laid, None, (0, 0), 0)
@@ -704,10 +705,10 @@ def fitted(packed: DataFrame, keep: bool = True) -> Fitted:
         before, seated = blocks, freeze(word_sweep(blocks, needed, letters, (customers, tables), turn), "words")
         discard(needed, *([before] if all(before is not s.blocks for s in samples) else []))
         totals = root_totals(seated)[2:]
-        words = freeze(word_mail(seated, asks, totals), "word_mail")
-        new = text_sweep(located, words.unionByName(seats_mail(seats)), start, groups, turn)
-        last, seats = seats, pair_sweep(laid, new.unionByName(words), start, turn)
-        discard(words, *([last] if all(last is not s.seats for s in samples) else []))
+        words = {kind: word_mail(seated, asks.where(F.col("kind") == kind), totals) for kind in ("chunk", "group")}
+        customers_of = freeze(text_sweep(located, words["chunk"].unionByName(seats_mail(seats)), start, groups, turn), "customers")
+        last, seats = seats, pair_sweep(laid, words["group"].unionByName(customers_of), start, turn)
+        discard(customers_of, *([last] if all(last is not s.seats for s in samples) else []))
         start = start_masses(seats)
         blocks = freeze(with_customers(seated, seats), "words")
         if turn >= BURN_IN:
