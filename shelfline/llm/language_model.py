@@ -14,7 +14,8 @@ those before it: over the known words and one outcome for all others, and over a
 
 All tables are DataFrames; nothing of the corpus passes through the driver. Texts are packed into chunks
 first: a chunk's distinct words and its documents as word numbers, so that texts are read once. Words lie in
-blocks and pairs (word before, word) in groups, as packed columns. Chunks, blocks and groups exchange packed
+blocks by their hash, so that a chunk's words in order of hash are in order of the blocks too, and pairs (word
+before, word) in groups, all as packed columns. Chunks, blocks and groups exchange packed
 columns too, one for each two of them that share words or pairs, and both ends know their order: chunks tell
 groups the customers of their pairs, groups tell chunks the seats there, and blocks tell both what
 their words have. Letters are rows keyed by (context, letter).
@@ -33,7 +34,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from shelfline.llm.common import give_back, let_go, lower_bytes, map_arrow, with_package
+from shelfline.llm.common import give_back, let_go, map_arrow, with_package
 from shelfline.session import discard, freeze
 
 END = "\n"                 # the token at the end of a text, and the letter at the end of a word; in no word
@@ -46,51 +47,88 @@ TEXT_DISCOUNT, TEXT_STRENGTH = 0.4, 100.0   # of a document
 START = -1                 # stands before the first word of a text
 LETTERS = 0x110000         # the uniform base: every code point alike
 CHUNK_BYTES = 6 << 20
-CHUNK = "chunk long, words array<string>, counts array<long>, ids array<long>, held array<boolean>, sizes array<int>, tokens binary"
+GROUP_TOKENS = 1 << 20     # for each so many tokens a block of words and a group of pairs
+CHUNK = ("chunk long, total long, words binary, counts binary, ids array<long>, held array<boolean>, sizes array<int>, "
+         "tokens binary")
 
 
 def held_out(id_: int | None, remainder: int = 1, folds: int = 5) -> bool:
     return crc32(("" if id_ is None else str(id_)).encode()) % folds == remainder
 
 
+def hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(crc32, words), np.int64, len(words))
+
+
+def word_order(words: list[bytes]) -> np.ndarray:
+    """The order of distinct words by hash, and by the words themselves where hashes are equal."""
+    crc = hashes(words)
+    order = np.argsort(crc, kind="stable")
+    crc = crc[order]
+    for same in np.unique(crc[1:][crc[1:] == crc[:-1]]):
+        a, z = np.searchsorted(crc, [same, same + 1])
+        order[a:z] = sorted(order[a:z], key=words.__getitem__)
+    return order
+
+
+def listed(words: pa.Array) -> list[bytes]:
+    """The words of an array; one empty word if there are none."""
+    whole = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+    return pc.binary_join(whole, "\n")[0].as_py().encode().split(b"\n")
+
+
+def ranks(order: np.ndarray) -> np.ndarray:
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return rank
+
+
+def tokenized(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words in `word_order`, the texts' tokens as places among them, and the texts' sizes. The empty word
+    stands for the end of a text; blanks in a row leave empty words too, which are no tokens."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.string())))
+    flat = split.flatten()
+    coded = flat.dictionary_encode()
+    of = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+    is_word = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
+    of, words = of[is_word], listed(coded.dictionary)
+    if b"" not in words:
+        words.append(b"")
+    sizes = np.bincount(of, minlength=len(texts)) + 1
+    tokens = np.full(len(of) + len(texts), words.index(b""), np.int64)
+    tokens[np.arange(len(of)) + of] = coded.indices.to_numpy()[is_word]
+    order = word_order(words)
+    return [words[k] for k in order], ranks(order)[tokens], sizes
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """Packs (id, text): one row per `CHUNK_BYTES` of text. `counts` are a word's tokens in the training
-    texts."""
+    """Packs (id, text): one row per `CHUNK_BYTES` of text. `words` are in `word_order`, `counts` their tokens in the
+    training texts, `total` is all tokens."""
     out = T._parse_datatype_string(CHUNK)
 
-    def pack(ids: list, texts: list[bytes], chunk: int) -> pa.RecordBatch:
-        number: dict[bytes, int] = {}
-        tokens, sizes, held, training = [], [], [], []
-        for id_, text in zip(ids, texts):
-            words = text.split()
-            words.append(END.encode())
-            mine = np.array([number.setdefault(w, len(number)) for w in words], np.uint32)
-            tokens.append(mine)
-            sizes.append(len(words))
-            held.append(held_out(id_))
-            if not held[-1]:
-                training.append(mine)
-        counts = np.bincount(np.concatenate(training), minlength=len(number)) if training else np.zeros(len(number), np.int64)
-        row = [[chunk], [[w.decode() for w in number]], [counts], [ids], [held], [sizes],
-               [zstandard.compress(np.concatenate(tokens).tobytes(), 1)]]
-        kinds = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()),
-                 pa.list_(pa.int32()), pa.binary())
+    def chunk_row(ids: list, texts: list[str], chunk: int) -> pa.RecordBatch:
+        words, tokens, sizes = tokenized(texts)
+        held = np.array([held_out(id_) for id_ in ids])
+        counts = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(words))
+        row = [[chunk], [len(tokens)], [pack_words(words)], [pack(counts, np.int64)], [ids], [held], [sizes], [pack(tokens, np.uint32)]]
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()),
+                 pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds)], names=out.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         task, made, ids, texts, total = TaskContext.get().partitionId(), 0, [], [], 0
         for batch in batches:
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                text = lower_bytes(text or "")
-                if total and total + len(text) > CHUNK_BYTES:
-                    yield pack(ids, texts, task << 32 | made)
+            given = pc.fill_null(batch.column(1), "")
+            for id_, text, size in zip(batch.column(0).to_pylist(), given.to_pylist(), pc.binary_length(given).to_pylist()):
+                if total and total + size > CHUNK_BYTES:
+                    yield chunk_row(ids, texts, task << 32 | made)
                     made, ids, texts, total = made + 1, [], [], 0
                 ids.append(id_)
                 texts.append(text)
-                total += len(text)
+                total += size
         if ids:
-            yield pack(ids, texts, task << 32 | made)
+            yield chunk_row(ids, texts, task << 32 | made)
 
     return map_arrow(docs, run, out)
 
@@ -124,54 +162,28 @@ def block_seed(turn: int, words: list) -> np.random.Generator:
     return np.random.default_rng([turn, len(words), crc32(str(words[0]).encode()) if len(words) else 0])
 
 
-# ---------------------------------------------------------------- words, in blocks
-BLOCK = ("block long, words array<string>, seen array<long>, counts array<long>, tables array<long>, "
-         "base array<double>, c_b array<long>, t_b array<long>")
-BLOCK_COLUMNS = ["block", "words", "seen", "counts", "tables", "base", "c_b", "t_b"]
-BLOCK_WORDS = 25_000
-
-
-def _block_batch(*values) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 3, pa.list_(pa.float64()), *[pa.list_(pa.int64())] * 2)
-    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names=BLOCK_COLUMNS)
-
-
-def word_blocks(packed: DataFrame) -> DataFrame:
-    """All words: `seen` are the training tokens, `counts` the corpus's customers, at first one at one table;
-    `base` is the probability of the word as spelled in the last sweep; `c_b` and `t_b` are customers and
-    tables of the word's own restaurant, where it is the word before."""
-    counted = packed.select(F.explode_outer(F.arrays_zip("words", "counts")).alias("w")).groupBy("w.words").agg(
-        F.sum("w.counts").alias("seen"))
-    out = T._parse_datatype_string(BLOCK)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        task, made = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK_WORDS):
-                part = batch.slice(at, BLOCK_WORDS)
-                seen = part.column(1).to_numpy()
-                first = (seen > 0).astype(np.int64)
-                none = np.zeros(len(seen), np.int64)
-                yield _block_batch(task << 32 | made, part.column(0).to_pylist(), seen, first, first, none.astype(float), none, none)
-                made += 1
-
-    return map_arrow(counted.sortWithinPartitions("words"), run, out)
-
-
-def numbered(blocks: DataFrame, *columns: str) -> DataFrame:
-    """One row per word: its number, which is its place among all blocks, and `columns` of the blocks."""
-    return blocks.select("block", F.posexplode(F.arrays_zip(*columns)).alias("pos", "w")).select(
-        (F.col("block") * BLOCK_WORDS + F.col("pos")).alias("x"), *[F.col(f"w.{c}").alias(c) for c in columns])
-
-
 # ---------------------------------------------------------------- packed columns
 def pack(values: np.ndarray, kind=np.int32) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(values, kind).tobytes(), 1)
+    """Whole numbers from 0 take as few bytes each as the largest needs, all lowest bytes first; others are kept as
+    they are."""
+    values = np.ascontiguousarray(values, kind)
+    if values.dtype.kind in "iu" and values.min(initial=0) >= 0:
+        width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+        whole = values.astype("<u4" if width <= 4 else "<u8")
+        return zstandard.compress(bytes([width]) + whole.view(np.uint8).reshape(len(values), whole.itemsize).T[:width].tobytes(), 1)
+    return zstandard.compress(values.dtype.char.encode() + values.tobytes(), 1)
 
 
 def unpacked(values: bytes, kind=np.int32) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(values), kind)
+    raw = zstandard.decompress(values)
+    if raw[0] > 8:
+        return np.frombuffer(raw, chr(raw[0]), offset=1).astype(kind)
+    parts = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    if len(parts) == 1:
+        return parts[0].astype(kind)
+    whole = np.zeros((parts.shape[1], 4 if len(parts) <= 4 else 8), np.uint8)
+    whole[:, :len(parts)] = parts.T
+    return whole.view(f"<u{whole.shape[1]}")[:, 0].astype(kind)
 
 
 def pack_rising(values: np.ndarray) -> bytes:
@@ -182,6 +194,14 @@ def rising(values: bytes) -> np.ndarray:
     return np.cumsum(unpacked(values, np.int64))
 
 
+def pack_words(words: list[bytes]) -> bytes:
+    return zstandard.compress(b"\n".join(words), 1)
+
+
+def unpacked_words(words: bytes) -> list[bytes]:
+    return zstandard.decompress(words).split(b"\n")
+
+
 def joined(rows: pa.Table, by: str, column: str, kind=np.int64) -> np.ndarray:
     """The packed columns of the rows one after the other, in the order of `by`."""
     order = np.argsort(rows[by].to_numpy(), kind="stable")
@@ -205,42 +225,127 @@ def table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table([pa.array(c, KINDS[t]) for c, t in zip(columns, kinds)], names=names)
 
 
+# ---------------------------------------------------------------- words, in blocks
+BLOCK_WORDS = 1 << 24   # numbers that a block has for its words: its own number times this, and the place in the block
+BLOCK = ("block long, seen array<long>, counts array<long>, tables array<long>, base array<double>, c_b array<long>, t_b array<long>, "
+         "was array<long>, totals array<long>, known double")
+BLOCK_COLUMNS = ["block", "seen", "counts", "tables", "base", "c_b", "t_b", "was", "totals", "known"]
+
+
+def block_row(block: int, seen, counts, tables, base, c_b, t_b, was=()) -> pa.Table:
+    """`was` are the customers that the tables were drawn for, once `counts` are others; `totals` are the sums of
+    `root_totals`; `known` is the known words' sum of `base`."""
+    known = seen > 0
+    totals = np.array([v.sum() for v in (seen, known, counts, tables)])
+    whole = lambda v, t: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, t))
+    kinds = (*[pa.int64()] * 3, pa.float64(), *[pa.int64()] * 4)
+    return pa.table([pa.array([block], pa.int64()), *(whole(v, t) for v, t in zip((seen, counts, tables, base, c_b, t_b, was, totals), kinds)),
+                     pa.array([base[known].sum()], pa.float64())], names=BLOCK_COLUMNS)
+
+
+def of_block(block: pa.Table, *columns: str, row: int = 0) -> list[np.ndarray]:
+    return [block[c][row].values.to_numpy(zero_copy_only=False) for c in columns]
+
+
+WORDS = "block long, chunk long, words binary, seen binary, at binary"
+
+
+def word_rows(packed: DataFrame, blocks: int) -> DataFrame:
+    """Of each block: all its words in `word_order` and their training tokens `seen`; for each chunk the places of
+    the chunk's words there, in order, and their `seen`."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, words, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                words, counts = unpacked_words(words), unpacked(counts, np.int64)
+                rows = [(block, chunk, pack_words(words[a:z]), pack(counts[a:z], np.int64), None)
+                        for block, a, z in runs(hashes(words) * blocks >> 32)]
+                yield from table(rows, WORDS).to_batches()
+
+    def merge(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("chunk")
+        block, given = rows["block"][0].as_py(), [unpacked_words(w) for w in rows["words"].to_pylist()]
+        sizes = [len(w) for w in given]
+        coded = pa.array([w for words in given for w in words], pa.binary()).cast(pa.string()).dictionary_encode()
+        words = listed(coded.dictionary)
+        order = word_order(words)
+        place = ranks(order)[coded.indices.to_numpy()]
+        seen = np.bincount(place, weights=np.concatenate([unpacked(c, np.int64) for c in rows["seen"].to_pylist()])).astype(np.int64)
+        made = [(block, -1, pack_words([words[k] for k in order]), pack(seen, np.int64), None)]
+        for chunk, at in zip(rows["chunk"].to_pylist(), np.split(place, np.cumsum(sizes)[:-1])):
+            made.append((block, chunk, None, pack(seen[at], np.int64), pack_rising(at)))
+        return table(made, WORDS)
+
+    schema = T._parse_datatype_string(WORDS)
+    return map_arrow(packed.select("chunk", "words", "counts"), deal, schema).groupBy("block").applyInArrow(merge, schema)
+
+
+def word_blocks(words: DataFrame) -> DataFrame:
+    """All words: `seen` are the training tokens, `counts` the corpus's customers, at first one at one table;
+    `base` is the probability of the word as spelled in the last sweep; `c_b` and `t_b` are customers and
+    tables of the word's own restaurant, where it is the word before."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, seen in zip(*(c.to_pylist() for c in batch.columns)):
+                seen = unpacked(seen, np.int64)
+                first, none = (seen > 0).astype(np.int64), np.zeros(len(seen), np.int64)
+                yield from block_row(block, seen, first, first, none.astype(float), none, none).to_batches()
+
+    return map_arrow(words.where("chunk = -1").select("block", "seen"), run, T._parse_datatype_string(BLOCK))
+
+
+def numbered(blocks: DataFrame, *columns: str) -> DataFrame:
+    """One row per word: its number, which is its place among all blocks, and `columns` of the blocks."""
+    return blocks.select("block", F.posexplode(F.arrays_zip(*columns)).alias("pos", "w")).select(
+        (F.col("block") * BLOCK_WORDS + F.col("pos")).alias("x"), *[F.col(f"w.{c}").alias(c) for c in columns])
+
+
 # ---------------------------------------------------------------- pairs of words, in groups
 LOCATED = "chunk long, ids array<long>, held array<boolean>, sizes array<int>, tokens binary, numbers binary, seen binary"
 PAIRS_OF = 1 << 21   # tokens of a word before for which its pairs take another group
 START_WAYS = 64      # groups that share the pairs at the start of a text
 
 
-def locate(packed: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Chunks with their words by number, in order, and the words' training tokens in place of the words."""
-    looked = packed.select("chunk", F.posexplode("words").alias("pos", "words")).join(numbered(blocks, "words", "seen"), "words")
-    looked = looked.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("x", "pos", "seen"))).alias("n"))
+def locate(packed: DataFrame, words: DataFrame) -> DataFrame:
+    """Chunks with their words by number, which are in order, and the words' training tokens in place of the words."""
     out = T._parse_datatype_string(LOCATED)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                x, pos, seen = (np.array(batch.column(j)[k].values) for j in (5, 6, 7))
-                place = np.empty(len(pos), np.uint32)
-                place[pos] = np.arange(len(pos))
-                tokens = place[unpacked(batch.column(4)[k].as_py(), np.uint32)]
-                yield pa.RecordBatch.from_arrays([
-                    *batch.slice(k, 1).columns[:4], *(pa.array([v], pa.binary()) for v in (
-                        pack(tokens, np.uint32), pack_rising(x), pack(seen, np.int64)))], names=out.names)
+    def run(chunk: pa.Table, words: pa.Table) -> pa.Table:
+        words = words.sort_by("block")
+        x = [block * BLOCK_WORDS + rising(at) for block, at in zip(words["block"].to_pylist(), words["at"].to_pylist())]
+        made = chunk.select(out.names[:5])
+        for name, value in (("numbers", pack_rising(np.concatenate(x))), ("seen", pack(joined(words, "block", "seen"), np.int64))):
+            made = made.append_column(name, pa.array([value], pa.binary()))
+        return made
 
-    return map_arrow(packed.join(looked, "chunk").select("chunk", "ids", "held", "sizes", "tokens", "n.x", "n.pos", "n.seen"), run, out)
+    return beside(packed.select(*out.names[:5]), words.where("chunk >= 0").select("block", "chunk", "seen", "at"), "chunk", run, LOCATED)
+
+
+def in_order(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of pairs (a, b) of numbers from 0, equal ones as they come, and where another pair begins in it."""
+    a, b = a.astype(np.int64), b.astype(np.int64)
+    b_bits, bits = int(b.max(initial=0)).bit_length(), len(a).bit_length()
+    fresh = np.ones(len(a), bool)
+    if int(a.max(initial=0)).bit_length() + b_bits + bits < 64:   # numbers that hold their place sort faster than places do
+        keys = a << b_bits + bits | b << bits | np.arange(len(a))
+        keys.sort()
+        order = keys & (1 << bits) - 1
+        keys >>= bits
+        np.not_equal(keys[1:], keys[:-1], out=fresh[1:])
+    else:
+        order = np.lexsort((b, a))
+        fresh[1:] = (a[order[1:]] != a[order[:-1]]) | (b[order[1:]] != b[order[:-1]])
+    return order, fresh
 
 
 def in_document(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each token: its document, its number among the (document, word), and how often it came before."""
     of = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.argsort(of << 32 | tokens.astype(np.int64), kind="stable")
-    fresh = np.ones(len(tokens), bool)
-    fresh[1:] = (tokens[order[1:]] != tokens[order[:-1]]) | (of[order[1:]] != of[order[:-1]])
+    order, fresh = in_order(of, tokens)
     run = np.flatnonzero(fresh)
     kind, before = np.empty(len(tokens), np.int64), np.empty(len(tokens), np.int64)
-    kind[order] = np.cumsum(fresh) - 1
-    before[order] = np.arange(len(tokens)) - np.repeat(run, np.diff(np.append(run, len(tokens))))
+    number = np.cumsum(fresh) - 1
+    kind[order] = number
+    before[order] = np.arange(len(tokens)) - run[number]
     return of, kind, before
 
 
@@ -250,8 +355,11 @@ def in_pairs(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
     last = np.empty(len(tokens), np.int64)
     last[1:] = tokens[:-1]
     last[np.cumsum(sizes) - sizes] = -1
-    keys, pair = np.unique((last + 1) << 32 | tokens.astype(np.int64), return_inverse=True)
-    return (keys >> 32) - 1, keys & 0xFFFFFFFF, pair
+    order, fresh = in_order(last + 1, tokens)
+    pair = np.empty(len(tokens), np.int64)
+    pair[order] = np.cumsum(fresh) - 1
+    first = order[fresh]
+    return last[first], tokens[first].astype(np.int64), pair
 
 
 class Chunk:
@@ -266,9 +374,9 @@ class Chunk:
         self.x = self.numbers[self.word]
         ways = np.where(self.last < 0, START_WAYS, 1 + self.seen[self.last] // PAIRS_OF)
         group = (self.b * 64 + self.x % ways).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        group = ((group ^ (group >> np.uint64(32))) % np.uint64(groups)).astype(np.int64)
+        group = ((group ^ (group >> np.uint64(32))) % np.uint64(groups)).astype(np.uint16 if groups <= 1 << 16 else np.int64)
         self.order = np.argsort(group, kind="stable")
-        self.dealt = list(runs(group[self.order]))
+        self.dealt = list(runs(group[self.order].astype(np.int64)))
 
     def pairs_of(self, mail: pa.Table, column: str) -> np.ndarray:
         """What the groups say of the pairs."""
@@ -288,7 +396,7 @@ MAIL = "kind string, key long, g long, block long, p binary, c binary, t binary"
 
 
 def layout(located: DataFrame, groups: int) -> DataFrame:
-    """Of each group: the words in its pairs `u`, the pairs (b, x) as places there, in order, -1 at the start of a text,
+    """Of each group: the words in its pairs `u`, the pairs (b, x) as places there, b from 1 on, in order, 0 at the start of a text,
     and the tables `c` if each text seats a word at one table, opened where the word comes first. For each chunk
     the places of its pairs."""
     out = T._parse_datatype_string("g long, chunk long, b binary, x binary, c binary")
@@ -301,24 +409,23 @@ def layout(located: DataFrame, groups: int) -> DataFrame:
                 c = np.bincount(chunk.pair[chunk.learned[of] & (before == 0)], minlength=len(chunk.word))
                 for g, start, end in chunk.dealt:
                     some = chunk.order[start:end]
-                    rows = [(g, chunk.id, pack_rising(chunk.b[some]), pack(chunk.x[some], np.int64), pack(c[some]))]
+                    rows = [(g, chunk.id, pack_rising(chunk.b[some] - START), pack(chunk.x[some], np.int64), pack(c[some]))]
                     yield from table(rows, "g long, chunk long, b binary, x binary, c binary").to_batches()
 
     def merge(rows: pa.Table) -> pa.Table:
         b, x, c = ([read(v) for v in rows[k].to_pylist()] for k, read in (
             ("b", rising), ("x", lambda v: unpacked(v, np.int64)), ("c", unpacked)))
         sizes = [len(v) for v in b]
-        b, x, c = np.concatenate(b), np.concatenate(x), np.concatenate(c)
-        order = np.lexsort((x, b))
-        fresh = np.ones(len(b), bool)
-        fresh[1:] = (b[order[1:]] != b[order[:-1]]) | (x[order[1:]] != x[order[:-1]])
+        b, x, c = np.concatenate(b) + START, np.concatenate(x), np.concatenate(c)
+        heads = b[np.flatnonzero(np.diff(b, prepend=START))]
+        u = np.unique(np.concatenate([heads[heads != START], x]))
+        b, x = np.where(b == START, -1, np.searchsorted(u, b)), np.searchsorted(u, x)
+        order, fresh = in_order(b + 1, x)
         place = np.empty(len(b), np.int64)
         place[order] = np.cumsum(fresh) - 1
         first = order[fresh]
-        u = np.unique(np.concatenate([b[first][b[first] != START], x[first]]))
         g = rows["g"][0].as_py()
-        made = [(g, -1, pack_rising(u), pack_rising(np.where(b[first] == START, -1, np.searchsorted(u, b[first]))),
-                 pack(np.searchsorted(u, x[first])), pack(np.bincount(place, weights=c)), None)]
+        made = [(g, -1, pack_rising(u), pack_rising(b[first] + 1), pack(x[first]), pack(np.bincount(place, weights=c)), None)]
         for chunk, at in zip(rows["chunk"].to_pylist(), np.split(place, np.cumsum(sizes)[:-1])):
             made.append((g, chunk, None, None, None, None, pack_rising(at)))
         return table(made, LAYOUT)
@@ -326,36 +433,37 @@ def layout(located: DataFrame, groups: int) -> DataFrame:
     return map_arrow(located, deal, out).groupBy("g").applyInArrow(merge, T._parse_datatype_string(LAYOUT))
 
 
-def asked(located: DataFrame, laid: DataFrame) -> DataFrame:
-    """(block, kind, key, pos): the words of a block that a chunk or a group needs, in order."""
+def asked(needs: DataFrame) -> DataFrame:
+    """(block, kind, key, pos): the words of a block that a chunk or a group needs, in order; `needs` are (kind, key, words)."""
     schema = "block long, kind string, key long, pos binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for kind, key, words in zip(*(c.to_pylist() for c in batch.columns)):
                 words = rising(words)
-                rows = [(block, kind, key, pack(words[start:end] % BLOCK_WORDS)) for block, start, end in runs(words // BLOCK_WORDS)]
+                rows = [(block, kind, key, pack_rising(words[start:end] % BLOCK_WORDS)) for block, start, end in runs(words // BLOCK_WORDS)]
                 yield from table(rows, schema).to_batches()
 
-    needs = located.select(F.lit("chunk").alias("kind"), F.col("chunk").alias("key"), F.col("numbers").alias("words")).unionAll(
-        laid.where("chunk = -1").select(F.lit("group"), "g", "u"))
     return map_arrow(needs, run, T._parse_datatype_string(schema))
 
 
+CHANCE = np.float32   # of probabilities that only seat customers
+
+
 def word_mail(blocks: DataFrame, asks: DataFrame, totals: tuple[int, int]) -> DataFrame:
     """MAIL of blocks to chunks and groups: the words' probabilities in the corpus and what their restaurants hold."""
     def run(block: pa.Table, asks: pa.Table) -> pa.Table:
         if not block.num_rows:
             return table([], MAIL)
-        counts, tables, base, c, t = (np.array(block[k][0].values) for k in ("counts", "tables", "base", "c_b", "t_b"))
+        counts, tables, base, c, t = of_block(block, "counts", "tables", "base", "c_b", "t_b")
         p = sum(word_parts(counts, tables, base, totals))
         made = []
         for kind, key, pos in zip(*(asks[k].to_pylist() for k in ("kind", "key", "pos"))):
-            pos = unpacked(pos)
-            made.append((kind, key, None, block["block"][0].as_py(), pack(p[pos], np.float64), pack(c[pos], np.int64), pack(t[pos], np.int64)))
+            pos = rising(pos)
+            made.append((kind, key, None, block["block"][0].as_py(), pack(p[pos], CHANCE), pack(c[pos], np.int64), pack(t[pos], np.int64)))
         return table(made, MAIL)
 
-    return beside(blocks, asks, "block", run, MAIL)
+    return beside(blocks.select("block", "counts", "tables", "base", "c_b", "t_b"), asks, "block", run, MAIL)
 
 
 def seats_mail(seats: DataFrame) -> DataFrame:
@@ -369,20 +477,25 @@ def seat_texts(tokens: np.ndarray, sizes: np.ndarray, base: np.ndarray, rng: np.
     tokens: the first of a word does, a later one with a chance as in `seat`. `base` is each token's
     probability given the word before. Steps of a sixteenth of a word's tokens are drawn at a time."""
     of, kind, before = in_document(tokens, sizes)
-    order = np.argsort(before, kind="stable")
-    turn, opened = before[order], np.zeros(len(tokens), bool)
-    tables, in_text = np.zeros(kind.max(initial=-1) + 1, np.int64), np.zeros(len(sizes), np.int64)
-    at = 0
+    opened = before == 0
+    tables, in_text = np.ones(kind.max(initial=-1) + 1, np.int64), np.bincount(of[opened], minlength=len(sizes))
+    again = np.flatnonzero(before)
+    order = again[np.argsort(before[again], kind="stable")]
+    turn, at = before[order], 0
     while at < len(order):
         seated = int(turn[at])
-        end = int(np.searchsorted(turn, seated + max(1, seated // 16)))
+        step = max(1, seated // 16)
+        end = int(np.searchsorted(turn, seated + step))
         some = order[at:end]
         opening = (TEXT_STRENGTH + TEXT_DISCOUNT * in_text[of[some]]) * base[some]
         joining = seated - TEXT_DISCOUNT * tables[kind[some]]
-        new = rng.random(len(some)) * (opening + joining) < opening if seated else np.ones(len(some), bool)
-        opened[some] = new
-        np.add.at(tables, kind[some], new)
-        np.add.at(in_text, of[some], new)
+        new = some[rng.random(len(some)) * (opening + joining) < opening]
+        opened[new] = True
+        if step == 1:   # each word of a document once
+            tables[kind[new]] += 1
+        else:
+            np.add.at(tables, kind[new], np.ones(len(new), np.int64))
+        np.add.at(in_text, of[new], np.ones(len(new), np.int64))
         at = end
     return opened
 
@@ -405,7 +518,7 @@ def text_sweep(located: DataFrame, mail: DataFrame, start: tuple[int, int], grou
         chunk = chunk_of(texts, groups)
         words = mail.filter(pc.is_valid(mail["block"]))
         mail = mail.filter(pc.is_valid(mail["g"]))
-        p = joined(words, "block", "p", np.float64)
+        p = joined(words, "block", "p", CHANCE)
         c_b, t_b = pair_masses(words, start)
         c, t = chunk.pairs_of(mail, "c"), chunk.pairs_of(mail, "t")
         base = (c - PAIR_DISCOUNT * t + opening_mass(t_b[chunk.last]) * p[chunk.word]) / (PAIR_STRENGTH + c_b[chunk.last])
@@ -423,7 +536,7 @@ def pair_sweep(laid: DataFrame, mail: DataFrame | None, start: tuple[int, int],
     restaurant's new tables is that of the sweep before. Without mail the first seats: a table for each pair that has customers."""
     def run(laid: pa.Table, mail: pa.Table) -> pa.Table:
         own, *members = sorted(laid.to_pylist(), key=lambda r: r["chunk"])
-        g, u, b, x = own["g"], rising(own["u"]), rising(own["b"]), unpacked(own["x"])
+        g, u, b, x = own["g"], rising(own["u"]), rising(own["b"]) - 1, unpacked(own["x"])
         if mail.num_rows:
             words = mail.filter(pc.is_valid(mail["block"]))
             told = mail.filter(pc.is_valid(mail["g"]))
@@ -432,7 +545,7 @@ def pair_sweep(laid: DataFrame, mail: DataFrame | None, start: tuple[int, int],
             for row in members:
                 c[rising(row["at"])] += unpacked(told[row["chunk"]])
             mass = opening_mass(pair_masses(words, start)[1])[b]
-            t = seat(c, mass, joined(words, "block", "p", np.float64)[x], PAIR_DISCOUNT, np.random.default_rng([turn, g]))
+            t = seat(c, mass, joined(words, "block", "p", CHANCE)[x], PAIR_DISCOUNT, np.random.default_rng([turn, g]))
         else:
             c = unpacked(own["c"]).astype(np.int64)
             t = (c > 0).astype(np.int64)
@@ -444,11 +557,11 @@ def pair_sweep(laid: DataFrame, mail: DataFrame | None, start: tuple[int, int],
         add = lambda k, v: np.bincount(k, weights=v, minlength=len(u)).astype(np.int64)
         c_b, t_b, s = add(b[~first], c[~first]), add(b[~first], t[~first]), add(x, t)
         for block, a, z in runs(u // BLOCK_WORDS):
-            made.append((g, "block", block, pack(u[a:z] % BLOCK_WORDS), *(pack(v[a:z], np.int64) for v in (c_b, t_b, s)), None, None))
+            made.append((g, "block", block, pack_rising(u[a:z] % BLOCK_WORDS), *(pack(v[a:z], np.int64) for v in (c_b, t_b, s)), None, None))
         return table(made, SEATS)
 
     if mail is None:
-        mail = laid.sparkSession.createDataFrame([], MAIL)
+        mail = laid.sparkSession.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in T._parse_datatype_string(MAIL)])
     # In mail to a group `g` is the chunk that it came from.
     mail = mail.where("kind = 'group'").select(F.col("key").alias("group"), "g", "block", "p", "c", "t")
     return freeze(beside(laid.withColumn("group", F.col("g")), mail, "group", run, SEATS), "seats")
@@ -465,12 +578,14 @@ def with_customers(blocks: DataFrame, seats: DataFrame) -> DataFrame:
     def run(block: pa.Table, mail: pa.Table) -> pa.Table:
         if not block.num_rows:
             return block.select(BLOCK_COLUMNS)
-        found = np.zeros((3, len(block["seen"][0])), np.int64)
+        seen, tables, base, was = of_block(block, "seen", "tables", "base", "counts")
+        found = np.zeros((3, len(seen)), np.int64)
         for pos, *told in zip(*(mail[k].to_pylist() for k in ("pos", "s", "c", "t"))):
-            found[:, unpacked(pos)] += [unpacked(v, np.int64) for v in told]
+            pos = rising(pos)
+            for mine, more in zip(found, told):
+                mine[pos] += unpacked(more, np.int64)
         counts, c_b, t_b = found
-        values = {k: block[k][0].values for k in BLOCK_COLUMNS[1:]} | {"counts": counts, "c_b": c_b, "t_b": t_b}
-        return pa.Table.from_batches([_block_batch(block["block"][0].as_py(), *values.values())])
+        return block_row(block["block"][0].as_py(), seen, counts, tables, base, c_b, t_b, was)
 
     mail = seats.where("kind = 'block'").select(F.col("key").alias("block"), "pos", "s", "c", "t")
     return beside(blocks, mail, "block", run, BLOCK)
@@ -490,31 +605,58 @@ def beside(left: DataFrame, right: DataFrame, key: str, run, out: str) -> DataFr
 
 
 # ---------------------------------------------------------------- letters
-def spelled(word: str) -> Iterator[tuple[str, str]]:
-    """(context, letter) along a word; a tab stands before it and a line feed after it."""
-    padded = "\t" + word + END
-    for k in range(1, len(padded)):
-        yield padded[max(0, k - ORDER):k], padded[k]
-
-
-def letter_rows(blocks: DataFrame) -> DataFrame:
-    """(block, u, x, c): the letters a block's words need, with the words' tables as customers. Words that
-    no table serves need theirs too, with no customer."""
-    out = T._parse_datatype_string("block long, u string, x string, c long")
+SPELLING = "block long, words binary, letters binary, sizes binary, u array<string>, x array<string>"
+
+
+def spelled(words: list[str]) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
+    """Distinct (context, letter) along the words; which of them each letter is, word after word; and the words' letters.
+    A tab stands before a word and a line feed after it."""
+    text = "".join([f"\t{w}{END}" for w in words])
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    points, used = np.frombuffer(text.encode("utf-32-le"), np.uint32), np.zeros(LETTERS, np.int64)
+    used[points] = 1
+    number = np.cumsum(used)
+    code, kinds = number[points], int(number[-1]) + 1
+    tabs = np.cumsum(sizes + 1) - sizes - 1
+    place = np.arange(len(text)) - np.repeat(tabs, sizes + 1)
+    at = np.flatnonzero(place)
+    far = [np.where(place[at] >= k, code[at - k], 0) for k in range(ORDER + 1)]   # 0 before the word
+    order, fresh = in_order(far[3] * kinds + far[2], far[1] * kinds + far[0])
+    which = np.empty(len(at), np.int64)
+    which[order] = np.cumsum(fresh) - 1
+    first = at[order[fresh]]
+    u = [text[k - min(n, ORDER):k] for k, n in zip(first.tolist(), place[first].tolist())]
+    return u, [text[k] for k in first.tolist()], which, sizes
+
+
+def spelling(words: DataFrame) -> DataFrame:
+    """Of each block: its words, the distinct (u, x) of its letters, which of them each letter is and how many a word has."""
+    out = T._parse_datatype_string(SPELLING)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                found: dict = {}
-                for word, t in zip(batch.column(1)[k].as_py(), batch.column(2)[k].as_py()):
-                    for pair in spelled(word):
-                        found[pair] = found.get(pair, 0) + t
-                block = batch.column(0)[k].as_py()
+            for block, words in zip(*(c.to_pylist() for c in batch.columns)):
+                u, x, letters, sizes = spelled([w.decode() or END for w in unpacked_words(words)])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([block] * len(found), pa.int64()), pa.array([u for u, _ in found], pa.string()),
-                    pa.array([x for _, x in found], pa.string()), pa.array(list(found.values()), pa.int64())], names=out.names)
+                    pa.array([block], pa.int64()), *(pa.array([v], pa.binary()) for v in (words, pack(letters), pack(sizes))),
+                    *(pa.array([v], pa.list_(pa.string())) for v in (u, x))], names=out.names)
+
+    return map_arrow(words.where("chunk = -1").select("block", "words"), run, out)
+
+
+def letter_rows(spelt: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(u, x, c): the letters that words need, with the words' tables as customers. Words that no table serves need
+    theirs too, with no customer."""
+    schema = "u string, x string, c long"
+
+    def run(spelt: pa.Table, block: pa.Table) -> pa.Table:
+        (tables,) = of_block(block, "tables")
+        u, x = (spelt[k].chunk(0).flatten() for k in "ux")
+        letters, sizes = (unpacked(spelt[k][0].as_py()) for k in ("letters", "sizes"))
+        c = np.bincount(letters, weights=np.repeat(tables, sizes), minlength=len(u)).astype(np.int64)
+        return pa.table([u, x, pa.array(c)], names=["u", "x", "c"])
 
-    return map_arrow(blocks.select("block", "words", "tables"), run, out)
+    return beside(spelt.drop("words"), blocks.select("block", "tables"), "block", run, schema).groupBy("u", "x").agg(F.sum("c").alias("c"))
 
 
 def _level(rows: DataFrame, n: int) -> DataFrame:
@@ -588,27 +730,25 @@ def new_table(customers: int, tables: int) -> float:
     return (WORD_STRENGTH + WORD_DISCOUNT * tables) / (WORD_STRENGTH + customers)
 
 
-def word_sweep(blocks: DataFrame, needed: DataFrame, letters: DataFrame, totals: tuple[int, int], turn: int) -> DataFrame:
+def word_sweep(blocks: DataFrame, spelt: DataFrame, letters: DataFrame, totals: tuple[int, int], turn: int) -> DataFrame:
     """Blocks with their words seated anew; `totals` are customers and tables of the root restaurant."""
     _, n_tables = totals
-    given = needed.join(letters.select("u", "x", "p"), ["u", "x"]).groupBy("block").agg(
-        F.collect_list(F.struct("u", "x", "p")).alias("spelling"))
-    out = T._parse_datatype_string(BLOCK)
+    given = spelt.select("block", F.posexplode(F.arrays_zip("u", "x")).alias("k", "l")).select(F.col("block").alias("block"), "k", "l.u", "l.x").join(
+        letters.select("u", "x", "p"), ["u", "x"]).select("block", "k", "p")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                block, words = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                seen, counts = (np.array(batch.column(j)[k].values) for j in (2, 3))
-                pairs = batch.column(6)[k].values
-                logs = dict(zip(zip(pairs.field(0).to_pylist(), pairs.field(1).to_pylist()), np.log(pairs.field(2).to_numpy())))
-                base = np.exp(np.array([sum(map(logs.__getitem__, spelled(w))) for w in words]))
-                mass = np.full(len(words), WORD_STRENGTH + WORD_DISCOUNT * n_tables)
-                tables = seat(counts, mass, base, WORD_DISCOUNT, block_seed(turn, words))
-                yield _block_batch(block, words, seen, counts, tables, base, *(batch.column(j)[k].values for j in (4, 5)))
+    def run(block: pa.Table, given: pa.Table) -> pa.Table:
+        seen, counts, c_b, t_b = of_block(block, "seen", "counts", "c_b", "t_b")
+        letters, sizes = (unpacked(block[k][0].as_py()) for k in ("letters", "sizes"))
+        logs = np.empty(given.num_rows)
+        logs[given["k"].to_numpy()] = np.log(given["p"].to_numpy())
+        base = np.exp(np.add.reduceat(logs[letters], np.cumsum(sizes) - sizes))
+        mass = np.full(len(seen), WORD_STRENGTH + WORD_DISCOUNT * n_tables)
+        number = block["block"][0].as_py()
+        tables = seat(counts, mass, base, WORD_DISCOUNT, np.random.default_rng([turn, number]))
+        return block_row(number, seen, counts, tables, base, c_b, t_b)
 
-    both = blocks.join(given, "block").select("block", "words", "seen", "counts", "c_b", "t_b", "spelling")
-    return map_arrow(both, run, out)
+    both = spelt.select("block", "letters", "sizes").join(blocks.select("block", "seen", "counts", "c_b", "t_b"), "block")
+    return beside(both, given, "block", run, BLOCK)
 
 
 def word_parts(counts, tables, base, totals: tuple[int, int]):
@@ -619,25 +759,35 @@ def word_parts(counts, tables, base, totals: tuple[int, int]):
 
 
 def word_probabilities(blocks: DataFrame, totals: tuple[int, int]) -> DataFrame:
-    """(x, words, seen, served, spelt): one row per word."""
-    parts = word_parts(F.col("counts"), F.col("tables"), F.col("base"), totals)
-    return numbered(blocks, "words", "seen", "counts", "tables", "base").select(
-        "x", "words", "seen", *[c.alias(n) for c, n in zip(parts, ("served", "spelt"))])
+    """(x, seen, served, spelt): one row per word."""
+    parts = word_parts(F.col("was"), F.col("tables"), F.col("base"), totals)
+    return numbered(blocks, "seen", "was", "tables", "base").select("x", "seen", *[c.alias(n) for c, n in zip(parts, ("served", "spelt"))])
+
+
+def words_of(spelt: DataFrame) -> DataFrame:
+    """(x, word)."""
+    out = T._parse_datatype_string("x long, word string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, words in zip(*(c.to_pylist() for c in batch.columns)):
+                words = [w.decode() or END for w in unpacked_words(words)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(block * BLOCK_WORDS + np.arange(len(words))), pa.array(words, pa.string())], names=out.names)
+
+    return map_arrow(spelt.select("block", "words"), run, out)
 
 
 def root_totals(blocks: DataFrame) -> tuple[int, ...]:
     """(training tokens, distinct ones, customers of the corpus, their tables)."""
-    add = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
-    found = blocks.agg(F.sum(add("seen")), F.sum(F.size(F.filter("seen", lambda c: c > 0))),
-                       F.sum(add("counts")), F.sum(add("tables"))).first()
+    found = blocks.agg(*[F.sum(F.col("totals")[k]) for k in range(4)]).first()
     return tuple(x or 0 for x in found)
 
 
 @dataclass(frozen=True)
 class Sample:
-    """A state: the words as seated, their restaurants after it, the pairs' seats, and what the driver knows of it."""
+    """A state: the words as seated and their restaurants after it, the pairs' seats, and what the driver knows of it."""
 
-    seated: DataFrame
     blocks: DataFrame
     seats: DataFrame
     totals: tuple[int, int]
@@ -646,11 +796,12 @@ class Sample:
 
 @dataclass(frozen=True)
 class Fitted:
-    """Training tokens, distinct ones; the chunks, what they ask of the blocks, the number of groups, the samples, and
-    the averaged chance of a new table and sum of the known words as spelled."""
+    """Training tokens, distinct ones; the words, the chunks, what they ask of the blocks, the number of groups, the
+    samples, and the averaged chance of a new table and sum of the known words as spelled."""
 
     n_words: int
     distinct: int
+    spelt: DataFrame
     located: DataFrame
     asks: DataFrame
     groups: int
@@ -662,9 +813,9 @@ class Fitted:
 def fit(packed: DataFrame) -> tuple[DataFrame, int, int]:
     """((word, c, open, closed), training tokens, distinct ones) of the corpus."""
     model = fitted(packed)
-    words = reduce(DataFrame.unionByName, [word_probabilities(s.seated, s.totals) for s in model.samples]).groupBy("x").agg(
-        F.first("words").alias("word"), F.first("seen").alias("c"), (F.sum("served") / SAMPLES).alias("served"),
-        (F.sum("spelt") / SAMPLES).alias("spelt"))
+    words = reduce(DataFrame.unionByName, [word_probabilities(s.blocks, s.totals) for s in model.samples]).groupBy("x").agg(
+        F.first("seen").alias("c"), (F.sum("served") / SAMPLES).alias("served"),
+        (F.sum("spelt") / SAMPLES).alias("spelt")).join(words_of(model.spelt), "x")
     share = F.when(F.col("c") > 0, F.col("spelt") / model.known * (model.distinct / (model.distinct + 1))).otherwise(1 / (model.distinct + 1))
     return words.select("word", "c", (F.col("served") + F.col("spelt")).alias("open"),
                         (F.col("served") + model.opening * share).alias("closed")), model.n_words, model.distinct
@@ -672,24 +823,26 @@ def fit(packed: DataFrame) -> tuple[DataFrame, int, int]:
 
 def known_spelt(sample: Sample) -> float:
     """The share of a new table that the known words have."""
-    known = F.aggregate(F.filter(F.arrays_zip("seen", "base"), lambda w: w["seen"] > 0), F.lit(0.0), lambda a, w: a + w["base"])
-    return (sample.seated.agg(F.sum(known)).first()[0] or 0.0) * new_table(*sample.totals)
+    return (sample.blocks.agg(F.sum("known")).first()[0] or 0.0) * new_table(*sample.totals)
 
 
 def fitted(packed: DataFrame, keep: bool = True) -> Fitted:
-    """The seated restaurants; the table of chunks goes once it is read, unless it is to be kept.
+    """The seated restaurants; the tables of chunks and of the words go once they are read, unless they are to be kept.
 
     `open` is the averaged probability of a word as spelled, over all words there can be. `closed` is over
     the known words and one outcome for the others, as in the base score: that outcome has one share in
     `distinct` + 1 of a new table, and the known words share the rest as they are spelled.
     """
-    counted = freeze(word_blocks(packed), "words")
-    located = freeze(locate(packed, counted), "located")
+    groups = max(1, -(-(packed.agg(F.sum("total")).first()[0] or 0) // GROUP_TOKENS))
+    words = freeze(word_rows(packed, groups), "dealt")
+    located = freeze(locate(packed, words), "located")
     if not keep:
         discard(packed)
-    groups = max(1, located.count())
+    counted, spelt = freeze(word_blocks(words), "words"), freeze(spelling(words), "spelling")
+    discard(words)
     laid = freeze(layout(located, groups), "layout")
-    asks = freeze(asked(located, laid), "asks")
+    asks = {"chunk": freeze(asked(located.select(F.lit("chunk").alias("kind"), "chunk", "numbers")), "asks"),
+            "group": freeze(asked(laid.where("chunk = -1").select(F.lit("group").alias("kind"), "g", "u")), "asks")}
     seats = pair_sweep(laid, None, (0, 0), 0)
     start = start_masses(seats)
     blocks = freeze(with_customers(counted, seats), "words")
@@ -697,26 +850,25 @@ def fitted(packed: DataFrame, keep: bool = True) -> Fitted:
     letters, samples = None, []
     for turn in range(BURN_IN + SAMPLES):
         n_words, distinct, customers, tables = root_totals(blocks)
-        needed = freeze(letter_rows(blocks), "spelling")
-        levels = letter_sweep(needed.groupBy("u", "x").agg(F.sum("c").alias("c")), letters, turn)
-        spelt, letters = letters, freeze(letter_probabilities(levels), "letters")
-        discard(spelt, *levels)
+        leaves = freeze(letter_rows(spelt, blocks), "letters_needed")
+        levels = letter_sweep(leaves, letters, turn)
+        before, letters = letters, freeze(letter_probabilities(levels), "letters")
+        discard(before, leaves, *levels)
         # The customers seated this turn stand for all but their own change of the total tables.
-        before, seated = blocks, freeze(word_sweep(blocks, needed, letters, (customers, tables), turn), "words")
-        discard(needed, *([before] if all(before is not s.blocks for s in samples) else []))
+        before, seated = blocks, freeze(word_sweep(blocks, spelt, letters, (customers, tables), turn), "words")
+        discard(*([before] if all(before is not s.blocks for s in samples) else []), *([] if keep or turn < BURN_IN + SAMPLES - 1 else [spelt]))
         totals = root_totals(seated)[2:]
-        words = {kind: word_mail(seated, asks.where(F.col("kind") == kind), totals) for kind in ("chunk", "group")}
+        words = {kind: word_mail(seated, asked_of, totals) for kind, asked_of in asks.items()}
         customers_of = freeze(text_sweep(located, words["chunk"].unionByName(seats_mail(seats)), start, groups, turn), "customers")
         last, seats = seats, pair_sweep(laid, words["group"].unionByName(customers_of), start, turn)
         discard(customers_of, *([last] if all(last is not s.seats for s in samples) else []))
         start = start_masses(seats)
         blocks = freeze(with_customers(seated, seats), "words")
+        discard(seated)
         if turn >= BURN_IN:
-            samples.append(Sample(seated, blocks, seats, totals, start))
-        else:
-            discard(seated)
-    discard(letters, laid)
-    return Fitted(n_words, distinct, located, asks, groups, samples, sum(new_table(*s.totals) for s in samples) / SAMPLES,
+            samples.append(Sample(blocks, seats, totals, start))
+    discard(letters, laid, asks["group"])
+    return Fitted(n_words, distinct, spelt, located, asks["chunk"], groups, samples, sum(new_table(*s.totals) for s in samples) / SAMPLES,
                   sum(map(known_spelt, samples)) / SAMPLES or 1.0)
 
 
@@ -736,35 +888,28 @@ def in_sequence(tokens: np.ndarray, sizes: np.ndarray, *corpora: tuple[np.ndarra
 
 
 def averaged_mail(model: Fitted) -> DataFrame:
-    """(chunk, block, p, q, and `c` and `t` of each sample): the words' averaged probabilities `open` and `closed`, and what
+    """(chunk, block, served, spelt, and `c` and `t` of each sample): the averaged parts of the words' probabilities, and what
     their restaurants hold in the samples."""
     totals = [s.totals for s in model.samples]
-    opening, known, distinct = model.opening, model.known, model.distinct
     of_samples = ", ".join(f"c{k} binary, t{k} binary" for k in range(SAMPLES))
-    out = f"chunk long, block long, p binary, q binary, {of_samples}"
-    none = F.lit(None).cast("array<long>")
-    rows = [s.seated.select("block", F.lit(k).alias("sample"), "seen", "counts", "tables", "base", none.alias("c_b"), none.alias("t_b"))
-            for k, s in enumerate(model.samples)]
-    rows += [s.blocks.select("block", F.lit(k + SAMPLES).alias("sample"), "seen", none.alias("counts"), none.alias("tables"),
-                             F.lit(None).cast("array<double>").alias("base"), "c_b", "t_b") for k, s in enumerate(model.samples)]
+    out = f"chunk long, block long, served binary, spelt binary, {of_samples}"
+    rows = [s.blocks.select("block", F.lit(k).alias("sample"), "was", "tables", "base", "c_b", "t_b") for k, s in enumerate(model.samples)]
 
     def run(blocks: pa.Table, asks: pa.Table) -> pa.Table:
         if not blocks.num_rows:
             return table([], out)
         at = {s: k for k, s in enumerate(blocks["sample"].to_pylist())}
-        read = lambda s, c: np.array(blocks[c][at[s]].values)
-        parts = [word_parts(*(read(k, c) for c in ("counts", "tables", "base")), totals[k]) for k in range(SAMPLES)]
+        parts = [word_parts(*of_block(blocks, "was", "tables", "base", row=at[k]), totals[k]) for k in range(SAMPLES)]
         served, spelt = (sum(p) / SAMPLES for p in zip(*parts))
-        share = np.where(read(0, "seen") > 0, spelt / known * (distinct / (distinct + 1)), 1 / (distinct + 1))
-        masses = [read(SAMPLES + k, c) for k in range(SAMPLES) for c in ("c_b", "t_b")]
+        masses = [v for k in range(SAMPLES) for v in of_block(blocks, "c_b", "t_b", row=at[k])]
         made = []
         for key, pos in zip(asks["key"].to_pylist(), asks["pos"].to_pylist()):
-            pos = unpacked(pos)
-            made.append((key, blocks["block"][0].as_py(), *(pack(v[pos], np.float64) for v in (served + spelt, served + opening * share)),
+            pos = rising(pos)
+            made.append((key, blocks["block"][0].as_py(), *(pack(v[pos], np.float64) for v in (served, spelt)),
                          *(pack(v[pos], np.int64) for v in masses)))
         return table(made, out)
 
-    return beside(reduce(DataFrame.unionAll, rows), model.asks.where("kind = 'chunk'"), "block", run, out)
+    return beside(reduce(DataFrame.unionAll, rows), model.asks, "block", run, out)
 
 
 def scored(model: Fitted, id_column: str) -> DataFrame:
@@ -772,6 +917,7 @@ def scored(model: Fitted, id_column: str) -> DataFrame:
            "score double, open_score double")
     names = [f.name for f in T._parse_datatype_string(out)]
     n_words, distinct, groups = model.n_words, model.distinct, model.groups
+    opening, known = model.opening, model.known
     starts_of = [s.start for s in model.samples]
 
     def run(texts: pa.Table, mail: pa.Table) -> pa.Table:
@@ -787,7 +933,9 @@ def scored(model: Fitted, id_column: str) -> DataFrame:
             c, t = (chunk.pairs_of(seats, f"{n}0") for n in "ct")
             own = own + (c - PAIR_DISCOUNT * t) / (PAIR_STRENGTH + c_b) / SAMPLES
             left = left + opening_mass(t_b) / (PAIR_STRENGTH + c_b) / SAMPLES
-        spelt, closed = ((own + left * joined(words, "block", n, np.float64)[chunk.word])[chunk.pair] for n in "pq")
+        served, spelt = (joined(words, "block", n, np.float64) for n in ("served", "spelt"))
+        share = np.where(chunk.seen > 0, spelt / known * (distinct / (distinct + 1)), 1 / (distinct + 1))
+        spelt, closed = ((own + left * p[chunk.word])[chunk.pair] for p in (served + spelt, served + opening * share))
         count = chunk.seen[chunk.tokens]
         base = np.log10((count + 0.5) / (n_words + 0.5 * (distinct + 1)))
         log, log_open = in_sequence(chunk.tokens, chunk.sizes, (closed, count > 0), (spelt, np.ones(len(count), bool)))
@@ -797,7 +945,8 @@ def scored(model: Fitted, id_column: str) -> DataFrame:
             pa.array(chunk.ids, pa.int64()), pa.array(~chunk.learned), pa.array(chunk.sizes), pa.array(add((count > 0).astype(np.int64))),
             pa.array(np.full(len(starts), n_words)), pa.array(add(base)), pa.array(add(log)), pa.array(add(log_open))], names=names)
 
-    mail = averaged_mail(model)
+    mail = freeze(averaged_mail(model), "averaged")
+    discard(model.asks, *(s.blocks for s in model.samples))
     for k, s in enumerate(model.samples):
         seats = s.seats.where("kind = 'chunk'").select(F.col("key").alias("chunk"), "g", F.lit(k).alias("sample"), F.col("c").alias("c0"), F.col("t").alias("t0"))
         mail = mail.unionByName(seats, allowMissingColumns=True)

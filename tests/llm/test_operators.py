@@ -192,6 +192,60 @@ def test_seating_grows_as_the_process_does():
     assert tables[0] == 0 and tables[1] == 1 and (tables <= n).all() and 30 < tables[3] < tables[4] < 1000
 
 
+def test_packed_columns_are_narrow():
+    """Packed numbers take the bytes that the largest needs, and come back as they were."""
+    import zstandard
+    for values in ([0, 1, 255], [0, 256], [70_000], [1 << 40], [-1, 5], []):
+        for kind in (np.int64, np.float64):
+            assert language_model.unpacked(language_model.pack(np.array(values, kind), kind), kind).tolist() == values
+    assert len(zstandard.decompress(language_model.pack(np.full(1000, 3), np.int64))) < 1100
+    assert len(zstandard.decompress(language_model.pack_rising(np.arange(1000) * 200))) < 1100
+
+
+def test_tokens_of_chunks():
+    """Blanks are those of the contract; words are in order of hash, also two of one hash."""
+    texts = ["", " a\x0bB\x0cc\td\n\re\x1cf\x85g\u2028h  i ", "plumless buckeroo É é", "\n\n"]
+    words, tokens, sizes = language_model.tokenized(texts)
+    found = [words[k] for k in tokens]
+    want_words = [w.encode() for t in texts for w in [*brute.WORD.findall(t.translate(brute.LOWER)), ""]]
+    assert found == want_words and sizes.tolist() == [1, 7, 5, 1]
+    assert language_model.crc32(b"plumless") == language_model.crc32(b"buckeroo")
+    assert words == sorted(set(found), key=lambda w: (language_model.crc32(w), w))
+
+
+def test_letters_of_words():
+    """Every letter of a word with the letters before it, three at most."""
+    words = ["a", "abcab", "zażółć", "\U0001F600b", "\n", "aaaaaa"]
+    u, x, letters, sizes = language_model.spelled(words)
+    want_letters = []
+    for w in words:
+        padded = "\t" + w + "\n"
+        want_letters += [(padded[max(0, k - 3):k], padded[k]) for k in range(1, len(padded))]
+    assert [(u[k], x[k]) for k in letters] == want_letters and len(set(zip(u, x))) == len(u)
+    assert sizes.tolist() == [len(w) + 1 for w in words]
+
+
+def test_tables_go_when_read(spark, monkeypatch):
+    """When texts are scored, only chunks, the words' averages and a table of seats for each sample are left."""
+    freeze, discard, kept = language_model.freeze, language_model.discard, {}
+
+    def made(df, name):
+        out = freeze(df, name)
+        kept[out._frozen_at] = name
+        return out
+
+    def gone(*frames):
+        for df in frames:
+            kept.pop(getattr(df, "_frozen_at", None), None)
+        discard(*frames)
+
+    monkeypatch.setattr(language_model, "freeze", made)
+    monkeypatch.setattr(language_model, "discard", gone)
+    found = language_model.language_model_scores(spark.createDataFrame([(k, f"a b {k} a") for k in range(9)], "doc_id long, text string"))
+    assert found.count() == 9
+    assert sorted(kept.values()) == ["averaged", "located", *["seats"] * language_model.SAMPLES]
+
+
 # ---------------------------------------------------------------- 4 decontamination
 def test_decontamination(docs, rows, empty, unnamed, benchmark):
     found = decontamination.decontaminate(docs, benchmark)
