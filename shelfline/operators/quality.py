@@ -57,10 +57,11 @@ def check_relationships(
     """Child rows whose value is missing in the parent; null passes.
 
     The parent is not made distinct first: an anti join does not need it, and both sides then come
-    straight from a shuffle, which lets AQE split a hot child value.
+    straight from a shuffle, which lets AQE split a hot child value. It is never sent to all executors by the planner's
+    guess either: a parent that explodes rows, as snapshots do, is guessed at the size of its files.
     """
     rows = _rows(child, where).where(F.col(column).isNotNull())
-    known = parent.select(F.col(parent_column).alias("_known"))
+    known = parent.select(F.col(parent_column).alias("_known")).hint("merge")
     return rows.join(known, rows[column] == known["_known"], "left_anti")
 
 
@@ -146,7 +147,7 @@ def _references(df: DataFrame, checks: list[Check]) -> DataFrame:
             .groupBy("of", "value").agg(F.count(F.lit(1)).alias("n")))
     known = reduce(DataFrame.unionByName, [
         c.parent.select(F.lit(i).alias("of"), F.col(c.parent_column).cast("string").alias("value")) for i, c in enumerate(checks)])
-    lacking = held.join(known, ["of", "value"], "left_anti")
+    lacking = held.join(known.hint("merge"), ["of", "value"], "left_anti")   # as in check_relationships
     counts = lacking.agg(*[F.coalesce(F.sum(F.when(F.col("of") == i, F.col("n"))), F.lit(0)).alias(f"c{i}") for i in range(len(checks))])
     return counts.select(F.explode(_told(checks, [F.col(f"c{i}") for i in range(len(checks))])).alias("r")).select("r.*")
 
