@@ -25,6 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType, TimestampType
 
+from shelfline.operators.skew import BROADCAST_ROWS
 from shelfline.session import STORED, freeze, shuffles_dropped
 
 DEFAULT_BUCKETS = 16      # of a key table
@@ -341,15 +342,17 @@ def merge_rows(
         return Merge(read_table(spark, path), spark.createDataFrame([], old))
     schema = _both(old, staged.schema)
     lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in staged.columns]
-    known = freeze(_known(spark, path, staged.select(*index).dropna()), "known")
-    first = known.groupBy(*index).agg(F.min(DAY).alias("_known"))
+    # Keys of much news are shuffled: narrow columns make small files, which the planner takes for small tables to broadcast.
+    keyed = lambda df: df.hint("merge") if seen.count() > BROADCAST_ROWS else df
+    known = freeze(_known(spark, path, keyed(staged.select(*index).dropna())), "known")
+    first = keyed(known.groupBy(*index).agg(F.min(DAY).alias("_known")))
     news = _filed(staged.select("*", *lacking).join(first, index, "left"), day, index, F.col("_known"), grain).select(
         *schema.names, DAY)
 
     # Stored rows of the same keys, where the key table says that they can be: as many as the news has, or chains of it.
     touched = {*_days(known), *([NO_DAY] if seen.count("index") else [])}
     _write_schema(spark, path, schema)
-    arriving, nulls = staged.select(*by), seen.count("by") > 0
+    arriving, nulls = keyed(staged.select(*by)), seen.count("by") > 0
     rivals = _matching(read_days(spark, path, list(touched)), arriving, by, "left_semi", nulls)
     winners = news
     if resolve is not None:
@@ -384,7 +387,7 @@ def _any_null(columns: list[str]) -> Column:
 
 def _matching(df: DataFrame, keys: DataFrame, by: list[str], how: str, nulls: bool = True) -> DataFrame:
     """Semi or anti join in which null equals null; without `nulls` among the keys a plain comparison does."""
-    named = keys.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)])
+    named = keys.withColumnsRenamed({c: f"_by{i}" for i, c in enumerate(by)})
     same = [F.col(c).eqNullSafe(F.col(f"_by{i}")) if nulls else F.col(c) == F.col(f"_by{i}") for i, c in enumerate(by)]
     return df.join(named, reduce(Column.__and__, same), how)
 
